@@ -30,6 +30,10 @@ class Models:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    def as_mapping(self) -> "_ModelMap":
+        """Models by name, built on first use (for table-driven checks)."""
+        return _ModelMap(self)
+
     def table(self, name: str, columns: list[str] | None = None) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name, columns)
 
@@ -113,3 +117,11 @@ class Models:
     def fct_flights(self) -> DataFrame:
         days = FL._calendar_bound_days(*FLIGHT_CALENDAR)
         return FL.build_fct_flights(self.stg_flights, self.flight_calendar, days)
+
+
+class _ModelMap:
+    def __init__(self, m: Models):
+        self._m = m
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self._m, name)

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aerolake.operators import profile as PR
+from aerolake.operators import quality as DQ
 from aerolake.plans import analyses as Q
 from aerolake.plans.catalog import Models
 from aerolake.plans.oracle import PCT, R, model, with_ctes
@@ -34,15 +36,7 @@ for _name in ("clean_positions", "stg_positions", "fact_positions", "dim_aircraf
     register(_name, _m(_name), model(_name))
 register("stg_flights", _m("stg_flights", ("_loaded_at",)), model("stg_flights", ("_loaded_at",)))
 register("fct_flights", _m("fct_flights", ("_loaded_at",)), model("fct_flights", ("_loaded_at",)))
-register("dim_date", _m("dim_date"), with_ctes("""
-    SELECT md5(CAST(CAST(d AS DATE) AS VARCHAR)) AS date_key, CAST(d AS DATE) AS date_day,
-           CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
-           CAST(dayofweek(d) AS INTEGER) AS day_of_week, dayname(d) AS day_name, monthname(d) AS month_name,
-           dayofweek(d) IN (0, 6) AS is_weekend
-    FROM (SELECT unnest(generate_series(CAST(min(CAST(departure_time AS DATE)) AS TIMESTAMP),
-                                        CAST(max(CAST(departure_time AS DATE)) AS TIMESTAMP),
-                                        INTERVAL 1 DAY)) AS d
-          FROM stg_flights)""", "stg_flights"))
+register("dim_date", _m("dim_date"), model("dim_date"))
 
 # ---- flights analyses ---------------------------------------------------------------------
 register("q02_01_count", Q.q02_01_count, with_ctes("SELECT COUNT(*) AS total_rows FROM flights_raw", "flights_raw"))
@@ -222,6 +216,77 @@ register("slice_windows", Q.slice_windows, """
       ON e.ts >= w.window_begin AND e.ts < w.window_end""")
 
 
+# ---- data quality ----------------------------------------------------------------------------
+def _dq_sql(c: DQ.Check) -> tuple[str, list[str]]:
+    head = f"SELECT '{c.kind}' AS test, '{c.model}' AS model, '{c.column}' AS column_name"
+    if c.kind == "not_null":
+        return f"{head}, COUNT(*) FILTER (WHERE {c.column} IS NULL) AS failing_rows FROM {c.model}", [c.model]
+    if c.kind == "unique":
+        return (f"{head}, COUNT(*) AS failing_rows FROM (SELECT {c.column} FROM {c.model} "
+                f"WHERE {c.column} IS NOT NULL GROUP BY {c.column} HAVING COUNT(*) > 1)"), [c.model]
+    if c.kind == "relationships":
+        return (f"{head}, COUNT(*) AS failing_rows FROM {c.model} ch LEFT JOIN {c.to_model} p "
+                f"ON ch.{c.column} = p.{c.to_column} WHERE ch.{c.column} IS NOT NULL AND p.{c.to_column} IS NULL"), \
+            [c.model, c.to_model]
+    if c.kind == "accepted_range":
+        op = ">=" if c.inclusive else ">"
+        return (f"{head}, COUNT(*) FILTER (WHERE {c.column} IS NOT NULL AND NOT ({c.column} {op} {c.min_value})) "
+                f"AS failing_rows FROM {c.model}"), [c.model]
+    if c.kind == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in c.values)
+        return (f"{head}, COUNT(*) FILTER (WHERE {c.column} IS NOT NULL AND {c.column} NOT IN ({vals})) "
+                f"AS failing_rows FROM {c.model}"), [c.model]
+    raise ValueError(c.kind)
+
+
+def _dq(kind: str):
+    checks = DQ.declared_checks(kind)
+
+    def build(m: Models) -> DataFrame:
+        return DQ.run_checks(checks, m.as_mapping())
+
+    parts = [_dq_sql(c) for c in checks]
+    needed = sorted({n for _, ns in parts for n in ns})
+    return build, with_ctes("\nUNION ALL\n".join(p for p, _ in parts), *needed)
+
+
+for _kind, _key in (("not_null", "dq_not_null"), ("unique", "dq_unique"), ("relationships", "dq_relationships"),
+                    ("accepted_range", "dq_range"), ("accepted_values", "dq_accepted_values")):
+    register(_key, *_dq(_kind))
+register("dq_long_flights", lambda m: DQ.long_flights(m.fct_flights), with_ctes(f"""
+    SELECT aircraft_id, flight_callsign, flight_duration_minutes FROM fct_flights
+    WHERE flight_duration_minutes > {DQ.LONG_FLIGHT_MINUTES}""", "fct_flights"))
+
+# ---- profiles --------------------------------------------------------------------------------
+_RAW_COLS = ["icao24", "registration", "aircraft_type", "description", "event_timestamp", "event_datetime",
+             "latitude", "longitude", "altitude_ft", "on_ground", "callsign", "squawk", "source"]
+_CLEAN_COLS = ["icao24", "registration", "aircraft_type", "description", "callsign", "squawk", "latitude",
+               "longitude", "altitude_ft", "on_ground", "event_timestamp", "event_datetime", "event_date",
+               "event_hour", "altitude_band", "source"]
+
+
+def _profile_sql(model: str, cols: list[str]) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, CAST({i + 1} AS INTEGER) AS ordinal, COUNT(*) AS total_rows, "
+        f"COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM {model}" for i, c in enumerate(cols))
+
+
+register("prof_nulls", lambda m: PR.profile(m.positions_raw),
+         with_ctes(_profile_sql("positions_raw", _RAW_COLS), "positions_raw"))
+register("prof_before_after", lambda m: PR.compare_profiles(m.positions_raw, m.clean_positions), with_ctes(f"""
+    WITH b AS ({_profile_sql("positions_raw", _RAW_COLS)}),
+         a AS ({_profile_sql("clean_positions", _CLEAN_COLS)})
+    SELECT coalesce(b.column_name, a.column_name) AS column_name, b.total_rows AS rows_before,
+           b.null_count AS nulls_before, a.total_rows AS rows_after, a.null_count AS nulls_after
+    FROM b FULL OUTER JOIN a ON b.column_name = a.column_name""", "positions_raw", "clean_positions"))
+register("prof_rowcounts", lambda m: PR.row_counts(raw_rows=m.positions_raw, clean_rows=m.clean_positions,
+                                                   silver_rows=m.stg_positions, fact_rows=m.fact_positions),
+         with_ctes("""
+    SELECT (SELECT COUNT(*) FROM positions_raw) AS raw_rows, (SELECT COUNT(*) FROM clean_positions) AS clean_rows,
+           (SELECT COUNT(*) FROM stg_positions) AS silver_rows, (SELECT COUNT(*) FROM fact_positions) AS fact_rows""",
+                   "positions_raw", "clean_positions", "stg_positions", "fact_positions"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(Models(spark, sf_dir))

@@ -1,7 +1,9 @@
 """Zone-free time expressions on TIMESTAMP_NTZ columns.
 
-Every expression counts against a fixed NTZ origin with ``timestampdiff``/``timestampadd``,
-so results do not depend on ``spark.sql.session.timeZone`` and stay inside codegen.
+``unix_timestamp`` of an NTZ value and ``timestampadd`` on an NTZ value are wall-clock
+arithmetic (no session-zone conversion), so these results do not depend on
+``spark.sql.session.timeZone``; all stay inside whole-stage codegen.  Indexes are for
+timestamps from 1970 on (pre-1970 sub-second values truncate toward zero).
 """
 
 from __future__ import annotations
@@ -10,8 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-# A minute- and hour-aligned origin far in the past: truncating division from here equals floor.
-ORIGIN = "TIMESTAMP_NTZ'0001-01-01 00:00:00'"
 
 
 def _c(c) -> Column:
@@ -20,7 +20,7 @@ def _c(c) -> Column:
 
 def epoch_seconds(ts) -> Column:
     """Whole epoch seconds of an NTZ timestamp (sub-second part truncated), BIGINT."""
-    return F.timestamp_diff("SECOND", F.expr(EPOCH), _c(ts))
+    return F.unix_timestamp(_c(ts))
 
 
 def from_epoch_seconds(secs) -> Column:
@@ -29,13 +29,13 @@ def from_epoch_seconds(secs) -> Column:
 
 
 def minute_index(ts) -> Column:
-    """Number of minute boundaries since a fixed origin."""
-    return F.timestamp_diff("MINUTE", F.expr(ORIGIN), _c(ts))
+    """Number of minute boundaries since the epoch."""
+    return F.floor(epoch_seconds(ts) / 60)
 
 
 def hour_index(ts) -> Column:
-    """Number of hour boundaries since a fixed origin (a time bucket for skew-safe windows)."""
-    return F.timestamp_diff("HOUR", F.expr(ORIGIN), _c(ts))
+    """Number of hour boundaries since the epoch (a time bucket for skew-safe windows)."""
+    return F.floor(epoch_seconds(ts) / 3600)
 
 
 def boundary_minutes(start, end) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from aerolake.functions.numeric import round_half_up
 from aerolake.functions.text import upper_trim
+from aerolake.functions.time import hour_index
 from aerolake.operators import windows as W
 from aerolake.plans.catalog import Models
 
@@ -27,8 +28,7 @@ def q02_01_count(m: Models) -> DataFrame:
 def q02_02_snapshot_summary(m: Models) -> DataFrame:
     """Snapshot table stand-in: events, user_id as aircraft, hour of ts (epoch s) as snapshot."""
     ev = m.table("events", ["user_id", "ts"])
-    snap = (F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts")) / 3600)
-    snap = (F.floor(snap) * 3600).cast("long")
+    snap = (hour_index("ts") * 3600).cast("long")
     s = ev.select(F.col("user_id").alias("icao24"), snap.alias("snapshot_time"))
     return s.agg(
         _n().alias("total_rows"),

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from aerolake.operators import profile as PR
 from aerolake.operators import quality as DQ
 from aerolake.plans import analyses as Q
-from aerolake.plans.catalog import Models
+from aerolake.operators import shaping as SH
+from aerolake.plans.catalog import RUN_STAMP, Models
+from aerolake.sources import fixtures as FX
 from aerolake.plans.oracle import PCT, R, model, with_ctes
 
 
@@ -287,6 +289,64 @@ register("prof_rowcounts", lambda m: PR.row_counts(raw_rows=m.positions_raw, cle
                    "positions_raw", "clean_positions", "stg_positions", "fact_positions"))
 
 
+# ---- ingest shaping over documents derived from events ----------------------------------------
+def _shp_states(m: Models) -> DataFrame:
+    ev = m.table("events", ["event_id", "ts", "user_id", "event_type", "value"])
+    return SH.flatten_states(FX.states_from_events(ev), RUN_STAMP).drop("processed_at")
+
+
+def _shp_trace(m: Models) -> DataFrame:
+    ev = m.table("events", ["event_id", "ts", "user_id", "event_type", "value"])
+    return SH.flatten_traces(SH.parse_trace_documents(FX.trace_docs_from_events(ev)))
+
+
+register("shp_states", _shp_states, """
+    SELECT DISTINCT
+      'ab' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS icao24,
+      'CS' || CAST(event_id % 40 AS VARCHAR) AS callsign,
+      'Country' || CAST(user_id % 5 AS VARCHAR) AS origin_country,
+      CASE WHEN short THEN NULL ELSE secs END AS time_position,
+      CASE WHEN short THEN NULL ELSE secs + 1 END AS last_contact,
+      CASE WHEN short THEN NULL ELSE ((event_id * 53) % 37000) / 100 - 185.0 END AS longitude,
+      CASE WHEN short THEN NULL ELSE ((event_id * 37) % 19000) / 100 - 95.0 END AS latitude,
+      CASE WHEN short THEN NULL ELSE alt END AS baro_altitude,
+      CASE WHEN short THEN NULL ELSE event_type = 'purchase' END AS on_ground,
+      CASE WHEN short THEN NULL ELSE value END AS velocity,
+      CASE WHEN short THEN NULL ELSE CAST(event_id % 360 AS DOUBLE) END AS true_track,
+      CAST(NULL AS DOUBLE) AS vertical_rate,
+      CAST(NULL AS VARCHAR) AS sensors,
+      CASE WHEN short THEN NULL ELSE alt + 50.0 END AS geo_altitude,
+      CASE WHEN short THEN NULL ELSE lpad(CAST(event_id % 7777 AS VARCHAR), 4, '0') END AS squawk,
+      CASE WHEN short THEN NULL ELSE FALSE END AS spi,
+      CASE WHEN short THEN NULL ELSE CAST(0 AS BIGINT) END AS position_source,
+      secs AS snapshot_time
+    FROM (SELECT *, epoch_us(ts) // 1000000 AS secs, event_id % 50 = 0 AS short,
+                 CASE WHEN event_type = 'error' THEN NULL ELSE round(value * 100) END AS alt
+          FROM events)
+    WHERE event_id % 71 <> 0 AND event_id % 73 <> 0 AND event_id % 97 <> 0""")
+register("shp_trace", _shp_trace, """
+    SELECT 'ac' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS icao24,
+           'R-' || CAST(user_id AS VARCHAR) AS registration,
+           'T' || CAST(user_id % 7 AS VARCHAR) AS aircraft_type,
+           'Type ' || CAST(user_id % 7 AS VARCHAR) AS description,
+           base + off AS event_timestamp,
+           make_timestamp(CAST(round((base + off) * 1000000) AS BIGINT)) AS event_datetime,
+           ((event_id * 37) % 19000) / 100 - 95.0 AS latitude,
+           ((event_id * 53) % 37000) / 100 - 185.0 AS longitude,
+           CASE WHEN event_type = 'signup' THEN NULL ELSE round(value * 100) END AS altitude_ft,
+           CASE WHEN event_id % 6 = 0 THEN NULL ELSE CAST(event_id % 4 AS INTEGER) END AS on_ground,
+           CASE WHEN event_id % 6 = 0 OR event_id % 3 = 0 THEN NULL ELSE 'CS' || CAST(event_id % 40 AS VARCHAR) END
+             AS callsign,
+           CASE WHEN event_id % 6 = 0 OR event_id % 3 = 0 THEN NULL ELSE lpad(CAST(event_id % 7777 AS VARCHAR), 4, '0') END
+             AS squawk,
+           'adsb.lol' AS source
+    FROM (SELECT *, CAST(epoch_us(CAST(CAST(ts AS DATE) AS TIMESTAMP)) // 1000000 AS DOUBLE) AS base,
+                 CAST((epoch_us(ts) - epoch_us(CAST(CAST(ts AS DATE) AS TIMESTAMP))) // 1000 AS DOUBLE)
+                   / CAST(1000.0 AS DOUBLE) AS off
+          FROM events)
+    WHERE event_id % 89 <> 0 AND event_id % 83 <> 0 AND event_id % 101 <> 0""")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(Models(spark, sf_dir))

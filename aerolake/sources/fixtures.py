@@ -82,3 +82,71 @@ def flights_raw_from_orders(lineitem: DataFrame, orders: DataFrame, customer: Da
         (F.col("l_partkey") % 300).cast("double").alias("estarrivalairporthorizdistance"),
         F.col("l_shipdate").alias("processed_at"),
     )
+
+
+# ---- nested documents derived from events (for the shaping operators) ------------------------
+# Fixed values of the derivation (also stated in the oracle SQL).
+STATES_NULL_EVERY, STATES_EMPTY_EVERY, STATES_SHORT_EVERY = 71, 73, 50
+TRACE_NULL_ICAO_EVERY, TRACE_BLANK_ICAO_EVERY, TRACE_NO_BASE_EVERY = 89, 83, 101
+
+
+def states_from_events(events: DataFrame) -> DataFrame:
+    """raw_states: one snapshot per event (time = epoch s), holding a 17-field vector; some
+    snapshots are NULL or empty, every 50th holds a 3-field vector, every tenth repeats its
+    vector (exact duplicate).  Values are text, as a JSON reader with this schema yields."""
+    eid, uid = F.col("event_id"), F.col("user_id")
+    secs = epoch_seconds("ts")
+    alt = F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(F.round(F.col("value") * 100))
+    lon = (eid * 53) % 37000 / 100 - 185.0
+    lat = (eid * 37) % 19000 / 100 - 95.0
+    vec = F.array(
+        F.when(eid % NULL_KEY_EVERY == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("ab"), F.lpad(_s(uid), 4, "0"))),
+        F.concat(F.lit("CS"), _s(eid % 40), F.lit("  ")),
+        F.concat(F.lit("Country"), _s(uid % 5)),
+        _s(secs), _s(secs + 1), _s(lon), _s(lat), _s(alt),
+        F.when(F.col("event_type") == "purchase", F.lit("true")).otherwise(F.lit("false")),
+        _s(F.col("value")), _s(eid % 360), F.lit(None).cast("string"), F.lit(None).cast("string"),
+        _s(alt + 50.0), F.lpad(_s(eid % 7777), 4, "0"), F.lit("false"), F.lit("0"),
+    )
+    states = (F.when(eid % STATES_NULL_EVERY == 0, F.lit(None).cast("array<array<string>>"))
+              .when(eid % STATES_EMPTY_EVERY == 0, F.array().cast("array<array<string>>"))
+              .when(eid % STATES_SHORT_EVERY == 0, F.array(F.slice(vec, 1, 3)))
+              .when(eid % COPY_EVERY == COPY_REMAINDER, F.array(vec, vec))
+              .otherwise(F.array(vec)))
+    return events.select(secs.alias("time"), states.alias("states"))
+
+
+def trace_docs_from_events(events: DataFrame) -> DataFrame:
+    """JSON trace documents, one per event: header (icao, r, t, desc, base = midnight epoch s)
+    and two points, the event itself (full 9-element point with metadata, or every 6th a bare
+    4-element point) and an invalid one (empty, NULL latitude, or only 3 elements)."""
+    eid, uid = F.col("event_id"), F.col("user_id")
+    day = F.to_date("ts").cast("timestamp_ntz")
+    base = epoch_seconds(day).cast("double")
+    # whole milliseconds of the day: integer microseconds, floor-divided
+    offset = F.floor(F.timestamp_diff("MICROSECOND", day, F.col("ts")) / 1000) / 1000.0
+    lat = (eid * 37) % 19000 / 100 - 95.0
+    lon = (eid * 53) % 37000 / 100 - 185.0
+    alt = F.when(F.col("event_type") == "signup", F.lit("ground")).otherwise(_s(F.round(F.col("value") * 100)))
+    meta = F.when(eid % 3 != 0, F.to_json(F.struct(
+        F.concat(F.lit("CS"), _s(eid % 40), F.lit("  ")).alias("flight"),
+        F.lpad(_s(eid % 7777), 4, "0").alias("squawk"))))
+    full = F.array(_s(offset), _s(lat), _s(lon), alt, F.lit("0"), F.lit("0"), _s(eid % 4),
+                   F.lit(None).cast("string"), meta)
+    bare = F.array(_s(offset), _s(lat), _s(lon), alt)
+    point_a = F.when(eid % 6 == 0, bare).otherwise(full)
+    point_b = (F.when(eid % 5 == 0, F.array().cast("array<string>"))
+               .when(eid % 5 == 1, F.array(_s(offset + 1), F.lit(None).cast("string"), _s(lon), alt))
+               .otherwise(F.array(_s(offset + 2), _s(lat), _s(lon))))
+    icao = (F.when(eid % TRACE_NULL_ICAO_EVERY == 0, F.lit(None).cast("string"))
+            .when(eid % TRACE_BLANK_ICAO_EVERY == 0, F.lit(""))
+            .otherwise(F.concat(F.lit("ac"), F.lpad(_s(uid), 4, "0"))))
+    doc = F.struct(
+        icao.alias("icao"),
+        F.concat(F.lit("R-"), _s(uid)).alias("r"),
+        F.concat(F.lit("T"), _s(uid % 7)).alias("t"),
+        F.concat(F.lit("Type "), _s(uid % 7)).alias("desc"),
+        F.when(eid % TRACE_NO_BASE_EVERY == 0, F.lit(None).cast("double")).otherwise(base).alias("timestamp"),
+        F.array(point_a, point_b).alias("trace"),
+    )
+    return events.select(F.to_json(doc).alias("doc"))

@@ -12,7 +12,28 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+# A scan split worth spreading over more tasks: below this many (compressed) bytes per task,
+# a round-robin exchange costs more than the parallelism it buys.
+MIN_BYTES_PER_TASK = 256 * 1024
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+               rebalance: bool = True) -> DataFrame:
     """Read one table; selecting columns up front keeps the scan's ReadSchema narrow."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return rebalance_split_starved(spark, df) if rebalance else df
+
+
+def rebalance_split_starved(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer input splits than the cluster has task slots (e.g. a large
+    file written as one row group) with a round-robin exchange, so the per-row work after the
+    scan is not serialised in one task.  Scans that already have enough splits (the normal
+    case for large tables) and small tables are returned unchanged.  Planning only, no job."""
+    slots = spark.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    if splits >= slots:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    want = min(slots, size // MIN_BYTES_PER_TASK)
+    return df.repartition(int(want)) if want > splits else df

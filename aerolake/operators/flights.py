@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aerolake.functions.codes import surrogate_key
 from aerolake.functions.time import boundary_minutes, day_of_week_sun0, from_epoch_seconds
+from aerolake.operators.sizing import broadcast_if_small
 from aerolake.operators.windows import rank_table_desc
 
 STG_FLIGHT_COLUMNS = [
@@ -102,8 +103,8 @@ def build_fct_flights(stg: DataFrame, calendar: DataFrame, calendar_days: int,
     * Airport keys.  dim_airports holds every non-NULL code of the same staging data and its key
       is md5(code), so the LEFT JOIN on code is the hash of the code when it is present.  Without
       a supplied ``airports`` frame we compute that expression and skip the join (no shuffle of
-      the fact).  With an external dimension we LEFT JOIN it (AQE broadcasts it when measured
-      small).
+      the fact).  With an external dimension we LEFT JOIN it, broadcast only if its estimated
+      size is under the broadcast threshold (otherwise a shuffle join).
     * Date key.  The calendar is generated from parameters, so its size bound is known
       (``calendar_days`` rows): it is broadcast.
     """
@@ -112,6 +113,7 @@ def build_fct_flights(stg: DataFrame, calendar: DataFrame, calendar_days: int,
         arr_key = F.when(F.col("arrival_airport").isNotNull(), surrogate_key("arrival_airport"))
         j = stg.withColumns({"departure_airport_key": dep_key, "arrival_airport_key": arr_key})
     else:
+        airports = broadcast_if_small(airports.select("airport_code", "airport_key"))
         dep = airports.select(F.col("airport_code").alias("_dep_code"), F.col("airport_key").alias("departure_airport_key"))
         arr = airports.select(F.col("airport_code").alias("_arr_code"), F.col("airport_key").alias("arrival_airport_key"))
         j = (stg.join(dep, stg["departure_airport"] == dep["_dep_code"], "left")

@@ -1,0 +1,31 @@
+"""Size checks behind every broadcast that is not bounded by construction."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BYTES = 10 * 1024 * 1024
+
+
+def estimated_size_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimised plan (file sizes for scans, propagated through
+    filters/projections; upper bound for aggregates).  Planning only, no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_threshold(df: DataFrame) -> int:
+    v = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_MAX_BYTES))
+    try:
+        n = int(str(v).lower().replace("b", "").strip())
+    except ValueError:
+        n = DEFAULT_MAX_BYTES
+    return n if n > 0 else 0
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint only when the estimated size is within ``max_bytes`` (default: the
+    session's broadcast threshold); otherwise the frame is returned unchanged and the planner
+    uses a shuffle join (AQE may still switch at runtime from measured sizes)."""
+    limit = broadcast_threshold(df) if max_bytes is None else max_bytes
+    return F.broadcast(df) if 0 < estimated_size_bytes(df) <= limit else df

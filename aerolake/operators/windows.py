@@ -151,10 +151,17 @@ def slice_windows(df: DataFrame, ts_col: str, anchor: str, n: int, days_back: in
                   width_s: int = 7200, step_s: int = 86400) -> DataFrame:
     """Tag rows falling in n backfill windows [end_i - width, end_i), end_i = anchor - (days_back
     + i) * step, i = 0..n-1.  Windows are disjoint and evenly spaced, so membership is arithmetic
-    on (anchor - ts): a filter, no range join."""
+    on (anchor - ts): a filter, no range join.  The overall span is also stated as a plain range
+    on ``ts`` so the scan can skip row groups / partitions outside it."""
     if width_s > step_s:
         raise ValueError("windows must not overlap (width_s <= step_s)")
+    import datetime as _dt
+    a = _dt.datetime.fromisoformat(anchor)
+    lo = a - _dt.timedelta(seconds=(days_back + n - 1) * step_s + width_s)
+    hi = a - _dt.timedelta(seconds=days_back * step_s)
     anchor_ts = F.lit(anchor).cast("timestamp_ntz")
+    span = (F.col(ts_col) >= F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")) & \
+        (F.col(ts_col) < F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz"))
     delta = F.timestamp_diff("MICROSECOND", F.col(ts_col), anchor_ts)  # anchor - ts, in micros
     step, width = step_s * 1_000_000, width_s * 1_000_000
     # delta in ((days_back + i) * step, (days_back + i) * step + width]
@@ -162,7 +169,7 @@ def slice_windows(df: DataFrame, ts_col: str, anchor: str, n: int, days_back: in
     idx = q - days_back
     inside = (delta > 0) & (idx >= 0) & (idx < n) & ((delta - q * step) <= width)
     end = F.timestamp_add("SECOND", -(F.lit(days_back) + idx) * step_s, anchor_ts)
-    return (df.withColumn("_idx", idx).filter(inside)
+    return (df.filter(span).withColumn("_idx", idx).filter(inside)
             .withColumn("window_no", F.col("_idx").cast("int"))
             .withColumn("window_end", end)
             .withColumn("window_begin", F.timestamp_add("SECOND", F.lit(-width_s), F.col("window_end")))

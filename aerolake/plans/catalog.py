@@ -34,6 +34,19 @@ class Models:
         """Models by name, built on first use (for table-driven checks)."""
         return _ModelMap(self)
 
+    MODEL_NAMES = ("positions_raw", "clean_positions", "stg_positions", "fact_positions", "dim_aircraft",
+                   "dim_dates", "dim_time", "agg_daily_traffic", "agg_hourly_traffic", "agg_altitude_distribution",
+                   "agg_traffic_grid", "agg_aircraft_activity", "flights_raw", "stg_flights", "dim_airports",
+                   "dim_date", "fct_flights")
+
+    def register_views(self, names: tuple[str, ...] | None = None) -> list[str]:
+        """Expose the models as temporary views for ``spark.sql`` (lazy: a view is a plan)."""
+        out = []
+        for n in names or self.MODEL_NAMES:
+            getattr(self, n).createOrReplaceTempView(n)
+            out.append(n)
+        return out
+
     def table(self, name: str, columns: list[str] | None = None) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name, columns)
 

@@ -34,6 +34,7 @@ def rebalance_split_starved(spark: SparkSession, df: DataFrame) -> DataFrame:
     splits = df.rdd.getNumPartitions()
     if splits >= slots:
         return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    from aerolake.operators.sizing import estimated_size_bytes
+    size = estimated_size_bytes(df)
     want = min(slots, size // MIN_BYTES_PER_TASK)
     return df.repartition(int(want)) if want > splits else df

@@ -128,3 +128,22 @@ def test_stage_flights_run_stamp(spark):
     assert r.departure_time == ts("2026-01-03 10:00:00") and r.arrival_time == ts("2026-01-03 11:00:00")
     assert r._loaded_at == ts("2026-01-05 00:00:00")
     assert FL.build_dim_airports(FL.stage_flights(raw)).count() == 1
+
+
+def test_views_and_sql(spark):
+    from aerolake.plans.catalog import Models
+    from tests.conftest import SF_SMALL
+    m = Models(spark, SF_SMALL)
+    m.register_views(("stg_positions", "fact_positions", "dim_dates"))
+    assert {"stg_positions", "fact_positions", "dim_dates"} <= {t.name for t in spark.catalog.listTables()}
+    n = spark.sql("SELECT COUNT(*) AS n FROM fact_positions f LEFT ANTI JOIN dim_dates d ON f.date_key = d.date_key").first().n
+    assert n == 0
+
+
+def test_broadcast_if_small(spark):
+    from aerolake.operators.sizing import broadcast_if_small
+    small = spark.range(10)
+    plan = small.join(broadcast_if_small(small.withColumnRenamed("id", "k")), F.col("id") == F.col("k"))
+    assert "Broadcast" in plan._jdf.queryExecution().executedPlan().toString()
+    big = spark.range(10)
+    assert broadcast_if_small(big, max_bytes=1) is big

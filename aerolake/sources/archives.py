@@ -1,9 +1,14 @@
 """Tar archives of gzipped trace JSON, read in parallel with ``mapInPandas``.
 
-The driver only lists archive paths.  Each task opens its archives as a stream (members are
-read one at a time, never the whole archive), keeps members named ``./traces/*.json``,
-gunzips them and emits (archive, member, doc, error) rows in bounded batches.  A member that
-fails to decompress yields an error row instead of failing the task.
+Two stages, so that one huge archive is not decompressed by a single task:
+
+1. ``list_members``: per archive, walk the tar headers only (``tarfile`` in random-access mode
+   seeks over member data), emitting (archive, member, offset, size) for members named
+   ``./traces/*.json``.
+2. ``read_members``: members are spread round-robin over tasks; each task seeks to its byte
+   ranges, reads and gunzips them.  A member that fails to decompress yields an error row.
+
+The driver only lists archive paths; no archive content passes through it.
 """
 
 from __future__ import annotations
@@ -17,45 +22,69 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MEMBER_PREFIX, MEMBER_SUFFIX = "./traces/", ".json"
+MEMBERS_SCHEMA = "archive string, member string, offset long, size long, error string"
 DOCS_SCHEMA = "archive string, member string, doc string, error string"
 BATCH_ROWS = 512
 
 
 def _open(path: str):
-    """Open a local or Hadoop-compatible path as a binary stream."""
+    """Open a local or Hadoop-compatible path as a seekable binary stream."""
     if "://" in path and not path.startswith("file:"):
         import fsspec  # optional; present on clusters that read object stores from Python
         return fsspec.open(path, "rb").open()
     return open(path.replace("file://", "").replace("file:", ""), "rb")
 
 
-def _read_archives(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _wanted(name: str) -> bool:
+    return name.startswith(MEMBER_PREFIX) and name.endswith(MEMBER_SUFFIX)
+
+
+def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    cols = ["archive", "member", "offset", "size", "error"]
     out: list[tuple] = []
     for pdf in batches:
         for path in pdf["path"]:
             try:
-                fh = _open(path)
+                with _open(path) as fh, tarfile.open(fileobj=fh, mode="r:") as tar:
+                    while (m := tar.next()) is not None:
+                        if m.isfile() and _wanted(m.name):
+                            out.append((path, m.name, m.offset_data, m.size, None))
+                        tar.members = []   # headers only; do not accumulate TarInfo objects
+                        if len(out) >= BATCH_ROWS * 8:
+                            yield pd.DataFrame(out, columns=cols)
+                            out = []
             except Exception as exc:  # noqa: BLE001 - unreadable archive -> one error row
-                out.append((path, None, None, f"{type(exc).__name__}: {exc}"))
-                continue
-            with fh, tarfile.open(fileobj=fh, mode="r|*") as tar:
-                for member in tar:
-                    if not (member.name.startswith(MEMBER_PREFIX) and member.name.endswith(MEMBER_SUFFIX)):
-                        continue
-                    f = tar.extractfile(member)
-                    if f is None:
-                        out.append((path, member.name, None, "not a regular file"))
-                        continue
-                    try:
-                        doc = gzip.decompress(f.read()).decode("utf-8")
-                        out.append((path, member.name, doc, None))
-                    except Exception as exc:  # noqa: BLE001 - corrupt member -> error row
-                        out.append((path, member.name, None, f"{type(exc).__name__}: {exc}"))
-                    if len(out) >= BATCH_ROWS:
-                        yield pd.DataFrame(out, columns=["archive", "member", "doc", "error"])
-                        out = []
+                out.append((path, None, None, None, f"{type(exc).__name__}: {exc}"))
     if out:
-        yield pd.DataFrame(out, columns=["archive", "member", "doc", "error"])
+        yield pd.DataFrame(out, columns=cols)
+
+
+def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    cols = ["archive", "member", "doc", "error"]
+    handles: dict[str, object] = {}
+    out: list[tuple] = []
+    try:
+        for pdf in batches:
+            for archive, member, offset, size, error in pdf.itertuples(index=False):
+                if error is not None or member is None:
+                    out.append((archive, member, None, error))
+                    continue
+                try:
+                    fh = handles.get(archive)
+                    if fh is None:
+                        fh = handles[archive] = _open(archive)
+                    fh.seek(int(offset))
+                    out.append((archive, member, gzip.decompress(fh.read(int(size))).decode("utf-8"), None))
+                except Exception as exc:  # noqa: BLE001 - corrupt member -> error row
+                    out.append((archive, member, None, f"{type(exc).__name__}: {exc}"))
+                if len(out) >= BATCH_ROWS:
+                    yield pd.DataFrame(out, columns=cols)
+                    out = []
+        if out:
+            yield pd.DataFrame(out, columns=cols)
+    finally:
+        for fh in handles.values():
+            fh.close()
 
 
 def list_archives(spark: SparkSession, path: str, pattern: str = "*.tar") -> DataFrame:
@@ -64,13 +93,23 @@ def list_archives(spark: SparkSession, path: str, pattern: str = "*.tar") -> Dat
             .option("recursiveFileLookup", True).load(path).select(F.col("path")))
 
 
-def read_trace_archives(spark: SparkSession, paths: DataFrame | list[str]) -> DataFrame:
-    """(archive, member, doc, error) for every trace member of every archive.  One archive per
-    partition so archives are decompressed in parallel."""
+def list_members(spark: SparkSession, paths: DataFrame | list[str]) -> DataFrame:
+    """(archive, member, offset, size, error) for every trace member; one archive per task,
+    headers only."""
     if isinstance(paths, list):
         paths = spark.createDataFrame([(p,) for p in paths], "path string")
     n = max(1, spark.sparkContext.defaultParallelism)
-    return paths.repartition(n, "path").mapInPandas(_read_archives, DOCS_SCHEMA)
+    return paths.repartition(n, "path").mapInPandas(_list_members, MEMBERS_SCHEMA)
+
+
+def read_trace_archives(spark: SparkSession, paths: DataFrame | list[str]) -> DataFrame:
+    """(archive, member, doc, error) for every trace member of every archive.  Members are
+    spread over tasks independently of the archive they come from, so a hot archive is
+    decompressed by many tasks.  The member list is small (four values per member)."""
+    members = list_members(spark, paths)
+    n = max(1, spark.sparkContext.defaultParallelism)
+    spread = members.repartition(n * 4).sortWithinPartitions("archive", "offset")
+    return spread.mapInPandas(_read_members, DOCS_SCHEMA)
 
 
 def ingest_counters(docs: DataFrame, positions: DataFrame) -> DataFrame:

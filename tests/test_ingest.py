@@ -82,7 +82,13 @@ def test_trace_archives(spark, scratch):
     _tar(path, [("./traces/44/trace_full_3c6444.json", good),
                 ("./traces/45/trace_full_bad.json", b"not gzip"),
                 ("./other/readme.json", good)])
+    _tar(os.path.join(scratch, "b.tar"), [(f"./traces/{i:02d}/trace_full_{i}.json", good) for i in range(40)])
+    with open(os.path.join(scratch, "c.tar"), "wb") as f:
+        f.write(b"this is not a tar archive")
     docs = AR.read_trace_archives(spark, AR.list_archives(spark, scratch))
+    assert docs.filter(F.col("archive").endswith("b.tar")).filter("error IS NULL").count() == 40
+    assert docs.filter(F.col("archive").endswith("c.tar") & F.col("error").isNotNull()).count() == 1
+    docs = docs.filter(F.col("archive").endswith("a.tar"))
     rows = docs.orderBy("member").collect()
     assert [(r.member, r.doc is not None, r.error is not None) for r in rows] == [
         ("./traces/44/trace_full_3c6444.json", True, False), ("./traces/45/trace_full_bad.json", False, True)]

@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from aerolake.operators import profile as PR
 from aerolake.operators import quality as DQ
 from aerolake.plans import analyses as Q
+from aerolake.operators import positions as P
 from aerolake.operators import shaping as SH
+from aerolake.schemas import EVENTS
+from aerolake.sources import files as FI
+from aerolake.sources.tables import table_path
 from aerolake.plans.catalog import RUN_STAMP, Models
 from aerolake.sources import fixtures as FX
 from aerolake.plans.oracle import PCT, R, model, with_ctes
@@ -324,27 +328,23 @@ register("shp_states", _shp_states, """
                  CASE WHEN event_type = 'error' THEN NULL ELSE round(value * 100) END AS alt
           FROM events)
     WHERE event_id % 71 <> 0 AND event_id % 73 <> 0 AND event_id % 97 <> 0""")
-register("shp_trace", _shp_trace, """
-    SELECT 'ac' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS icao24,
-           'R-' || CAST(user_id AS VARCHAR) AS registration,
-           'T' || CAST(user_id % 7 AS VARCHAR) AS aircraft_type,
-           'Type ' || CAST(user_id % 7 AS VARCHAR) AS description,
-           base + off AS event_timestamp,
-           make_timestamp(CAST(round((base + off) * 1000000) AS BIGINT)) AS event_datetime,
-           ((event_id * 37) % 19000) / 100 - 95.0 AS latitude,
-           ((event_id * 53) % 37000) / 100 - 185.0 AS longitude,
-           CASE WHEN event_type = 'signup' THEN NULL ELSE round(value * 100) END AS altitude_ft,
-           CASE WHEN event_id % 6 = 0 THEN NULL ELSE CAST(event_id % 4 AS INTEGER) END AS on_ground,
-           CASE WHEN event_id % 6 = 0 OR event_id % 3 = 0 THEN NULL ELSE 'CS' || CAST(event_id % 40 AS VARCHAR) END
-             AS callsign,
-           CASE WHEN event_id % 6 = 0 OR event_id % 3 = 0 THEN NULL ELSE lpad(CAST(event_id % 7777 AS VARCHAR), 4, '0') END
-             AS squawk,
-           'adsb.lol' AS source
-    FROM (SELECT *, CAST(epoch_us(CAST(CAST(ts AS DATE) AS TIMESTAMP)) // 1000000 AS DOUBLE) AS base,
-                 CAST((epoch_us(ts) - epoch_us(CAST(CAST(ts AS DATE) AS TIMESTAMP))) // 1000 AS DOUBLE)
-                   / CAST(1000.0 AS DOUBLE) AS off
-          FROM events)
-    WHERE event_id % 89 <> 0 AND event_id % 83 <> 0 AND event_id % 101 <> 0""")
+register("shp_trace", _shp_trace, with_ctes("SELECT * FROM trace_raw", "trace_raw"))
+
+
+
+def _clean_traces(m: Models) -> DataFrame:
+    return P.clean_positions(_shp_trace(m))
+
+
+register("clean_traces", _clean_traces, with_ctes("SELECT * FROM trace_clean", "trace_clean"))
+
+
+def _src_positions_parquet(m: Models) -> DataFrame:
+    return FI.read_parquet(m.spark, table_path(m.sf_dir, "events"), EVENTS)
+
+
+register("src_positions_parquet", _src_positions_parquet,
+         "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -94,3 +94,13 @@ FLIGHTS_RAW = T.StructType([
     T.StructField("estarrivalairporthorizdistance", T.DoubleType()),
     T.StructField("processed_at", T.TimestampNTZType()),
 ])
+
+# The driver's events table, read as plain Parquet positions input.
+EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+])

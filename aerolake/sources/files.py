@@ -37,6 +37,12 @@ def read_positions_parquet(spark: SparkSession, path: str, schema: T.StructType
     return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Plain Parquet with a declared schema: columns are read by name as the declared types
+    (compatible widening only), so per-file type drift cannot change the table's schema."""
+    return spark.read.schema(schema).parquet(path)
+
+
 # One flight record of the REST API (camelCase, as delivered).
 FLIGHT_RECORD = T.StructType([
     T.StructField("icao24", T.StringType()),

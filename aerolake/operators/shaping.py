@@ -21,8 +21,10 @@ MIN_POINT_FIELDS = 4        # offset, lat, lon, altitude
 def flatten_states(raw_states: DataFrame, run_ts) -> DataFrame:
     """One row per state vector: explode (NULL/empty snapshots vanish), 17 positional fields,
     trimmed callsign, NULL key dropped, exact duplicates removed, then the run stamp."""
+    # explode_outer + a filter on the generated column: plain explode makes Catalyst infer
+    # "states IS NOT NULL AND size(states) > 0" and push it below the source projection.
     exploded = raw_states.select(F.col("time").cast("long").alias("snapshot_time"),
-                                 F.explode("states").alias("state"))
+                                 F.explode_outer("states").alias("state")).filter(F.col("state").isNotNull())
     cols = []
     for i, (name, typ) in enumerate(STATE_FIELDS):
         v = F.get(F.col("state"), i)
@@ -45,13 +47,15 @@ def flatten_traces(raw_traces: DataFrame, source: str = TRACE_SOURCE) -> DataFra
     base + offset seconds; metadata object at index 8 gives flight (whitespace-stripped) and
     squawk; index 6 is the flag kept as ``on_ground``.
     """
-    hdr = raw_traces.filter(F.col("icao").isNotNull() & (F.col("icao") != "") & F.col("timestamp").isNotNull())
-    pts = hdr.select("icao", "r", "t", "desc", F.col("timestamp").cast("double").alias("base"),
-                     F.explode("trace").alias("p"))
+    # The header guard is part of the explode input rather than a Filter: a Filter would be
+    # pushed below the JSON parse of the documents and make the parser run twice.
+    header_ok = F.col("icao").isNotNull() & (F.col("icao") != "") & F.col("timestamp").isNotNull()
+    pts = raw_traces.select("icao", "r", "t", "desc", F.col("timestamp").cast("double").alias("base"),
+                            F.explode_outer(F.when(header_ok, F.col("trace"))).alias("p"))
     offset = F.get("p", 0).try_cast("double")
     lat = F.get("p", 1).try_cast("double")
     lon = F.get("p", 2).try_cast("double")
-    pts = pts.filter((F.size("p") >= MIN_POINT_FIELDS) & offset.isNotNull() & lat.isNotNull() & lon.isNotNull())
+    pts = pts.filter(F.col("p").isNotNull() & (F.size("p") >= MIN_POINT_FIELDS) & offset.isNotNull() & lat.isNotNull() & lon.isNotNull())
     meta = F.from_json(F.get("p", 8), POINT_META)
     ev_ts = F.col("base") + offset
     flight = meta.getField("flight")

@@ -3,11 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields])
+
+
+_L, _I, _D, _S, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
+# Declared schemas of the driver tables this library reads (no footer-reading job per read).
+TABLE_SCHEMAS = {
+    "events": _schema(("event_id", _L), ("ts", _TS), ("user_id", _L), ("event_type", _S), ("value", _D),
+                      ("props", _S)),
+    "orders": _schema(("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S), ("o_totalprice", _D),
+                      ("o_orderdate", _TS), ("o_orderpriority", _S)),
+    "lineitem": _schema(("l_orderkey", _L), ("l_partkey", _L), ("l_suppkey", _L), ("l_linenumber", _I),
+                        ("l_quantity", _D), ("l_extendedprice", _D), ("l_discount", _D), ("l_tax", _D),
+                        ("l_returnflag", _S), ("l_linestatus", _S), ("l_shipdate", _TS)),
+    "customer": _schema(("c_custkey", _L), ("c_name", _S), ("c_nationkey", _I), ("c_acctbal", _D),
+                        ("c_mktsegment", _S)),
+    "supplier": _schema(("s_suppkey", _L), ("s_name", _S), ("s_nationkey", _I), ("s_acctbal", _D)),
+    "nation": _schema(("n_nationkey", _I), ("n_name", _S), ("n_regionkey", _I)),
+}
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -20,21 +42,32 @@ MIN_BYTES_PER_TASK = 256 * 1024
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
                rebalance: bool = True) -> DataFrame:
     """Read one table; selecting columns up front keeps the scan's ReadSchema narrow."""
-    df = spark.read.parquet(table_path(sf_dir, name))
+    schema = TABLE_SCHEMAS.get(name)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(table_path(sf_dir, name))
     df = df.select(*columns) if columns else df
     return rebalance_split_starved(spark, df) if rebalance else df
 
 
 def rebalance_split_starved(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer input splits than the cluster has task slots (e.g. a large
-    file written as one row group) with a round-robin exchange, so the per-row work after the
-    scan is not serialised in one task.  Scans that already have enough splits (the normal
-    case for large tables) and small tables are returned unchanged.  Planning only, no job."""
+    """Spread a scan that yields fewer input splits than the cluster has task slots (a table
+    below ``maxPartitionBytes`` x slots, or one large row group) with a round-robin exchange, so
+    the per-row work after the scan is not serialised in a few tasks.  Large tables, which
+    already split into more tasks than there are slots, and small tables are left unchanged.
+    Uses the optimizer's size estimate only (no job, no physical planning)."""
+    from aerolake.operators.sizing import estimated_size_bytes
     slots = spark.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
+    size = estimated_size_bytes(df)
+    max_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728"))
+    splits = max(1, -(-size // max_split))
     if splits >= slots:
         return df
-    from aerolake.operators.sizing import estimated_size_bytes
-    size = estimated_size_bytes(df)
     want = min(slots, size // MIN_BYTES_PER_TASK)
     return df.repartition(int(want)) if want > splits else df
+
+
+def _bytes(v: str) -> int:
+    v = str(v).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    v = v[:-1] if v.endswith("b") else v
+    return int(float(v[:-1]) * units[v[-1]]) if v and v[-1] in units else int(v)

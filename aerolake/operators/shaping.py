@@ -69,7 +69,7 @@ def flatten_traces(raw_traces: DataFrame, source: str = TRACE_SOURCE) -> DataFra
         lat.alias("latitude"),
         lon.alias("longitude"),
         F.get("p", 3).try_cast("double").alias("altitude_ft"),
-        F.get("p", 6).try_cast("int").alias("on_ground"),
+        F.get("p", 6).try_cast("double").try_cast("int").alias("on_ground"),
         F.when(flight.isNotNull() & (flight != ""), strip_ws(flight)).otherwise(flight).alias("callsign"),
         meta.getField("squawk").alias("squawk"),
         F.lit(source).alias("source"),

@@ -53,6 +53,9 @@ def lag_across_buckets(df: DataFrame, key: str, ts: str, out: str, order_tiebrea
     Rows are windowed per (key, bucket), bucket = hour of ``ts`` by default; the first row of a
     bucket takes the last ``ts`` of the key's previous non-empty bucket from a small
     (key, bucket) summary.  The summary join reuses the window's hash partitioning.
+
+    Bound: on positions de-duplicated by (aircraft, whole epoch second) an (aircraft, hour)
+    bucket holds at most 3,600 rows, however many rows one aircraft has overall.
     """
     bucket = hour_index(ts) if bucket is None else bucket
     order = [F.col(ts).asc(), *(order_tiebreak or [])]

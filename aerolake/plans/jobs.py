@@ -61,23 +61,32 @@ def run_positions(spark: SparkSession, raw: DataFrame, warehouse: str, files_per
 
 def run_flights(spark: SparkSession, raw_flights: DataFrame, warehouse: str, loaded_at: str,
                 calendar: tuple[str, str] = ("2026-01-01", "2027-01-01"), incremental: bool = True) -> dict:
-    """flights -> staging -> airports, calendar -> fct_flights (keyed incremental merge)."""
+    """flights -> staging -> airports, calendar -> fct_flights.
+
+    Full mode builds the fact from all staged rows.  Incremental mode builds it from this
+    run's batch only (rows stamped with this ``loaded_at``), replaces matching
+    (aircraft, departure) keys of the current version, adds new keys, and recomputes the duration
+    rank for the departure airports the batch touched; untouched airports are not re-read for
+    ranking.  The result is committed as a new version folder.
+    """
     wh = warehouse.rstrip("/")
-    stg_o, stg_obs = _observed(FL.stage_flights(raw_flights, loaded_at=loaded_at), "stg")
-    write_parquet(stg_o, f"{wh}/flights_stg", mode="append" if incremental else "overwrite")
+    batch_stg, stg_obs = _observed(FL.stage_flights(raw_flights, loaded_at=loaded_at), "stg")
+    current = INC.read_latest(spark, f"{wh}/fct_flights") if incremental else None
+    write_parquet(batch_stg, f"{wh}/flights_stg", mode="append" if current is not None else "overwrite")
     stg = spark.read.parquet(f"{wh}/flights_stg")
     write_parquet(FL.build_dim_airports(stg), f"{wh}/dim_airports")
     cal = FL.build_dim_date(spark, *calendar)
     write_parquet(cal, f"{wh}/dim_date")
-    fct_new = FL.build_fct_flights(stg, cal, FL._calendar_bound_days(*calendar))
-    current = INC.read_latest(spark, f"{wh}/fct_flights")
-    if current is None or not incremental:
-        merged = fct_new
+    days = FL._calendar_bound_days(*calendar)
+    if current is None:
+        merged = FL.build_fct_flights(stg, cal, days)
     else:
+        batch = stg.filter(F.col("_loaded_at") == F.lit(loaded_at).cast("timestamp_ntz"))
+        fct_batch = FL.build_fct_flights(batch, cal, days)
         keys = ["aircraft_id", "departure_time"]
-        merged = INC.upsert_by_key(current, fct_new, keys, "_loaded_at")
-        merged = INC.rerank_touched(merged, INC.newer_than_target(current, fct_new, "_loaded_at"),
-                                    "departure_airport_key", "flight_duration_minutes", "duration_rank_from_airport")
+        merged = INC.upsert_by_key(current, fct_batch, keys, "_loaded_at")
+        merged = INC.rerank_touched(merged, fct_batch, "departure_airport_key", "flight_duration_minutes",
+                                    "duration_rank_from_airport")
     path = INC.commit_version(spark, merged, f"{wh}/fct_flights")
     return {"stg_rows": stg_obs.get["rows"], "fct_path": path}
 

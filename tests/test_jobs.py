@@ -31,3 +31,25 @@ def test_positions_and_flights_jobs(spark, scratch):
     q = {(r.test, r.model, r.column_name): r.failing_rows for r in jobs.run_quality(spark, wh).collect()}
     assert q[("unique", "fact_positions", "position_key")] == 0
     assert q[("relationships", "fact_positions", "date_key")] == 0
+
+
+def test_flights_incremental_late_arrival(spark, scratch):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from aerolake.schemas import FLIGHTS_RAW
+    wh = os.path.join(scratch, "wh2")
+    L = dt.datetime(2026, 1, 4)
+    t = lambda s: int(dt.datetime.fromisoformat(s).replace(tzinfo=dt.timezone.utc).timestamp())
+    first = [("a1", "F1", "AP01", "AP02", t("2026-01-03 10:00:00"), t("2026-01-03 12:00:00"), 1.0, 1.0, L),
+             ("a2", "F2", "AP01", "AP02", t("2026-01-03 10:00:00"), t("2026-01-03 11:00:00"), 1.0, 1.0, L)]
+    jobs.run_flights(spark, spark.createDataFrame(first, FLIGHTS_RAW), wh, "2026-01-05 00:00:00")
+    # a later delivery changes a2's arrival (now the longest flight) and adds a3 elsewhere
+    second = [("a2", "F2", "AP01", "AP02", t("2026-01-03 10:00:00"), t("2026-01-03 15:00:00"), 1.0, 1.0, L),
+              ("a3", "F3", "AP03", "AP02", t("2026-01-03 10:00:00"), t("2026-01-03 10:30:00"), 1.0, 1.0, L)]
+    out = jobs.run_flights(spark, spark.createDataFrame(second, FLIGHTS_RAW), wh, "2026-01-06 00:00:00")
+    fct = {r.aircraft_id: r for r in spark.read.parquet(out["fct_path"]).collect()}
+    assert set(fct) == {"a1", "a2", "a3"}
+    assert fct["a2"].flight_duration_minutes == 300 and str(fct["a2"]._loaded_at) == "2026-01-06 00:00:00"
+    assert (fct["a2"].duration_rank_from_airport, fct["a1"].duration_rank_from_airport) == (1, 2)
+    assert fct["a3"].duration_rank_from_airport == 1
+    assert spark.read.parquet(os.path.join(wh, "flights_stg")).count() == 4

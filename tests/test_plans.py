@@ -1,0 +1,64 @@
+"""Physical-plan properties that must hold at any scale (checked on the static plan)."""
+
+import os
+import re
+
+import pytest
+
+import __spark_entry__ as E
+from tests.conftest import SF_SMALL
+
+QUERIES = E.queries()
+# Models and row-level operators: no step may funnel all rows through one partition.
+NO_SINGLE_PARTITION = [
+    "clean_positions", "stg_positions", "fact_positions", "dim_aircraft", "dim_dates", "agg_daily_traffic",
+    "agg_hourly_traffic", "agg_altitude_distribution", "agg_traffic_grid", "agg_aircraft_activity",
+    "stg_flights", "dim_airports", "fct_flights", "sessions", "shp_states", "shp_trace", "clean_traces",
+    "slice_windows", "dq_long_flights",
+]
+
+
+def _plan(spark, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_in_query_plans(spark, name):
+    plan = _plan(spark, name)
+    assert not re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|MapInPandas|FlatMapGroupsInPandas", plan)
+
+
+@pytest.mark.parametrize("name", NO_SINGLE_PARTITION)
+def test_no_single_partition_exchange(spark, name):
+    assert "SinglePartition" not in _plan(spark, name)
+
+
+@pytest.mark.parametrize("name", ["clean_positions", "dim_aircraft", "fct_flights"])
+def test_top1_dedup_limits_before_shuffle(spark, name):
+    plan = _plan(spark, name)
+    # a WindowGroupLimit below the exchange (partial) and one above it (final)
+    assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_slice_span_reaches_scan(spark):
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts,", _plan(spark, "slice_windows"))
+
+
+def test_scans_are_column_pruned(spark):
+    plan = _plan(spark, "q02_05_top_airports")
+    for schema in re.findall(r"ReadSchema: struct<([^>]*)>", plan):
+        assert len(schema.split(",")) <= 4, schema
+
+
+def test_library_code_never_pulls_rows_to_the_driver():
+    root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "aerolake")
+    for dirpath, _, files in os.walk(root):
+        for f in files:
+            if f.endswith(".py"):
+                src = open(os.path.join(dirpath, f)).read()
+                assert not re.search(r"\.(collect|toPandas|toLocalIterator)\(", src), f
+                assert "localCheckpoint" not in src, f

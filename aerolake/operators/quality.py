@@ -4,8 +4,9 @@ summary form; ``run_checks`` evaluates many checks with as few passes as possibl
 * row-level checks (not_null, accepted_range, accepted_values) of one model are folded into a
   single aggregate with one ``count_if`` per check, then unpivoted;
 * ``unique`` is a partial+final aggregate on the key, counting keys seen more than once;
-* ``relationships`` reduces the child to its distinct non-NULL keys (with row counts) before the
-  anti join, so the join sides are bounded by the number of keys, not rows.
+* ``relationships`` checks of one child are evaluated in one pass: the checked columns are
+  unpivoted, reduced to distinct non-NULL keys with row counts, then anti-joined with the
+  parents' keys, so the join sides are bounded by the number of keys, not rows.
 """
 
 from __future__ import annotations
@@ -76,29 +77,50 @@ def _row_level_summary(model: str, df: DataFrame, checks: Sequence[Check]) -> Da
                        F.col("failing_rows").cast("long").alias("failing_rows"))
 
 
-def _keyed_summary(c: Check, models: Mapping[str, DataFrame]) -> DataFrame:
-    df = models[c.model]
-    if c.kind == "unique":
-        bad = failing_rows(c, models).agg(F.count(F.lit(1)).alias("failing_rows"))
-    else:  # relationships: rows of the child whose key has no parent
-        keys = df.filter(F.col(c.column).isNotNull()).groupBy(c.column).agg(F.count(F.lit(1)).alias("_n"))
-        parent = models[c.to_model].select(F.col(c.to_column).alias(c.column)).distinct()
-        bad = keys.join(parent, c.column, "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failing_rows"))
+def _unique_summary(c: Check, models: Mapping[str, DataFrame]) -> DataFrame:
+    bad = failing_rows(c, models).agg(F.count(F.lit(1)).alias("failing_rows"))
     return bad.select(F.lit(c.kind).alias("test"), F.lit(c.model).alias("model"),
                       F.lit(c.column).alias("column_name"), F.col("failing_rows").cast("long"))
 
 
+def _relationships_summary(model: str, checks: Sequence[Check], models: Mapping[str, DataFrame]) -> DataFrame:
+    """All relationship checks of one child model in one pass over it: the checked columns are
+    unpivoted to (column_name, key), counted per distinct key (partial aggregation), and
+    anti-joined with the parents' distinct keys tagged by the same column name."""
+    child = models[model]
+    pairs = F.explode(F.array(*[F.struct(F.lit(c.column).alias("column_name"),
+                                         F.col(c.column).cast("string").alias("key")) for c in checks]))
+    keys = (child.select(pairs.alias("p")).select("p.column_name", "p.key")
+            .filter(F.col("key").isNotNull()).groupBy("column_name", "key").agg(F.count(F.lit(1)).alias("_n")))
+    parents = None
+    for c in checks:
+        pk = models[c.to_model].select(F.lit(c.column).alias("column_name"),
+                                       F.col(c.to_column).cast("string").alias("key"))
+        parents = pk if parents is None else parents.unionByName(pk)
+    orphans = keys.join(parents.distinct(), ["column_name", "key"], "left_anti") \
+        .groupBy("column_name").agg(F.sum("_n").alias("_bad"))
+    names = child.sparkSession.createDataFrame([(c.column,) for c in checks], "column_name string")
+    return names.join(orphans, "column_name", "left").select(
+        F.lit("relationships").alias("test"), F.lit(model).alias("model"), "column_name",
+        F.coalesce(F.col("_bad"), F.lit(0)).cast("long").alias("failing_rows"))
+
+
 def run_checks(checks: Sequence[Check], models: Mapping[str, DataFrame]) -> DataFrame:
     """One summary row per check: (test, model, column_name, failing_rows)."""
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
+    rel_by_model: dict[str, list[Check]] = {}
     for c in checks:
         if c.kind in ROW_LEVEL:
             by_model.setdefault(c.model, []).append(c)
+        elif c.kind == "relationships":
+            rel_by_model.setdefault(c.model, []).append(c)
         else:
-            parts.append(_keyed_summary(c, models))
+            parts.append(_unique_summary(c, models))
     for model, cs in by_model.items():
         parts.append(_row_level_summary(model, models[model], cs))
+    for model, cs in rel_by_model.items():
+        parts.append(_relationships_summary(model, cs, models))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

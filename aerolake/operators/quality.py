@@ -32,7 +32,7 @@ class Check:
 
 
 def _violates(c: Check) -> F.Column:
-    """Predicate true on a failing row.  NULLs pass range and values checks (as in dbt)."""
+    """Predicate true on a failing row.  NULLs pass range and values checks."""
     col = F.col(c.column)
     if c.kind == "not_null":
         return col.isNull()

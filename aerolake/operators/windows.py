@@ -6,7 +6,7 @@
   bucket boundaries patched from a per-bucket summary; a hot key is split by time.
 * ``running_count_across_buckets``: prefix count of a flag with the same two-level scheme.
 * ``share_of_total`` / ``running_share`` / ``day_over_day`` / ``rank_top_k``: operate on an
-  already aggregated (bounded) frame, as the reference queries do.
+  already aggregated (bounded) frame.
 """
 
 from __future__ import annotations

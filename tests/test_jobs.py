@@ -53,3 +53,14 @@ def test_flights_incremental_late_arrival(spark, scratch):
     assert (fct["a2"].duration_rank_from_airport, fct["a1"].duration_rank_from_airport) == (1, 2)
     assert fct["a3"].duration_rank_from_airport == 1
     assert spark.read.parquet(os.path.join(wh, "flights_stg")).count() == 4
+
+
+def test_cli_pipeline(spark, scratch):
+    from aerolake.__main__ import main
+    wh = os.path.join(scratch, "wh_cli")
+    out = main(["--warehouse", wh, "--tables", SF_SMALL, "--run-ts", "2026-01-01 00:00:00"])
+    assert out["positions"]["clean_rows"] > 0 and out["flights"]["fct_path"].endswith("version=000001")
+    res = spark.read.parquet(out["quality_results"]).filter("failing_rows > 0")
+    failing = {(r.test, r.model, r.column_name) for r in res.collect()}
+    assert ("accepted_range", "stg_flights", "departure_horiz_distance_m") in failing
+    assert out["failing_checks"] == len(failing)

@@ -47,7 +47,7 @@ def rank_desc(df: DataFrame, partition_cols: list[str], value_col: str, out: str
 
 
 def lag_across_buckets(df: DataFrame, key: str, ts: str, out: str, order_tiebreak: list | None = None,
-                       bucket=None) -> DataFrame:
+                       bucket=None, bucket_col: str | None = None) -> DataFrame:
     """Add LAG(ts) OVER (PARTITION BY key ORDER BY ts) without a per-key window.
 
     Rows are windowed per (key, bucket), bucket = hour of ``ts`` by default; the first row of a
@@ -57,35 +57,38 @@ def lag_across_buckets(df: DataFrame, key: str, ts: str, out: str, order_tiebrea
     Bound: on positions de-duplicated by (aircraft, whole epoch second) an (aircraft, hour)
     bucket holds at most 3,600 rows, however many rows one aircraft has overall.
     """
-    bucket = hour_index(ts) if bucket is None else bucket
+    bc = bucket_col or "_bucket"
+    b = df if bucket_col else df.withColumn(bc, hour_index(ts) if bucket is None else bucket)
     order = [F.col(ts).asc(), *(order_tiebreak or [])]
-    b = df.withColumn("_bucket", bucket)
-    inner = b.withColumn("_lag_in", F.lag(ts).over(Window.partitionBy(key, "_bucket").orderBy(*order)))
-    last = b.groupBy(key, "_bucket").agg(F.max(ts).alias("_last"))
+    inner = b.withColumn("_lag_in", F.lag(ts).over(Window.partitionBy(key, bc).orderBy(*order)))
+    last = b.groupBy(key, bc).agg(F.max(ts).alias("_last"))
     carry = last.select(
-        F.col(key).alias("_k"), F.col("_bucket").alias("_b"),
-        F.lag("_last").over(Window.partitionBy(key).orderBy("_bucket")).alias("_carry"))
-    j = inner.join(carry, (inner[key] == carry["_k"]) & (inner["_bucket"] == carry["_b"]), "left")
-    return j.withColumn(out, F.coalesce("_lag_in", "_carry")).drop("_lag_in", "_carry", "_k", "_b", "_bucket")
+        F.col(key).alias("_k"), F.col(bc).alias("_b"),
+        F.lag("_last").over(Window.partitionBy(key).orderBy(bc)).alias("_carry"))
+    j = inner.join(carry, (inner[key] == carry["_k"]) & (inner[bc] == carry["_b"]), "left")
+    j = j.withColumn(out, F.coalesce("_lag_in", "_carry")).drop("_lag_in", "_carry", "_k", "_b")
+    return j if bucket_col else j.drop(bc)
 
 
 def running_count_across_buckets(df: DataFrame, key: str, ts: str, flag: str, out: str,
-                                 order_tiebreak: list | None = None, bucket=None) -> DataFrame:
+                                 order_tiebreak: list | None = None, bucket=None,
+                                 bucket_col: str | None = None) -> DataFrame:
     """Add SUM(flag) OVER (PARTITION BY key ORDER BY ts ROWS UNBOUNDED PRECEDING) as a
-    bucket-local prefix sum plus the key's total of all earlier buckets."""
-    bucket = hour_index(ts) if bucket is None else bucket
+    bucket-local prefix sum plus the key's total of all earlier buckets.  Pass ``bucket_col``
+    to reuse a bucket column (and the (key, bucket) partitioning) of an earlier step."""
+    bc = bucket_col or "_bucket"
+    b = df if bucket_col else df.withColumn(bc, hour_index(ts) if bucket is None else bucket)
     order = [F.col(ts).asc(), *(order_tiebreak or [])]
-    b = df.withColumn("_bucket", bucket)
     inner = b.withColumn("_run_in", F.sum(F.col(flag).cast("long")).over(
-        Window.partitionBy(key, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
-    per_bucket = b.groupBy(key, "_bucket").agg(F.sum(F.col(flag).cast("long")).alias("_n"))
+        Window.partitionBy(key, bc).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    per_bucket = b.groupBy(key, bc).agg(F.sum(F.col(flag).cast("long")).alias("_n"))
     before = per_bucket.select(
-        F.col(key).alias("_k"), F.col("_bucket").alias("_b"),
-        F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy("_bucket")
+        F.col(key).alias("_k"), F.col(bc).alias("_b"),
+        F.coalesce(F.sum("_n").over(Window.partitionBy(key).orderBy(bc)
                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
-    j = inner.join(before, (inner[key] == before["_k"]) & (inner["_bucket"] == before["_b"]), "left")
-    return j.withColumn(out, (F.col("_run_in") + F.col("_offset")).cast("long")) \
-        .drop("_run_in", "_offset", "_k", "_b", "_bucket")
+    j = inner.join(before, (inner[key] == before["_k"]) & (inner[bc] == before["_b"]), "left")
+    j = j.withColumn(out, (F.col("_run_in") + F.col("_offset")).cast("long")).drop("_run_in", "_offset", "_k", "_b")
+    return j if bucket_col else j.drop(bc)
 
 
 def detect_gaps(positions: DataFrame, key: str = "icao24", ts: str = "event_datetime",
@@ -103,11 +106,11 @@ def sessions(positions: DataFrame, key: str = "icao24", ts: str = "event_datetim
              minutes: int = 30) -> DataFrame:
     """One row per flight session: a new session starts at the first position of a key and
     whenever the boundary-minute gap exceeds ``minutes``."""
-    p = positions.select(key, ts)
-    lagged = lag_across_buckets(p, key, ts, "_prev")
+    p = positions.select(key, ts).withColumn("_bucket", hour_index(ts))
+    lagged = lag_across_buckets(p, key, ts, "_prev", bucket_col="_bucket")
     flagged = lagged.withColumn(
         "_new", (F.col("_prev").isNull() | (boundary_minutes("_prev", ts) > minutes)).cast("int"))
-    numbered = running_count_across_buckets(flagged, key, ts, "_new", "session_no")
+    numbered = running_count_across_buckets(flagged, key, ts, "_new", "session_no", bucket_col="_bucket")
     return numbered.groupBy(key, "session_no").agg(
         F.min(ts).alias("session_start"),
         F.max(ts).alias("session_end"),

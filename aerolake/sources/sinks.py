@@ -15,13 +15,18 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], files
                       mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
     """Write Parquet partitioned by ``partition_cols``.
 
-    Rows are hash-distributed on (partition columns, a salt in [0, files_per_partition)), so one
-    busy date is written by several tasks rather than one, and each task writes one file per
-    partition value it holds.  With ``partitionOverwriteMode=dynamic`` (set by the session) an
-    overwrite replaces only the dates present in ``df``: re-running a day is idempotent.
+    With AQE on, a ``REBALANCE(partition_cols)`` hint hashes rows on the partition columns and
+    lets AQE split a large partition value (a busy date) into advisory-size tasks and merge
+    small ones, so file sizes follow the data, not a fixed fan-out.  Without AQE the rows are
+    hash-distributed on (partition columns, salt in [0, files_per_partition)).  With
+    ``partitionOverwriteMode=dynamic`` (set by the session) an overwrite replaces only the
+    partition values present in ``df``: re-running a day is idempotent.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-    spread = df.repartition(*[F.col(c) for c in partition_cols], salt)
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
+        spread = df.hint("rebalance", *partition_cols)
+    else:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+        spread = df.repartition(*[F.col(c) for c in partition_cols], salt)
     (spread.sortWithinPartitions(*partition_cols).write.mode(mode)
      .option("maxRecordsPerFile", max_records_per_file).partitionBy(*partition_cols).parquet(path))
 

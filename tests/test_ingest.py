@@ -171,3 +171,21 @@ def test_raw_partitioned_paths(spark, scratch):
     out = os.path.join(scratch, "rawp")
     SK.write_raw_partitioned(df, out, "ts")
     assert os.path.isdir(os.path.join(out, "year=2026", "month=09", "day=16"))
+
+
+def test_partitioned_write_splits_a_busy_date(spark, scratch):
+    import datetime as dt
+    rows = [(i, dt.date(2024, 1, 1) if i % 10 else dt.date(2024, 1, 2)) for i in range(20000)]
+    df = spark.createDataFrame(rows, "id long, event_date date")
+    out = os.path.join(scratch, "busy")
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+        SK.write_partitioned(df, out, ["event_date"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+    busy = [f for f in os.listdir(os.path.join(out, "event_date=2024-01-01")) if f.endswith(".parquet")]
+    assert len(busy) > 1
+    assert spark.read.parquet(out).count() == 20000

@@ -64,3 +64,48 @@ def test_cli_pipeline(spark, scratch):
     failing = {(r.test, r.model, r.column_name) for r in res.collect()}
     assert ("accepted_range", "stg_flights", "departure_horiz_distance_m") in failing
     assert out["failing_checks"] == len(failing)
+
+
+def test_cli_file_sources(spark, scratch):
+    import gzip
+    import io
+    import json
+    import tarfile
+    from aerolake.__main__ import main
+    base = 1767398400.0  # 2026-01-03 00:00:00 UTC
+    doc = {"icao": "3c6444", "r": "D-AIBL", "t": "A319", "desc": "AIRBUS A-319", "timestamp": base,
+           "trace": [[60.0, 50.0, 8.5, 1200, 0, 0, 0, 0, {"flight": "DLH4 ", "squawk": "1000"}],
+                     [7200.0, 50.5, 8.9, 36000, 0, 0, 0, 0, None]]}
+    tj = os.path.join(scratch, "tj")
+    os.makedirs(tj)
+    with open(os.path.join(tj, "a.json"), "w") as f:
+        json.dump(doc, f)
+    ta = os.path.join(scratch, "ta")
+    os.makedirs(ta)
+    payload = gzip.compress(json.dumps(dict(doc, icao="4ca123")).encode())
+    with tarfile.open(os.path.join(ta, "day.tar"), "w") as tar:
+        for name, data in (("./traces/23/trace_full_4ca123.json", payload), ("./traces/24/bad.json", b"xx")):
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+    sj = os.path.join(scratch, "sj")
+    os.makedirs(sj)
+    with open(os.path.join(sj, "s.json"), "w") as f:
+        json.dump({"time": 1767398400, "states": [["3c6444", "DLH4 ", "Germany", 1767398400, 1767398400, 8.5, 50.0,
+                                                     365.8, False, 120.0, 90.0, 0.0, None, 380.0, "1000", False, 0]]}, f)
+    fb = os.path.join(scratch, "fb")
+    os.makedirs(fb)
+    with open(os.path.join(fb, "flights_batch_1767398400_1_1.json"), "w") as f:
+        json.dump([{"icao24": "3c6444", "firstSeen": 1767398460, "estDepartureAirport": "EDDF",
+                    "lastSeen": 1767405600, "estArrivalAirport": "EDDM", "callsign": "DLH4    ",
+                    "estDepartureAirportHorizDistance": 900.0, "estArrivalAirportHorizDistance": 1200.0}], f)
+    wh = os.path.join(scratch, "wh_files")
+    out = main(["--warehouse", wh, "--trace-json", tj, "--trace-archives", ta, "--states-json", sj,
+                "--flight-batches", fb, "--run-ts", "2026-01-04 00:00:00"])
+    assert out["positions"]["clean_rows"] == 4
+    assert spark.read.parquet(os.path.join(wh, "quarantine", "trace_members")).count() == 1
+    assert spark.read.parquet(os.path.join(wh, "states")).first().callsign == "DLH4"
+    fct = spark.read.parquet(out["flights"]["fct_path"]).first()
+    assert fct.flight_duration_minutes == 119 and fct.departure_airport_key is not None
+    aggs = spark.read.parquet(os.path.join(wh, "agg_daily_traffic")).first()
+    assert (aggs.position_count, aggs.unique_aircraft) == (4, 2)

@@ -180,3 +180,10 @@ def slice_windows(df: DataFrame, ts_col: str, anchor: str, n: int, days_back: in
             .withColumn("window_end", end)
             .withColumn("window_begin", F.timestamp_add("SECOND", F.lit(-width_s), F.col("window_end")))
             .drop("_idx"))
+
+
+def pick_days_back(seed: int, lo: int = 1, hi: int = 60) -> int:
+    """Start offset (days back) for a backfill run, drawn reproducibly from ``seed`` on the
+    driver; pass it to ``slice_windows`` so a checked query never depends on ``rand()``."""
+    import random
+    return random.Random(seed).randint(lo, hi)

@@ -93,3 +93,8 @@ def test_slice_windows_bounds(spark):
     out = W.slice_windows(df, "ts", anchor, 5).orderBy("id").collect()
     assert [(r.id, r.window_no) for r in out] == [(1, 0), (2, 0), (4, 4)]
     assert out[0].window_end == ts("2024-01-30 00:00:00") and out[0].window_begin == ts("2024-01-29 22:00:00")
+
+
+def test_pick_days_back_is_reproducible():
+    assert W.pick_days_back(7) == W.pick_days_back(7)
+    assert all(1 <= W.pick_days_back(s) <= 60 for s in range(50))

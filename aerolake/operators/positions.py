@@ -29,14 +29,10 @@ def _num(col: str, to: str) -> F.Column:
     return F.col(col).try_cast(to)
 
 
-def clean_positions(raw: DataFrame) -> DataFrame:
-    """Type normalisation, key/geo validity filter, dedup on (icao24, event_timestamp), derived
-    date/hour/band, fixed column order (the historical processing job).
-
-    Dedup keeps the earliest event_datetime of each key with a total tie-break, so re-runs are
-    reproducible; the key is normalised (upper/trim) before dedup.
-    """
-    typed = raw.select(
+def normalise_positions(raw: DataFrame) -> DataFrame:
+    """Row-level part of the cleaning (also usable on a stream): typed columns, normalised key,
+    key/time/geo validity filter."""
+    return raw.select(
         upper_trim("icao24").alias("icao24"),
         F.col("registration").cast("string").alias("registration"),
         F.col("aircraft_type").cast("string").alias("aircraft_type"),
@@ -56,6 +52,26 @@ def clean_positions(raw: DataFrame) -> DataFrame:
         & F.col("latitude").between(-90, 90)
         & F.col("longitude").between(-180, 180)
     )
+
+
+def derive_position_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """event_date, event_hour, altitude_band and the fixed bronze column order (plus ``keep``)."""
+    out = df.withColumns({
+        "event_date": F.to_date("event_datetime"),
+        "event_hour": F.hour("event_datetime").cast("int"),
+        "altitude_band": altitude_band("altitude_ft"),
+    })
+    return out.select(*POSITIONS_CLEAN_COLUMNS, *keep)
+
+
+def clean_positions(raw: DataFrame) -> DataFrame:
+    """Type normalisation, key/geo validity filter, dedup on (icao24, event_timestamp), derived
+    date/hour/band, fixed column order (the historical processing job).
+
+    Dedup keeps the earliest event_datetime of each key with a total tie-break, so re-runs are
+    reproducible; the key is normalised (upper/trim) before dedup.
+    """
+    typed = normalise_positions(raw)
     # Top-1 per key: Catalyst plans a partial WindowGroupLimit before the shuffle, so copies
     # collapse map-side and a heavily duplicated key never travels whole.
     w = Window.partitionBy("icao24", "event_timestamp").orderBy(
@@ -63,12 +79,7 @@ def clean_positions(raw: DataFrame) -> DataFrame:
         F.col("altitude_ft").asc_nulls_last(), F.col("callsign").asc_nulls_last(),
         F.col("squawk").asc_nulls_last(), F.col("registration").asc_nulls_last())
     dedup = typed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-    out = dedup.withColumns({
-        "event_date": F.to_date("event_datetime"),
-        "event_hour": F.hour("event_datetime").cast("int"),
-        "altitude_band": altitude_band("altitude_ft"),
-    })
-    return out.select(*POSITIONS_CLEAN_COLUMNS)
+    return derive_position_columns(dedup)
 
 
 STG_COLUMNS = [

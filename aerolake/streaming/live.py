@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolake.functions.time import EPOCH
+from aerolake.operators import positions as P
 
 
 def _event_time(df: DataFrame, col: str = "event_datetime") -> DataFrame:
@@ -28,6 +29,27 @@ def dedup_stream(positions: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return p.dropDuplicatesWithinWatermark(["icao24", "event_timestamp"])
 
 
+def clean_positions_stream(raw: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Streaming bronze: the batch row-level normalisation, then one row per (icao24,
+    event_timestamp) among rows arriving within the watermark (the first to arrive wins; the
+    batch job keeps the earliest event time, which agrees whenever copies arrive in order)."""
+    typed = _event_time(P.normalise_positions(raw)).withWatermark("_event_time", delay)
+    deduped = typed.dropDuplicatesWithinWatermark(["icao24", "event_timestamp"])
+    return P.derive_position_columns(deduped, keep=("_event_time",))
+
+
+def hourly_from_clean_stream(clean: DataFrame) -> DataFrame:
+    """Hourly positions / approximate distinct aircraft over ``clean_positions_stream`` output
+    (its watermarked ``_event_time`` closes the hours)."""
+    g = clean.groupBy(F.window("_event_time", "1 hour").alias("w")).agg(
+        F.count(F.lit(1)).alias("position_count"),
+        F.approx_count_distinct("icao24").alias("unique_aircraft_approx"),
+        F.count_if(F.col("on_ground") == 0).alias("airborne_positions"),
+    )
+    return g.select(F.col("w.start").alias("hour_start"), F.col("w.end").alias("hour_end"),
+                    "position_count", "unique_aircraft_approx", "airborne_positions")
+
+
 def hourly_traffic_stream(positions: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Positions, approximate distinct aircraft and airborne count per event-time hour."""
     p = dedup_stream(positions, delay)

@@ -53,3 +53,9 @@ def date_key(d) -> Column:
 def day_of_week_sun0(d) -> Column:
     """Day of week with Sunday = 0 .. Saturday = 6."""
     return (F.dayofweek(_c(d)) - 1).cast("int")
+
+
+def utc_now_ntz() -> Column:
+    """The run's current instant as a UTC wall-clock TIMESTAMP_NTZ (independent of the session
+    zone, unlike casting current_timestamp())."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(F.current_timestamp()), F.expr(EPOCH))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aerolake.functions.codes import surrogate_key
-from aerolake.functions.time import boundary_minutes, day_of_week_sun0, from_epoch_seconds
+from aerolake.functions.time import boundary_minutes, day_of_week_sun0, from_epoch_seconds, utc_now_ntz
 from aerolake.operators.sizing import broadcast_if_small
 from aerolake.operators.windows import rank_table_desc
 
@@ -21,8 +21,7 @@ STG_FLIGHT_COLUMNS = [
 def stage_flights(raw: DataFrame, loaded_at=None) -> DataFrame:
     """Rename projection with epoch -> NTZ timestamps.  ``_loaded_at`` is stamped once per run
     (a literal), never re-evaluated per read, so incremental high-water marks are meaningful."""
-    stamp = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at is not None \
-        else F.current_timestamp().cast("timestamp_ntz")
+    stamp = F.lit(loaded_at).cast("timestamp_ntz") if loaded_at is not None else utc_now_ntz()
     return raw.select(
         F.col("icao24").alias("aircraft_id"),
         F.col("callsign").alias("flight_callsign"),

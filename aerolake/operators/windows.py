@@ -118,18 +118,25 @@ def sessions(positions: DataFrame, key: str = "icao24", ts: str = "event_datetim
     ).withColumn("duration_minutes", boundary_minutes("session_start", "session_end").cast("long"))
 
 
-def share_of_total(agg: DataFrame, measure: str, out: str = "pct_of_total", scale: int = 2) -> DataFrame:
+def share_of_total(agg: DataFrame, measure: str, out: str = "pct_of_total", scale: int = 2,
+                   keep_total: str | None = None) -> DataFrame:
     """measure as a percentage of its column total, on an aggregated (bounded) frame.  The
-    total is a one-row aggregate joined by broadcast, not an unpartitioned window."""
+    total is a one-row aggregate joined by broadcast, not an unpartitioned window.
+    ``keep_total`` names a column that keeps the total for later steps."""
     total = agg.agg(F.sum(measure).alias("_total"))
-    return agg.crossJoin(F.broadcast(total)).withColumn(out, pct(measure, "_total", scale)).drop("_total")
+    out_df = agg.crossJoin(F.broadcast(total)).withColumn(out, pct(measure, "_total", scale))
+    return out_df.withColumnRenamed("_total", keep_total) if keep_total else out_df.drop("_total")
 
 
-def running_share(agg: DataFrame, measure: str, out: str = "cumulative_pct", scale: int = 2) -> DataFrame:
+def running_share(agg: DataFrame, measure: str, out: str = "cumulative_pct", scale: int = 2,
+                  total_col: str | None = None) -> DataFrame:
     """Running share ordered by measure DESC with the default RANGE frame (ties share a value).
-    Meant for small aggregated frames (e.g. a handful of altitude bands)."""
-    total = agg.agg(F.sum(measure).alias("_total"))
+    Meant for small aggregated frames (e.g. a handful of altitude bands).  ``total_col`` reuses a
+    total already joined to the frame."""
     w = Window.orderBy(F.col(measure).desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    if total_col is not None:
+        return agg.withColumn(out, pct(F.sum(measure).over(w), total_col, scale))
+    total = agg.agg(F.sum(measure).alias("_total"))
     return agg.crossJoin(F.broadcast(total)) \
         .withColumn(out, pct(F.sum(measure).over(w), "_total", scale)).drop("_total")
 

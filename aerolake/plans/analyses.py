@@ -284,8 +284,9 @@ def q05_3_day_over_day(m: Models) -> DataFrame:
 
 def q05_4_band_pareto(m: Models) -> DataFrame:
     per = m.stg_positions.groupBy("altitude_band").agg(_n().alias("total_rows"))
-    shared = W.share_of_total(per, "total_rows")
-    return W.running_share(shared, "total_rows").orderBy(F.col("total_rows").desc(), "altitude_band")
+    shared = W.share_of_total(per, "total_rows", keep_total="_total")
+    return W.running_share(shared, "total_rows", total_col="_total").drop("_total") \
+        .orderBy(F.col("total_rows").desc(), "altitude_band")
 
 
 def q05_5_peak_airborne(m: Models) -> DataFrame:

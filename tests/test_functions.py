@@ -77,3 +77,15 @@ def test_keys(spark):
     assert rows[1].k == hashlib.md5(b"_dbt_utils_surrogate_key_null_").hexdigest()
     assert rows[0].p == hashlib.sha256(b"AB12CD|1704067207").hexdigest()
     assert rows[1].p is None
+
+
+def test_utc_now_ntz_ignores_session_zone(spark):
+    from aerolake.functions.time import utc_now_ntz
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        got = spark.range(1).select(utc_now_ntz().alias("t")).first().t
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs((got - now).total_seconds()) < 120

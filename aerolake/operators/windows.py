@@ -56,6 +56,10 @@ def lag_across_buckets(df: DataFrame, key: str, ts: str, out: str, order_tiebrea
 
     Bound: on positions de-duplicated by (aircraft, whole epoch second) an (aircraft, hour)
     bucket holds at most 3,600 rows, however many rows one aircraft has overall.
+
+    ``key`` and ``ts`` must be non-NULL (true for silver positions).  The boundary join uses
+    plain equality on purpose: a NULL-safe condition would change the join's partitioning
+    expression and re-shuffle the large side.
     """
     bc = bucket_col or "_bucket"
     b = df if bucket_col else df.withColumn(bc, hour_index(ts) if bucket is None else bucket)

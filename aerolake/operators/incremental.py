@@ -63,7 +63,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def list_versions(spark: SparkSession, base: str) -> list[int]:
+def list_versions(spark: SparkSession, base: str, committed_only: bool = True) -> list[int]:
+    """Version numbers under ``base``; by default only committed ones (with ``_SUCCESS``)."""
     fs, p = _fs(spark, base)
     if not fs.exists(p):
         return []
@@ -72,7 +73,7 @@ def list_versions(spark: SparkSession, base: str) -> list[int]:
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("version="):
             v = name.split("=", 1)[1]
-            if v.isdigit() and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            if v.isdigit() and (not committed_only or fs.exists(st.getPath().suffix("/_SUCCESS"))):
                 out.append(int(v))
     return sorted(out)
 
@@ -80,7 +81,9 @@ def list_versions(spark: SparkSession, base: str) -> list[int]:
 def commit_version(spark: SparkSession, df: DataFrame, base: str) -> str:
     """Write ``df`` as the next version of the table at ``base``; readers of the previous
     version are never disturbed (stage-and-swap by versioned folders, committed by _SUCCESS)."""
-    versions = list_versions(spark, base)
+    # Number past every folder, committed or not: a run that died mid-write leaves a folder
+    # without _SUCCESS, which readers ignore and the next attempt must not collide with.
+    versions = list_versions(spark, base, committed_only=False)
     nxt = (versions[-1] + 1) if versions else 1
     target = f"{base.rstrip('/')}/version={nxt:06d}"
     df.write.mode("error").parquet(target)

@@ -122,3 +122,14 @@ def test_streaming_hourly_and_sessions(spark, scratch):
     sizes = sorted(r.positions for r in spark.table("sess_t").collect())
     # sessions close after 30 min of silence once the watermark passes; 15:00 stays open
     assert sizes == [1, 1, 3]
+
+
+def test_commit_after_failed_attempt(spark, scratch):
+    base = os.path.join(scratch, "fct_fail")
+    INC.commit_version(spark, _df(spark, [("a", "d1", "x", 1)]), base)
+    os.makedirs(os.path.join(base, "version=000002"))          # a crashed attempt, no _SUCCESS
+    assert INC.list_versions(spark, base) == [1]
+    assert _rows(INC.read_latest(spark, base)) == [("a", "d1", "x", 1)]
+    path = INC.commit_version(spark, _df(spark, [("b", "d1", "y", 2)]), base)
+    assert path.endswith("version=000003")
+    assert _rows(INC.read_latest(spark, base)) == [("b", "d1", "y", 2)]

@@ -70,10 +70,17 @@ def run_flights(spark: SparkSession, raw_flights: DataFrame, warehouse: str, loa
     ranking.  The result is committed as a new version folder.
     """
     wh = warehouse.rstrip("/")
-    batch_stg, stg_obs = _observed(FL.stage_flights(raw_flights, loaded_at=loaded_at), "stg")
+    tag = run_tag(loaded_at)
+    batch_stg, stg_obs = _observed(
+        FL.stage_flights(raw_flights, loaded_at=loaded_at).withColumn("run", F.lit(tag)), "stg")
     current = INC.read_latest(spark, f"{wh}/fct_flights") if incremental else None
-    write_parquet(batch_stg, f"{wh}/flights_stg", mode="append" if current is not None else "overwrite")
-    stg = spark.read.parquet(f"{wh}/flights_stg")
+    # Staging is partitioned by run: re-running a run replaces only its own partition (dynamic
+    # overwrite), a full refresh replaces everything (static overwrite).
+    (batch_stg.write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic" if current is not None else "static")
+     .partitionBy("run").parquet(f"{wh}/flights_stg"))
+    stg_all = spark.read.parquet(f"{wh}/flights_stg")
+    stg = stg_all.drop("run")
     write_parquet(FL.build_dim_airports(stg), f"{wh}/dim_airports")
     cal = FL.build_dim_date(spark, *calendar)
     write_parquet(cal, f"{wh}/dim_date")
@@ -81,7 +88,7 @@ def run_flights(spark: SparkSession, raw_flights: DataFrame, warehouse: str, loa
     if current is None:
         merged = FL.build_fct_flights(stg, cal, days)
     else:
-        batch = stg.filter(F.col("_loaded_at") == F.lit(loaded_at).cast("timestamp_ntz"))
+        batch = stg_all.filter(F.col("run") == tag).drop("run")   # partition-pruned
         fct_batch = FL.build_fct_flights(batch, cal, days)
         keys = ["aircraft_id", "departure_time"]
         merged = INC.upsert_by_key(current, fct_batch, keys, "_loaded_at")
@@ -91,6 +98,12 @@ def run_flights(spark: SparkSession, raw_flights: DataFrame, warehouse: str, loa
     return {"stg_rows": stg_obs.get["rows"], "fct_path": path}
 
 
+def run_tag(ts: str) -> str:
+    """Folder-safe run identifier of a run stamp ('2026-01-05 00:00:00' -> '20260105T000000')."""
+    digits = "".join(ch for ch in str(ts) if ch.isdigit())[:14].ljust(14, "0")
+    return f"{digits[:8]}T{digits[8:]}"
+
+
 def run_quality(spark: SparkSession, warehouse: str) -> DataFrame:
     """The declared checks over the written tables (one summary row per check)."""
     wh = warehouse.rstrip("/")
@@ -100,7 +113,8 @@ def run_quality(spark: SparkSession, warehouse: str) -> DataFrame:
         def __getitem__(self, model):
             if model == "fct_flights":
                 return INC.read_latest(spark, f"{wh}/fct_flights")
-            return spark.read.parquet(f"{wh}/{names.get(model, model)}")
+            df = spark.read.parquet(f"{wh}/{names.get(model, model)}")
+            return df.drop("run") if model == "stg_flights" else df
 
     checks = [c for kind in ("not_null", "unique", "relationships", "accepted_range", "accepted_values")
               for c in DQ.declared_checks(kind)]

@@ -53,6 +53,9 @@ def test_flights_incremental_late_arrival(spark, scratch):
     assert (fct["a2"].duration_rank_from_airport, fct["a1"].duration_rank_from_airport) == (1, 2)
     assert fct["a3"].duration_rank_from_airport == 1
     assert spark.read.parquet(os.path.join(wh, "flights_stg")).count() == 4
+    # re-running the second run replaces its own staging partition instead of appending again
+    jobs.run_flights(spark, spark.createDataFrame(second, FLIGHTS_RAW), wh, "2026-01-06 00:00:00")
+    assert spark.read.parquet(os.path.join(wh, "flights_stg")).count() == 4
 
 
 def test_cli_pipeline(spark, scratch):

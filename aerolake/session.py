@@ -23,17 +23,25 @@ _JOB_CONF = {
 
 def get_session(app: str = "aerolake", master: str | None = None, shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
-    """Return the active session, or build a local one for tests and benchmarks.
+    """Return a session with the job settings.
 
-    On a cluster the session is created by the launcher; we only apply job-level SQL settings
-    that are safe to change at runtime and never override the cluster's shuffle sizing.
+    Without ``master`` (jobs under spark-submit / on a cluster) the master, executors and
+    shuffle sizing come from the launcher and cluster configuration; only job-level SQL
+    settings are applied.  With an explicit ``master`` (tests, benchmark) a local session is
+    built with local sizing.
     """
-    active = SparkSession.getActiveSession()
-    if active is not None and master is None:
+    if master is None:
+        active = SparkSession.getActiveSession()
+        if active is None:
+            builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+            for k, v in _JOB_CONF.items():
+                builder = builder.config(k, v)
+            active = builder.getOrCreate()
         for k, v in _JOB_CONF.items():
             active.conf.set(k, v)
+        ensure_checkpoint_dir(active)
         return active
-    builder = SparkSession.builder.appName(app).master(master or "local[8]")
+    builder = SparkSession.builder.appName(app).master(master)
     conf = dict(_JOB_CONF)
     conf.update({
         "spark.ui.enabled": "false",

@@ -13,7 +13,8 @@ from aerolake.operators import windows as W
 
 EPOCH = dt.datetime(1970, 1, 1)
 BASE = dt.datetime(2024, 1, 1)
-SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(max_examples=15, deadline=None, derandomize=True,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
 micros = st.integers(min_value=0, max_value=40 * 86400 * 10**6)
 
 

@@ -27,15 +27,15 @@ from aerolake.sources.sinks import write_parquet
 
 
 def main(argv: list[str] | None = None) -> dict:
-    ap = argparse.ArgumentParser(prog="aerolake")
-    ap.add_argument("--warehouse", required=True)
-    ap.add_argument("--tables")
-    ap.add_argument("--trace-archives")
-    ap.add_argument("--trace-json")
-    ap.add_argument("--states-json")
-    ap.add_argument("--flight-batches")
-    ap.add_argument("--run-ts", default=None, help="run stamp (default: now, UTC)")
-    ap.add_argument("--master", default=None)
+    ap = argparse.ArgumentParser(prog="aerolake", description="Run the batch pipeline into a warehouse folder.")
+    ap.add_argument("--warehouse", required=True, help="output root (shared storage on a cluster)")
+    ap.add_argument("--tables", help="driver-style table directory (events -> positions, orders -> flights)")
+    ap.add_argument("--trace-archives", help="directory of .tar archives of gzipped trace JSON")
+    ap.add_argument("--trace-json", help="directory of unpacked trace JSON documents")
+    ap.add_argument("--states-json", help="directory of state-vector snapshot documents")
+    ap.add_argument("--flight-batches", help="directory of flights_batch_*.json record batches")
+    ap.add_argument("--run-ts", default=None, help="run stamp 'YYYY-MM-DD HH:MM:SS' (default: now, UTC)")
+    ap.add_argument("--master", default=None, help="Spark master for local runs (default: from spark-submit)")
     a = ap.parse_args(argv)
     run_ts = a.run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     spark = get_session(app="aerolake-pipeline", master=a.master)

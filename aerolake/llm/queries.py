@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import quality_rules, quality_trees, toxicity
+import public_tokenizers
+
+from . import bpe, quality_rules, quality_trees, secrets, token_counts, toxicity
 from .text import table
 
 
@@ -16,13 +18,31 @@ def op2_quality_classifier(spark, sf_dir):
     return quality_trees.score(docs, quality_trees.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_secret_scan(spark, sf_dir):
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op7_byte_bpe(spark, sf_dir):
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.digest(bpe.decode(encoded, ranks))
+
+
 def op8_quality_rules(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_token_counts(spark, sf_dir):
+    pieces, byte_score = token_counts.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), pieces, byte_score)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_secret_scan": op3_secret_scan,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
+    "op10_token_counts": op10_token_counts,
 }
 ORACLES: dict[str, str] = {}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, quality_rules, quality_trees, secrets, token_counts, toxicity
+from . import bpe, decontaminate, quality_rules, quality_trees, secrets, token_counts, toxicity, warc
 from .text import table
 
 
@@ -22,6 +22,14 @@ def op3_secret_scan(spark, sf_dir):
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op4_warc_revisits(spark, sf_dir):
+    return warc.digest_columns(warc.resolve(warc.records_of(table(spark, sf_dir, "pages").select("page_id", "url", "html"))))
+
+
+def op5_decontamination(spark, sf_dir):
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_byte_bpe(spark, sf_dir):
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -41,8 +49,45 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_secret_scan": op3_secret_scan,
+    "op4_warc_revisits": op4_warc_revisits,
+    "op5_decontamination": op5_decontamination,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op10_token_counts": op10_token_counts,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_warc_revisits": r"""
+        WITH p AS (SELECT page_id, url, sha1(html) AS digest, length(html) AS size, page_id % 28 AS d FROM pages),
+        spelt AS (SELECT *, 'HTTPS://WWW.' || regexp_replace(regexp_replace(url, '^https?://(www[.])?', ''), '#.*$', '')
+                            || CASE WHEN contains(url, '?') THEN '&utm_medium=x' ELSE '?utm_medium=x' END || '#part' AS other FROM p),
+        revisits AS (
+            SELECT page_id * 4 AS id, url, page_id - 10000000 AS ts, NULL AS tag, 'day ' || d AS modified, 0 AS step FROM p WHERE page_id % 5 = 0
+            UNION ALL SELECT page_id * 4 + 2, other, page_id + 10000000, '"' || digest[1:12] || '"', NULL, 2 FROM spelt
+            UNION ALL SELECT page_id * 4 + 3, url, page_id + 20000000, CASE WHEN page_id % 7 = 0 THEN '"other"' ELSE '"' || digest[1:12] || '"' END, NULL, 3 FROM p),
+        parts AS (
+            SELECT id, page_id, ts, regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare
+            FROM (SELECT id, CAST(NULL AS BIGINT) AS page_id, ts, url FROM revisits UNION ALL SELECT page_id * 4 + 1, page_id, page_id, url FROM p)),
+        placed AS (
+            SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*')), '^www[.]', ''), ':(80|443)$', '')
+                || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '')
+                || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS canonical_url
+            FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(bare, '^[^?]*[?](.*)$', 1), '&'),
+                    lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS kept FROM parts)),
+        matched AS (
+            SELECT v.id, v.ts, v.canonical_url, s.id AS response_id, s.page_id,
+                row_number() OVER (PARTITION BY v.id ORDER BY s.ts DESC NULLS LAST, s.id DESC) AS place
+            FROM (SELECT * FROM placed WHERE page_id IS NULL) v
+            LEFT JOIN (SELECT * FROM placed WHERE page_id IS NOT NULL) s ON s.canonical_url = v.canonical_url AND s.ts < v.ts),
+        judged AS (
+            SELECT m.id, m.canonical_url, m.response_id, p.digest, p.size, p.d, r.step, r.tag,
+                CASE WHEN m.response_id IS NULL THEN 'unresolved'
+                     WHEN coalesce(r.tag = '"' || p.digest[1:12] || '"', r.modified = 'day ' || p.d) THEN 'resolved' ELSE 'changed' END AS status
+            FROM matched m JOIN revisits r ON r.id = m.id LEFT JOIN p ON p.page_id = m.page_id WHERE m.place = 1)
+        SELECT id AS revisit_id, canonical_url, CASE WHEN status = 'resolved' THEN response_id END AS response_id, status,
+            CASE WHEN status = 'resolved' THEN digest END AS digest,
+            CASE WHEN status = 'resolved' THEN
+                'cache-control=' || CASE step WHEN 3 THEN 'no-store' ELSE 'max-age=60' END || ';content-length=' || size || ';content-type=text/html;date=visit ' || step
+                || ';etag=' || coalesce(CASE WHEN step = 2 THEN 'W/' || tag ELSE tag END, '"' || digest[1:12] || '"')
+                || CASE WHEN step = 2 THEN ';expires=never' ELSE '' END || ';last-modified=day ' || d END AS headers
+        FROM judged""",
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, decontaminate, quality_rules, quality_trees, secrets, token_counts, toxicity, warc
+from . import bpe, decontaminate, quality_rules, quality_trees, secrets, substring, token_counts, toxicity, warc
 from .text import table
 
 
@@ -30,6 +30,10 @@ def op5_decontamination(spark, sf_dir):
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_substring_dedup(spark, sf_dir):
+    return substring.digest(substring.remove(table(spark, sf_dir, "documents")))
+
+
 def op7_byte_bpe(spark, sf_dir):
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -51,6 +55,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_warc_revisits": op4_warc_revisits,
     "op5_decontamination": op5_decontamination,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op10_token_counts": op10_token_counts,

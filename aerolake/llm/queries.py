@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, decontaminate, quality_rules, quality_trees, secrets, substring, token_counts, toxicity, warc
+from . import bpe, decontaminate, jaccard, quality_rules, quality_trees, secrets, substring, token_counts, toxicity, warc
 from .text import table
 
 
@@ -44,6 +44,10 @@ def op8_quality_rules(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark, sf_dir):
     pieces, byte_score = token_counts.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), pieces, byte_score)
@@ -58,6 +62,7 @@ QUERIES = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_token_counts": op10_token_counts,
 }
 ORACLES: dict[str, str] = {

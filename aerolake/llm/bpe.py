@@ -174,9 +174,9 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     return encoded.mapInArrow(run, f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, ids array<int>, bytes binary")
 
 
-def digest(decoded: DataFrame) -> DataFrame:
-    """The checked columns: number of ids, hash of the decimal ids and hash of the decoded bytes."""
+def digest(decoded: DataFrame, *also: str) -> DataFrame:
+    """The checked columns: number of ids, hash of the decimal ids and hash of the decoded bytes; then those of ``also``."""
     return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"))
+        F.sha2("bytes", 256).alias("decoded_sha256"), *also)

@@ -65,16 +65,17 @@ def sets_of(chunk: Chunk, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray,
 
 
 def rows_with_nodes(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, node of every row."""
+    """doc_id, copy, n_shingles, node of every row."""
 
     def run(batches):
         for batch in batches:
-            for chunk in chunks(batch.column(1)):
+            for chunk in chunks(batch.column(2)):
                 _, first, node = sets_of(chunk, size)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.first, chunk.rows), pa.array(np.diff(first).astype(np.int64)), pa.array(node)],
-                                                 ["doc_id", "n_shingles", "node"])
+                rows = batch.slice(chunk.first, chunk.rows)
+                yield pa.RecordBatch.from_arrays([*rows.columns[:2], pa.array(np.diff(first).astype(np.int64)), pa.array(node)], ["doc_id", "copy", "n_shingles", "node"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, node long")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(run, f"doc_id {kind}, copy long, n_shingles long, node long")
 
 
 def sketch(frame: DataFrame, values) -> np.ndarray:
@@ -284,14 +285,29 @@ def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataF
     return checkpointed(first.unionAll(pairs.filter("sure").select("a", "b")).unionAll(second))
 
 
-def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id that links lead to) of every row."""
+def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, copy (hash of the text), n_shingles, component (a node) of every row, written out."""
     docs = docs.select("doc_id", "text")
-    rows = checkpointed(rows_with_nodes(docs, size))
     label = connected_components(links(docs, size, percent))
-    placed = rows.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = rows.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("low")).join(label, "node", "left")
-    least = checkpointed(least.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("low").alias("low")))
+    placed = rows_with_nodes(docs, size).join(label, "node", "left")
+    return checkpointed(placed.select("doc_id", "copy", "n_shingles", F.coalesce("component", "node").alias("component")))
+
+
+def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id that links lead to) of every row."""
+    placed = classes(docs, size, percent)
+    low = checkpointed(placed.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("low")))
     empty = F.col("n_shingles") == 0
-    return placed.join(least, "component", "left").select(
+    return placed.join(low, "component", "left").select(
         "doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("low")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row, with all its columns, of each component: the smallest doc_id, nulls last; texts without words all stay."""
+    has_words = F.coalesce(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    placed = classes(docs.filter(has_words), size, percent)
+    kept = placed.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "copy")).alias("k")).select(
+        F.col("k.doc_id").alias("kept_id"), F.col("k.copy").alias("kept_copy"))
+    keys = docs.filter(has_words).withColumn("kept_copy", F.xxhash64("text"))
+    stay = keys.join(kept.withColumnRenamed("kept_copy", "copy_of"), F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("kept_copy") == F.col("copy_of")), "left_semi")
+    return stay.dropDuplicates(["doc_id", "kept_copy"]).select(*docs.columns).unionAll(docs.filter(~has_words))

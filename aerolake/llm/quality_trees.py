@@ -51,7 +51,7 @@ def statistics(chunk: Chunk) -> np.ndarray:
     lower = np.concatenate([[0], np.cumsum(byte_set(_LOWER)[chunk.data])])
     upper = np.concatenate([[0], np.cumsum(byte_set(_UPPER)[chunk.data])])
     shouted = (upper[words.end] > upper[words.start]) & (lower[words.end] == lower[words.start]) & (words.end - words.start > 1)
-    keyed = np.unique(np.stack([words.row.astype(np.uint64), hashes], axis=1), axis=0)[:, 0] if len(hashes) else np.zeros(0, np.uint64)
+    _, once = np.unique(hashes + mix(words.row.astype(np.uint64) + np.uint64(1)), return_index=True)
     equal = np.zeros(len(hashes), dtype=bool)
     if len(hashes) > 1:
         equal[1:] = (hashes[1:] == hashes[:-1]) & (words.row[1:] == words.row[:-1])
@@ -63,7 +63,7 @@ def statistics(chunk: Chunk) -> np.ndarray:
         np.log1p(words.counts), (np.bincount(words.row, weights=words.end - words.start, minlength=chunk.rows) / n),
         share["upper"], share["digits"], share["symbols"], share["marks"], share["blanks"],
         chunk.row_sums(chunk.data >= 128) / size, per_word(shouted),
-        per_word(byte_set(_SYMBOLS + b"!?")[last]), np.bincount(keyed.astype(np.int64), minlength=chunk.rows) / n,
+        per_word(byte_set(_SYMBOLS + b"!?")[last]), np.bincount(words.row[once], minlength=chunk.rows) / n,
         _repeated(words, hashes, 2, chunk.rows) / n, _repeated(words, hashes, 8, chunk.rows) / n, repeat_lines,
         per_word(equal), np.log1p(words.counts / lines),
     ], axis=1).astype(np.float64)

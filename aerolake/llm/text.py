@@ -5,6 +5,7 @@ Used inside tasks only: Spark splits the table, each task walks its rows in chun
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,19 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder named by spark.checkpoint.dir (a local one only where that is unset)."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, named by spark.checkpoint.dir; a local one only where that is unset and Spark is local."""
     sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if path is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="aerolake-checkpoint-")
     if sc.getCheckpointDir() is None:
-        path = spark.conf.get("spark.checkpoint.dir", None)
-        if path is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            import tempfile
-
-            path = tempfile.mkdtemp(prefix="aerolake-checkpoint-")
         sc.setCheckpointDir(path)
+    return path
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Materialise in the shared folder: cuts the lineage and survives a lost executor."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

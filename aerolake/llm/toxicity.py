@@ -15,6 +15,7 @@ labels of both classes every score is the smoothed base rate; other columns are
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from .quality_trees import sample_labels
 from .text import Chunk, chunks, held_out, split_words, word_hashes
 
-MAX_ROWS = 12_000
+MAX_ROWS = 8_000
 BUCKETS = 1 << 18
 PREFIXES = (4, 5)
 #: Neutral group mentions by list; a term is swapped for the others of its own list.
@@ -170,7 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", max_rows: int
         b, c = batch.column(1), batch.column(2)
         for i, y in enumerate(batch.column(0).to_pylist()):
             rows.append((y, b[i].values.to_numpy(), c[i].values.to_numpy()))
-    rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))  # one order, however the tasks ended
+    rows.sort(key=lambda r: (r[0], len(r[1]), zlib.crc32(r[1].tobytes()), zlib.crc32(r[2].tobytes())))  # one order, however the tasks ended
     return train(rows, fairness)
 
 
@@ -185,3 +186,15 @@ def score(docs: DataFrame, model: Linear, cut: float = 0.5) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = docs.select("doc_id", "text").mapInArrow(rate, f"doc_id {kind}, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def drop(docs: DataFrame, model: Linear, cut: float = 0.5) -> DataFrame:
+    """The rows whose score is below ``cut``, with all their columns."""
+
+    def keep(batches):
+        for batch in batches:
+            for chunk in chunks(batch.column(0)):
+                yield batch.slice(chunk.first, chunk.rows).filter(pa.array(model.scores(chunk) < cut))
+
+    first = docs.select("text", *[c for c in docs.columns if c != "text"])
+    return first.mapInArrow(keep, first.schema).select(*docs.columns)

@@ -44,7 +44,7 @@ def entries(headers: Column) -> Column:
 
 
 def value_of(headers: Column, name: str) -> Column:
-    return F.element_at(F.transform(F.filter(headers, lambda e: e["key"] == name), lambda e: e["value"]), 1)
+    return F.try_element_at(F.transform(F.filter(headers, lambda e: e["key"] == name), lambda e: e["value"]), F.lit(1))
 
 
 def resolve(records: DataFrame, slots: int = SLOTS) -> DataFrame:

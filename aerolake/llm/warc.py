@@ -66,7 +66,7 @@ def resolve(records: DataFrame, slots: int = SLOTS) -> DataFrame:
     carried = base.groupBy(*place).agg(F.max("source").alias("source")).select(*place, F.max("source").over(across).alias("before"))
     found = (base.withColumn("near", F.max("source").over(inside)).filter("kind = 'revisit'").drop("source")
              .join(carried, place, "left"))
-    source = F.when(F.col("ts").isNotNull(), F.coalesce("near", "before"))
+    source = F.when(F.col("ts").isNotNull() & F.col("canonical_url").isNotNull(), F.coalesce("near", "before"))
     found = found.withColumn("source", source)
     tags = [F.regexp_replace(value_of(h, "etag"), "^W/", "") for h in (F.col("headers"), F.col("source.headers"))]
     dates = [value_of(h, "last-modified") for h in (F.col("headers"), F.col("source.headers"))]

@@ -7,12 +7,15 @@ Two texts link when 100 * |intersection| >= percent * |union|.
 2. Shingles have one global order: rarer first, by a count sketch of fixed size over all rows, then by hash.
    Two linked sets share a shingle within the first |x| - ceil(percent * |x|) + 1 of each (prefix filter);
    these prefixes make the inverted index.
-3. Each index list is led by its smallest set.  The leader's answers are computed exactly for the whole list
-   (as far as the bounds on size and position allow any link).
+3. Each index list is led by one of its sets, picked by one of ``LEADERS`` hash orders, so that a family of
+   similar sets shares a few leaders.  A leader's answers are computed exactly for its whole list (as far as
+   the bounds on size and position allow any link).
 4. Sets that the leaders' answers already connect need nothing more: a list of one component is skipped.  In
    the other lists the answers of any two sets of different components are derived from their overlaps
    with the leader, which bound theirs from both sides; lists are walked by blocks in order of size, and a block is skipped
    when its sizes or positions rule out every link.  Only pairs that the bounds leave open are computed.
+   Before whole sets are fetched for a pair, their parity bitmaps (one to two bits a shingle) give a floor of
+   the sets' difference; most pairs that merely share a passage end there.
 5. Links of 3 and 4 give the components; no link that would join two components is lost.
 
 Sets are told apart by 64-bit hashes of shingles and of sets.  Defined results: null, empty and blank texts have the
@@ -28,12 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .sketch import COUNTERS, present, sketch
 from .text import Chunk, checkpointed, chunks, inside_row, mix, signed, split_words, window_hashes, word_hashes
 
 SHINGLE = 5
 PERCENT = 80
-#: Counters of the sketch and rows in which they travel; the size doesn't depend on the data.
-COUNTERS, PARTS = 1 << 20, 64
+#: Leaders that a large family of similar sets gets; lists pick them by hash.
+LEADERS = 8
 BLOCK = 128
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -64,44 +68,41 @@ def sets_of(chunk: Chunk, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray,
     return value, first, signed(mix(total[first[1:]] - total[first[:-1]] + np.diff(first).astype(np.uint64)))
 
 
+def parity_bits(value: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Per row a bitmap, as long as the least power of two (64 at least) of its number of shingles: parity of the shingles at each bit."""
+    n = np.diff(first)
+    width = 64 << np.ceil(np.log2(np.maximum(n, 64) / 64)).astype(np.int64)
+    base = np.cumsum(width) - width
+    spot = (mix(value + np.uint64(2)) & np.repeat(width - 1, n).astype(np.uint64)).astype(np.int64) + np.repeat(base, n)
+    packed = np.packbits((np.bincount(spot, minlength=int(width.sum())) & 1).astype(np.uint8), bitorder="little").tobytes()
+    return [packed[s // 8:(s + w) // 8] for s, w in zip(base.tolist(), width.tolist())]
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """Floor of the size of the symmetric difference of two sets, from their parity bitmaps."""
+    if len(x) > len(y):
+        x, y = y, x
+    small, large, size = int.from_bytes(x, "little"), int.from_bytes(y, "little"), 4 * len(y)
+    while size >= 8 * len(x):
+        large = large >> size ^ large & (1 << size) - 1
+        size //= 2
+    return (small ^ large).bit_count()
+
+
 def rows_with_nodes(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, copy, n_shingles, node of every row."""
+    """doc_id, copy, n_shingles, node, bits of every row."""
 
     def run(batches):
         for batch in batches:
             for chunk in chunks(batch.column(2)):
-                _, first, node = sets_of(chunk, size)
+                value, first, node = sets_of(chunk, size)
                 rows = batch.slice(chunk.first, chunk.rows)
-                yield pa.RecordBatch.from_arrays([*rows.columns[:2], pa.array(np.diff(first).astype(np.int64)), pa.array(node)], ["doc_id", "copy", "n_shingles", "node"])
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns[:2], pa.array(np.diff(first).astype(np.int64)), pa.array(node), pa.array(parity_bits(value, first), pa.binary())],
+                    ["doc_id", "copy", "n_shingles", "node", "bits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(run, f"doc_id {kind}, copy long, n_shingles long, node long")
-
-
-def sketch(frame: DataFrame, values) -> np.ndarray:
-    """Counts, modulo COUNTERS, of the numbers that ``values(batch)`` yields; summed up by streams of partial sketches."""
-
-    def count(batches):
-        total = np.zeros(COUNTERS, dtype=np.int64)
-        for batch in batches:
-            for some in values(batch):
-                total += np.bincount((some.view(np.uint64) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-        if total.any():
-            parts = total.reshape(PARTS, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["part", "counts"])
-
-    def add(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                total[part] = total.get(part, 0) + np.frombuffer(counts.as_py(), dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([p.tobytes() for p in total.values()], pa.binary())], ["part", "counts"])
-
-    shape = "part int, counts binary"
-    out = np.zeros((PARTS, COUNTERS // PARTS), dtype=np.int64)
-    for part, counts in frame.mapInArrow(count, shape).repartition("part").mapInArrow(add, shape).collect():  # COUNTERS numbers in all
-        out[part] = np.frombuffer(counts, dtype=np.int64)
-    return out.ravel()
+    return docs.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(run, f"doc_id {kind}, copy long, n_shingles long, node long, bits binary")
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -110,7 +111,7 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 def postings(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
     """shingle, node, n, place for the prefix of every node; a task names a node once, however many copies it has."""
-    rank = np.minimum(counts, 2 ** 31).astype(np.uint32)
+    rank = counts.astype(np.uint32)
 
     def run(batches):
         seen: set[int] = set()
@@ -154,7 +155,7 @@ def whole_lists(batches, key: int):
 
 
 def index_lists(found: DataFrame) -> DataFrame:
-    """Lists of two nodes or more, each row with its list's leader (smallest set, then node): lead, lead_n, lead_place."""
+    """Lists of two nodes or more, each row with its list's leader: lead, lead_n, lead_place."""
 
     def run(batches):
         for shingle, n, node, place in whole_lists(batches, 0):
@@ -163,9 +164,11 @@ def index_lists(found: DataFrame) -> DataFrame:
             shingle, n, node, place = shingle[new], n[new], node[new], place[new]
             begin = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
             length = np.diff(np.append(begin, len(shingle)))
-            lead, use = np.repeat(begin, length), np.repeat(length > 1, length)
+            use = np.repeat(length > 1, length)
             if use.any():
-                lead = lead[use]
+                order = mix(node.view(np.uint64) + mix(shingle.view(np.uint64) % np.uint64(LEADERS)))
+                least = np.lexsort((order, np.repeat(np.arange(len(begin)), length)))[begin]
+                lead = np.repeat(least, length)[use]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in (shingle[use], node[use], n[use], place[use], node[lead], n[lead], place[lead])],
                     ["shingle", "node", "n", "place", "lead", "lead_n", "lead_place"])
@@ -179,7 +182,7 @@ def set_table(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
 
     A sketch of the needed nodes spares most others the way; those that slip through are dropped by the join.
     """
-    wanted = sketch(needed, lambda batch: [batch.column(0).to_numpy()]) > 0
+    wanted = present(needed)
 
     def run(batches):
         seen: set[int] = set()
@@ -197,8 +200,25 @@ def set_table(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
     return some.join(needed, "node", "left_semi").dropDuplicates(["node"])
 
 
-def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, a_n, b_n, overlap of each pair, counted exactly."""
+def survivors(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and bitmaps don't rule out; ``nodes`` has node, n_shingles and bits."""
+
+    def run(batches):
+        for batch in batches:
+            total = batch.column(2).to_numpy() + batch.column(4).to_numpy()
+            x, y = batch.column(3).to_pylist(), batch.column(5).to_pylist()
+            floor = np.fromiter(map(least_difference, x, y), np.int64, batch.num_rows)
+            yield batch.filter(pa.array((100 + percent) * floor <= (100 - percent) * total)).select([0, 1])
+
+    one, two = (nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"{x}_n"), F.col("bits").alias(f"{x}_bits")) for x in "ab")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "a_n", "a_bits", "b_n", "b_bits").mapInArrow(run, "a long, b long")
+
+
+def overlaps(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """a, b, a_n, b_n, overlap, counted exactly, of each pair that may link."""
+    pairs = checkpointed(survivors(pairs, nodes, percent))
+    needed = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = checkpointed(set_table(docs, needed, size))
 
     def run(batches):
         for batch in batches:
@@ -263,14 +283,15 @@ def cross_pairs(index: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(run, "a long, b long, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure"))
 
 
-def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """a, b: links of nodes, enough of them to connect all that is connected."""
+def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """a, b: links of nodes, enough of them to connect all that is connected; ``rows`` as of ``rows_with_nodes``."""
     counts = sketch(docs.select("text"), lambda batch: (sets_of(c, size)[0] for c in chunks(batch.column(0))))
     index = checkpointed(index_lists(postings(docs, counts, size, percent)))
-    sets = checkpointed(set_table(docs, index.select("node").distinct(), size))
+    nodes = checkpointed(rows.join(index.select("node").distinct(), "node", "left_semi").select("node", "n_shingles", "bits").dropDuplicates(["node"]))
     most = F.least(F.col("n") - F.col("place"), F.col("lead_n") - F.col("lead_place"))
-    stars = index.filter((F.col("node") != F.col("lead")) & linked(F.col("n"), F.col("lead_n"), most, percent)).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    star = checkpointed(overlaps(stars, sets))
+    stars = checkpointed(index.filter((F.col("node") != F.col("lead")) & linked(F.col("n"), F.col("lead_n"), most, percent))
+                         .select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
+    star = checkpointed(overlaps(stars, nodes, docs, size, percent))
     first = star.filter(linked(F.col("a_n"), F.col("b_n"), F.col("overlap"), percent)).select("a", "b")
     label = connected_components(first)
     rest = index.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -279,17 +300,17 @@ def links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataF
     rest = rest.join(mixed, "shingle", "left_semi").join(answers, ["lead", "node"], "left").withColumn(
         "with_lead", F.when(F.col("lead") == F.col("node"), F.col("n")).otherwise(F.coalesce("overlap", F.lit(-1))))
     pairs = checkpointed(cross_pairs(rest, percent))
-    done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     fresh = pairs.filter("NOT sure").select("a", "b").join(done, ["a", "b"], "left_anti")
-    second = overlaps(fresh, sets).filter(linked(F.col("a_n"), F.col("b_n"), F.col("overlap"), percent)).select("a", "b")
+    second = overlaps(fresh, nodes, docs, size, percent).filter(linked(F.col("a_n"), F.col("b_n"), F.col("overlap"), percent)).select("a", "b")
     return checkpointed(first.unionAll(pairs.filter("sure").select("a", "b")).unionAll(second))
 
 
 def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, copy (hash of the text), n_shingles, component (a node) of every row, written out."""
-    docs = docs.select("doc_id", "text")
-    label = connected_components(links(docs, size, percent))
-    placed = rows_with_nodes(docs, size).join(label, "node", "left")
+    rows = checkpointed(rows_with_nodes(docs.select("doc_id", "text"), size))
+    label = connected_components(links(docs, rows, size, percent))
+    placed = rows.join(label, "node", "left")
     return checkpointed(placed.select("doc_id", "copy", "n_shingles", F.coalesce("component", "node").alias("component")))
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
+from .sketch import part, present
 from .text import Chunk, checkpointed, chunks, covered, inside_row, signed, split_words, window_hashes, word_hashes
 
 WINDOW = 50
@@ -120,7 +121,8 @@ def repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     found = checkpointed(runs.join(shared, ["minimiser", "run"]).filter("doc_id > owner OR mixed")
                          .select("doc_id", "copy", "first", "last", (F.col("doc_id") > F.col("owner")).alias("whole")))
     open_runs = per_row(found.filter("NOT whole"))
-    windows = checkpointed(single_windows(docs.join(open_runs, ["doc_id", "copy"]), window))
+    some = part(docs, "copy", present(found.filter("NOT whole").select("copy").distinct()), True)  # other texts needn't be shuffled
+    windows = checkpointed(single_windows(some.join(open_runs, ["doc_id", "copy"]), window))
     first_owner = checkpointed(windows.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last_owner")).filter("owner < last_owner").select("hash", "owner"))
     single = windows.join(first_owner, "hash").filter("doc_id > owner").select("doc_id", "copy", F.col("at").alias("first"), F.col("at").alias("last"))
     return found.filter("whole").select("doc_id", "copy", "first", "last").unionAll(single)
@@ -138,8 +140,11 @@ def keep_mask(n: int, spans, window: int) -> np.ndarray:
 def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, text and removal: the maximal removed intervals of words, as (first word, word after the last)."""
     rows = docs.select("doc_id", "text").withColumn("copy", F.xxhash64("text"))
-    spans = per_row(repeated(rows, window))
-    joined = rows.join(spans, ["doc_id", "copy"], "left").select("doc_id", "text", "spans")
+    spans = checkpointed(per_row(repeated(rows, window)))
+    touched = present(spans.select("copy").distinct())
+    joined = part(rows, "copy", touched, True).join(spans, ["doc_id", "copy"], "left").select("doc_id", "text", "spans")
+    untouched = part(rows, "copy", touched, False).select("doc_id", "text", F.lit(None).cast(joined.schema["spans"].dataType).alias("spans"))
+    joined = joined.unionAll(untouched)
 
     def run(batches):
         for batch in batches:

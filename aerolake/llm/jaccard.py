@@ -37,7 +37,7 @@ from .text import Chunk, checkpointed, chunks, inside_row, mix, signed, split_wo
 SHINGLE = 5
 PERCENT = 80
 #: Leaders that a large family of similar sets gets; lists pick them by hash.
-LEADERS = 8
+LEADERS = 32
 BLOCK = 128
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -238,48 +238,55 @@ def linked(a_n, b_n, overlap, percent: int):
     return (100 + percent) * overlap >= percent * (a_n + b_n)
 
 
+def list_pairs(length: np.ndarray, begin: np.ndarray, n: np.ndarray, left: np.ndarray, percent: int):
+    """Index pairs inside lists sorted by size: short lists of one length at once, long ones by blocks, skipping blocks
+    whose sizes or positions rule out every link."""
+    for size in np.unique(length[length <= BLOCK]):
+        if size > 1:
+            at = begin[length == size]
+            i, j = np.triu_indices(size, 1)
+            for k in range(0, len(at), max(1, BLOCK * BLOCK // len(i))):
+                some = at[k:k + max(1, BLOCK * BLOCK // len(i)), None]
+                yield (some + i).ravel(), (some + j).ravel()
+    for lo, size in zip(begin[length > BLOCK].tolist(), length[length > BLOCK].tolist()):
+        for x in range(lo, lo + size, BLOCK):
+            i = np.arange(x, min(x + BLOCK, lo + size))
+            for y in range(x, lo + size, BLOCK):
+                j = np.arange(y, min(y + BLOCK, lo + size))
+                if 100 * n[i].max() < percent * n[j].min():
+                    break  # later blocks hold larger sets only
+                if linked(n[i].min(), n[j].min(), min(left[i].max(), left[j].max()), percent):
+                    one, two = np.repeat(i, len(j)), np.tile(j, len(i))
+                    yield one[one < two], two[one < two]
+
+
 def cross_pairs(index: DataFrame, percent: int) -> DataFrame:
-    """a, b, sure for the pairs of lists that span components, as far as they lie in different ones.
+    """a, b, sure for the pairs of lists that span components, as far as they lie in different ones and may link.
 
-    ``index`` has shingle, n, place, node, component, lead_n and with_lead (overlap with the list's leader, -1 if not computed).
-    sure: the overlaps with the leader prove the link.
+    ``index`` has shingle, n, place, node, component, lead_n, with_lead (overlap with the list's leader, -1 if not
+    computed) and bits.  sure: the overlaps with the leader prove the link.
     """
 
     def run(batches):
-        for columns in whole_lists(batches, 0):
-            border = np.append(np.flatnonzero(np.concatenate([[True], columns[0][1:] != columns[0][:-1]])), len(columns[0]))
-            for lo, hi in zip(border, border[1:]):
-                yield from blocks([c[lo:hi].astype(np.int64) for c in columns[1:]])
-
-    def blocks(entries):
-        n, place, node, component, lead_n, with_lead = entries
-        if component.min() == component.max():
-            return
-        left = n - place
-        for x in range(0, len(n), BLOCK):
-            i = slice(x, x + BLOCK)
-            for y in range(x, len(n), BLOCK):
-                j = slice(y, y + BLOCK)
-                if 100 * n[i].max() < percent * n[j].min():
-                    break  # later blocks hold larger sets only
-                if (100 + percent) * min(left[i].max(), left[j].max()) < percent * (n[i].min() + n[j].min()):
-                    continue
-                p, q = (slice(None), None), (None, slice(None))
-                total = n[i][p] + n[j][q]
-                use = linked(n[i][p], n[j][q], np.minimum(left[i][p], left[j][q]), percent) & (component[i][p] != component[j][q])
-                if x == y:
-                    use &= np.triu(np.ones(use.shape, dtype=bool), 1)
-                u, v = with_lead[i][p], with_lead[j][q]
+        for shingle, *columns, bits in whole_lists(batches, 0):
+            n, place, node, component, lead_n, with_lead = (c.astype(np.int64) for c in columns)
+            left = n - place
+            begin = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
+            for i, j in list_pairs(np.diff(np.append(begin, len(n))), begin, n, left, percent):
+                use = (component[i] != component[j]) & linked(n[i], n[j], np.minimum(left[i], left[j]), percent)
+                i, j = i[use], j[use]
+                total, u, v = n[i] + n[j], with_lead[i], with_lead[j]
                 known = (u >= 0) & (v >= 0)
-                most = np.minimum(u, v) + np.minimum(n[i][p] - u, n[j][q] - v)
-                use &= ~known | ((100 + percent) * most >= percent * total)
-                a, b = np.nonzero(use)
-                if len(a):
-                    sure = (known & ((100 + percent) * (u + v - lead_n[i][p]) >= percent * total))[a, b]
-                    one, two = node[i][a], node[j][b]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(sure)], ["a", "b", "sure"])
-
-    ordered = index.select("shingle", "n", "place", "node", "component", "lead_n", "with_lead").repartition("shingle").sortWithinPartitions("shingle", "n", "node")
+                most = np.minimum(u, v) + np.minimum(n[i] - u, n[j] - v)
+                sure = known & linked(n[i], n[j], u + v - lead_n[i], percent)
+                use = sure | ~known | linked(n[i], n[j], most, percent)
+                floor = np.fromiter(map(least_difference, bits[i], bits[j]), np.int64, len(i))
+                use &= (100 + percent) * floor <= (100 - percent) * total
+                if use.any():
+                    one, two = node[i[use]], node[j[use]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(sure[use])], ["a", "b", "sure"])
+
+    ordered = index.select("shingle", "n", "place", "node", "component", "lead_n", "with_lead", "bits").repartition("shingle").sortWithinPartitions("shingle", "n", "node")
     return ordered.mapInArrow(run, "a long, b long, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure"))
 
 
@@ -299,7 +306,7 @@ def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, percent: int =
     answers = star.select(F.col("a").alias("lead"), F.col("b").alias("node"), "overlap")
     rest = rest.join(mixed, "shingle", "left_semi").join(answers, ["lead", "node"], "left").withColumn(
         "with_lead", F.when(F.col("lead") == F.col("node"), F.col("n")).otherwise(F.coalesce("overlap", F.lit(-1))))
-    pairs = checkpointed(cross_pairs(rest, percent))
+    pairs = checkpointed(cross_pairs(rest.join(nodes.select("node", "bits"), "node"), percent))
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     fresh = pairs.filter("NOT sure").select("a", "b").join(done, ["a", "b"], "left_anti")
     second = overlaps(fresh, nodes, docs, size, percent).filter(linked(F.col("a_n"), F.col("b_n"), F.col("overlap"), percent)).select("a", "b")

@@ -113,7 +113,7 @@ def repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     ``docs`` has doc_id, copy and text; rows without doc_id take no part.
     """
-    runs = checkpointed(run_table(docs.filter("doc_id IS NOT NULL"), window))
+    runs = run_table(docs.filter("doc_id IS NOT NULL"), window)  # cheaper to make twice than to keep
     kinds = runs.groupBy("minimiser", "run").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last_owner"))
     several = kinds.groupBy("minimiser").agg(F.count("*").alias("kinds"), F.min("owner").alias("low"), F.max("last_owner").alias("high")).filter("low < high")
     # one row per kind of run that matters: it stands in two documents, or its minimiser has other runs elsewhere

@@ -35,6 +35,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--states-json", help="directory of state-vector snapshot documents")
     ap.add_argument("--flight-batches", help="directory of flights_batch_*.json record batches")
     ap.add_argument("--run-ts", default=None, help="run stamp 'YYYY-MM-DD HH:MM:SS' (default: now, UTC)")
+    ap.add_argument("--calendar", nargs=2, metavar=("FROM", "TO"), help="bounds of the flight calendar, TO excluded (default: the staged departures)")
     ap.add_argument("--master", default=None, help="Spark master for local runs (default: from spark-submit)")
     a = ap.parse_args(argv)
     run_ts = a.run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
@@ -55,7 +56,7 @@ def main(argv: list[str] | None = None) -> dict:
         raw = positions[0]
         for p in positions[1:]:
             raw = raw.unionByName(p)
-        out["positions"] = jobs.run_positions(spark, raw, a.warehouse)
+        out["positions"] = jobs.run_positions(spark, raw, a.warehouse, run=run_ts)
 
     if a.states_json:
         write_parquet(flatten_states(files.read_states_json(spark, a.states_json), run_ts), f"{a.warehouse}/states")
@@ -72,8 +73,9 @@ def main(argv: list[str] | None = None) -> dict:
         raw = flights[0]
         for f in flights[1:]:
             raw = raw.unionByName(f)
-        out["flights"] = jobs.run_flights(spark, raw, a.warehouse, loaded_at=run_ts)
-    if positions and flights:
+        out["flights"] = jobs.run_flights(spark, raw, a.warehouse, loaded_at=run_ts,
+                                          calendar=tuple(a.calendar) if a.calendar else None)
+    if positions or flights:
         results = f"{a.warehouse}/quality_results"
         write_parquet(jobs.run_quality(spark, a.warehouse).withColumn("run_ts", F.lit(run_ts)), results, mode="append")
         out["quality_results"] = results

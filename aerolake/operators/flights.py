@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aerolake.functions.codes import surrogate_key
 from aerolake.functions.time import boundary_minutes, day_of_week_sun0, from_epoch_seconds, utc_now_ntz
-from aerolake.operators.sizing import broadcast_if_small
-from aerolake.operators.windows import rank_table_desc
+from aerolake.operators.windows import rank_from_histogram
 
 STG_FLIGHT_COLUMNS = [
     "aircraft_id", "flight_callsign", "departure_airport", "arrival_airport", "departure_time",
@@ -74,10 +71,6 @@ def calendar_for(stg: DataFrame, col: str = "departure_time") -> DataFrame:
     return calendar_columns(days)
 
 
-def _calendar_bound_days(start: str, end: str) -> int:
-    return (_dt.date.fromisoformat(end) - _dt.date.fromisoformat(start)).days
-
-
 FCT_COLUMNS = [
     "aircraft_id", "flight_callsign", "departure_time", "arrival_time", "departure_airport_key",
     "arrival_airport_key", "departure_date_key", "flight_duration_minutes", "processed_at", "_loaded_at",
@@ -85,52 +78,84 @@ FCT_COLUMNS = [
 ]
 
 def dedup_order() -> list:
-    """Total order for "latest arrival wins": arrival time, then the remaining source columns."""
+    """Total order for "latest arrival wins": arrival time, then the latest load, then the remaining source columns."""
     return [
-        F.col("arrival_time").desc_nulls_last(), F.col("flight_callsign").asc_nulls_last(),
+        F.col("arrival_time").desc_nulls_last(), F.col("_loaded_at").desc_nulls_last(),
+        F.col("flight_callsign").asc_nulls_last(),
         F.col("departure_airport").asc_nulls_last(), F.col("arrival_airport").asc_nulls_last(),
         F.col("departure_horiz_distance_m").asc_nulls_last(), F.col("arrival_horiz_distance_m").asc_nulls_last(),
+        F.col("processed_at").asc_nulls_last(),
     ]
 
 
-def build_fct_flights(stg: DataFrame, calendar: DataFrame, calendar_days: int,
-                      airports: DataFrame | None = None) -> DataFrame:
-    """flights fact: airport and date keys, boundary-minute duration, positive durations only,
-    RANK() by duration within the departure airport computed over all rows (duplicates
-    included), then one row per (aircraft, departure), latest arrival wins.
+RANK_KEYS = ["departure_airport_key", "flight_duration_minutes"]
 
-    * Airport keys.  dim_airports holds every non-NULL code of the same staging data and its key
-      is md5(code), so the LEFT JOIN on code is the hash of the code when it is present.  Without
-      a supplied ``airports`` frame we compute that expression and skip the join (no shuffle of
-      the fact).  With an external dimension we LEFT JOIN it, broadcast only if its estimated
-      size is under the broadcast threshold (otherwise a shuffle join).
-    * Date key.  The calendar is generated from parameters, so its size bound is known
-      (``calendar_days`` rows): it is broadcast.
+
+def keyed_flights(stg: DataFrame, airports: DataFrame | None = None) -> DataFrame:
+    """Staged flights of positive duration with airport keys and boundary-minute duration.
+
+    dim_airports holds every non-NULL code of the same staging data and its key is md5(code), so
+    the LEFT JOIN on code is the hash of the code when it is present.  Without a supplied
+    ``airports`` frame we compute that expression and skip the join (no shuffle of the fact).
     """
     if airports is None:
         dep_key = F.when(F.col("departure_airport").isNotNull(), surrogate_key("departure_airport"))
         arr_key = F.when(F.col("arrival_airport").isNotNull(), surrogate_key("arrival_airport"))
         j = stg.withColumns({"departure_airport_key": dep_key, "arrival_airport_key": arr_key})
     else:
-        airports = broadcast_if_small(airports.select("airport_code", "airport_key"))
+        airports = airports.select("airport_code", "airport_key")
         dep = airports.select(F.col("airport_code").alias("_dep_code"), F.col("airport_key").alias("departure_airport_key"))
         arr = airports.select(F.col("airport_code").alias("_arr_code"), F.col("airport_key").alias("arrival_airport_key"))
         j = (stg.join(dep, stg["departure_airport"] == dep["_dep_code"], "left")
              .join(arr, F.col("arrival_airport") == arr["_arr_code"], "left").drop("_dep_code", "_arr_code"))
-    cal = calendar.select(F.col("date_day").alias("_day"), F.col("date_key").alias("departure_date_key"))
-    if calendar_days <= 400_000:  # a generated spine: ~10 MB at most
-        cal = F.broadcast(cal)
-    j = j.withColumn("_dep_day", F.to_date("departure_time"))
-    j = j.join(cal, j["_dep_day"] == cal["_day"], "left").drop("_day", "_dep_day")
-    j = j.withColumn("flight_duration_minutes", boundary_minutes("departure_time", "arrival_time").cast("long")) \
+    return j.withColumn("flight_duration_minutes", boundary_minutes("departure_time", "arrival_time").cast("long")) \
         .filter(F.col("flight_duration_minutes") > 0)
-    ranked_src = j.select("departure_airport_key", "flight_duration_minutes")
+
+
+def build_flight_base(stg: DataFrame, calendar: DataFrame, airports: DataFrame | None = None) -> DataFrame:
+    """The flights fact without its rank: keys, duration, one row per (aircraft, departure), latest arrival wins.
+
+    Counts and checks that read no rank use this: one pass over the staged rows.
+    """
     w = Window.partitionBy("aircraft_id", "departure_time").orderBy(*dedup_order())
-    dedup = j.withColumn("row_num", F.row_number().over(w).cast("long")).filter(F.col("row_num") == 1)
-    ranks = rank_table_desc(ranked_src, ["departure_airport_key"], "flight_duration_minutes",
-                            "duration_rank_from_airport")
-    r = ranks.select(F.col("departure_airport_key").alias("_rk"), F.col("flight_duration_minutes").alias("_rd"),
-                     "duration_rank_from_airport")
-    out = dedup.join(r, dedup["departure_airport_key"].eqNullSafe(r["_rk"])
-                     & (dedup["flight_duration_minutes"] == r["_rd"]), "left")
+    kept = keyed_flights(stg, airports).withColumn("row_num", F.row_number().over(w).cast("long")).filter(F.col("row_num") == 1)
+    cal = calendar.select(F.col("date_day").alias("_day"), F.col("date_key").alias("departure_date_key"))
+    return kept.join(cal, F.to_date("departure_time") == F.col("_day"), "left").select(*FCT_COLUMNS[:-1])
+
+
+def duration_histogram(stg: DataFrame, airports: DataFrame | None = None) -> DataFrame:
+    """Staged positive-duration rows per (departure airport, duration), duplicates included.  Histograms of
+    disjoint batches add up to the histogram of their union."""
+    return keyed_flights(stg, airports).groupBy(*RANK_KEYS).agg(F.count(F.lit(1)).alias("n"))
+
+
+def add_histograms(*parts: DataFrame) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy(*RANK_KEYS).agg(F.sum("n").alias("n"))
+
+
+def with_duration_rank(base: DataFrame, histogram: DataFrame) -> DataFrame:
+    """Add RANK() by duration within the departure airport, over the rows that ``histogram`` counts."""
+    r = rank_from_histogram(histogram, RANK_KEYS[:1], RANK_KEYS[1], "duration_rank_from_airport").select(
+        F.col(RANK_KEYS[0]).alias("_rk"), F.col(RANK_KEYS[1]).alias("_rd"), "duration_rank_from_airport")
+    out = base.join(r, F.col(RANK_KEYS[0]).eqNullSafe(F.col("_rk")) & (F.col(RANK_KEYS[1]) == F.col("_rd")), "left")
     return out.select(*FCT_COLUMNS)
+
+
+def build_fct_flights(stg: DataFrame, calendar: DataFrame, airports: DataFrame | None = None) -> DataFrame:
+    """flights fact: the base, ranked over all staged rows of positive duration (duplicates included)."""
+    return with_duration_rank(build_flight_base(stg, calendar, airports), duration_histogram(stg, airports))
+
+
+FLIGHT_KEYS = ["aircraft_id", "departure_time"]
+
+
+def merge_flight_base(current: DataFrame, staged: DataFrame, pending: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The base after ``pending`` (rows of ``staged`` not merged yet): keys that they touch are decided anew from all
+    their staged rows, the others stay.  Equal to a full build over ``staged``, however it was cut into batches."""
+    keys = pending.select(*[F.col(k).alias(f"_{k}") for k in FLIGHT_KEYS]).distinct()
+    touched = F.col(FLIGHT_KEYS[0]).eqNullSafe(F.col(f"_{FLIGHT_KEYS[0]}")) & F.col(FLIGHT_KEYS[1]).eqNullSafe(F.col(f"_{FLIGHT_KEYS[1]}"))
+    again = build_flight_base(staged.join(keys, touched, "left_semi"), calendar)
+    return current.join(keys, touched, "left_anti").select(*FCT_COLUMNS[:-1]).unionByName(again)

@@ -7,11 +7,9 @@ newest committed version.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aerolake.operators.windows import rank_table_desc
-
 
 def newer_than_target(existing: DataFrame, batch: DataFrame, high_water_col: str) -> DataFrame:
     """Batch rows whose ``high_water_col`` exceeds the target's maximum.  An empty target (NULL
@@ -31,7 +29,6 @@ def upsert_by_key(existing: DataFrame, batch: DataFrame, keys: list[str], high_w
     """
     if high_water_col is not None:
         batch = newer_than_target(existing, batch, high_water_col)
-    from pyspark.sql import Window
     order = order_within_batch or ([F.col(high_water_col).desc_nulls_last()] if high_water_col else [F.lit(1)])
     batch = batch.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))) \
         .filter(F.col("_rn") == 1).drop("_rn")
@@ -44,25 +41,31 @@ def upsert_by_key(existing: DataFrame, batch: DataFrame, keys: list[str], high_w
     return kept.unionByName(batch.select(*existing.columns))
 
 
-def rerank_touched(merged: DataFrame, touched_keys: DataFrame, partition_col: str, value_col: str,
-                   rank_col: str) -> DataFrame:
-    """Recompute a RANK() column for the partitions present in ``touched_keys`` after a merge;
-    other partitions keep their stored rank."""
-    touched = touched_keys.select(partition_col).distinct()
-    pk = F.col(partition_col)
-    affected = merged.join(touched, merged[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
-    ranks = rank_table_desc(affected, [partition_col], value_col, "_new_rank") \
-        .select(pk.alias("_p"), F.col(value_col).alias("_v"), "_new_rank")
-    j = merged.join(ranks, merged[partition_col].eqNullSafe(ranks["_p"]) & (merged[value_col] == ranks["_v"]), "left")
-    return j.withColumn(rank_col, F.coalesce("_new_rank", F.col(rank_col))).drop("_p", "_v", "_new_rank")
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column that have a folder under ``path``."""
+    fs, p = _fs(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete table folders (partitions that have no rows any more)."""
+    for path in paths:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+
+
 def list_versions(spark: SparkSession, base: str, committed_only: bool = True) -> list[int]:
     """Version numbers under ``base``; by default only committed ones (with ``_SUCCESS``)."""
     fs, p = _fs(spark, base)
@@ -78,14 +81,21 @@ def list_versions(spark: SparkSession, base: str, committed_only: bool = True) -
     return sorted(out)
 
 
-def commit_version(spark: SparkSession, df: DataFrame, base: str) -> str:
+def next_version(spark: SparkSession, base: str) -> int:
+    """A number past every folder, committed or not: a run that died mid-write leaves a folder without
+    _SUCCESS, which readers ignore and the next attempt must not collide with."""
+    versions = list_versions(spark, base, committed_only=False)
+    return (versions[-1] + 1) if versions else 1
+
+
+def version_path(base: str, version: int) -> str:
+    return f"{base.rstrip('/')}/version={version:06d}"
+
+
+def commit_version(spark: SparkSession, df: DataFrame, base: str, version: int | None = None) -> str:
     """Write ``df`` as the next version of the table at ``base``; readers of the previous
     version are never disturbed (stage-and-swap by versioned folders, committed by _SUCCESS)."""
-    # Number past every folder, committed or not: a run that died mid-write leaves a folder
-    # without _SUCCESS, which readers ignore and the next attempt must not collide with.
-    versions = list_versions(spark, base, committed_only=False)
-    nxt = (versions[-1] + 1) if versions else 1
-    target = f"{base.rstrip('/')}/version={nxt:06d}"
+    target = version_path(base, version or next_version(spark, base))
     df.write.mode("error").parquet(target)
     return target
 
@@ -94,6 +104,5 @@ def read_latest(spark: SparkSession, base: str, schema=None) -> DataFrame | None
     versions = list_versions(spark, base)
     if not versions:
         return None
-    path = f"{base.rstrip('/')}/version={versions[-1]:06d}"
     r = spark.read
-    return (r.schema(schema) if schema is not None else r).parquet(path)
+    return (r.schema(schema) if schema is not None else r).parquet(version_path(base, versions[-1]))

@@ -46,12 +46,13 @@ def normalise_positions(raw: DataFrame) -> DataFrame:
         _num("event_timestamp", "double").try_cast("long").alias("event_timestamp"),
         _as_ntz(raw, "event_datetime").alias("event_datetime"),
         F.col("source").cast("string").alias("source"),
-    ).filter(
-        F.col("icao24").isNotNull()
-        & F.col("event_datetime").isNotNull()
-        & F.col("latitude").between(-90, 90)
-        & F.col("longitude").between(-180, 180)
-    )
+    ).filter(valid_position())
+
+
+def valid_position() -> F.Column:
+    """Key, time and coordinates present and in range."""
+    return (F.col("icao24").isNotNull() & F.col("event_datetime").isNotNull()
+            & F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180))
 
 
 def derive_position_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -68,8 +69,8 @@ def clean_positions(raw: DataFrame) -> DataFrame:
     """Type normalisation, key/geo validity filter, dedup on (icao24, event_timestamp), derived
     date/hour/band, fixed column order (the historical processing job).
 
-    Dedup keeps the earliest event_datetime of each key with a total tie-break, so re-runs are
-    reproducible; the key is normalised (upper/trim) before dedup.
+    Dedup keeps the earliest event_datetime of each key; ties are broken by every remaining column, so
+    the result doesn't depend on input order; the key is normalised (upper/trim) before dedup.
     """
     typed = normalise_positions(raw)
     # Top-1 per key: Catalyst plans a partial WindowGroupLimit before the shuffle, so copies
@@ -77,7 +78,9 @@ def clean_positions(raw: DataFrame) -> DataFrame:
     w = Window.partitionBy("icao24", "event_timestamp").orderBy(
         F.col("event_datetime").asc(), F.col("latitude").asc_nulls_last(), F.col("longitude").asc_nulls_last(),
         F.col("altitude_ft").asc_nulls_last(), F.col("callsign").asc_nulls_last(),
-        F.col("squawk").asc_nulls_last(), F.col("registration").asc_nulls_last())
+        F.col("squawk").asc_nulls_last(), F.col("registration").asc_nulls_last(),
+        F.col("aircraft_type").asc_nulls_last(), F.col("description").asc_nulls_last(),
+        F.col("on_ground").asc_nulls_last(), F.col("source").asc_nulls_last())
     dedup = typed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
     return derive_position_columns(dedup)
 
@@ -91,12 +94,7 @@ STG_COLUMNS = [
 
 def standardise_positions(clean: DataFrame) -> DataFrame:
     """Silver model: trimmed keys, blank text -> NULL, ground flag/status, validity filter."""
-    return clean.filter(
-        F.col("icao24").isNotNull()
-        & F.col("event_datetime").isNotNull()
-        & F.col("latitude").between(-90, 90)
-        & F.col("longitude").between(-180, 180)
-    ).select(
+    return clean.filter(valid_position()).select(
         upper_trim("icao24").alias("icao24"),
         blank_to_null("registration").alias("registration"),
         blank_to_null("aircraft_type").alias("aircraft_type"),

@@ -26,11 +26,16 @@ def rank_table_desc(df: DataFrame, partition_cols: list[str], value_col: str, ou
     aggregated map-side and its running sum is a window over distinct values only, so a hot
     partition never sorts its raw rows in one task.
     """
-    hist = df.groupBy(*partition_cols, value_col).agg(F.count(F.lit(1)).alias("_n"))
+    hist = df.groupBy(*partition_cols, value_col).agg(F.count(F.lit(1)).alias("n"))
+    return rank_from_histogram(hist, partition_cols, value_col, out)
+
+
+def rank_from_histogram(hist: DataFrame, partition_cols: list[str], value_col: str, out: str) -> DataFrame:
+    """The same from a ready histogram: (partition_cols, value_col, n), one row per distinct pair."""
     ahead = Window.partitionBy(*partition_cols).orderBy(F.col(value_col).desc_nulls_last()) \
         .rowsBetween(Window.unboundedPreceding, -1)
     return hist.select(*partition_cols, value_col,
-                       (F.coalesce(F.sum("_n").over(ahead), F.lit(0)) + 1).cast("long").alias(out))
+                       (F.coalesce(F.sum("n").over(ahead), F.lit(0)) + 1).cast("long").alias(out))
 
 
 def rank_desc(df: DataFrame, partition_cols: list[str], value_col: str, out: str) -> DataFrame:

@@ -46,14 +46,14 @@ def q02_03_sample(m: Models) -> DataFrame:
 
 
 def q02_04_fct_count(m: Models) -> DataFrame:
-    return m.fct_flights.agg(_n().alias("total_rows"))
+    return m.flight_base.agg(_n().alias("total_rows"))
 
 
 def _departures_by_airport(m: Models) -> DataFrame:
     """Per departure airport: departures and mean duration.  The fact is reduced to one row per
     airport key first (partial aggregation), then joined to the dimension: both join sides are
     bounded by the number of airports."""
-    per_key = m.fct_flights.groupBy("departure_airport_key").agg(
+    per_key = m.flight_base.groupBy("departure_airport_key").agg(
         _n().alias("num_departures"),
         F.sum("flight_duration_minutes").alias("_dur_sum"),
         F.count("flight_duration_minutes").alias("_dur_n"),
@@ -71,7 +71,7 @@ def q02_05_top_airports(m: Models) -> DataFrame:
 
 
 def q02_06_flight_kpis(m: Models) -> DataFrame:
-    return m.fct_flights.agg(
+    return m.flight_base.agg(
         _n().alias("total_flights"),
         F.count_distinct("aircraft_id").alias("unique_aircraft"),
         F.count_distinct("departure_airport_key").alias("departure_airports"),
@@ -82,12 +82,12 @@ def q02_06_flight_kpis(m: Models) -> DataFrame:
 
 
 def q02_07_time_range(m: Models) -> DataFrame:
-    return m.fct_flights.agg(F.min("departure_time").alias("first_flight"),
+    return m.flight_base.agg(F.min("departure_time").alias("first_flight"),
                              F.max("departure_time").alias("last_flight"))
 
 
 def q02_08_key_coverage(m: Models) -> DataFrame:
-    return m.fct_flights.agg(
+    return m.flight_base.agg(
         _n().alias("total_rows"),
         F.count("departure_airport_key").alias("flights_with_departure"),
         F.count("arrival_airport_key").alias("flights_with_arrival"),
@@ -96,7 +96,7 @@ def q02_08_key_coverage(m: Models) -> DataFrame:
 
 
 def q02_09_missing_keys(m: Models) -> DataFrame:
-    return m.fct_flights.agg(
+    return m.flight_base.agg(
         _n().alias("total_rows"),
         F.count_if(F.col("departure_airport_key").isNull()).alias("missing_departure_key"),
         F.count_if(F.col("arrival_airport_key").isNull()).alias("missing_arrival_key"),

@@ -2,11 +2,13 @@
 
 Layout under ``warehouse``::
 
+    positions_raw/run=.../event_date=...  valid rows as delivered
     positions_clean/event_date=...   bronze (cleaned, deduplicated positions)
     positions_silver/event_date=...  silver
     fact_positions/event_date=...    gold fact
-    dim_aircraft, dim_dates, dim_time, agg_* (gold)
-    flights_stg, dim_airports, dim_date, fct_flights/version=N
+    dim_aircraft, dim_dates, dim_time (gold), agg_*/event_date=...
+    flights_stg/run=..., dim_airports, dim_date
+    fct_flights_runs/version=N, fct_flights_durations/version=N, fct_flights/version=N (commits the three)
 
 Downstream models read the written layer back (a cut in lineage and a re-usable scan),
 instead of recomputing the whole chain per output.  Row counts come from ``observe`` on the
@@ -15,6 +17,9 @@ write itself, not from extra passes over the data.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,20 +38,31 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def run_positions(spark: SparkSession, raw: DataFrame, warehouse: str, files_per_date: int = 8) -> dict:
-    """raw positions -> bronze -> silver -> fact -> dims and aggregates; returns row counts."""
+def run_positions(spark: SparkSession, raw: DataFrame, warehouse: str, run: str | None = None) -> dict:
+    """raw positions -> store -> bronze -> silver -> fact -> dims and aggregates; returns row counts of the batch.
+
+    Valid rows are appended to ``positions_raw`` under the run's own folder, by date; running the same ``run`` again
+    replaces what it had stored.  Every downstream table of a date is then rebuilt from all stored rows
+    of that date, for the dates the batch touches (or touched before); other dates' files stay as they are.
+    """
     wh = warehouse.rstrip("/")
+    own = f"{wh}/positions_raw/run={run_tag(run) if run else 'r' + uuid.uuid4().hex}"
+    before = _dates_of(spark, own)
     raw_o, raw_obs = _observed(raw, "raw")
-    clean_o, clean_obs = _observed(P.clean_positions(raw_o), "clean")
-    write_partitioned(clean_o, f"{wh}/positions_clean", ["event_date"], files_per_date)
-    clean = read_positions_parquet(spark, f"{wh}/positions_clean", POSITIONS_CLEAN)
-
+    store = P.normalise_positions(raw_o).withColumn("event_date", F.to_date("event_datetime"))
+    write_partitioned(store, own, ["event_date"], static=True)
+    dates = sorted({*before, *_dates_of(spark, own)})
+    stored = spark.read.option("basePath", f"{wh}/positions_raw").parquet(f"{wh}/positions_raw/run=*")
+    of_dates = F.col("event_date").isin(dates) if dates else F.lit(False)
+
+    clean_o, clean_obs = _observed(P.clean_positions(stored.filter(of_dates).drop("run", "event_date")), "clean")
+    _rebuild_dates(clean_o, f"{wh}/positions_clean", dates)
+    clean = read_positions_parquet(spark, f"{wh}/positions_clean", POSITIONS_CLEAN).filter(of_dates)
     silver_o, silver_obs = _observed(P.standardise_positions(clean), "silver")
-    write_partitioned(silver_o, f"{wh}/positions_silver", ["event_date"], files_per_date)
+    _rebuild_dates(silver_o, f"{wh}/positions_silver", dates)
     silver = spark.read.parquet(f"{wh}/positions_silver")
-
-    write_partitioned(P.build_fact(silver), f"{wh}/fact_positions", ["event_date"], files_per_date)
-    fact = spark.read.parquet(f"{wh}/fact_positions")
+    _rebuild_dates(P.build_fact(silver.filter(of_dates)), f"{wh}/fact_positions", dates)
+    fact = spark.read.parquet(f"{wh}/fact_positions").filter(of_dates)
 
     write_parquet(P.build_dim_aircraft(silver), f"{wh}/dim_aircraft")
     write_parquet(P.build_dim_dates(silver), f"{wh}/dim_dates")
@@ -54,58 +70,70 @@ def run_positions(spark: SparkSession, raw: DataFrame, warehouse: str, files_per
     for name, fn in (("agg_daily_traffic", A.agg_daily_traffic), ("agg_hourly_traffic", A.agg_hourly_traffic),
                      ("agg_altitude_distribution", A.agg_altitude_distribution),
                      ("agg_traffic_grid", A.agg_traffic_grid), ("agg_aircraft_activity", A.agg_aircraft_activity)):
-        write_parquet(fn(fact), f"{wh}/{name}")
+        _rebuild_dates(fn(fact), f"{wh}/{name}", dates)
     return {"raw_rows": raw_obs.get["rows"], "clean_rows": clean_obs.get["rows"],
-            "silver_rows": silver_obs.get["rows"]}
+            "silver_rows": silver_obs.get["rows"], "dates": len(dates)}
+
+
+def _dates_of(spark: SparkSession, path: str) -> list:
+    """The dates for which a date-partitioned table has files: from its folders, one per date."""
+    return [dt.date.fromisoformat(d) for d in INC.partitions(spark, path, "event_date")]
+
+
+def _rebuild_dates(df: DataFrame, path: str, dates: list) -> None:
+    """Replace the partitions of ``dates``; one that has no rows any more goes too."""
+    seen = Observation()
+    df = df.observe(seen, F.collect_set("event_date").alias("dates"))
+    write_partitioned(df, path, ["event_date"])
+    written = set(seen.get["dates"])
+    INC.remove(df.sparkSession, [f"{path}/event_date={d}" for d in dates if d not in written])
 
 
 def run_flights(spark: SparkSession, raw_flights: DataFrame, warehouse: str, loaded_at: str,
-                calendar: tuple[str, str] = ("2026-01-01", "2027-01-01"), incremental: bool = True) -> dict:
+                calendar: tuple[str, str] | None = None, incremental: bool = True) -> dict:
     """flights -> staging -> airports, calendar -> fct_flights.
 
-    Full mode builds the fact from all staged rows.  Incremental mode builds it from this
-    run's batch only (rows stamped with this ``loaded_at``), replaces matching
-    (aircraft, departure) keys of the current version, adds new keys, and recomputes the duration
-    rank for the departure airports the batch touched; untouched airports are not re-read for
-    ranking.  The result is committed as a new version folder.
+    Each run stages its rows in a folder of its own; staging again under the same stamp replaces them.  A committed
+    version of the fact has a ledger of the staged runs it contains and the duration histogram of their rows.
+    An incremental run merges every staged run that the ledger lacks, whichever stamp it bears and whether or
+    not an earlier job died after staging it; the histogram grows by those rows, so the rank equals a full
+    build's.  The fact is built from all staging in full mode, where none is committed, and where a run
+    that the ledger has was staged anew.  The calendar spans the staged departures unless bounds are given.
     """
     wh = warehouse.rstrip("/")
-    tag = run_tag(loaded_at)
-    batch_stg, stg_obs = _observed(
-        FL.stage_flights(raw_flights, loaded_at=loaded_at).withColumn("run", F.lit(tag)), "stg")
-    current = INC.read_latest(spark, f"{wh}/fct_flights") if incremental else None
-    # Staging is partitioned by run: re-running a run replaces only its own partition (dynamic
-    # overwrite), a full refresh replaces everything (static overwrite).
-    (batch_stg.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic" if current is not None else "static")
-     .partitionBy("run").parquet(f"{wh}/flights_stg"))
-    stg_all = spark.read.parquet(f"{wh}/flights_stg")
-    stg = stg_all.drop("run")
+    staged, stg_obs = _observed(FL.stage_flights(raw_flights, loaded_at=loaded_at).withColumn("_attempt", F.lit(uuid.uuid4().hex)), "stg")
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{wh}/flights_stg/run={run_tag(loaded_at)}")
+    stg = spark.read.parquet(f"{wh}/flights_stg")
+    runs = stg.select("run", "_attempt").distinct()
     write_parquet(FL.build_dim_airports(stg), f"{wh}/dim_airports")
-    cal = FL.build_dim_date(spark, *calendar)
+    cal = FL.build_dim_date(spark, *calendar) if calendar else FL.calendar_for(stg)
     write_parquet(cal, f"{wh}/dim_date")
-    days = FL._calendar_bound_days(*calendar)
-    if current is None:
-        merged = FL.build_fct_flights(stg, cal, days)
+    cal = spark.read.parquet(f"{wh}/dim_date")
+
+    table, ledgers, histograms = (f"{wh}/{name}" for name in ("fct_flights", "fct_flights_runs", "fct_flights_durations"))
+    versions = INC.list_versions(spark, table) if incremental else []
+    ledger = spark.read.parquet(INC.version_path(ledgers, versions[-1])) if versions else None
+    if ledger is None or not ledger.join(runs, ["run", "_attempt"], "left_anti").isEmpty():
+        base, histogram = FL.build_flight_base(stg, cal), FL.duration_histogram(stg)
     else:
-        batch = stg_all.filter(F.col("run") == tag).drop("run")   # partition-pruned
-        fct_batch = FL.build_fct_flights(batch, cal, days)
-        keys = ["aircraft_id", "departure_time"]
-        merged = INC.upsert_by_key(current, fct_batch, keys, "_loaded_at")
-        merged = INC.rerank_touched(merged, fct_batch, "departure_airport_key", "flight_duration_minutes",
-                                    "duration_rank_from_airport")
-    path = INC.commit_version(spark, merged, f"{wh}/fct_flights")
-    return {"stg_rows": stg_obs.get["rows"], "fct_path": path}
+        pending = stg.join(ledger, ["run", "_attempt"], "left_anti")
+        current = spark.read.parquet(INC.version_path(table, versions[-1]))
+        base = FL.merge_flight_base(current, stg, pending, cal)
+        histogram = FL.add_histograms(spark.read.parquet(INC.version_path(histograms, versions[-1])), FL.duration_histogram(pending))
+    version = INC.next_version(spark, table)
+    write_parquet(runs, INC.version_path(ledgers, version))
+    write_parquet(histogram, INC.version_path(histograms, version))
+    ranked = FL.with_duration_rank(base, spark.read.parquet(INC.version_path(histograms, version)))
+    return {"stg_rows": stg_obs.get["rows"], "fct_path": INC.commit_version(spark, ranked, table, version)}
 
 
 def run_tag(ts: str) -> str:
-    """Folder-safe run identifier of a run stamp ('2026-01-05 00:00:00' -> '20260105T000000')."""
-    digits = "".join(ch for ch in str(ts) if ch.isdigit())[:14].ljust(14, "0")
-    return f"{digits[:8]}T{digits[8:]}"
+    """Folder-safe run identifier; different stamps, to the last digit and offset, have different ones."""
+    return "r" + "".join(c if c.isascii() and c.isalnum() else f"_{ord(c):x}_" for c in str(ts))
 
 
 def run_quality(spark: SparkSession, warehouse: str) -> DataFrame:
-    """The declared checks over the written tables (one summary row per check)."""
+    """The declared checks over the tables that are written so far (one summary row per check)."""
     wh = warehouse.rstrip("/")
     names = {"clean_positions": "positions_clean", "stg_positions": "positions_silver", "stg_flights": "flights_stg"}
 
@@ -114,8 +142,13 @@ def run_quality(spark: SparkSession, warehouse: str) -> DataFrame:
             if model == "fct_flights":
                 return INC.read_latest(spark, f"{wh}/fct_flights")
             df = spark.read.parquet(f"{wh}/{names.get(model, model)}")
-            return df.drop("run") if model == "stg_flights" else df
+            return df.drop("run", "_attempt") if model == "stg_flights" else df
+
+    written = {"fct_flights": bool(INC.list_versions(spark, f"{wh}/fct_flights"))}
+
+    def has(model: str | None) -> bool:
+        return model is None or written.setdefault(model, INC.exists(spark, f"{wh}/{names.get(model, model)}"))
 
     checks = [c for kind in ("not_null", "unique", "relationships", "accepted_range", "accepted_values")
-              for c in DQ.declared_checks(kind)]
+              for c in DQ.declared_checks(kind) if has(c.model) and has(c.to_model)]
     return DQ.run_checks(checks, _Tables())

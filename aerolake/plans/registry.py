@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from aerolake.operators import flights as FL
 from aerolake.operators import profile as PR
 from aerolake.operators import quality as DQ
 from aerolake.plans import analyses as Q
@@ -259,7 +262,7 @@ def _dq(kind: str):
 for _kind, _key in (("not_null", "dq_not_null"), ("unique", "dq_unique"), ("relationships", "dq_relationships"),
                     ("accepted_range", "dq_range"), ("accepted_values", "dq_accepted_values")):
     register(_key, *_dq(_kind))
-register("dq_long_flights", lambda m: DQ.long_flights(m.fct_flights), with_ctes(f"""
+register("dq_long_flights", lambda m: DQ.long_flights(m.flight_base), with_ctes(f"""
     SELECT aircraft_id, flight_callsign, flight_duration_minutes FROM fct_flights
     WHERE flight_duration_minutes > {DQ.LONG_FLIGHT_MINUTES}""", "fct_flights"))
 
@@ -347,6 +350,75 @@ register("src_positions_parquet", _src_positions_parquet,
          "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 
 
+def _delivered(m: Models) -> tuple[DataFrame, DataFrame]:
+    """Staged flights in two deliveries; the second also corrects airports and arrivals of the first."""
+    stg = m.stg_flights
+    number = F.substring("aircraft_id", 2, 20).cast("long")
+    corrected = stg.filter(number % 5 == 0).withColumns({
+        "arrival_time": F.expr("arrival_time + INTERVAL 90 MINUTES"), "departure_airport": F.col("arrival_airport"),
+        "_loaded_at": F.expr("_loaded_at + INTERVAL 1 DAY")})
+    return stg.filter(number % 3 != 0), stg.filter(number % 3 == 0).unionByName(corrected)
+
+
+def _inc_fct_flights(m: Models) -> DataFrame:
+    first, second = _delivered(m)
+    base = FL.build_flight_base(first, m.flight_calendar)
+    merged = FL.merge_flight_base(base, first.unionByName(second), second, m.flight_calendar)
+    histogram = FL.add_histograms(FL.duration_histogram(first), FL.duration_histogram(second))
+    return FL.with_duration_rank(merged, histogram)
+
+
+register("inc_fct_flights", _inc_fct_flights, model("fct_inc"))
+register("fct_flights_dim_join", lambda m: FL.build_fct_flights(m.stg_flights, m.flight_calendar, m.dim_airports).drop("_loaded_at"),
+         model("fct_flights", ("_loaded_at",)))
+
+# ---- checks over rows that cleaning has not made valid yet, so that they do find something ----
+register("raw_duplicates", lambda m: P.normalise_positions(m.positions_raw).groupBy("icao24", "event_timestamp")
+         .agg(F.count(F.lit(1)).alias("duplicate_count")).filter("duplicate_count > 1"), with_ctes("""
+    SELECT icao24, event_timestamp, COUNT(*) AS duplicate_count FROM clean_typed
+    GROUP BY icao24, event_timestamp HAVING COUNT(*) > 1""", "clean_typed"))
+register("raw_key_format", lambda m: m.positions_raw.agg(
+    F.count_if(F.col("icao24").isNull()).alias("missing"), F.count_if(F.col("icao24") != F.trim("icao24")).alias("with_spaces"),
+    F.count_if(F.col("icao24") != F.upper("icao24")).alias("lowercase"),
+    F.count_if(~(F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180))).alias("off_the_globe")), with_ctes("""
+    SELECT COUNT(*) FILTER (WHERE icao24 IS NULL) AS missing, COUNT(*) FILTER (WHERE icao24 <> trim(icao24)) AS with_spaces,
+           COUNT(*) FILTER (WHERE icao24 <> upper(icao24)) AS lowercase,
+           COUNT(*) FILTER (WHERE abs(latitude) > 90 OR abs(longitude) > 180) AS off_the_globe
+    FROM positions_raw""", "positions_raw"))
+
+
+def _orphan_dates(m: Models) -> DataFrame:
+    """Fact dates that a dimension of even days only lacks."""
+    keys = m.fact_positions.groupBy("date_key").agg(F.count(F.lit(1)).alias("rows_count"))
+    return keys.join(m.dim_dates.filter("date_key % 2 = 0").select("date_key"), "date_key", "left_anti")
+
+
+register("orphan_dates", _orphan_dates, with_ctes("""
+    SELECT date_key, COUNT(*) AS rows_count FROM fact_positions f
+    WHERE NOT EXISTS (SELECT 1 FROM dim_dates d WHERE d.date_key = f.date_key AND d.date_key % 2 = 0)
+    GROUP BY date_key""", "fact_positions", "dim_dates"))
+
+
+class _NarrowParents:
+    """The models, with every second airport and aircraft missing from the dimensions."""
+
+    def __init__(self, m: Models):
+        self.m = m
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = self.m.as_mapping()[name]
+        key = {"dim_airports": "airport_key", "dim_aircraft": "aircraft_key"}.get(name)
+        return df.filter(F.substring(key, 1, 1) < "8") if key else df
+
+
+register("dq_orphans", lambda m: DQ.run_checks(DQ.declared_checks("relationships"), _NarrowParents(m)), with_ctes("""
+    SELECT 'relationships' AS test, 'fct_flights' AS model, 'departure_airport_key' AS column_name,
+           COUNT(*) FILTER (WHERE departure_airport_key >= '8') AS failing_rows FROM fct_flights
+    UNION ALL SELECT 'relationships', 'fct_flights', 'arrival_airport_key', COUNT(*) FILTER (WHERE arrival_airport_key >= '8') FROM fct_flights
+    UNION ALL SELECT 'relationships', 'fact_positions', 'aircraft_key', COUNT(*) FILTER (WHERE aircraft_key >= '8') FROM fact_positions
+    UNION ALL SELECT 'relationships', 'fact_positions', 'date_key', 0""", "fct_flights", "fact_positions"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         return lambda spark, sf_dir: fn(Models(spark, sf_dir))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  Session zone is pinned so that string timestamps with an
@@ -39,7 +36,6 @@ def get_session(app: str = "aerolake", master: str | None = None, shuffle_partit
             active = builder.getOrCreate()
         for k, v in _JOB_CONF.items():
             active.conf.set(k, v)
-        ensure_checkpoint_dir(active)
         return active
     builder = SparkSession.builder.appName(app).master(master)
     conf = dict(_JOB_CONF)
@@ -53,27 +49,4 @@ def get_session(app: str = "aerolake", master: str | None = None, shuffle_partit
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and staged tables.
-
-    The cluster names it in ``spark.checkpoint.dir``; we only invent one when it is unset
-    (local tests), and register it with the SparkContext so ``DataFrame.checkpoint`` works.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="aerolake-ckpt-", dir=os.environ.get("AEROLAKE_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
-def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder (never a machine-local temp dir on a cluster)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, *parts])

@@ -63,12 +63,12 @@ BATCH_NAME = r"flights_batch_(\d+)_(\d+)_(\d+)\.json$"   # run id, days back, wi
 
 def read_flight_batches(spark: SparkSession, path: str) -> DataFrame:
     """Batches of flight records (one JSON array per file).  Column names are folded to lower
-    case and the run id / window number come from the file name."""
+    case and the run id / window number come from the file name, where it has them (else NULL)."""
     df = (spark.read.schema(FLIGHT_RECORD).option("multiLine", True)
           .option("pathGlobFilter", "flights_batch_*.json").option("recursiveFileLookup", True).json(path))
     fp = F.col("_metadata.file_path")
     df = df.select(*[F.col(c).alias(c.lower()) for c in df.columns],
-                   F.regexp_extract(fp, BATCH_NAME, 1).cast("long").alias("run_id"),
-                   F.regexp_extract(fp, BATCH_NAME, 3).cast("int").alias("window_no"),
+                   F.regexp_extract(fp, BATCH_NAME, 1).try_cast("long").alias("run_id"),
+                   F.regexp_extract(fp, BATCH_NAME, 3).try_cast("int").alias("window_no"),
                    fp.alias("source_file"))
     return df

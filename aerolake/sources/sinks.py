@@ -11,23 +11,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], files_per_partition: int = 8,
-                      mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
+def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite",
+                      static: bool = False, max_records_per_file: int = 5_000_000) -> None:
     """Write Parquet partitioned by ``partition_cols``.
 
-    With AQE on, a ``REBALANCE(partition_cols)`` hint hashes rows on the partition columns and
-    lets AQE split a large partition value (a busy date) into advisory-size tasks and merge
-    small ones, so file sizes follow the data, not a fixed fan-out.  Without AQE the rows are
-    hash-distributed on (partition columns, salt in [0, files_per_partition)).  With
-    ``partitionOverwriteMode=dynamic`` (set by the session) an overwrite replaces only the
-    partition values present in ``df``: re-running a day is idempotent.
+    A ``REBALANCE(partition_cols)`` hint hashes rows on the partition columns and lets AQE split a
+    large partition value (a busy date) into advisory-size tasks and merge small ones, so file sizes
+    follow the data.  An overwrite replaces only the partition values present in ``df``; with ``static``
+    it replaces the whole folder.
     """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true":
-        spread = df.hint("rebalance", *partition_cols)
-    else:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
-        spread = df.repartition(*[F.col(c) for c in partition_cols], salt)
-    (spread.sortWithinPartitions(*partition_cols).write.mode(mode)
+    (df.hint("rebalance", *partition_cols).sortWithinPartitions(*partition_cols).write.mode(mode)
+     .option("partitionOverwriteMode", "static" if static else "dynamic")
      .option("maxRecordsPerFile", max_records_per_file).partitionBy(*partition_cols).parquet(path))
 
 

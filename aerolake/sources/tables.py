@@ -34,40 +34,10 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# A scan split worth spreading over more tasks: below this many (compressed) bytes per task,
-# a round-robin exchange costs more than the parallelism it buys.
-MIN_BYTES_PER_TASK = 256 * 1024
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               rebalance: bool = True) -> DataFrame:
-    """Read one table; selecting columns up front keeps the scan's ReadSchema narrow."""
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Read one table; selecting columns up front keeps the scan's ReadSchema narrow.  Split sizes
+    are the session's (``spark.sql.files.maxPartitionBytes``)."""
     schema = TABLE_SCHEMAS.get(name)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(table_path(sf_dir, name))
-    df = df.select(*columns) if columns else df
-    return rebalance_split_starved(spark, df) if rebalance else df
-
-
-def rebalance_split_starved(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer input splits than the cluster has task slots (a table
-    below ``maxPartitionBytes`` x slots, or one large row group) with a round-robin exchange, so
-    the per-row work after the scan is not serialised in a few tasks.  Large tables, which
-    already split into more tasks than there are slots, and small tables are left unchanged.
-    Uses the optimizer's size estimate only (no job, no physical planning)."""
-    from aerolake.operators.sizing import estimated_size_bytes
-    slots = spark.sparkContext.defaultParallelism
-    size = estimated_size_bytes(df)
-    max_split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728"))
-    splits = max(1, -(-size // max_split))
-    if splits >= slots:
-        return df
-    want = min(slots, size // MIN_BYTES_PER_TASK)
-    return df.repartition(int(want)) if want > splits else df
-
-
-def _bytes(v: str) -> int:
-    v = str(v).strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    v = v[:-1] if v.endswith("b") else v
-    return int(float(v[:-1]) * units[v[-1]]) if v and v[-1] in units else int(v)
+    return df.select(*columns) if columns else df

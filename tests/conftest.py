@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session(app="aerolake-tests", master="local[*]", shuffle_partitions=8)
+    s = get_session(app="aerolake-tests", master=os.environ.get("TEST_MASTER", "local[*]"), shuffle_partitions=int(os.environ.get("TEST_PARTITIONS", "8")))
     yield s
     s.stop()
 

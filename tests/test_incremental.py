@@ -40,13 +40,6 @@ def test_upsert_empty_target_loads_all_and_null_keys_match(spark):
     assert _rows(again) == [("a", None, "x3", 3)]
 
 
-def test_rerank_touched(spark):
-    merged = spark.createDataFrame([("p", 10, 1), ("p", 30, 1), ("q", 5, 1)], "ap string, d int, r long")
-    touched = spark.createDataFrame([("p",)], "ap string")
-    out = {(x.ap, x.d): x.r for x in INC.rerank_touched(merged, touched, "ap", "d", "r").collect()}
-    assert out == {("p", 30): 1, ("p", 10): 2, ("q", 5): 1}
-
-
 def test_commit_versions(spark, scratch):
     base = os.path.join(scratch, "fct")
     assert INC.read_latest(spark, base) is None

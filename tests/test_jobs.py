@@ -53,9 +53,12 @@ def test_flights_incremental_late_arrival(spark, scratch):
     assert (fct["a2"].duration_rank_from_airport, fct["a1"].duration_rank_from_airport) == (1, 2)
     assert fct["a3"].duration_rank_from_airport == 1
     assert spark.read.parquet(os.path.join(wh, "flights_stg")).count() == 4
-    # re-running the second run replaces its own staging partition instead of appending again
-    jobs.run_flights(spark, spark.createDataFrame(second, FLIGHTS_RAW), wh, "2026-01-06 00:00:00")
+    # re-running the second run with a corrected arrival replaces its own staging, and the fact follows
+    second[0] = (*second[0][:5], t("2026-01-03 11:30:00"), *second[0][6:])
+    out = jobs.run_flights(spark, spark.createDataFrame(second, FLIGHTS_RAW), wh, "2026-01-06 00:00:00")
     assert spark.read.parquet(os.path.join(wh, "flights_stg")).count() == 4
+    fct = {r.aircraft_id: r for r in spark.read.parquet(out["fct_path"]).collect()}
+    assert set(fct) == {"a1", "a2", "a3"} and fct["a2"].flight_duration_minutes == 90
 
 
 def test_cli_pipeline(spark, scratch):
@@ -112,3 +115,115 @@ def test_cli_file_sources(spark, scratch):
     assert fct.flight_duration_minutes == 119 and fct.departure_airport_key is not None
     aggs = spark.read.parquet(os.path.join(wh, "agg_daily_traffic")).first()
     assert (aggs.position_count, aggs.unique_aircraft) == (4, 2)
+
+
+def _t(s):
+    import datetime as dt
+    return int(dt.datetime.fromisoformat(s).replace(tzinfo=dt.timezone.utc).timestamp())
+
+
+def _flights(spark, *rows):
+    import datetime as dt
+    from aerolake.schemas import FLIGHTS_RAW
+    made = [(a, f"F{a}", dep, arr, _t(f"2026-01-03 {start}"), _t(f"2026-01-03 {end}"), 1.0, 1.0, dt.datetime(2026, 1, 4)) for a, dep, arr, start, end in rows]
+    return spark.createDataFrame(made, FLIGHTS_RAW)
+
+
+def _fact(spark, path):
+    cols = ["aircraft_id", "departure_time", "arrival_time", "departure_airport_key", "departure_date_key", "flight_duration_minutes", "duration_rank_from_airport", "_loaded_at"]
+    return sorted((tuple(r) for r in spark.read.parquet(path).select(*cols).collect()), key=str)
+
+
+def test_run_tags_differ_to_the_last_digit():
+    stamps = ["2026-01-05 00:00:00.1", "2026-01-05 00:00:00.9", "2026-01-05 00:00:00", "2026-01-05T00:00:00", "2026-01-05 00:00:00+01:00", "2026-01-05 00:00:00-01:00"]
+    assert len({jobs.run_tag(s) for s in stamps}) == len(stamps)
+
+
+def test_any_cut_into_runs_equals_one_build(spark, scratch):
+    """Moved airports, changed arrivals, repeated rows, a back-dated stamp, two stamps in one second, and runs that died
+    after staging (the first and a middle one): every staged flight is there and ranks are those of a full build."""
+    batches = [
+        ("2026-01-05 00:00:00.1", [("a1", "EA", "EB", "10:00:00", "12:00:00"), ("a2", "EA", "EB", "10:00:00", "11:00:00")]),
+        ("2026-01-05 00:00:00.9", [("a3", "EA", "EB", "09:00:00", "09:30:00"), ("a1", "EA", "EB", "10:00:00", "12:00:00")]),
+        ("2026-01-06 00:00:00", [("a1", "EX", "EB", "10:00:00", "12:00:00"), ("a4", None, "EB", "10:00:00", "12:00:00")]),
+        ("2026-01-04 00:00:00", [("a5", "EX", "EB", "10:00:00", "10:05:00"), ("a2", "EA", "EB", "10:00:00", "10:40:00")]),
+        ("2026-01-07 00:00:00", [("a2", "EA", "EB", "10:00:00", "15:00:00")]),
+    ]
+    whole, parts = os.path.join(scratch, "one"), os.path.join(scratch, "cut")
+    commit, dies = jobs.INC.commit_version, {0, 2}
+    for k, (stamp, rows) in enumerate(batches):
+        if k in dies:
+            def lost(*a, **b):
+                raise RuntimeError("lost before the commit")
+            jobs.INC.commit_version = lost
+        try:
+            cut = jobs.run_flights(spark, _flights(spark, *rows), parts, stamp)
+        except RuntimeError:
+            assert k in dies
+        finally:
+            jobs.INC.commit_version = commit
+    for stamp, rows in batches:
+        full = jobs.run_flights(spark, _flights(spark, *rows), whole, stamp, incremental=False)
+    assert spark.read.parquet(f"{parts}/flights_stg").count() == 9
+    got = _fact(spark, cut["fct_path"])
+    assert got == _fact(spark, full["fct_path"]) and {r[0] for r in got} == {"a1", "a2", "a3", "a4", "a5"}
+    ranks = {r[0]: (r[5], r[6]) for r in got}
+    assert ranks == {"a1": (120, 1), "a2": (300, 1), "a3": (30, 6), "a4": (120, 1), "a5": (5, 2)}
+
+
+def test_full_refresh_keeps_earlier_runs_and_calendar_follows_the_data(spark, scratch):
+    wh = os.path.join(scratch, "full")
+    jobs.run_flights(spark, _flights(spark, ("a1", "EA", "EB", "10:00:00", "12:00:00")), wh, "2026-01-05 00:00:00")
+    late = _flights(spark, ("a2", "EA", "EB", "10:00:00", "11:00:00"))
+    from pyspark.sql import functions as F
+    late = late.withColumns({c: F.col(c) + 365 * 86400 for c in ("firstseen", "lastseen")})
+    out = jobs.run_flights(spark, late, wh, "2026-01-06 00:00:00", incremental=False)
+    rows = spark.read.parquet(out["fct_path"]).collect()
+    assert {r.aircraft_id for r in rows} == {"a1", "a2"} and all(r.departure_date_key for r in rows)
+
+
+def test_positions_accumulate_by_date(spark, scratch):
+    from pyspark.sql import functions as F
+    raw = Models(spark, SF_SMALL).positions_raw
+    first = raw.select(F.to_date(F.min("event_datetime"))).first()[0]
+    raw = raw.filter(F.to_date("event_datetime") < F.date_add(F.lit(first), 2)).withColumn("k", F.pmod(F.hash("event_datetime", "icao24"), F.lit(2))).cache()
+    one, cut = os.path.join(scratch, "one"), os.path.join(scratch, "cut")
+    jobs.run_positions(spark, raw.drop("k"), one, "a")
+    for k in range(2):
+        jobs.run_positions(spark, raw.filter(F.col("k") == k).drop("k"), cut, f"run {k}")
+    tables = ["positions_clean", "positions_silver", "fact_positions", "dim_aircraft", "dim_dates", "agg_daily_traffic", "agg_traffic_grid"]
+
+    def rows(wh, name):
+        df = spark.read.parquet(f"{wh}/{name}")
+        return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+    assert all(rows(one, t) == rows(cut, t) for t in tables)
+    # another day leaves the other days' files alone
+    day = raw.select(F.to_date(F.max("event_datetime"))).first()[0]
+
+    def files(wh):
+        return {f for f in spark.read.parquet(f"{wh}/positions_clean").filter(F.col("event_date") != day).inputFiles() if f"event_date={day}" not in f}
+
+    held = files(cut)
+    jobs.run_positions(spark, raw.filter(F.to_date("event_datetime") == day).drop("k"), cut, "again")
+    assert files(cut) == held and all(rows(one, t) == rows(cut, t) for t in tables)
+    # a run that is repeated with less takes back what it had delivered
+    for k in range(2):
+        jobs.run_positions(spark, raw.filter((F.col("k") == k) & (F.to_date("event_datetime") < day)).drop("k"), cut, f"run {k}")
+    jobs.run_positions(spark, raw.filter("false").drop("k"), cut, "again")
+    assert spark.read.parquet(f"{cut}/agg_daily_traffic").filter(F.col("event_date") == day).isEmpty()
+
+
+def test_dedup_does_not_depend_on_input_order(spark):
+    from pyspark.sql import functions as F
+    from aerolake.operators import flights as FL
+    from aerolake.operators import positions as P
+    m = Models(spark, SF_SMALL)
+    raw = m.positions_raw.limit(300)
+    twins = raw.unionByName(raw.withColumn("description", F.lit("other"))).unionByName(raw.withColumn("source", F.lit("b"))).cache()
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(P.clean_positions(twins.orderBy("description", "source"))) == rows(P.clean_positions(twins.orderBy(F.desc("source"), F.rand(1)).coalesce(1)))
+    stg = m.stg_flights.limit(300)
+    twins = stg.unionByName(stg.withColumn("processed_at", F.lit("2020-01-01").cast("timestamp_ntz"))).cache()
+    cal = FL.calendar_for(stg)
+    assert rows(FL.build_flight_base(twins.orderBy("processed_at"), cal)) == rows(FL.build_flight_base(twins.orderBy(F.desc("processed_at")), cal))

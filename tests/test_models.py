@@ -103,7 +103,7 @@ def test_fct_flights_rank_before_dedup(spark):
     ]
     stg = _stg_flights(spark, rows)
     cal = FL.build_dim_date(spark, "2026-01-01", "2027-01-01")
-    fct = {r.aircraft_id: r for r in FL.build_fct_flights(stg, cal, 365).collect()}
+    fct = {r.aircraft_id: r for r in FL.build_fct_flights(stg, cal).collect()}
     assert set(fct) == {"a1", "a2", "a3"}          # a5 has 0 boundary minutes
     assert fct["a1"].arrival_time == ts("2026-01-03 13:00:00") and fct["a1"].row_num == 1
     # ranks within AP01 over a1(180), a1(120), a2(150): 1, 3, 2 -> a2 keeps rank 2 although a1's
@@ -113,7 +113,7 @@ def test_fct_flights_rank_before_dedup(spark):
     assert fct["a2"].arrival_airport_key is None and fct["a1"].departure_date_key is not None
     # the explicit dimension join gives the same keys as the hashed-code shortcut
     airports = FL.build_dim_airports(stg)
-    joined = {r.aircraft_id: r for r in FL.build_fct_flights(stg, cal, 365, airports=airports).collect()}
+    joined = {r.aircraft_id: r for r in FL.build_fct_flights(stg, cal, airports=airports).collect()}
     for k in fct:
         assert (fct[k].departure_airport_key, fct[k].arrival_airport_key) == \
             (joined[k].departure_airport_key, joined[k].arrival_airport_key)
@@ -138,12 +138,3 @@ def test_views_and_sql(spark):
     assert {"stg_positions", "fact_positions", "dim_dates"} <= {t.name for t in spark.catalog.listTables()}
     n = spark.sql("SELECT COUNT(*) AS n FROM fact_positions f LEFT ANTI JOIN dim_dates d ON f.date_key = d.date_key").first().n
     assert n == 0
-
-
-def test_broadcast_if_small(spark):
-    from aerolake.operators.sizing import broadcast_if_small
-    small = spark.range(10)
-    plan = small.join(broadcast_if_small(small.withColumnRenamed("id", "k")), F.col("id") == F.col("k"))
-    assert "Broadcast" in plan._jdf.queryExecution().executedPlan().toString()
-    big = spark.range(10)
-    assert broadcast_if_small(big, max_bytes=1) is big

@@ -100,4 +100,26 @@ ORACLES: dict[str, str] = {
                 || ';etag=' || coalesce(CASE WHEN step = 2 THEN 'W/' || tag ELSE tag END, '"' || digest[1:12] || '"')
                 || CASE WHEN step = 2 THEN ';expires=never' ELSE '' END || ';last-modified=day ' || d END AS headers
         FROM judged""",
+    "op6_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS x FROM documents),
+        windows AS (SELECT doc_id, i, array_to_string(x[i:i + 49], ' ') AS k FROM (SELECT doc_id, x, unnest(generate_series(1, len(x) - 49)) AS i FROM w)),
+        owners AS (SELECT k, min(doc_id) AS owner FROM windows GROUP BY k),
+        repeated AS (SELECT doc_id, i FROM windows JOIN owners USING (k) WHERE owner < doc_id),
+        gone AS (SELECT DISTINCT doc_id, i + d AS p FROM repeated, range(50) r(d)),
+        placed AS (SELECT doc_id, unnest(range(1, len(x) + 1)) AS p, unnest(x) AS word FROM w),
+        kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS words FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT w.doc_id, CAST(len(x) AS BIGINT) AS n_words, CAST(len(x) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)""",
+    "op9_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS x
+            FROM documents),
+        shingles AS (SELECT DISTINCT doc_id, array_to_string(x[i:i + 4], ' ') AS g
+                     FROM (SELECT doc_id, x, unnest(generate_series(1, greatest(len(x) - 4, 1))) AS i FROM w WHERE len(x) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM shingles a JOIN shingles b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+        links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * o >= 80 * (p.n + q.n - o)),
+        reach(doc_id, low) AS (SELECT doc_id, doc_id FROM documents UNION SELECT b, low FROM reach JOIN links ON a = reach.doc_id)
+        SELECT w.doc_id, coalesce(max(n), 0) AS n_shingles, min(low) AS component_id
+        FROM w LEFT JOIN sizes USING (doc_id) JOIN reach USING (doc_id) GROUP BY w.doc_id""",
 }

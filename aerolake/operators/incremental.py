@@ -52,6 +52,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Is there any path of this pattern?"""
+    fs, p = _fs(spark, pattern)
+    return bool(len(fs.globStatus(p) or []))
+
+
 def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a partition column that have a folder under ``path``."""
     fs, p = _fs(spark, path)

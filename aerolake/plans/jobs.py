@@ -20,6 +20,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +34,26 @@ from aerolake.sources.files import read_positions_parquet
 from aerolake.sources.sinks import write_parquet, write_partitioned
 
 
+AGGREGATES = (("agg_daily_traffic", A.agg_daily_traffic), ("agg_hourly_traffic", A.agg_hourly_traffic),
+              ("agg_altitude_distribution", A.agg_altitude_distribution),
+              ("agg_traffic_grid", A.agg_traffic_grid), ("agg_aircraft_activity", A.agg_aircraft_activity))
+#: Tables with a folder for each date.
+DATED = ("positions_clean", "positions_silver", "fact_positions", *(name for name, _ in AGGREGATES))
+
+
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def _rows(obs: Observation) -> int:
+    """Rows counted by an observation; 0 where Spark knew the frame to be empty and dropped it from the plan."""
+    try:
+        return obs.get.get("rows", 0)
+    except Py4JJavaError:
+        return 0
+
+
 def run_positions(spark: SparkSession, raw: DataFrame, warehouse: str, run: str | None = None) -> dict:
     """raw positions -> store -> bronze -> silver -> fact -> dims and aggregates; returns row counts of the batch.
 
@@ -51,28 +67,30 @@ def run_positions(spark: SparkSession, raw: DataFrame, warehouse: str, run: str
     raw_o, raw_obs = _observed(raw, "raw")
     store = P.normalise_positions(raw_o).withColumn("event_date", F.to_date("event_datetime"))
     write_partitioned(store, own, ["event_date"], static=True)
-    dates = sorted({*before, *_dates_of(spark, own)})
+    now = _dates_of(spark, own)
+    dates = sorted({*before, *now})
+    for d in set(before) - set(now):  # rows taken back: a date that no run has any more goes downstream too
+        if not INC.matches(spark, f"{wh}/positions_raw/run=*/event_date={d}"):
+            INC.remove(spark, [f"{wh}/{t}/event_date={d}" for t in DATED])
     stored = spark.read.option("basePath", f"{wh}/positions_raw").parquet(f"{wh}/positions_raw/run=*")
-    of_dates = F.col("event_date").isin(dates) if dates else F.lit(False)
+    of_dates = F.col("event_date").isin(dates) if dates else F.col("event_date").isNull()
 
     clean_o, clean_obs = _observed(P.clean_positions(stored.filter(of_dates).drop("run", "event_date")), "clean")
-    _rebuild_dates(clean_o, f"{wh}/positions_clean", dates)
+    write_partitioned(clean_o, f"{wh}/positions_clean", ["event_date"])
     clean = read_positions_parquet(spark, f"{wh}/positions_clean", POSITIONS_CLEAN).filter(of_dates)
     silver_o, silver_obs = _observed(P.standardise_positions(clean), "silver")
-    _rebuild_dates(silver_o, f"{wh}/positions_silver", dates)
+    write_partitioned(silver_o, f"{wh}/positions_silver", ["event_date"])
     silver = spark.read.parquet(f"{wh}/positions_silver")
-    _rebuild_dates(P.build_fact(silver.filter(of_dates)), f"{wh}/fact_positions", dates)
+    write_partitioned(P.build_fact(silver.filter(of_dates)), f"{wh}/fact_positions", ["event_date"])
     fact = spark.read.parquet(f"{wh}/fact_positions").filter(of_dates)
 
     write_parquet(P.build_dim_aircraft(silver), f"{wh}/dim_aircraft")
     write_parquet(P.build_dim_dates(silver), f"{wh}/dim_dates")
     write_parquet(P.build_dim_time(spark), f"{wh}/dim_time")
-    for name, fn in (("agg_daily_traffic", A.agg_daily_traffic), ("agg_hourly_traffic", A.agg_hourly_traffic),
-                     ("agg_altitude_distribution", A.agg_altitude_distribution),
-                     ("agg_traffic_grid", A.agg_traffic_grid), ("agg_aircraft_activity", A.agg_aircraft_activity)):
-        _rebuild_dates(fn(fact), f"{wh}/{name}", dates)
-    return {"raw_rows": raw_obs.get["rows"], "clean_rows": clean_obs.get["rows"],
-            "silver_rows": silver_obs.get["rows"], "dates": len(dates)}
+    for name, fn in AGGREGATES:
+        write_partitioned(fn(fact), f"{wh}/{name}", ["event_date"])
+    return {"raw_rows": _rows(raw_obs), "clean_rows": _rows(clean_obs),
+            "silver_rows": _rows(silver_obs), "dates": len(dates)}
 
 
 def _dates_of(spark: SparkSession, path: str) -> list:
@@ -80,15 +98,6 @@ def _dates_of(spark: SparkSession, path: str) -> list:
     return [dt.date.fromisoformat(d) for d in INC.partitions(spark, path, "event_date")]
 
 
-def _rebuild_dates(df: DataFrame, path: str, dates: list) -> None:
-    """Replace the partitions of ``dates``; one that has no rows any more goes too."""
-    seen = Observation()
-    df = df.observe(seen, F.collect_set("event_date").alias("dates"))
-    write_partitioned(df, path, ["event_date"])
-    written = set(seen.get["dates"])
-    INC.remove(df.sparkSession, [f"{path}/event_date={d}" for d in dates if d not in written])
-
-
 def run_flights(spark: SparkSession, raw_flights: DataFrame, warehouse: str, loaded_at: str,
                 calendar: tuple[str, str] | None = None, incremental: bool = True) -> dict:
     """flights -> staging -> airports, calendar -> fct_flights.
@@ -124,7 +133,7 @@ def run_flights(spark: SparkSession, raw_flights: DataFrame, warehouse: str, loa
     write_parquet(runs, INC.version_path(ledgers, version))
     write_parquet(histogram, INC.version_path(histograms, version))
     ranked = FL.with_duration_rank(base, spark.read.parquet(INC.version_path(histograms, version)))
-    return {"stg_rows": stg_obs.get["rows"], "fct_path": INC.commit_version(spark, ranked, table, version)}
+    return {"stg_rows": _rows(stg_obs), "fct_path": INC.commit_version(spark, ranked, table, version)}
 
 
 def run_tag(ts: str) -> str:

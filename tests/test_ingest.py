@@ -127,7 +127,7 @@ def test_csv_round_trip_and_partitioned_sink(spark, scratch):
     clean = P.clean_positions(FI.read_positions_csv(spark, csv_dir))
     assert clean.count() == 2
     out = os.path.join(scratch, "clean")
-    SK.write_partitioned(clean, out, ["event_date"], files_per_partition=2)
+    SK.write_partitioned(clean, out, ["event_date"])
     assert sorted(d for d in os.listdir(out) if d.startswith("event_date=")) == [
         "event_date=2023-11-14", "event_date=2023-11-15"]
     back = FI.read_positions_parquet(spark, out)

@@ -12,7 +12,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from aerolake.plans import registry  # noqa: E402
 from aerolake.session import get_session  # noqa: E402
 
 
@@ -27,7 +27,7 @@ def main():
              "BNLJ = nested-loop joins (only against one-row totals); partial limit = `WindowGroupLimit` before a shuffle.", "",
              "| Query | Shuffles | Reused | SMJ | BHJ | BNLJ | Partial limit | Scans | Pushed range filters |",
              "| --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
-    for name, q in E.queries().items():
+    for name, q in registry.queries().items():
         plan = q(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         shuffles = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|RoundRobinPartitioning|SinglePartition)", plan))
         pushed = sorted(set(re.findall(r"(GreaterThanOrEqual|LessThan|GreaterThan|EqualTo)\((\w+),", plan)))

@@ -19,7 +19,14 @@ BLANKS = b" \t\n\x0b\x0c\r"
 _GOLD = 0x9E3779B97F4A7C15
 
 
+#: Rows and bytes of whole texts that travel to a Python worker at once; several workers share an executor.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16777216"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the given folder; the session is told to send texts to Python in small batches."""
+    for key, value in BATCH.items():
+        spark.conf.set(key, value)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

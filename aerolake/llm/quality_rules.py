@@ -5,8 +5,8 @@ Two multinomials over hashed word uni- and bigrams are counted in Spark: one ove
 log ratio of its n-grams, log p_trusted - log p_raw, against a fixed threshold; plain rules on
 length and repetition come first.
 
-Raw counts cover all documents.  The trusted counts come from at most ``max_trusted`` labelled rows
-(the smallest ids in a fixed hash order), a bound that keeps their join a broadcast of ids.
+Raw counts cover all documents, trusted counts all documents with a trusted label: a plain join by id, of which each task
+adds up its own rows.  Only a caller that names ``max_trusted`` gets fewer (the smallest ids in a fixed hash order).
 
 Defined results: null text counts as empty; an empty text has score 0.0 and fails the length rule;
 repeated rows are judged one by one; null ids are kept and returned; an empty table gives no rows;
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from .text import BLANKS, Chunk, Words, byte_set, chunks, covered, inside_row, mix, split_words, window_hashes, word_hashes
 
 BUCKETS = 1 << 16
-MAX_TRUSTED = 20_000
 THRESHOLD = -0.05
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -55,11 +54,12 @@ def gram_counts(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED) -> np.ndarray:
+def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_trusted: int | None = None) -> np.ndarray:
     """log p_trusted - log p_raw per bucket, both smoothed by one raw-shaped pseudo count per bucket."""
-    ids = (labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted))
-    trusted = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
+    ids = labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    if max_trusted is not None:
+        ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted)
+    trusted = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     both = [np.zeros(buckets), np.zeros(buckets)]
     for out, frame in zip(both, (docs, trusted)):
         for bucket, n in gram_counts(frame, buckets).collect():  # at most one row per bucket
@@ -101,7 +101,7 @@ def measure(chunk: Chunk, ratios: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED,
+def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_trusted: int | None = None,
           threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: base figures, base_failed, score and kept."""
     ratios = log_ratios(docs, labels, buckets, max_trusted)

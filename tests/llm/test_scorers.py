@@ -159,6 +159,17 @@ def test_ratio_against_plain_counting(spark, table):
     assert np.allclose(ratios, np.log((good + buckets * p) / (good.sum() + buckets)) - np.log(p))
 
 
+def test_every_trusted_document_counts(spark):
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "concat('w', pmod(hash(id), 90), ' v', pmod(id, 7)) AS text")
+    labels = docs.selectExpr("doc_id", "1 AS quality")
+    buckets = 64
+    raw = np.zeros(buckets)
+    for bucket, n in quality_rules.gram_counts(docs, buckets).collect():
+        raw[bucket] = n
+    p = (raw + 1) / (raw.sum() + buckets)
+    assert np.allclose(quality_rules.log_ratios(docs, labels, buckets), np.log((raw + buckets * p) / (raw.sum() + buckets)) - np.log(p))
+
+
 def test_quality_rules_keep_clean_documents(spark):
     docs, labels = read(spark, SF, "documents"), read(spark, SF, "labels")
     y = {r.doc_id: r.quality for r in labels.collect()}

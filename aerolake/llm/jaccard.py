@@ -10,13 +10,14 @@ Two texts link when 100 * |intersection| >= percent * |union|.
 3. Each index list is led by one of its sets, picked by one of ``LEADERS`` hash orders, so that a family of
    similar sets shares a few leaders.  A leader's answers are computed exactly for its whole list (as far as
    the bounds on size and position allow any link).
-4. Sets that the leaders' answers already connect need nothing more: a list of one component is skipped.  In
-   the other lists the answers of any two sets of different components are derived from their overlaps
+4. In each list the answers of any two sets are derived from their overlaps
    with the leader, which bound theirs from both sides; lists are walked by blocks in order of size, and a block is skipped
    when its sizes or positions rule out every link.  Only pairs that the bounds leave open are computed.
    Before whole sets are fetched for a pair, their parity bitmaps (one to two bits a shingle) give a floor of
    the sets' difference; most pairs that merely share a passage end there.
-5. Links of 3 and 4 give the components; no link that would join two components is lost.
+5. 3 and 4 give every link of two different sets: the number of links of each row, and the components.
+   ``one_of_each`` needs the components alone; only there, sets that the leaders' answers already connect are not
+   compared any further, and a list of one component is skipped.
 
 Sets are told apart by 64-bit hashes of shingles and of sets.  Defined results: null, empty and blank texts have the
 empty set and link with nothing, not even each other; copies of a row link; null doc_ids are kept and don't name
@@ -260,11 +261,11 @@ def list_pairs(length: np.ndarray, begin: np.ndarray, n: np.ndarray, left: np.nd
                     yield one[one < two], two[one < two]
 
 
-def cross_pairs(index: DataFrame, percent: int) -> DataFrame:
-    """a, b, sure for the pairs of lists that span components, as far as they lie in different ones and may link.
+def list_links(index: DataFrame, percent: int, every: bool) -> DataFrame:
+    """a, b, sure, bridge for the pairs of lists that may link; without ``every`` only those of different components.
 
     ``index`` has shingle, n, place, node, component, lead_n, with_lead (overlap with the list's leader, -1 if not
-    computed) and bits.  sure: the overlaps with the leader prove the link.
+    computed) and bits.  sure: the overlaps with the leader prove the link.  bridge: the components differ.
     """
 
     def run(batches):
@@ -273,25 +274,36 @@ def cross_pairs(index: DataFrame, percent: int) -> DataFrame:
             left = n - place
             begin = np.flatnonzero(np.concatenate([[True], shingle[1:] != shingle[:-1]]))
             for i, j in list_pairs(np.diff(np.append(begin, len(n))), begin, n, left, percent):
-                use = (component[i] != component[j]) & linked(n[i], n[j], np.minimum(left[i], left[j]), percent)
+                use = linked(n[i], n[j], np.minimum(left[i], left[j]), percent)
+                if not every:
+                    use &= component[i] != component[j]
                 i, j = i[use], j[use]
-                total, u, v = n[i] + n[j], with_lead[i], with_lead[j]
+                u, v = with_lead[i], with_lead[j]
                 known = (u >= 0) & (v >= 0)
                 most = np.minimum(u, v) + np.minimum(n[i] - u, n[j] - v)
                 sure = known & linked(n[i], n[j], u + v - lead_n[i], percent)
-                use = sure | ~known | linked(n[i], n[j], most, percent)
-                floor = np.fromiter(map(least_difference, bits[i], bits[j]), np.int64, len(i))
-                use &= (100 + percent) * floor <= (100 - percent) * total
+                open_ = np.flatnonzero(~sure & (~known | linked(n[i], n[j], most, percent)))
+                floor = np.fromiter(map(least_difference, bits[i[open_]], bits[j[open_]]), np.int64, len(open_))
+                use = sure.copy()
+                use[open_] = (100 + percent) * floor <= (100 - percent) * (n[i] + n[j])[open_]
                 if use.any():
-                    one, two = node[i[use]], node[j[use]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(sure[use])], ["a", "b", "sure"])
+                    i, j = i[use], j[use]
+                    one, two = node[i], node[j]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(sure[use]), pa.array(component[i] != component[j])],
+                                                     ["a", "b", "sure", "bridge"])
 
     ordered = index.select("shingle", "n", "place", "node", "component", "lead_n", "with_lead", "bits").repartition("shingle").sortWithinPartitions("shingle", "n", "node")
-    return ordered.mapInArrow(run, "a long, b long, sure boolean").groupBy("a", "b").agg(F.max("sure").alias("sure"))
+    return ordered.mapInArrow(run, "a long, b long, sure boolean, bridge boolean").groupBy("a", "b").agg(F.max("sure").alias("sure"), F.first("bridge").alias("bridge"))
 
 
 def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """a, b: links of nodes, enough of them to connect all that is connected; ``rows`` as of ``rows_with_nodes``."""
+    """a, b (a < b): all links of distinct nodes, each once; ``rows`` as of ``rows_with_nodes``."""
+    return node_links(docs, rows, size, percent, every=True).select("a", "b")
+
+
+def node_links(docs: DataFrame, rows: DataFrame, size: int, percent: int, every: bool) -> DataFrame:
+    """a, b (a < b), bridge: links of distinct nodes, each once.  Those with bridge connect all that is connected; without
+    ``every`` the others are left out."""
     counts = sketch(docs.select("text"), lambda batch: (sets_of(c, size)[0] for c in chunks(batch.column(0))))
     index = checkpointed(index_lists(postings(docs, counts, size, percent)))
     nodes = checkpointed(rows.join(index.select("node").distinct(), "node", "left_semi").select("node", "n_shingles", "bits").dropDuplicates(["node"]))
@@ -302,38 +314,56 @@ def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, percent: int =
     first = star.filter(linked(F.col("a_n"), F.col("b_n"), F.col("overlap"), percent)).select("a", "b")
     label = connected_components(first)
     rest = index.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rest.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("shingle")
+    if not every:
+        mixed = rest.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("shingle")
+        rest = rest.join(mixed, "shingle", "left_semi")
     answers = star.select(F.col("a").alias("lead"), F.col("b").alias("node"), "overlap")
-    rest = rest.join(mixed, "shingle", "left_semi").join(answers, ["lead", "node"], "left").withColumn(
+    rest = rest.join(answers, ["lead", "node"], "left").withColumn(
         "with_lead", F.when(F.col("lead") == F.col("node"), F.col("n")).otherwise(F.coalesce("overlap", F.lit(-1))))
-    pairs = checkpointed(cross_pairs(rest.join(nodes.select("node", "bits"), "node"), percent))
+    pairs = checkpointed(list_links(rest.join(nodes.select("node", "bits"), "node"), percent, every))
     done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    fresh = pairs.filter("NOT sure").select("a", "b").join(done, ["a", "b"], "left_anti")
-    second = overlaps(fresh, nodes, docs, size, percent).filter(linked(F.col("a_n"), F.col("b_n"), F.col("overlap"), percent)).select("a", "b")
-    return checkpointed(first.unionAll(pairs.filter("sure").select("a", "b")).unionAll(second))
+    fresh = checkpointed(pairs.filter("NOT sure").join(done, ["a", "b"], "left_anti").select("a", "b", "bridge"))
+    second = overlaps(fresh.select("a", "b"), nodes, docs, size, percent).filter(linked(F.col("a_n"), F.col("b_n"), F.col("overlap"), percent)).select("a", "b")
+    starred = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(True).alias("bridge"))
+    found = starred.unionAll(pairs.filter("sure").select("a", "b", "bridge")).unionAll(second.join(fresh, ["a", "b"]).select("a", "b", "bridge"))
+    return checkpointed(found.groupBy("a", "b").agg(F.max("bridge").alias("bridge")))
 
 
-def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, copy (hash of the text), n_shingles, component (a node) of every row, written out."""
+def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, every: bool = True) -> DataFrame:
+    """doc_id, copy (hash of the text), n_shingles, component (a node) of every row, written out; with ``every`` also
+    n_links, the number of other rows that the row links with, copies included."""
     rows = checkpointed(rows_with_nodes(docs.select("doc_id", "text"), size))
-    label = connected_components(links(docs, rows, size, percent))
-    placed = rows.join(label, "node", "left")
-    return checkpointed(placed.select("doc_id", "copy", "n_shingles", F.coalesce("component", "node").alias("component")))
-
-
-def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id that links lead to) of every row."""
+    found = node_links(docs, rows, size, percent, every)
+    placed = rows.join(connected_components(found.filter("bridge")), "node", "left")
+    columns = ["doc_id", "copy", "n_shingles", F.coalesce("component", "node").alias("component")]
+    if every:
+        copies = checkpointed(rows.filter("n_shingles > 0").groupBy("node").agg(F.count(F.lit(1)).alias("copies")))
+        ends = found.select("a", "b").unionAll(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = ends.join(copies.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("near"))
+        total = copies.join(near, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
+        placed = placed.join(total, "node", "left")
+        columns.append(F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return checkpointed(placed.select(*columns))
+
+
+def counted(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id that links lead to), n_links (other rows it links with) of every row."""
     placed = classes(docs, size, percent)
     low = checkpointed(placed.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("low")))
     empty = F.col("n_shingles") == 0
     return placed.join(low, "component", "left").select(
-        "doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("low")).alias("component_id"))
+        "doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("low")).alias("component_id"), "n_links")
+
+
+def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``counted`` in the three columns of the oracle."""
+    return counted(docs, size, percent).drop("n_links")
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row, with all its columns, of each component: the smallest doc_id, nulls last; texts without words all stay."""
     has_words = F.coalesce(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
-    placed = classes(docs.filter(has_words), size, percent)
+    placed = classes(docs.filter(has_words), size, percent, every=False)
     kept = placed.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "copy")).alias("k")).select(
         F.col("k.doc_id").alias("kept_id"), F.col("k.copy").alias("kept_copy"))
     keys = docs.filter(has_words).withColumn("kept_copy", F.xxhash64("text"))

@@ -48,6 +48,10 @@ def op9_jaccard_join(spark, sf_dir):
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_links(spark, sf_dir):
+    return jaccard.counted(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark, sf_dir):
     pieces, byte_score = token_counts.load_pieces(public_tokenizers.path("piece_bpe_32k.model"))
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), pieces, byte_score)
@@ -63,6 +67,7 @@ QUERIES = {
     "op7_byte_bpe": op7_byte_bpe,
     "op8_quality_rules": op8_quality_rules,
     "op9_jaccard_join": op9_jaccard_join,
+    "op9_jaccard_links": op9_jaccard_links,
     "op10_token_counts": op10_token_counts,
 }
 ORACLES: dict[str, str] = {

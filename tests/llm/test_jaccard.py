@@ -58,6 +58,33 @@ def test_chains_and_many_variants(table):
     assert sorted((tuple(r) for r in jaccard.join(table(rows)).collect()), key=str) == brute(rows)
 
 
+def all_links(rows):
+    sets = list(sets_of(rows))
+    return [(a, b) for a in range(len(rows)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * max(1, len(sets[a] | sets[b]))]
+
+
+@pytest.mark.parametrize("block", [2, 128])
+def test_every_link_counts(table, odd_rows, monkeypatch, block):
+    """A family of near copies under few leaders, copies of rows, and chains: links inside a component count as well."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    words = [f"w{i}" for i in range(120)]
+    family = [" ".join(words[:i] + [f"v{i}"] + words[i + 1:]) for i in range(0, 120, 4)]
+    texts = [*family, *family[:3], *(" ".join(words[i:i + 90]) for i in range(0, 30, 2)), *(t for _, t in variants(7, 100)), *(t for _, t in odd_rows)]
+    rows = list(enumerate(texts))
+    expected = [0] * len(rows)
+    for a, b in all_links(rows):
+        expected[a] += 1
+        expected[b] += 1
+    got = jaccard.counted(table(rows))
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+    assert {r.doc_id: r.n_links for r in got.collect()} == dict(enumerate(expected))
+    nodes = jaccard.rows_with_nodes(table(rows).select("doc_id", "text"), jaccard.SHINGLE)
+    node = {r.doc_id: r.node for r in nodes.collect()}
+    pairs = [(r.a, r.b) for r in jaccard.links(table(rows), nodes).collect()]
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) == {(min(node[a], node[b]), max(node[a], node[b])) for a, b in all_links(rows) if node[a] != node[b]}
+
+
 def test_small_blocks_give_the_same(table, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 2)
     rows = list(variants(5, 150, "abc"))

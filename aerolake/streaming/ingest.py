@@ -12,6 +12,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+RETENTION = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+def _run(spark: SparkSession, start: Callable[[], StreamingQuery]) -> dict:
+    """Start a query and wait for its end; input rows and batches of all its triggers.
+
+    Spark keeps the latest progress reports only; for the length of the run it keeps them all (one small report a trigger).
+    """
+    kept = spark.conf.get(RETENTION)
+    spark.conf.set(RETENTION, str(2**31 - 1))
+    try:
+        q = start()
+        q.awaitTermination()
+        reports = q.recentProgress
+    finally:
+        spark.conf.set(RETENTION, kept)
+    return {"input_rows": sum(int(p.get("numInputRows", 0)) for p in reports), "batches": len(reports)}
 
 
 def read_new_files(spark: SparkSession, src: str, schema: T.StructType, fmt: str = "json",
@@ -37,10 +56,7 @@ def ingest_files(spark: SparkSession, src: str, schema: T.StructType, out: str,
     w = df.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.trigger(availableNow=True).start(out)
-    q.awaitTermination()
-    rows = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
-    return {"input_rows": rows, "batches": len(q.recentProgress)}
+    return _run(spark, lambda: w.trigger(availableNow=True).start(out))
 
 
 def upsert_files(spark: SparkSession, src: str, schema: T.StructType, checkpoint: str,
@@ -52,8 +68,5 @@ def upsert_files(spark: SparkSession, src: str, schema: T.StructType, checkpoint
     df = read_new_files(spark, src, schema, fmt, options)
     if transform is not None:
         df = transform(df)
-    q = (df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    rows = sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
-    return {"input_rows": rows, "batches": len(q.recentProgress)}
+    w = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
+    return _run(spark, lambda: w.trigger(availableNow=True).start())

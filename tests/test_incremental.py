@@ -70,6 +70,27 @@ def test_ingest_only_new_files(spark, scratch):
     assert r3["input_rows"] == 0 and spark.read.parquet(out).count() == 3
 
 
+def test_every_trigger_is_counted(spark, scratch):
+    src = os.path.join(scratch, "many")
+    os.makedirs(src)
+    for i in range(6):
+        with open(os.path.join(src, f"f{i}.json"), "w") as f:
+            f.write(json.dumps({"k": i}))
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        got = ING.ingest_files(spark, src, spark.createDataFrame([], "k long").schema, os.path.join(scratch, "many_out"),
+                               os.path.join(scratch, "many_ck"), max_files_per_trigger=1)
+        up = ING.upsert_files(spark, src, spark.createDataFrame([], "k long").schema, os.path.join(scratch, "many_ck2"),
+                              lambda df, batch: None, options={"maxFilesPerTrigger": "1"})
+        assert spark.conf.get(key) == "2"
+    finally:
+        spark.conf.set(key, before)
+    assert got["input_rows"] == 6 and got["batches"] >= 6
+    assert up["batches"] >= 6
+
+
 def test_upsert_stream_into_versions(spark, scratch):
     src, base, ck = (os.path.join(scratch, n) for n in ("src2", "tbl", "ck2"))
     os.makedirs(src)

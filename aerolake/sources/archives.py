@@ -6,7 +6,8 @@ Two stages, so that one huge archive is not decompressed by a single task:
    seeks over member data), emitting (archive, member, offset, size) for members named
    ``./traces/*.json``.
 2. ``read_members``: members are spread round-robin over tasks; each task seeks to its byte
-   ranges, reads and gunzips them.  A member that fails to decompress yields an error row.
+   ranges, reads and gunzips them.  A member that fails to decompress, or isn't a JSON trace
+   document, yields an error row.
 
 The driver only lists archive paths; no archive content passes through it.
 """
@@ -20,6 +21,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from aerolake.schemas import RAW_TRACE
 
 MEMBER_PREFIX, MEMBER_SUFFIX = "./traces/", ".json"
 MEMBERS_SCHEMA = "archive string, member string, offset long, size long, error string"
@@ -109,7 +113,17 @@ def read_trace_archives(spark: SparkSession, paths: DataFrame | list[str]) -> Da
     members = list_members(spark, paths)
     n = max(1, spark.sparkContext.defaultParallelism)
     spread = members.repartition(n * 4).sortWithinPartitions("archive", "offset")
-    return spread.mapInPandas(_read_members, DOCS_SCHEMA)
+    return flag_invalid(spread.mapInPandas(_read_members, DOCS_SCHEMA))
+
+
+def flag_invalid(docs: DataFrame) -> DataFrame:
+    """``docs`` with an error on each document that is no JSON, or whose header or points don't parse: such a document
+    yields no positions.  One that parses, but lacks a field, is left to the guards of ``flatten_traces``."""
+    schema = T.StructType([*RAW_TRACE.fields, T.StructField("_corrupt", T.StringType())])
+    d = F.from_json("doc", schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    unread = d["icao"].isNull() | d["timestamp"].isNull() | d["trace"].isNull()
+    invalid = F.col("error").isNull() & F.col("doc").isNotNull() & (d.isNull() | (d["_corrupt"].isNotNull() & unread))
+    return docs.withColumn("error", F.when(invalid, F.lit("invalid JSON document")).otherwise(F.col("error")))
 
 
 def ingest_counters(docs: DataFrame, positions: DataFrame) -> DataFrame:

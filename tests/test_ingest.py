@@ -97,6 +97,18 @@ def test_trace_archives(spark, scratch):
     assert (c.documents, c.invalid_files, c.rows, c.aircraft) == (1, 1, 1, 1)
 
 
+def test_members_that_are_no_json_are_errors(spark, scratch):
+    good = _doc("3c6444", 1700000000.0, [[1.0, 50.0, 8.0, 100]])
+    texts = {"good": json.dumps(good), "cut": json.dumps(good)[:-20], "words": "not json", "empty": "", "null": "null", "number": "17", "list": "[1, 2]",
+             "base": json.dumps({**good, "timestamp": "soon"}), "points": json.dumps({**good, "trace": "none"}), "bare": "{}"}
+    _tar(os.path.join(scratch, "j.tar"), [(f"./traces/{k}.json", gzip.compress(v.encode())) for k, v in texts.items()])
+    docs = AR.read_trace_archives(spark, [os.path.join(scratch, "j.tar")])
+    bad = {r.member for r in docs.filter("error IS NOT NULL").collect() if r.archive.endswith("j.tar")}
+    assert bad == {f"./traces/{k}.json" for k in texts if k not in ("good", "bare")}
+    c = AR.ingest_counters(docs, flatten_traces(parse_trace_documents(docs.filter("error IS NULL")))).first()
+    assert (c.documents, c.invalid_files, c.rows, c.aircraft) == (2, 8, 1, 1)
+
+
 def test_json_file_readers(spark, scratch):
     sdir = os.path.join(scratch, "states")
     os.makedirs(sdir)

@@ -65,17 +65,19 @@ def derive_position_columns(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFr
     return out.select(*POSITIONS_CLEAN_COLUMNS, *keep)
 
 
-def clean_positions(raw: DataFrame) -> DataFrame:
+def clean_positions(raw: DataFrame, within_date: bool = False) -> DataFrame:
     """Type normalisation, key/geo validity filter, dedup on (icao24, event_timestamp), derived
     date/hour/band, fixed column order (the historical processing job).
 
     Dedup keeps the earliest event_datetime of each key; ties are broken by every remaining column, so
-    the result doesn't depend on input order; the key is normalised (upper/trim) before dedup.
+    the result doesn't depend on input order; the key is normalised (upper/trim) before dedup.  ``within_date``
+    decides each key within its date, so that dates cleaned together or one by one give the same.
     """
     typed = normalise_positions(raw)
+    date = [F.to_date("event_datetime")] if within_date else []
     # Top-1 per key: Catalyst plans a partial WindowGroupLimit before the shuffle, so copies
     # collapse map-side and a heavily duplicated key never travels whole.
-    w = Window.partitionBy("icao24", "event_timestamp").orderBy(
+    w = Window.partitionBy("icao24", "event_timestamp", *date).orderBy(
         F.col("event_datetime").asc(), F.col("latitude").asc_nulls_last(), F.col("longitude").asc_nulls_last(),
         F.col("altitude_ft").asc_nulls_last(), F.col("callsign").asc_nulls_last(),
         F.col("squawk").asc_nulls_last(), F.col("registration").asc_nulls_last(),

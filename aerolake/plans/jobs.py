@@ -75,7 +75,7 @@ def run_positions(spark: SparkSession, raw: DataFrame, warehouse: str, run: str
     stored = spark.read.option("basePath", f"{wh}/positions_raw").parquet(f"{wh}/positions_raw/run=*")
     of_dates = F.col("event_date").isin(dates) if dates else F.col("event_date").isNull()
 
-    clean_o, clean_obs = _observed(P.clean_positions(stored.filter(of_dates).drop("run", "event_date")), "clean")
+    clean_o, clean_obs = _observed(P.clean_positions(stored.filter(of_dates).drop("run", "event_date"), within_date=True), "clean")
     write_partitioned(clean_o, f"{wh}/positions_clean", ["event_date"])
     clean = read_positions_parquet(spark, f"{wh}/positions_clean", POSITIONS_CLEAN).filter(of_dates)
     silver_o, silver_obs = _observed(P.standardise_positions(clean), "silver")

@@ -214,6 +214,26 @@ def test_positions_accumulate_by_date(spark, scratch):
     assert spark.read.parquet(f"{cut}/agg_daily_traffic").filter(F.col("event_date") == day).isEmpty()
 
 
+def test_keys_are_decided_within_their_date(spark, scratch):
+    """Null timestamps on two dates: one run or two leave the same rows, one a date."""
+    from pyspark.sql import functions as F
+    raw = Models(spark, SF_SMALL).positions_raw
+    first = raw.select(F.to_date(F.min("event_datetime"))).first()[0]
+    day = F.to_date("event_datetime")
+    raw = raw.filter(day < F.date_add(F.lit(first), 2)).withColumn("icao24", F.lit("abc123"))
+    raw = raw.withColumn("event_timestamp", F.lit(None).cast(raw.schema["event_timestamp"].dataType)).cache()
+    one, cut = os.path.join(scratch, "one_date"), os.path.join(scratch, "cut_date")
+    jobs.run_positions(spark, raw, one, "a")
+    jobs.run_positions(spark, raw.filter(day == F.lit(first)), cut, "a")
+    jobs.run_positions(spark, raw.filter(day != F.lit(first)), cut, "b")
+
+    def rows(wh):
+        df = spark.read.parquet(f"{wh}/positions_clean")
+        return sorted(map(str, df.select(*sorted(df.columns)).collect()))
+
+    assert len(rows(one)) == 2 and rows(one) == rows(cut)
+
+
 def test_dedup_does_not_depend_on_input_order(spark):
     from pyspark.sql import functions as F
     from aerolake.operators import flights as FL

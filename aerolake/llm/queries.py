@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, decontaminate, jaccard, quality_rules, quality_trees, secrets, substring, token_counts, toxicity, warc
+from . import alignment, bpe, decontaminate, divergence, jaccard, mixing, quality_rules, quality_trees, secrets, substring, token_counts, toxicity, warc
 from .text import table
 
 
@@ -57,6 +57,19 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), pieces, byte_score)
 
 
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark, sf_dir):
+    both = alignment.load(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.figures(table(spark, sf_dir, "documents"), both)
+
+
+def op13_lm_scoring(spark, sf_dir):
+    return mixing.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_classifier": op2_quality_classifier,
@@ -69,6 +82,9 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op9_jaccard_links": op9_jaccard_links,
     "op10_token_counts": op10_token_counts,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_lm_scoring": op13_lm_scoring,
 }
 ORACLES: dict[str, str] = {
     "op4_warc_revisits": r"""
@@ -127,4 +143,24 @@ ORACLES: dict[str, str] = {
         reach(doc_id, low) AS (SELECT doc_id, doc_id FROM documents UNION SELECT b, low FROM reach JOIN links ON a = reach.doc_id)
         SELECT w.doc_id, coalesce(max(n), 0) AS n_shingles, min(low) AS component_id
         FROM w LEFT JOIN sizes USING (doc_id) JOIN reach USING (doc_id) GROUP BY w.doc_id""",
+    "op11_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        t AS (SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+        c AS (SELECT lang, source, term, count(*) AS n, any_value(lang_n) AS lang_n FROM w JOIN t USING (lang, term) GROUP BY lang, source, term),
+        g AS (SELECT lang, source, CAST(coalesce(sum(n), 0) AS BIGINT) AS total FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY lang, source),
+        l AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM t GROUP BY lang),
+        p AS (SELECT g.lang, g.source, t.term, coalesce(n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(n, 0) + 1) // (total + v) AS p,
+                     1 + 1000000000::HUGEINT * (t.lang_n + 1) // (lang_total + v) AS q
+              FROM g JOIN l ON l.lang = g.lang JOIN t ON t.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term),
+        pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+                  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, CAST(sum((x.p - y.p) * (x.p - y.p) // y.p) AS BIGINT) AS value
+                             FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY x.lang, x.source, y.source) s
+                  ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+        ranked AS (
+            SELECT lang, source, 'pair' AS part, item, value FROM pairs
+            UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM p WHERE n > 0 AND p > q),
+        placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM ranked)
+        SELECT lang, source, part, item, value, rank FROM placed WHERE part = 'pair' OR rank <= 200""",
 }

@@ -6,6 +6,7 @@ Used inside tasks only: Spark splits the table, each task walks its rows in chun
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,9 +50,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def held_out(doc_id: Column) -> Column:
-    """True for the fold from which no labels are learnt: crc32 of the id's text is a multiple of 5."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+def written(df: DataFrame) -> DataFrame:
+    """Write a table of its own in the shared folder and read it back: like ``checkpointed``, but compressed, and read by columns."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def held_out(doc_id: Column, remainder: int = 0) -> Column:
+    """True for the fold from which nothing is learnt: crc32 of the id's text modulo 5; a null id is never held out."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == remainder, F.lit(False))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -190,3 +198,11 @@ def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+def slices(data: np.ndarray, start: np.ndarray, end: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """data[start[w]:end[w]] of every w as an Arrow array of strings or binaries."""
+    length = end - start
+    offsets = np.concatenate([[0], np.cumsum(length)])
+    inner = np.arange(offsets[-1]) - np.repeat(offsets[:-1], length)
+    return pa.Array.from_buffers(kind, len(start), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[np.repeat(start, length) + inner].tobytes())])

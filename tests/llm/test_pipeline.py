@@ -40,4 +40,4 @@ def test_each_stage_decides_on_its_own_input(spark):
 
 def test_entry_lists_every_operator():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{n}" for n in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{n}" for n in range(1, 14)}

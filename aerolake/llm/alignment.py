@@ -19,11 +19,13 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
 import re
-from itertools import chain
+from array import array
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +36,9 @@ from pyspark.sql import functions as F
 from .blocks import BLOCK_BYTES, Numbers, int_list, look_up, packed, unpacked
 from .text import chunks, word_hashes, written
 
-#: Units that a task remembers, and ids of the second tokenizer are below this in a pair's code.
+#: Units that a task remembers.
 CACHE_UNITS = 1 << 19
-SECOND = 1 << 32
+#: Added to the count of a pair that is the best of its first id; a pair's code is its first id, shifted by 32 bits, and its second.
 BEST = 1 << 62
 
 
@@ -68,6 +70,7 @@ class Tokenizers:
             second = sentencepiece.SentencePieceProcessor(model_proto=self.files[1])
             letters = byte_of_letter()
             own = {i: bytes(letters[c] for c in p) for p, i in json.loads(self.files[0])["model"]["vocab"].items()}
+            own = [own.get(i, b"") for i in range(max(own, default=0) + 1)]
             names = [second.id_to_piece(i) for i in range(second.get_piece_size())]
             spelt = [bytes([int(p[3:5], 16)]) if second.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
             self.splits = not any(re.search("[^▁]▁", p) for p in names)
@@ -84,28 +87,20 @@ class Tokenizers:
         for unit, e, b in zip(units, one, two):
             a = e.ids
             b = b or [second.piece_to_id("▁")]  # a last blank alone: the library adds none to an empty text
-            x, y = [own.get(i, b"") for i in a], [spelt[i] for i in b]
+            x, y = [own[i] for i in a], [spelt[i] for i in b]
             if b"".join(x) != unit or b"".join(y) != unit:
                 out.append(None)
                 continue
-            out.append((a, b, ends(x), ends(y)))
+            out.append((a, b, [*accumulate(map(len, x))], [*accumulate(map(len, y))]))
         return out
 
 
-def ends(tokens: list[bytes]) -> list[int]:
-    at, out = 0, []
-    for t in tokens:
-        at += len(t)
-        out.append(at)
-    return out
-
-
 def align(a_ids: list[int], b_ids: list[int], a_ends: list[int], b_ends: list[int]) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int]]]:
     """Groups (slices lo:hi of both lists) between common ends, and all index pairs of tokens whose bytes overlap."""
-    in_a, in_b = {e: i for i, e in enumerate(a_ends)}, {e: i for i, e in enumerate(b_ends)}
+    in_a, in_b = dict(zip(a_ends, range(1, len(a_ids) + 1))), dict(zip(b_ends, range(1, len(b_ids) + 1)))
     groups, links, lo, low = [], [], 0, 0
     for end in sorted(in_a.keys() & in_b.keys()):
-        hi, high = in_a[end] + 1, in_b[end] + 1
+        hi, high = in_a[end], in_b[end]
         groups.append((lo, hi, low, high))
         i, j = lo, low
         while i < hi and j < high:  # inside a group exactly one of the two moves on, as no other end is common
@@ -117,7 +112,8 @@ def align(a_ids: list[int], b_ids: list[int], a_ends: list[int], b_ends: list[in
 
 
 def spelled(a_ids: list[int], b_ids: list[int], groups: list[tuple[int, int, int, int]]) -> str:
-    return ";".join(f"{','.join(map(str, a_ids[lo:hi]))}|{','.join(map(str, b_ids[low:high]))}" for lo, hi, low, high in groups)
+    return ";".join([f"{a_ids[lo]}|{b_ids[low]}" if hi - lo == high - low == 1 else
+                     f"{','.join(map(str, a_ids[lo:hi]))}|{','.join(map(str, b_ids[low:high]))}" for lo, hi, low, high in groups])
 
 
 def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -139,6 +135,13 @@ def aligned_blocks(docs: DataFrame, tokenizers: Tokenizers, block_bytes: int = B
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
+        gc.disable()  # a unit's numbers hold no cycles, and walking through all remembered ones took a third of the time
+        try:
+            yield from blocks(batches)
+        finally:
+            gc.enable()
+
+    def blocks(batches):
         numbers, memory = Numbers(), {}
         ids, figures, shas, rows, codes, times, size, first = [], [], [], [], [], [], 0, 0
 
@@ -180,7 +183,7 @@ def aligned_blocks(docs: DataFrame, tokenizers: Tokenizers, block_bytes: int = B
                         continue
                     groups, links = align(*found)
                     a, b = found[:2]
-                    memory[names[i]] = (len(a), len(b), len(groups), len(links)), spelled(a, b, groups), [a[x] * SECOND + b[y] for x, y in links]
+                    memory[names[i]] = (len(a), len(b), len(groups), len(links)), spelled(a, b, groups), array("q", [a[x] << 32 | b[y] for x, y in links])
                 known = [memory[h] for h in names]
                 kept = np.fromiter((k is not None for k in known), bool, len(known))
                 good = np.ones(chunk.rows, dtype=bool)
@@ -191,8 +194,9 @@ def aligned_blocks(docs: DataFrame, tokenizers: Tokenizers, block_bytes: int = B
                 for k in range(4):
                     total[:, k] = np.bincount(row, weights=of_unit[which, k], minlength=chunk.rows)
                 total[~good] = 0
-                border, order = np.searchsorted(row, np.arange(chunk.rows + 1)), which.tolist()
-                shas.append([hashlib.sha256(";".join([known[u][1] for u in order[border[i]:border[i + 1]]]).encode()).hexdigest() if good[i] else ""
+                border, order = np.searchsorted(row, np.arange(chunk.rows + 1)).tolist(), which.tolist()
+                of_name = [k[1] if k else "" for k in known].__getitem__
+                shas.append([hashlib.sha256(";".join(map(of_name, order[border[i]:border[i + 1]])).encode()).hexdigest() if good[i] else ""
                              for i in range(chunk.rows)])
                 # distinct units of each document, then distinct pairs of each document
                 there = good[row]

@@ -2,11 +2,11 @@
 
 Pre-tokens come from the JVM's regular expressions; a text with characters that the JVM's Unicode tables
 don't know yet is split in its task by the same pattern instead.  The distinct pre-tokens of the whole corpus are
-counted in Spark, and the most frequent ones (``max_words``, a bounded table) are encoded once by
+counted in Spark, and the most frequent ones (``max_words`` at most, of at most ``FOLD_BYTES`` bytes) are encoded once by
 Spark higher-order functions: a fold over the array of byte pieces that joins the best-ranked neighbours,
 looking ranks up in a literal map (split by crc32 into small maps, as Spark searches a map from front to end).  Tasks
-then map every pre-token of every text through that table; the remaining rare pre-tokens are folded by
-the same ranks where they occur, once per task and word.
+then map every pre-token of every text through that table; the remaining rare or long pre-tokens are folded by
+the same ranks where they occur, once per task and word (with a heap, so that a word of a million letters is no trouble).
 
 Defined results: null text counts as empty and has no ids; repeated rows are encoded one by one; null ids
 are kept; ids outside the vocabulary fail in ``decode``; an empty table gives no rows; other
@@ -16,9 +16,11 @@ columns, whatever their names, are ignored.
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 import json
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +29,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import written
+
 MAX_WORDS = 1 << 17
 RANK_MAPS = 1 << 13
 CACHE_WORDS = 1 << 18
+#: The fold by higher-order functions takes a step per byte and looks at all pairs in each.
+FOLD_BYTES = 32
 NO_RANK = 2 ** 31 - 1
 
 
@@ -39,14 +45,12 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in (x.split() for x in lines if x.strip())}
 
 
-def newer(text: Column) -> Column:
-    """The text if it has characters that the JVM takes for unassigned, else null."""
-    return F.when(F.regexp_like(text, F.lit(r"\p{Cn}")), text)
-
-
-def pre_tokens(text: Column, pattern: str) -> Column:
-    """All matches of the pattern, with Unicode meaning of its classes; null for a ``newer`` text."""
-    return F.when(newer(text).isNull(), F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + pattern), F.lit(0)))
+def pre_tokens(docs: DataFrame, pattern: str) -> DataFrame:
+    """``docs`` with column ``words``: all matches of the pattern, with Unicode meaning of its classes; null where ``newer`` has the text,
+    as it holds characters that the JVM takes for unassigned."""
+    known = docs.withColumn("newer", F.when(F.regexp_like(F.col("text"), F.lit(r"\p{Cn}")), F.col("text")))
+    found = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("(?U)" + pattern), F.lit(0))
+    return known.withColumn("words", F.when(F.col("newer").isNull(), found))
 
 
 def rank_literal(ranks: dict[bytes, int]) -> Column:
@@ -57,33 +61,36 @@ def rank_literal(ranks: dict[bytes, int]) -> Column:
     return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
 
 
+def bind(value: Column, body) -> Column:
+    """body(value), evaluating ``value`` once; a literal stands once in the plan."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def fold_merges(word: Column, ranks: Column) -> Column:
     """Array of ids of one pre-token, by higher-order functions only."""
+    data = word.cast("binary")
 
-    def rank(piece: Column) -> Column:
-        return F.coalesce(F.element_at(F.element_at(ranks, (F.crc32(piece) % RANK_MAPS + 1).cast("int")), F.hex(piece)), F.lit(NO_RANK))
+    def fold(maps: Column) -> Column:
+        def rank(piece: Column) -> Column:
+            return F.coalesce(F.element_at(F.element_at(maps, (F.crc32(piece) % RANK_MAPS + 1).cast("int")), F.hex(piece)), F.lit(NO_RANK))
 
-    def bind(value: Column, body) -> Column:
-        """body(value), evaluating ``value`` once."""
-        return F.element_at(F.transform(F.array(value), body), 1)
+        def merge(parts: Column, found: Column) -> Column:
+            best = F.array_min(found)
+            at = F.array_position(found, best).cast("int")
+            joined = F.concat(F.element_at(parts, at), F.element_at(parts, at + 1))
+            rest = F.slice(parts, at + 2, F.greatest(F.size(parts) - at - 1, F.lit(0)))
+            return F.when(best == NO_RANK, parts).otherwise(F.concat(F.slice(parts, F.lit(1), at - 1), F.array(joined), rest))
 
-    def merge(parts: Column, found: Column) -> Column:
-        best = F.array_min(found)
-        at = F.array_position(found, best).cast("int")
-        joined = F.concat(F.element_at(parts, at), F.element_at(parts, at + 1))
-        rest = F.slice(parts, at + 2, F.greatest(F.size(parts) - at - 1, F.lit(0)))
-        return F.when(best == NO_RANK, parts).otherwise(F.concat(F.slice(parts, F.lit(1), at - 1), F.array(joined), rest))
+        def step(parts: Column, _) -> Column:
+            pairs = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: rank(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1))))
+            return F.when(F.size(parts) < 2, parts).otherwise(bind(pairs, lambda found: merge(parts, found)))
 
-    def step(parts: Column, _) -> Column:
-        pairs = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: rank(F.concat(F.element_at(parts, i), F.element_at(parts, i + 1))))
-        return F.when(F.size(parts) < 2, parts).otherwise(bind(pairs, lambda found: merge(parts, found)))
+        length = F.octet_length(data)
+        single = F.transform(F.sequence(F.lit(1), length), lambda i: F.substring(data, i, F.lit(1)))
+        folded = F.aggregate(F.sequence(F.lit(1), length), single, step)
+        return bind(rank(data), lambda whole: F.when(whole != NO_RANK, F.array(whole)).otherwise(F.transform(folded, rank)))
 
-    data = word.cast("binary")
-    length = F.octet_length(data)
-    single = F.transform(F.sequence(F.lit(1), length), lambda i: F.substring(data, i, F.lit(1)))
-    folded = F.aggregate(F.sequence(F.lit(1), length), single, step)
-    whole = rank(data)
-    return F.when(whole != NO_RANK, F.array(whole)).otherwise(F.transform(folded, rank))
+    return bind(ranks, fold)
 
 
 def fold_rare(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -112,9 +119,19 @@ def fold_rare(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def frequent_words(docs: DataFrame, pattern: str, max_words: int) -> DataFrame:
-    """The most frequent distinct pre-tokens of the corpus, at most ``max_words``."""
-    words = docs.select(F.explode(pre_tokens(F.col("text"), pattern)).alias("word"))
-    return words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(max_words).select("word")
+    """The most frequent distinct pre-tokens of the corpus, at most ``max_words``, of at most FOLD_BYTES bytes.
+
+    A histogram of counts (eight classes an octave) gives the count from which all words fit; no task sorts them.
+    """
+    words = pre_tokens(docs.select("text"), pattern).select(F.explode("words").alias("word")).filter(F.octet_length("word") <= FOLD_BYTES)
+    counts = written(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).withColumn("class", F.floor(8 * F.log2("n")).cast("int")))
+    total, cut = 0, None
+    for r in counts.groupBy("class").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("class")).collect():  # some 500 rows at most
+        total += r.words
+        if total > max_words:
+            break
+        cut = r["class"]
+    return counts.filter(F.lit(cut is not None) & (F.col("class") >= (cut or 0))).select("word")
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: int = MAX_WORDS) -> DataFrame:
@@ -123,6 +140,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: in
     known = spread.select("word", fold_merges(F.col("word"), rank_literal(ranks)).alias("ids")).toArrow()  # max_words rows at most
 
     def run(batches):
+        gc.disable()  # the words' ids hold no cycles
+        try:
+            yield from encoded(batches)
+        finally:
+            gc.enable()
+
+    def encoded(batches):
         table = dict(zip(known.column("word").to_pylist(), known.column("ids").to_pylist()))
         rare: dict[str, list[int]] = {}
         for batch in batches:
@@ -132,8 +156,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: in
                 split = [regex.findall(pattern, batch.column(2)[i].as_py()) if not lists[i].is_valid else lists[i].as_py() for i in range(len(lists))]
                 lists = pa.array(split, pa.list_(pa.string()))
             first = lists.offsets.to_numpy()
-            while row < len(lists):  # some hundred thousand pre-tokens at a time
-                stop = max(row + 1, int(np.searchsorted(first, first[row] + 200_000, side="right")) - 1)
+            while row < len(lists):  # about a million pre-tokens at a time
+                stop = max(row + 1, int(np.searchsorted(first, first[row] + (1 << 20), side="right")) - 1)
                 coded = pc.dictionary_encode(lists.values[int(first[row]):int(first[stop])]) if first[stop] > first[row] else None
                 words = coded.dictionary.to_pylist() if coded is not None else []
                 ids = []
@@ -145,7 +169,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: in
                         found = rare[w] = fold_rare(w.encode("utf-8", "surrogatepass"), ranks)
                     ids.append(found)
                 size = np.fromiter(map(len, ids), np.int64, len(ids))
-                flat = np.fromiter((i for x in ids for i in x), np.int32, int(size.sum()))
+                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))
                 which = coded.indices.to_numpy() if coded is not None else np.zeros(0, np.int64)
                 ahead = np.cumsum(size) - size
                 each = size[which]
@@ -157,19 +181,26 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: in
                 row = stop
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    words = docs.select("doc_id", pre_tokens(F.col("text"), pattern).alias("words"), newer(F.col("text")).alias("newer"))
+    words = pre_tokens(docs.select("doc_id", "text"), pattern).select("doc_id", "words", "newer")
     return words.mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """The encoded rows with column ``bytes``: the binary pieces of their ids, concatenated."""
-    pieces = {rank: piece for piece, rank in ranks.items()}
+    by_rank = {rank: piece for piece, rank in ranks.items()}
+    pieces = pa.array([by_rank.get(i) for i in range(max(by_rank, default=-1) + 1)], pa.large_binary())
 
     def run(batches):
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index("ids"))
-            out = [b"".join([pieces[i] for i in lists[k].values.to_numpy().tolist()]) for k in range(len(lists))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "bytes"])
+            flat = pieces.take(lists.flatten())
+            if flat.null_count:
+                raise ValueError("ids outside the vocabulary")
+            _, where, data = flat.buffers()
+            ends = np.frombuffer(where, np.int64)[flat.offset:flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
+            rows = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+            whole = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(rows), data if data is not None else pa.py_buffer(b"")])
+            yield pa.RecordBatch.from_arrays([*batch.columns, whole.cast(pa.binary())], [*batch.schema.names, "bytes"])
 
     return encoded.mapInArrow(run, f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, ids array<int>, bytes binary")
 

@@ -57,3 +57,23 @@ def test_long_word_folds_in_time(ranks, library):
 
 def test_empty_table(table, ranks):
     assert bpe.digest(bpe.decode(bpe.encode(table([]), ranks, public_tokenizers.PATTERN), ranks)).count() == 0
+
+
+def test_production_path_takes_very_long_words(table, ranks, library):
+    """Few distinct words, so that all of them are frequent; the long ones must not enter the fold by functions."""
+    rows = [(1, "x" * 70_000), (2, "ab" * 500_000), (3, None), (4, "plain words, plain words"), (4, "plain words, plain words"), (5, "é" * 16 + " " + "é" * 17)]
+    got = {r.doc_id: r.ids for r in bpe.encode(table(rows), ranks, public_tokenizers.PATTERN).collect()}
+    assert got == {i: library.encode_ordinary(t or "") for i, t in rows}
+
+
+def test_cut_of_frequent_words_keeps_within_the_bound(table):
+    rows = [(i, " ".join(f"w{j}" for j in range(i))) for i in range(60)]
+    for most in (1, 5, 20, 1000):
+        assert bpe.frequent_words(table(rows), public_tokenizers.PATTERN, most).count() <= most
+    assert bpe.frequent_words(table(rows), public_tokenizers.PATTERN, 1000).count() == 2 + 59
+
+
+def test_unknown_ids_fail(spark, ranks):
+    for ids in ([1, 60_000], [-1]):
+        with pytest.raises(Exception):
+            bpe.decode(spark.createDataFrame([(1, ids)], "doc_id long, ids array<int>"), ranks).collect()

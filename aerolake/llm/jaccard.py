@@ -346,18 +346,22 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, every:
     return checkpointed(placed.select(*columns))
 
 
-def counted(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id that links lead to), n_links (other rows it links with) of every row."""
-    placed = classes(docs, size, percent)
+def named(placed: DataFrame, *more: str) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id that links lead to) of the rows of ``classes``, and the columns ``more``."""
     low = checkpointed(placed.filter("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("low")))
     empty = F.col("n_shingles") == 0
     return placed.join(low, "component", "left").select(
-        "doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("low")).alias("component_id"), "n_links")
+        "doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("low")).alias("component_id"), *more)
+
+
+def counted(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links (other rows it links with) of every row."""
+    return named(classes(docs, size, percent), "n_links")
 
 
 def join(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``counted`` in the three columns of the oracle."""
-    return counted(docs, size, percent).drop("n_links")
+    """doc_id, n_shingles, component_id of every row: membership in the classes that the links between representatives connect."""
+    return named(classes(docs, size, percent, every=False))
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -5,8 +5,9 @@ Two multinomials over hashed word uni- and bigrams are counted in Spark: one ove
 log ratio of its n-grams, log p_trusted - log p_raw, against a fixed threshold; plain rules on
 length and repetition come first.
 
-Raw counts cover all documents, trusted counts all documents with a trusted label: a plain join by id, of which each task
-adds up its own rows.  Only a caller that names ``max_trusted`` gets fewer (the smallest ids in a fixed hash order).
+Raw counts cover all documents, trusted counts all documents with a trusted label.  A sketch of the trusted ids keeps nearly all other
+texts from travelling; the rest go through a sort-merge join by id (the same plan at every size), after which each task
+adds up its own rows.
 
 Defined results: null text counts as empty; an empty text has score 0.0 and fails the length rule;
 repeated rows are judged one by one; null ids are kept and returned; an empty table gives no rows;
@@ -20,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .sketch import part, present
 from .text import BLANKS, Chunk, Words, byte_set, chunks, covered, inside_row, mix, split_words, window_hashes, word_hashes
 
 BUCKETS = 1 << 16
@@ -54,14 +56,17 @@ def gram_counts(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_trusted: int | None = None) -> np.ndarray:
-    """log p_trusted - log p_raw per bucket, both smoothed by one raw-shaped pseudo count per bucket."""
+def trusted_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """text of every row whose doc_id has a label of quality 1."""
     ids = labels.filter("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    if max_trusted is not None:
-        ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted)
-    trusted = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    likely = part(docs.select("text", "doc_id", F.xxhash64("doc_id").alias("key")), "key", present(ids.select(F.xxhash64("doc_id"))), True)
+    return likely.join(ids.hint("merge"), "doc_id", "left_semi").select("text")
+
+
+def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """log p_trusted - log p_raw per bucket, both smoothed by one raw-shaped pseudo count per bucket."""
     both = [np.zeros(buckets), np.zeros(buckets)]
-    for out, frame in zip(both, (docs, trusted)):
+    for out, frame in zip(both, (docs, trusted_texts(docs, labels))):
         for bucket, n in gram_counts(frame, buckets).collect():  # at most one row per bucket
             out[bucket] = n
     raw, good = both
@@ -101,10 +106,9 @@ def measure(chunk: Chunk, ratios: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_trusted: int | None = None,
-          threshold: float = THRESHOLD) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: base figures, base_failed, score and kept."""
-    ratios = log_ratios(docs, labels, buckets, max_trusted)
+    ratios = log_ratios(docs, labels, buckets)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def score(batches):

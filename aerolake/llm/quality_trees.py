@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", max_rows: i
                 rows = [pa.array(r) for r in statistics(chunk)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.first, chunk.rows), pa.array([r.to_pylist() for r in rows], pa.list_(pa.float64()))], ["y", "x"])
 
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample_labels(labels, column, max_rows)), "doc_id")
+    chosen = docs.select("doc_id", "text").join(F.broadcast(sample_labels(labels, column, max_rows)), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # one row an id
     rows = chosen.select("y", "text").mapInArrow(measure, "y int, x array<double>").collect()
     rows = sorted((r.y, tuple(r.x)) for r in rows)  # one order, however the tasks ended
     x, y = np.array([r[1] for r in rows], dtype=np.float64), np.array([r[0] for r in rows], dtype=np.float64)

@@ -164,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", max_rows: int
                 lists = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(x, pa.int32())) for x in (bucket, count)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.first, chunk.rows), *lists], ["y", "b", "c"])
 
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample_labels(labels, column, max_rows)), "doc_id")
+    chosen = docs.select("doc_id", "text").join(F.broadcast(sample_labels(labels, column, max_rows)), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # one row an id
     found = chosen.select("y", "text").mapInArrow(measure, "y int, b array<int>, c array<int>").toArrow()  # max_rows at most
     rows = []
     for batch in found.to_batches():

@@ -146,7 +146,7 @@ def test_ratio_against_plain_counting(spark, table):
     rows = [(1, "a b a"), (2, "b c"), (3, None)]
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     buckets = 64
-    ratios = quality_rules.log_ratios(table(rows), labels, buckets, 10)
+    ratios = quality_rules.log_ratios(table(rows), labels, buckets)
 
     def grams(text):
         chunk = chunk_of([text])
@@ -176,3 +176,46 @@ def test_quality_rules_keep_clean_documents(spark):
     rows = [r for r in quality_rules.judge(docs, labels).collect() if r.doc_id in y and not r.base_failed]
     assert np.mean([r.kept for r in rows if y[r.doc_id] == 1]) > 0.98
     assert np.mean([r.kept for r in rows if y[r.doc_id] == 0]) < 0.1
+
+
+def test_score_and_verdict_of_each_document(spark, table):
+    """Scores by plain counting of every document's uni- and bigrams."""
+    rng = __import__("random").Random(3)
+    words = [f"w{i}" for i in range(60)] + ["é", "#x"]
+    rows = [(i, " ".join(rng.choice(words[:30] if i % 3 else words) for _ in range(rng.randint(0, 60)))) for i in range(90)] + [(200, None), (7, "again " * 30)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(0, 80)] + [(None, 1)], "doc_id long, quality int")
+    trusted = {i for i in range(80) if i % 3}
+    grams = {}
+    for k, (_, text) in enumerate(rows):
+        chunk = chunk_of([text])
+        split = split_words(chunk)
+        grams[k] = quality_rules.gram_buckets(split, word_hashes(chunk.data, split.start, split.end), quality_rules.BUCKETS)[1].tolist()
+    raw, good = {}, {}
+    for k, (i, _) in enumerate(rows):
+        for b in grams[k]:
+            raw[b] = raw.get(b, 0) + 1
+            good[b] = good.get(b, 0) + (i in trusted)
+    n_raw, n_good, size = sum(raw.values()), sum(good.values()), quality_rules.BUCKETS
+    want = []
+    for k, (i, text) in enumerate(rows):
+        score = 0.0
+        for b in grams[k]:
+            p = (raw[b] + 1) / (n_raw + size)
+            score += np.log((good[b] + size * p) / (n_good + size)) - np.log(p)
+        score /= max(1, len(grams[k]))
+        n, _, _, _, again = base_figures(text)
+        want.append((i, round(score, 9), not (n < 20 or 100 * again > 30 * n) and score >= quality_rules.THRESHOLD))
+    got = [(r.doc_id, round(r.score, 9), r.kept) for r in quality_rules.judge(table(rows), labels).collect()]
+    assert [g[0] for g in sorted(got)] == [w[0] for w in sorted(want)]
+    for g, w in zip(sorted(got), sorted(want)):
+        assert abs(g[1] - w[1]) < 1e-6 and (g[2] == w[2] or abs(w[1] - quality_rules.THRESHOLD) < 1e-6)
+
+
+@pytest.mark.parametrize("op", [toxicity, quality_trees])
+def test_an_id_on_many_rows_is_one_row_of_the_fit(spark, op):
+    docs = read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    labels = read(spark, "/root/testdata/sf0.001", "labels")
+    one = labels.filter("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").join(docs, "doc_id").select("doc_id", "text").limit(1)
+    many = docs.unionAll(one.crossJoin(spark.range(20_000)).select("doc_id", "text"))
+    plain = {r.doc_id: r.score for r in op.score(docs, op.fit(docs, labels)).collect()}
+    assert {r.doc_id: r.score for r in op.score(docs, op.fit(many, labels)).collect()} == pytest.approx(plain)

@@ -64,11 +64,22 @@ def runs_of(chunk: Chunk, window: int = WINDOW, gram: int = GRAM) -> dict[str, n
     return {"row": row, "minimiser": signed(least[first]), "run": signed(run), "first": first - base, "last": last - base}
 
 
+def fresh(batch: pa.RecordBatch, seen: set[tuple]) -> list[bool]:
+    """Which rows are the first of their (doc_id, copy), the first two columns, that this task meets."""
+    out = []
+    for key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        out.append(key not in seen)
+        seen.add(key)
+    return out
+
+
 def run_table(docs: DataFrame, window: int) -> DataFrame:
-    """doc_id, copy (hash of the text), minimiser, run, first, last for every run of every text."""
+    """doc_id, copy (hash of the text), minimiser, run, first, last for every run of every text; a task names a repeated row's once."""
 
     def run(batches):
+        seen: set[tuple] = set()
         for batch in batches:
+            batch = batch.filter(pa.array(fresh(batch, seen), pa.bool_()))
             for chunk in chunks(batch.column(2)):
                 found = runs_of(chunk, window)
                 at = pa.array(found["row"] + chunk.first)
@@ -81,10 +92,12 @@ def run_table(docs: DataFrame, window: int) -> DataFrame:
 
 
 def single_windows(docs: DataFrame, window: int) -> DataFrame:
-    """window hash, doc_id, copy, at for the windows in each row's ``spans`` (array of first, last)."""
+    """window hash, doc_id, copy, at for the windows in each row's ``spans`` (array of first, last), once for repeated rows of a task."""
 
     def run(batches):
+        seen: set[tuple] = set()
         for batch in batches:
+            batch = batch.filter(pa.array(fresh(batch, seen), pa.bool_()))
             spans = batch.column(3)
             for chunk in chunks(batch.column(2)):
                 words = split_words(chunk)
@@ -105,7 +118,7 @@ def single_windows(docs: DataFrame, window: int) -> DataFrame:
 
 def per_row(spans: DataFrame) -> DataFrame:
     """All (first, last) of a text as one array: no longer than the text."""
-    return spans.groupBy("doc_id", "copy").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    return spans.groupBy("doc_id", "copy").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
 
 
 def repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:

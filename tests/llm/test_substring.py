@@ -50,3 +50,15 @@ def test_intervals_are_maximal(table):
 
 def test_empty_table(table):
     assert substring.digest(substring.remove(table([]))).count() == 0
+
+
+def test_very_many_copies_of_a_row(table):
+    """Copies under one id and under many: work follows the rows, not the pairs of them."""
+    words = [f"w{i % 97}x{i % 13}" for i in range(300)]
+    text, near = " ".join(words), " ".join([*words[:150], "other", *words[151:]])
+    rows = [(5, text)] * 6000 + [(i, text) for i in range(100, 4100)] + [(7, near)] * 2000
+    got = {}
+    for r in substring.digest(substring.remove(table(rows))).collect():
+        got.setdefault(r.doc_id, set()).add((r.n_words, r.n_removed))
+    assert got.pop(5) == {(300, 0)} and got.pop(7) == {(300, 299)}
+    assert all(v == {(300, 300)} for v in got.values()) and len(got) == 4000

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .text import written
+
 RATE = 0.06
 BLOCK_CHARS = 1 << 20
 
@@ -65,7 +67,8 @@ def best_end(masks: dict[str, int], m: int, text: str, start: int, stop: int) ->
 class Matcher:
     """Pieces of one block of items; the automaton is built on first use, inside the task."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float = RATE):
+    def __init__(self, items: list[tuple[int, str]], rate: float = RATE, alone: bool = True):
+        self.alone = alone
         self.items = [(i, t, int(rate * len(t))) for i, t in items if t]
         self.automaton = None
 
@@ -89,19 +92,22 @@ class Matcher:
         if self.automaton is None:
             self.build()
         found: dict[int, tuple[int, int]] = {}
-        seen: dict[int, list[int]] = {}
+        seen: dict[int, dict[int, int]] = {}  # of each item the places looked at, one at most in each stretch of k + 1
         if not self.items or not text:
             return found
         for last, (size, where) in self.automaton.iter(text):
             for at, offset in where:
                 _, item, k = self.items[at]
                 begin = last + 1 - size - offset
-                if found.get(at, (1,))[0] == 0 or any(abs(begin - b) <= k for b in seen.get(at, ())[-4:]):
+                if found.get(at, (1,))[0] == 0:
+                    continue
+                places, stretch = seen.setdefault(at, {}), begin // (k + 1)
+                if any(abs(begin - places.get(x, begin + k + 1)) <= k for x in (stretch - 1, stretch, stretch + 1)):
                     continue  # this place was covered, with k characters to spare on either side
                 if text.startswith(item, max(begin, 0)) and begin >= 0:
                     found[at] = (0, begin + len(item))
                     continue
-                seen.setdefault(at, []).append(begin)
+                places[stretch] = begin
                 masks = self.masks.get(at)
                 if masks is None:
                     masks = self.masks[at] = masks_of(item)
@@ -118,7 +124,7 @@ def blocks(benchmark: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CH
     parts = total // block_chars + 1
     for part in range(parts):
         rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).collect()
-        yield Matcher(sorted((r.item_id, normalise(r.text)) for r in rows), rate)
+        yield Matcher(sorted((r.item_id, normalise(r.text)) for r in rows), rate, parts == 1)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
@@ -139,7 +145,8 @@ def find(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame
                                                   pa.array(distances, pa.int32()), pa.array(ends, pa.int64())], ["doc_id", "item_id", "distance", "end"])
         return docs.select("doc_id", "text").mapInArrow(run, schema)
 
-    return reduce(DataFrame.unionAll, [search(m) for m in blocks(benchmark, rate)])
+    first, *others = (search(m) if m.alone else written(search(m)) for m in blocks(benchmark, rate))
+    return reduce(DataFrame.unionAll, others, first)
 
 
 def drop(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:

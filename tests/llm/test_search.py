@@ -137,3 +137,10 @@ def test_full_cache_changes_nothing(table, monkeypatch):
     monkeypatch.setattr(token_counts, "CACHE_WORDS", 3)
     monkeypatch.setattr(token_counts, "CHUNK", 64)
     assert sorted(map(tuple, token_counts.count_tokens(df, pieces, byte_score).collect())) == want
+
+
+def test_a_very_long_text_of_one_letter():
+    item = "a" * 128 + "b"
+    matcher = decontaminate.Matcher([(1, item)])
+    assert matcher.hits("a" * 200_000) == {0: (1, 128)}
+    assert decontaminate.Matcher([(1, "ab" * 60)]).hits("a" * 1_000_000) == {}

@@ -26,13 +26,15 @@ a component unless all its rows lack an id; an empty table gives no rows; other
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .sketch import COUNTERS, present, sketch
+from .sketch import COUNTERS, part, present, sketch
 from .text import Chunk, checkpointed, chunks, inside_row, mix, signed, split_words, window_hashes, word_hashes
 
 SHINGLE = 5
@@ -368,8 +370,14 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     """One row, with all its columns, of each component: the smallest doc_id, nulls last; texts without words all stay."""
     has_words = F.coalesce(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
     placed = classes(docs.filter(has_words), size, percent, every=False)
-    kept = placed.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "copy")).alias("k")).select(
-        F.col("k.doc_id").alias("kept_id"), F.col("k.copy").alias("kept_copy"))
-    keys = docs.filter(has_words).withColumn("kept_copy", F.xxhash64("text"))
-    stay = keys.join(kept.withColumnRenamed("kept_copy", "copy_of"), F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("kept_copy") == F.col("copy_of")), "left_semi")
-    return stay.dropDuplicates(["doc_id", "kept_copy"]).select(*docs.columns).unionAll(docs.filter(~has_words))
+    kept = placed.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "copy")).alias("k"))
+    own = F.col("doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("copy") == F.col("k.copy"))
+    keys = placed.join(kept, "component").groupBy("doc_id", "copy").agg(F.count(F.lit(1)).alias("rows"), F.max(own).alias("stays"))
+    # rows that go, or stand there several times; a sketch of them spares all other texts the way
+    touched = checkpointed(keys.filter("rows > 1 OR NOT stays").select(F.xxhash64("doc_id", "copy").alias("key"), "stays"))
+    wanted = present(touched.select("key"))
+    rows = docs.filter(has_words).select(F.struct(*docs.columns).alias("row"), F.xxhash64("doc_id", F.xxhash64("text")).alias("key"))
+    some = part(rows, "key", wanted, True)
+    once = some.join(touched.filter("stays"), "key", "left_semi").dropDuplicates(["key"])
+    stay = reduce(DataFrame.unionAll, [x.select("row") for x in (part(rows, "key", wanted, False), some.join(touched, "key", "left_anti"), once)])
+    return stay.select("row.*").unionAll(docs.filter(~has_words))

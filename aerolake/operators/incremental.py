@@ -41,26 +41,27 @@ def upsert_by_key(existing: DataFrame, batch: DataFrame, keys: list[str], high_w
     return kept.unionByName(batch.select(*existing.columns))
 
 
-def _fs(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = filesystem(spark, path)
     return fs.exists(p)
 
 
 def matches(spark: SparkSession, pattern: str) -> bool:
     """Is there any path of this pattern?"""
-    fs, p = _fs(spark, pattern)
+    fs, p = filesystem(spark, pattern)
     return bool(len(fs.globStatus(p) or []))
 
 
 def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a partition column that have a folder under ``path``."""
-    fs, p = _fs(spark, path)
+    fs, p = filesystem(spark, path)
     names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
 
@@ -68,13 +69,13 @@ def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
 def remove(spark: SparkSession, paths: list[str]) -> None:
     """Delete table folders (partitions that have no rows any more)."""
     for path in paths:
-        fs, p = _fs(spark, path)
+        fs, p = filesystem(spark, path)
         fs.delete(p, True)
 
 
 def list_versions(spark: SparkSession, base: str, committed_only: bool = True) -> list[int]:
     """Version numbers under ``base``; by default only committed ones (with ``_SUCCESS``)."""
-    fs, p = _fs(spark, base)
+    fs, p = filesystem(spark, base)
     if not fs.exists(p):
         return []
     out = []

@@ -135,17 +135,27 @@ def build_fact(stg: DataFrame) -> DataFrame:
     )
 
 
-def build_dim_aircraft(stg: DataFrame) -> DataFrame:
-    """Latest descriptive attributes per aircraft (ROW_NUMBER ... = 1, partial limit map-side)."""
-    w = Window.partitionBy("icao24").orderBy(
+STATE_COLUMNS = ["icao24", "registration", "aircraft_type", "description", "event_datetime", "event_timestamp"]
+
+
+def latest_rows(stg: DataFrame, *also: str) -> DataFrame:
+    """The latest row of each aircraft (and each value of ``also``) in STATE_COLUMNS, by a total order: the latest of some rows'
+    latest is the latest of all (ROW_NUMBER ... = 1, partial limit map-side)."""
+    w = Window.partitionBy("icao24", *also).orderBy(
         F.col("event_datetime").desc(), F.col("event_timestamp").desc(),
         F.col("registration").asc_nulls_last(), F.col("aircraft_type").asc_nulls_last(),
         F.col("description").asc_nulls_last())
-    latest = (stg.select("icao24", "registration", "aircraft_type", "description", "event_datetime",
-                         "event_timestamp")
-              .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1))
-    return latest.select(F.col("icao24").alias("aircraft_key"), "icao24", "registration", "aircraft_type",
-                         "description")
+    return stg.select(*STATE_COLUMNS, *also).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+
+
+def aircraft_states(stg: DataFrame) -> DataFrame:
+    """Each date's latest row per aircraft; ``build_dim_aircraft`` and ``build_dim_dates`` over all dates' states equal those over all rows."""
+    return latest_rows(stg, "event_date")
+
+
+def build_dim_aircraft(stg: DataFrame) -> DataFrame:
+    """Latest descriptive attributes per aircraft."""
+    return latest_rows(stg).select(F.col("icao24").alias("aircraft_key"), "icao24", "registration", "aircraft_type", "description")
 
 
 def build_dim_dates(stg: DataFrame) -> DataFrame:

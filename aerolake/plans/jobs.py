@@ -3,9 +3,12 @@
 Layout under ``warehouse``::
 
     positions_raw/run=.../event_date=...  valid rows as delivered
+    positions_pending/run=...        runs whose dates aren't downstream yet
+    trace_members, trace_documents, states/run=..., quarantine/.../run=...
     positions_clean/event_date=...   bronze (cleaned, deduplicated positions)
     positions_silver/event_date=...  silver
     fact_positions/event_date=...    gold fact
+    dim_aircraft_states/event_date=... (latest row per aircraft and date)
     dim_aircraft, dim_dates, dim_time (gold), agg_*/event_date=...
     flights_stg/run=..., dim_airports, dim_date
     fct_flights_runs/version=N, fct_flights_durations/version=N, fct_flights/version=N (commits the three)
@@ -29,7 +32,9 @@ from aerolake.operators import flights as FL
 from aerolake.operators import incremental as INC
 from aerolake.operators import positions as P
 from aerolake.operators import quality as DQ
-from aerolake.schemas import POSITIONS_CLEAN
+from aerolake.operators.shaping import flatten_states, flatten_traces
+from aerolake.schemas import POSITIONS_CLEAN, POSITIONS_STORED
+from aerolake.sources import archives
 from aerolake.sources.files import read_positions_parquet
 from aerolake.sources.sinks import write_parquet, write_partitioned
 
@@ -37,6 +42,8 @@ from aerolake.sources.sinks import write_parquet, write_partitioned
 AGGREGATES = (("agg_daily_traffic", A.agg_daily_traffic), ("agg_hourly_traffic", A.agg_hourly_traffic),
               ("agg_altitude_distribution", A.agg_altitude_distribution),
               ("agg_traffic_grid", A.agg_traffic_grid), ("agg_aircraft_activity", A.agg_aircraft_activity))
+#: Each date's latest row per aircraft; the dimensions are merged from these.
+AIRCRAFT_STATES = "dim_aircraft_states"
 #: Tables with a folder for each date.
 DATED = ("positions_clean", "positions_silver", "fact_positions", *(name for name, _ in AGGREGATES))
 
@@ -61,36 +68,100 @@ def run_positions(spark: SparkSession, raw: DataFrame, warehouse: str, run: str
     replaces what it had stored.  Every downstream table of a date is then rebuilt from all stored rows
     of that date, for the dates the batch touches (or touched before); other dates' files stay as they are.
     """
+    return {**stage_positions(spark, raw, warehouse, run), **build_positions(spark, warehouse)}
+
+
+def stage_positions(spark: SparkSession, raw: DataFrame, warehouse: str, run: str | None = None) -> dict:
+    """Store the valid rows of a run; the run stays in ``positions_pending`` until ``build_positions`` has its dates downstream.
+
+    The entry names the dates that the run had stored before, and is written first: a job that dies anywhere in between
+    leaves them, and the dates stored by then, to the next build.
+    """
     wh = warehouse.rstrip("/")
-    own = f"{wh}/positions_raw/run={run_tag(run) if run else 'r' + uuid.uuid4().hex}"
+    tag = run_tag(run) if run else "r" + uuid.uuid4().hex
+    own, pending = f"{wh}/positions_raw/run={tag}", f"{wh}/positions_pending/run={tag}"
     before = _dates_of(spark, own)
+    if INC.exists(spark, f"{pending}/_SUCCESS"):
+        before = sorted({*before, *(r.event_date for r in spark.read.schema("event_date date").parquet(pending).collect())})  # days of one run
+    write_parquet(spark.createDataFrame([(d,) for d in before], "event_date date").coalesce(1), pending)
     raw_o, raw_obs = _observed(raw, "raw")
     store = P.normalise_positions(raw_o).withColumn("event_date", F.to_date("event_datetime"))
     write_partitioned(store, own, ["event_date"], static=True)
-    now = _dates_of(spark, own)
-    dates = sorted({*before, *now})
-    for d in set(before) - set(now):  # rows taken back: a date that no run has any more goes downstream too
+    return {"raw_rows": _rows(raw_obs)}
+
+
+def build_positions(spark: SparkSession, warehouse: str) -> dict:
+    """Rebuild the downstream tables of all dates of pending runs; without any, nothing is written."""
+    wh = warehouse.rstrip("/")
+    runs = INC.partitions(spark, f"{wh}/positions_pending", "run")
+    before, now = set(), set()
+    for tag in runs:
+        before |= {r.event_date for r in spark.read.schema("event_date date").parquet(f"{wh}/positions_pending/run={tag}").collect()}  # days of one run
+        now |= set(_dates_of(spark, f"{wh}/positions_raw/run={tag}"))
+    dates = sorted(before | now)
+    for d in before - now:  # rows taken back: a date that no run has any more goes downstream too
         if not INC.matches(spark, f"{wh}/positions_raw/run=*/event_date={d}"):
-            INC.remove(spark, [f"{wh}/{t}/event_date={d}" for t in DATED])
-    stored = spark.read.option("basePath", f"{wh}/positions_raw").parquet(f"{wh}/positions_raw/run=*")
-    of_dates = F.col("event_date").isin(dates) if dates else F.col("event_date").isNull()
-
-    clean_o, clean_obs = _observed(P.clean_positions(stored.filter(of_dates).drop("run", "event_date"), within_date=True), "clean")
-    write_partitioned(clean_o, f"{wh}/positions_clean", ["event_date"])
-    clean = read_positions_parquet(spark, f"{wh}/positions_clean", POSITIONS_CLEAN).filter(of_dates)
-    silver_o, silver_obs = _observed(P.standardise_positions(clean), "silver")
-    write_partitioned(silver_o, f"{wh}/positions_silver", ["event_date"])
-    silver = spark.read.parquet(f"{wh}/positions_silver")
-    write_partitioned(P.build_fact(silver.filter(of_dates)), f"{wh}/fact_positions", ["event_date"])
-    fact = spark.read.parquet(f"{wh}/fact_positions").filter(of_dates)
-
-    write_parquet(P.build_dim_aircraft(silver), f"{wh}/dim_aircraft")
-    write_parquet(P.build_dim_dates(silver), f"{wh}/dim_dates")
-    write_parquet(P.build_dim_time(spark), f"{wh}/dim_time")
-    for name, fn in AGGREGATES:
-        write_partitioned(fn(fact), f"{wh}/{name}", ["event_date"])
-    return {"raw_rows": _rows(raw_obs), "clean_rows": _rows(clean_obs),
-            "silver_rows": _rows(silver_obs), "dates": len(dates)}
+            INC.remove(spark, [f"{wh}/{t}/event_date={d}" for t in (*DATED, AIRCRAFT_STATES)])
+    counts = {"clean_rows": 0, "silver_rows": 0, "dates": len(dates)}
+    if dates:
+        of_dates = F.col("event_date").isin(dates)
+        stored = read_positions_parquet(spark, f"{wh}/positions_raw", POSITIONS_STORED).filter(of_dates)
+        clean_o, clean_obs = _observed(P.clean_positions(stored.drop("run", "event_date"), within_date=True), "clean")
+        write_partitioned(clean_o, f"{wh}/positions_clean", ["event_date"])
+        clean = read_positions_parquet(spark, f"{wh}/positions_clean", POSITIONS_CLEAN).filter(of_dates)
+        silver_o, silver_obs = _observed(P.standardise_positions(clean), "silver")
+        write_partitioned(silver_o, f"{wh}/positions_silver", ["event_date"])
+        silver = spark.read.parquet(f"{wh}/positions_silver").filter(of_dates)
+        write_partitioned(P.build_fact(silver), f"{wh}/fact_positions", ["event_date"])
+        fact = spark.read.parquet(f"{wh}/fact_positions").filter(of_dates)
+        write_partitioned(P.aircraft_states(silver), f"{wh}/{AIRCRAFT_STATES}", ["event_date"])
+        states = spark.read.parquet(f"{wh}/{AIRCRAFT_STATES}")  # a row an aircraft and date, of all dates
+        write_parquet(P.build_dim_aircraft(states), f"{wh}/dim_aircraft")
+        write_parquet(P.build_dim_dates(states), f"{wh}/dim_dates")
+        write_parquet(P.build_dim_time(spark), f"{wh}/dim_time")
+        for name, fn in AGGREGATES:
+            write_partitioned(fn(fact), f"{wh}/{name}", ["event_date"])
+        counts.update(clean_rows=_rows(clean_obs), silver_rows=_rows(silver_obs))
+    INC.remove(spark, [f"{wh}/positions_pending/run={tag}" for tag in runs])
+    return counts
+
+
+def stage_documents(spark: SparkSession, docs: DataFrame, warehouse: str, run: str) -> dict:
+    """Trace documents (archive, member, error, parsed fields) -> positions of the run, and its documents with an error in quarantine.
+
+    The documents are written once and read back for both, so that nothing is read, decompressed or parsed twice; a run that is staged
+    again replaces its documents, its quarantine and its positions.
+    """
+    wh, tag = warehouse.rstrip("/"), run_tag(run)
+    path = f"{wh}/trace_documents/run={tag}"
+    write_parquet(docs, path)
+    kept = spark.read.schema(docs.schema).parquet(path)
+    bad_o, bad_obs = _observed(kept.filter(F.col("error").isNotNull()).select("archive", "member", "error"), "bad")
+    bad_o.write.mode("overwrite").parquet(f"{wh}/quarantine/trace_members/run={tag}")
+    staged = stage_positions(spark, flatten_traces(kept.filter(F.col("error").isNull())), warehouse, run)
+    return {**staged, "invalid_documents": _rows(bad_obs)}
+
+
+def stage_archives(spark: SparkSession, paths: DataFrame, warehouse: str, run: str) -> dict:
+    """Trace archives -> members (headers walked once) -> documents (decoded once) -> positions and quarantine of the run."""
+    path = f"{warehouse.rstrip('/')}/trace_members/run={run_tag(run)}"
+    write_parquet(archives.list_members(spark, paths), path)
+    members = spark.read.schema(archives.MEMBERS_SCHEMA).parquet(path)
+    docs = archives.parse_documents(archives.read_members(members, archives.tasks_for(members)))
+    return stage_documents(spark, docs, warehouse, run)
+
+
+def stage_states(spark: SparkSession, snapshots: DataFrame, warehouse: str, run: str, loaded_at: str) -> dict:
+    """State-vector snapshots (with source_file and error) -> flat states of the run, and documents with an error in quarantine."""
+    wh, tag = warehouse.rstrip("/"), run_tag(run)
+    path = f"{wh}/state_documents/run={tag}"
+    write_parquet(snapshots, path)
+    kept = spark.read.schema(snapshots.schema).parquet(path)
+    bad_o, bad_obs = _observed(kept.filter(F.col("error").isNotNull()).select("source_file", "error"), "bad")
+    bad_o.write.mode("overwrite").parquet(f"{wh}/quarantine/states/run={tag}")
+    rows_o, rows_obs = _observed(flatten_states(kept.filter(F.col("error").isNull()), loaded_at), "states")
+    write_parquet(rows_o, f"{wh}/states/run={tag}")
+    return {"state_rows": _rows(rows_obs), "invalid_documents": _rows(bad_obs)}
 
 
 def _dates_of(spark: SparkSession, path: str) -> list:
@@ -109,9 +180,34 @@ def run_flights(spark: SparkSession, raw_flights: DataFrame, warehouse: str, loa
     build's.  The fact is built from all staging in full mode, where none is committed, and where a run
     that the ledger has was staged anew.  The calendar spans the staged departures unless bounds are given.
     """
-    wh = warehouse.rstrip("/")
+    staged = stage_flights(spark, raw_flights, warehouse, loaded_at)
+    return {**staged, **build_flights(spark, warehouse, calendar, incremental)}
+
+
+def stage_flights(spark: SparkSession, raw_flights: DataFrame, warehouse: str, loaded_at: str, run: str | None = None) -> dict:
+    """Stage the rows of a run (named by its stamp unless ``run`` is given); staging it again replaces them."""
     staged, stg_obs = _observed(FL.stage_flights(raw_flights, loaded_at=loaded_at).withColumn("_attempt", F.lit(uuid.uuid4().hex)), "stg")
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{wh}/flights_stg/run={run_tag(loaded_at)}")
+    path = f"{warehouse.rstrip('/')}/flights_stg/run={run_tag(run or loaded_at)}"
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return {"stg_rows": _rows(stg_obs)}
+
+
+def pending_flights(spark: SparkSession, warehouse: str) -> bool:
+    """Are there staged runs that the committed fact lacks?"""
+    wh = warehouse.rstrip("/")
+    if not INC.matches(spark, f"{wh}/flights_stg/run=*"):
+        return False
+    versions = INC.list_versions(spark, f"{wh}/fct_flights")
+    if not versions:
+        return True
+    runs = spark.read.parquet(f"{wh}/flights_stg").select("run", "_attempt").distinct()
+    ledger = spark.read.parquet(INC.version_path(f"{wh}/fct_flights_runs", versions[-1]))
+    return not runs.join(ledger, ["run", "_attempt"], "left_anti").isEmpty()
+
+
+def build_flights(spark: SparkSession, warehouse: str, calendar: tuple[str, str] | None = None, incremental: bool = True) -> dict:
+    """Airports, calendar and the next version of the fact from what is staged."""
+    wh = warehouse.rstrip("/")
     stg = spark.read.parquet(f"{wh}/flights_stg")
     runs = stg.select("run", "_attempt").distinct()
     write_parquet(FL.build_dim_airports(stg), f"{wh}/dim_airports")
@@ -133,7 +229,7 @@ def run_flights(spark: SparkSession, raw_flights: DataFrame, warehouse: str, loa
     write_parquet(runs, INC.version_path(ledgers, version))
     write_parquet(histogram, INC.version_path(histograms, version))
     ranked = FL.with_duration_rank(base, spark.read.parquet(INC.version_path(histograms, version)))
-    return {"stg_rows": _rows(stg_obs), "fct_path": INC.commit_version(spark, ranked, table, version)}
+    return {"fct_path": INC.commit_version(spark, ranked, table, version)}
 
 
 def run_tag(ts: str) -> str:

@@ -83,6 +83,10 @@ POSITIONS_CLEAN = T.StructType([
     T.StructField("source", T.StringType()),
 ])
 
+#: Valid rows as a run delivered them, with the folders' columns.
+POSITIONS_STORED = T.StructType([*(f for f in POSITIONS_CLEAN.fields if f.name not in ("event_date", "event_hour", "altitude_band")),
+                                 T.StructField("run", T.StringType()), T.StructField("event_date", T.DateType())])
+
 FLIGHTS_RAW = T.StructType([
     T.StructField("icao24", T.StringType()),
     T.StructField("callsign", T.StringType()),

@@ -3,13 +3,13 @@
 Two stages, so that one huge archive is not decompressed by a single task:
 
 1. ``list_members``: per archive, walk the tar headers only (``tarfile`` in random-access mode
-   seeks over member data), emitting (archive, member, offset, size) for members named
-   ``./traces/*.json``.
-2. ``read_members``: members are spread round-robin over tasks; each task seeks to its byte
-   ranges, reads and gunzips them.  A member that fails to decompress, or isn't a JSON trace
-   document, yields an error row.
+   seeks over member data), emitting (archive, member, offset, size, piece) for members named
+   ``./traces/*.json``; a piece is a run of members of about ``PIECE_BYTES``, from the running sum of their sizes.
+2. ``read_members``: pieces are dealt over as many tasks as their bytes ask for; each task seeks to its byte
+   ranges, reads and gunzips them, with one archive open at a time.  A member that fails to decompress
+   yields an error row, and ``parse_documents`` adds one for each that isn't a JSON trace document.
 
-The driver only lists archive paths; no archive content passes through it.
+The driver only lists archive paths and sees the sum of sizes; no archive content and no member list passes through it.
 """
 
 from __future__ import annotations
@@ -26,9 +26,11 @@ from pyspark.sql import types as T
 from aerolake.schemas import RAW_TRACE
 
 MEMBER_PREFIX, MEMBER_SUFFIX = "./traces/", ".json"
-MEMBERS_SCHEMA = "archive string, member string, offset long, size long, error string"
+MEMBERS_SCHEMA = "archive string, member string, offset long, size long, piece long, error string"
 DOCS_SCHEMA = "archive string, member string, doc string, error string"
 BATCH_ROWS = 512
+#: Compressed bytes of a piece and of a task.
+PIECE_BYTES, TASK_BYTES = 4 << 20, 32 << 20
 
 
 def _open(path: str):
@@ -44,39 +46,43 @@ def _wanted(name: str) -> bool:
 
 
 def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cols = ["archive", "member", "offset", "size", "error"]
+    cols = ["archive", "member", "offset", "size", "piece", "error"]
     out: list[tuple] = []
     for pdf in batches:
         for path in pdf["path"]:
+            total = 0
             try:
                 with _open(path) as fh, tarfile.open(fileobj=fh, mode="r:") as tar:
                     while (m := tar.next()) is not None:
                         if m.isfile() and _wanted(m.name):
-                            out.append((path, m.name, m.offset_data, m.size, None))
+                            out.append((path, m.name, m.offset_data, m.size, total // PIECE_BYTES, None))
+                            total += m.size
                         tar.members = []   # headers only; do not accumulate TarInfo objects
                         if len(out) >= BATCH_ROWS * 8:
                             yield pd.DataFrame(out, columns=cols)
                             out = []
             except Exception as exc:  # noqa: BLE001 - unreadable archive -> one error row
-                out.append((path, None, None, None, f"{type(exc).__name__}: {exc}"))
+                out.append((path, None, None, None, None, f"{type(exc).__name__}: {exc}"))
     if out:
         yield pd.DataFrame(out, columns=cols)
 
 
 def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cols = ["archive", "member", "doc", "error"]
-    handles: dict[str, object] = {}
+    fh, opened = None, None  # rows come sorted by archive
     out: list[tuple] = []
     try:
         for pdf in batches:
-            for archive, member, offset, size, error in pdf.itertuples(index=False):
+            for archive, member, offset, size, error in pdf[["archive", "member", "offset", "size", "error"]].itertuples(index=False):
                 if error is not None or member is None:
                     out.append((archive, member, None, error))
                     continue
                 try:
-                    fh = handles.get(archive)
-                    if fh is None:
-                        fh = handles[archive] = _open(archive)
+                    if opened != archive:
+                        if fh is not None:
+                            fh.close()
+                        fh, opened = None, None
+                        fh, opened = _open(archive), archive
                     fh.seek(int(offset))
                     out.append((archive, member, gzip.decompress(fh.read(int(size))).decode("utf-8"), None))
                 except Exception as exc:  # noqa: BLE001 - corrupt member -> error row
@@ -87,7 +93,7 @@ def _read_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if out:
             yield pd.DataFrame(out, columns=cols)
     finally:
-        for fh in handles.values():
+        if fh is not None:
             fh.close()
 
 
@@ -98,7 +104,7 @@ def list_archives(spark: SparkSession, path: str, pattern: str = "*.tar") -> Dat
 
 
 def list_members(spark: SparkSession, paths: DataFrame | list[str]) -> DataFrame:
-    """(archive, member, offset, size, error) for every trace member; one archive per task,
+    """(archive, member, offset, size, piece, error) for every trace member; one archive per task,
     headers only."""
     if isinstance(paths, list):
         paths = spark.createDataFrame([(p,) for p in paths], "path string")
@@ -106,14 +112,32 @@ def list_members(spark: SparkSession, paths: DataFrame | list[str]) -> DataFrame
     return paths.repartition(n, "path").mapInPandas(_list_members, MEMBERS_SCHEMA)
 
 
+def tasks_for(members: DataFrame, task_bytes: int = TASK_BYTES) -> int:
+    """Number of tasks that the bytes of the members ask for."""
+    return max(1, -(-(members.agg(F.sum("size")).first()[0] or 0) // task_bytes))
+
+
+def read_members(members: DataFrame, tasks: int) -> DataFrame:
+    """(archive, member, doc, error) of the listed members, each decoded once.  Pieces are spread over ``tasks`` independently of the archive
+    they come from, so a hot archive is decompressed by many tasks and none gets much more bytes than others."""
+    return members.repartition(tasks, "archive", "piece").sortWithinPartitions("archive", "offset").mapInPandas(_read_members, DOCS_SCHEMA)
+
+
 def read_trace_archives(spark: SparkSession, paths: DataFrame | list[str]) -> DataFrame:
-    """(archive, member, doc, error) for every trace member of every archive.  Members are
-    spread over tasks independently of the archive they come from, so a hot archive is
-    decompressed by many tasks.  The member list is small (four values per member)."""
+    """(archive, member, doc, error) for every trace member of every archive.  Without a written member list the headers are
+    walked once for the sum of sizes and once for the members; ``jobs.stage_archives`` writes it."""
     members = list_members(spark, paths)
-    n = max(1, spark.sparkContext.defaultParallelism)
-    spread = members.repartition(n * 4).sortWithinPartitions("archive", "offset")
-    return flag_invalid(spread.mapInPandas(_read_members, DOCS_SCHEMA))
+    return flag_invalid(read_members(members, tasks_for(members)))
+
+
+def parse_documents(docs: DataFrame) -> DataFrame:
+    """archive, member, error and the parsed trace document of each member: one JSON parse for positions and errors alike."""
+    schema = T.StructType([*RAW_TRACE.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = docs.select("archive", "member", "error", F.from_json("doc", schema, {"columnNameOfCorruptRecord": "_corrupt"}).alias("d"), F.col("doc").isNotNull().alias("read"))
+    unread = F.col("d.icao").isNull() | F.col("d.timestamp").isNull() | F.col("d.trace").isNull()
+    invalid = F.col("error").isNull() & F.col("read") & (F.col("d").isNull() | (F.col("d._corrupt").isNotNull() & unread))
+    return parsed.select("archive", "member", F.when(invalid, F.lit("invalid JSON document")).otherwise(F.col("error")).alias("error"),
+                         *(F.col(f"d.{f.name}").alias(f.name) for f in RAW_TRACE.fields))
 
 
 def flag_invalid(docs: DataFrame) -> DataFrame:

@@ -24,6 +24,16 @@ def read_trace_json(spark: SparkSession, path: str, keep_corrupt: bool = False)
     return df if keep_corrupt else df.drop(CORRUPT)
 
 
+def with_errors(docs: DataFrame, *required: str) -> DataFrame:
+    """Documents of a reader that keeps corrupt ones, with source_file and an error on each that is no JSON or whose
+    ``required`` fields don't parse; such a document yields no rows further on."""
+    lost = F.lit(False)
+    for name in required:
+        lost = lost | F.col(name).isNull()
+    return docs.withColumns({"source_file": F.col("_metadata.file_path"),
+                             "error": F.when(F.col(CORRUPT).isNotNull() & lost, F.lit("invalid JSON document"))}).drop(CORRUPT)
+
+
 def read_positions_csv(spark: SparkSession, path: str) -> DataFrame:
     """Flattened positions as CSV text with a header; splits of large files replace the
     fixed-size chunks of a single-process reader.  All columns stay text for clean_positions."""
@@ -72,3 +82,49 @@ def read_flight_batches(spark: SparkSession, path: str) -> DataFrame:
                    F.regexp_extract(fp, BATCH_NAME, 3).try_cast("int").alias("window_no"),
                    fp.alias("source_file"))
     return df
+
+
+def stream_paths(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """Paths of files as they turn up; their contents are not read."""
+    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+                           T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
+    return (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", True).load(path).select("path"))
+
+
+def _stream_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    kept = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return (spark.readStream.schema(kept).option("multiLine", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+
+
+def stream_trace_json(spark: SparkSession, path: str) -> DataFrame:
+    """Unpacked trace documents in the columns of ``archives.parse_documents``: the file stands for the archive."""
+    docs = with_errors(_stream_json(spark, path, RAW_TRACE), "icao", "timestamp", "trace")
+    return docs.select(F.col("source_file").alias("archive"), F.lit(None).cast("string").alias("member"), "error", *(f.name for f in RAW_TRACE.fields))
+
+
+def stream_states_json(spark: SparkSession, path: str) -> DataFrame:
+    """Snapshot documents with source_file and error."""
+    return with_errors(_stream_json(spark, path, RAW_STATES), "time", "states")
+
+
+def stream_positions_csv(spark: SparkSession, path: str) -> DataFrame:
+    return spark.readStream.schema(POSITIONS_TEXT).option("header", True).option("mode", "PERMISSIVE").csv(path)
+
+
+def stream_positions_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Flat positions in whatever types the files have (those of the files there now); missing columns are null."""
+    from aerolake.schemas import POSITIONS_RAW
+    from aerolake.sources.sinks import align_by_name
+
+    return align_by_name(spark.readStream.schema(spark.read.parquet(path).schema).parquet(path), POSITIONS_RAW)
+
+
+def stream_flight_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Flight records of the batches that turn up, in the columns of the raw flights table but ``processed_at``."""
+    df = (spark.readStream.schema(FLIGHT_RECORD).option("multiLine", True)
+          .option("pathGlobFilter", "flights_batch_*.json").option("recursiveFileLookup", True).json(path))
+    return df.select(*(F.col(c).alias(c.lower()) for c in (
+        "icao24", "callsign", "estDepartureAirport", "estArrivalAirport", "firstSeen", "lastSeen",
+        "estDepartureAirportHorizDistance", "estArrivalAirportHorizDistance")))

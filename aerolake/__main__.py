@@ -42,6 +42,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--flight-batches", help="directory of flights_batch_*.json record batches")
     ap.add_argument("--run-ts", default=None, help="run stamp 'YYYY-MM-DD HH:MM:SS' (default: now, UTC)")
     ap.add_argument("--calendar", nargs=2, metavar=("FROM", "TO"), help="bounds of the flight calendar, TO excluded (default: the staged departures)")
+    ap.add_argument("--flights-by-day", action="store_true", help="keep the flights fact as a manifest table by departure day as well")
     ap.add_argument("--master", default=None, help="Spark master for local runs (default: from spark-submit)")
     a = ap.parse_args(argv)
     run_ts = a.run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
@@ -83,6 +84,8 @@ def main(argv: list[str] | None = None) -> dict:
         out["flights"] = {"stg_rows": staged}
         if jobs.pending_flights(spark, wh):
             out["flights"].update(jobs.build_flights(spark, wh, tuple(a.calendar) if a.calendar else None))
+        if a.flights_by_day:
+            out["flights_by_day"] = jobs.build_flights_by_day(spark, wh, tuple(a.calendar) if a.calendar else None)
     out["taken"] = files_taken
     if any(positions) or any(flights):
         results = f"{a.warehouse}/quality_results"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolake.functions.codes import surrogate_key
 from aerolake.functions.time import boundary_minutes, day_of_week_sun0, from_epoch_seconds, utc_now_ntz
@@ -77,6 +78,12 @@ FCT_COLUMNS = [
     "row_num", "duration_rank_from_airport",
 ]
 
+#: The fact without its rank, as it is stored by day.
+FLIGHT_BASE = T.StructType([T.StructField(n, t) for n, t in zip(FCT_COLUMNS[:-1], (
+    T.StringType(), T.StringType(), T.TimestampNTZType(), T.TimestampNTZType(), T.StringType(), T.StringType(), T.StringType(),
+    T.LongType(), T.TimestampNTZType(), T.TimestampNTZType(), T.LongType()))])
+
+
 def dedup_order() -> list:
     """Total order for "latest arrival wins": arrival time, then the latest load, then the remaining source columns."""
     return [

@@ -66,6 +66,12 @@ def partitions(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder."""
+    fs, p = filesystem(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def remove(spark: SparkSession, paths: list[str]) -> None:
     """Delete table folders (partitions that have no rows any more)."""
     for path in paths:

@@ -111,19 +111,36 @@ def detect_gaps(positions: DataFrame, key: str = "icao24", ts: str = "event_date
         .filter(F.col("minutes_since_last") > minutes)
 
 
+def session_fragments(positions: DataFrame, key: str, ts: str, minutes: int) -> DataFrame:
+    """Runs of positions within one (key, hour) bucket whose gaps don't exceed ``minutes``: first, last, n.
+
+    Full rows are exchanged once, by (key, bucket), so a key with a third of all rows is spread over its hours; a run of an
+    hour is one row from here on (with 30 minutes, two a bucket at most).
+    """
+    bucket = ["_k", "_bucket"]
+    inside = Window.partitionBy(*bucket).orderBy("_t")
+    p = positions.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), hour_index(ts).alias("_bucket"))
+    new = F.lag("_t").over(inside)
+    runs = p.withColumn("_new", (new.isNull() | (boundary_minutes(new, "_t") > minutes)).cast("int")) \
+        .withColumn("_run", F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy(*bucket, "_run").agg(F.min("_t").alias("first"), F.max("_t").alias("last"), F.count(F.lit(1)).alias("n")) \
+        .select("_k", "first", "last", "n")
+
+
 def sessions(positions: DataFrame, key: str = "icao24", ts: str = "event_datetime",
              minutes: int = 30) -> DataFrame:
     """One row per flight session: a new session starts at the first position of a key and
-    whenever the boundary-minute gap exceeds ``minutes``."""
-    p = positions.select(key, ts).withColumn("_bucket", hour_index(ts))
-    lagged = lag_across_buckets(p, key, ts, "_prev", bucket_col="_bucket")
-    flagged = lagged.withColumn(
-        "_new", (F.col("_prev").isNull() | (boundary_minutes("_prev", ts) > minutes)).cast("int"))
-    numbered = running_count_across_buckets(flagged, key, ts, "_new", "session_no", bucket_col="_bucket")
-    return numbered.groupBy(key, "session_no").agg(
-        F.min(ts).alias("session_start"),
-        F.max(ts).alias("session_end"),
-        F.count(F.lit(1)).alias("positions"),
+    whenever the boundary-minute gap exceeds ``minutes``.  Fragments of hours are stitched: one whose first position follows
+    the last one of the fragment before closely enough continues its session."""
+    in_order = Window.partitionBy("_k").orderBy("first", "last")
+    before = F.lag("last").over(in_order)
+    stitched = session_fragments(positions, key, ts, minutes) \
+        .withColumn("_new", (before.isNull() | (boundary_minutes(before, "first") > minutes)).cast("int")) \
+        .withColumn("session_no", F.sum("_new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
+    return stitched.groupBy(F.col("_k").alias(key), "session_no").agg(
+        F.min("first").alias("session_start"),
+        F.max("last").alias("session_end"),
+        F.sum("n").alias("positions"),
     ).withColumn("duration_minutes", boundary_minutes("session_start", "session_end").cast("long"))
 
 

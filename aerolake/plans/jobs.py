@@ -26,6 +26,7 @@ import uuid
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerolake.operators import aggregates as A
 from aerolake.operators import flights as FL
@@ -36,6 +37,7 @@ from aerolake.operators.shaping import flatten_states, flatten_traces
 from aerolake.schemas import POSITIONS_CLEAN, POSITIONS_STORED
 from aerolake.sources import archives
 from aerolake.sources.files import read_positions_parquet
+from aerolake.sources.manifest import ManifestTable
 from aerolake.sources.sinks import write_parquet, write_partitioned
 
 
@@ -232,6 +234,58 @@ def build_flights(spark: SparkSession, warehouse: str, calendar: tuple[str, str]
     return {"fct_path": INC.commit_version(spark, ranked, table, version)}
 
 
+FLIGHTS_BY_DAY = "fct_flights_by_day"
+
+
+def flights_by_day(spark: SparkSession, warehouse: str) -> ManifestTable:
+    """The flights fact without its rank, by departure day."""
+    schema = T.StructType([*FL.FLIGHT_BASE.fields, T.StructField("departure_day", T.DateType())])
+    return ManifestTable(spark, f"{warehouse.rstrip('/')}/{FLIGHTS_BY_DAY}", schema, "departure_day")
+
+
+def build_flights_by_day(spark: SparkSession, warehouse: str, calendar: tuple[str, str] | None = None, keep: int = 3) -> dict:
+    """The next version of the flights fact as a manifest table: only departure days of runs not merged yet are written.
+
+    A version consists of its manifest, the ledger of staged runs in it and the (airport, duration) histogram of their rows;
+    the manifest names the two, so one rename commits all three.  The rank isn't stored: it is joined on read from the
+    histogram, as one late flight changes ranks on all days.  A run that was staged anew makes all days anew.  The last ``keep`` versions stay.
+    """
+    wh = warehouse.rstrip("/")
+    table, stg = flights_by_day(spark, wh), spark.read.parquet(f"{wh}/flights_stg")
+    runs = stg.select("run", "_attempt").distinct()
+    base = table.manifest()
+    ledger = spark.read.parquet(f"{table.path}/{base['extra']['runs']}") if base else None
+    whole = ledger is None or not ledger.join(runs, ["run", "_attempt"], "left_anti").isEmpty()
+    pending = stg if whole else stg.join(ledger, ["run", "_attempt"], "left_anti")
+    day = F.to_date("departure_time")
+    days = None if whole else sorted(r[0] for r in pending.filter(day.isNotNull()).select(day).distinct().collect())  # days of the new runs
+    if days == [] and runs.join(ledger, ["run", "_attempt"], "left_anti").isEmpty():
+        return {"version": base["version"], "days": 0}
+    cal = FL.build_dim_date(spark, *calendar) if calendar else FL.calendar_for(stg)
+    again = stg if whole else stg.filter(day.isin(days) & (F.col("departure_time") >= F.lit(min(days))) & (F.col("departure_time") < F.date_add(F.lit(max(days)), 1))) if days else stg.filter("false")
+    histogram = FL.duration_histogram(pending)
+    if not whole:
+        histogram = FL.add_histograms(spark.read.parquet(f"{table.path}/{base['extra']['durations']}"), histogram)
+    tag = uuid.uuid4().hex[:12]
+    extra = {"runs": f"runs/{tag}", "durations": f"durations/{tag}"}
+    write_parquet(runs, f"{table.path}/{extra['runs']}")
+    write_parquet(histogram, f"{table.path}/{extra['durations']}")
+    rows = FL.build_flight_base(again, cal).withColumn("departure_day", day)
+    version = table.commit(rows, None if whole else [str(d) for d in days], base, extra)
+    table.vacuum(keep)
+    kept = {x for v in table.versions() for x in table.manifest(v)["extra"].values()}
+    for kind in ("runs", "durations"):
+        INC.remove(spark, [f"{table.path}/{kind}/{n}" for n in INC.children(spark, f"{table.path}/{kind}") if f"{kind}/{n}" not in kept])
+    return {"version": version, "days": len(table.manifest()["files"]) if whole else len(days)}
+
+
+def read_flights_by_day(spark: SparkSession, warehouse: str, version: int | None = None) -> DataFrame:
+    """The flights fact of a version, rank joined on."""
+    table = flights_by_day(spark, warehouse)
+    histogram = spark.read.parquet(f"{table.path}/{table.manifest(version)['extra']['durations']}")
+    return FL.with_duration_rank(table.read(version), histogram)
+
+
 def run_tag(ts: str) -> str:
     """Folder-safe run identifier; different stamps, to the last digit and offset, have different ones."""
     return "r" + "".join(c if c.isascii() and c.isalnum() else f"_{ord(c):x}_" for c in str(ts))

@@ -14,8 +14,10 @@ from aerolake.operators import quality as DQ
 from aerolake.plans import analyses as Q
 from aerolake.operators import positions as P
 from aerolake.operators import shaping as SH
+from aerolake.operators import uniques as U
 from aerolake.schemas import EVENTS
 from aerolake.sources import files as FI
+from aerolake.sources.sinks import shared_scratch, write_parquet, write_partitioned
 from aerolake.sources.tables import table_path
 from aerolake.plans.catalog import RUN_STAMP, Models
 from aerolake.sources import fixtures as FX
@@ -164,9 +166,8 @@ register("q04_19_duplicates", Q.q04_19_duplicates, with_ctes(f"""
     GROUP BY icao24, event_timestamp HAVING COUNT(*) > 1
     ORDER BY duplicate_count DESC, icao24, event_timestamp LIMIT 20""", _S))
 register("q04_20_orphan_dates", Q.q04_20_orphan_dates, with_ctes("""
-    SELECT f.date_key, COUNT(*) AS rows_count
-    FROM fact_positions f LEFT JOIN dim_dates d ON f.date_key = d.date_key
-    WHERE d.date_key IS NULL GROUP BY f.date_key ORDER BY f.date_key""", "fact_positions", "dim_dates"))
+    SELECT date_key, COUNT(*) AS rows_count FROM fact_positions f
+    WHERE NOT EXISTS (FROM dim_dates d WHERE d.date_key = f.date_key) GROUP BY date_key""", "fact_positions", "dim_dates"))
 
 # ---- advanced analytics ----------------------------------------------------------------------
 register("q05_1_most_active", Q.q05_1_most_active, with_ctes(f"""
@@ -177,11 +178,10 @@ register("q05_2_hourly_share", Q.q05_2_hourly_share, with_ctes(f"""
     SELECT event_hour, COUNT(*) AS total_positions, {PCT('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS pct_of_total
     FROM {_S} GROUP BY event_hour ORDER BY event_hour""", _S))
 register("q05_3_day_over_day", Q.q05_3_day_over_day, with_ctes(f"""
-    WITH daily AS (SELECT event_date, COUNT(*) AS total_rows FROM {_S} GROUP BY event_date)
-    SELECT event_date, total_rows, LAG(total_rows) OVER (ORDER BY event_date) AS prev_day_rows,
-           {PCT('total_rows - LAG(total_rows) OVER (ORDER BY event_date)', 'LAG(total_rows) OVER (ORDER BY event_date)')}
-             AS pct_change
-    FROM daily ORDER BY event_date""", _S))
+    WITH days AS (SELECT event_date AS d, COUNT(*) AS n FROM {_S} GROUP BY event_date),
+    earlier AS (SELECT a.d, MAX(b.d) AS p FROM days a JOIN days b ON b.d < a.d GROUP BY a.d)
+    SELECT now.d AS event_date, now.n AS total_rows, past.n AS prev_day_rows, {PCT('now.n - past.n', 'past.n')} AS pct_change
+    FROM days now LEFT JOIN earlier USING (d) LEFT JOIN days past ON past.d = earlier.p""", _S))
 register("q05_4_band_pareto", Q.q05_4_band_pareto, with_ctes(f"""
     SELECT altitude_band, COUNT(*) AS total_rows, {PCT('COUNT(*)', 'SUM(COUNT(*)) OVER ()')} AS pct_of_total,
            {PCT('SUM(COUNT(*)) OVER (ORDER BY COUNT(*) DESC)', 'SUM(COUNT(*)) OVER ()')} AS cumulative_pct
@@ -191,13 +191,10 @@ register("q05_5_peak_airborne", Q.q05_5_peak_airborne, with_ctes(f"""
     WHERE on_ground_flag = FALSE GROUP BY event_date, event_hour
     ORDER BY aircraft_in_air DESC, event_date, event_hour LIMIT 10""", _S))
 register("q05_6_gaps", Q.q05_6_gaps, with_ctes(f"""
-    WITH ordered AS (
-      SELECT icao24, event_datetime,
-             LAG(event_datetime) OVER (PARTITION BY icao24 ORDER BY event_datetime) AS prev_event_time
-      FROM {_S})
-    SELECT icao24, event_datetime, prev_event_time,
-           date_diff('minute', prev_event_time, event_datetime) AS minutes_since_last
-    FROM ordered WHERE date_diff('minute', prev_event_time, event_datetime) > 30
+    WITH moments AS (SELECT DISTINCT icao24, event_datetime AS t FROM {_S}),
+    silences AS (SELECT a.icao24, a.t AS event_datetime, b.t AS prev_event_time, date_diff('minute', b.t, a.t) AS minutes_since_last
+                 FROM moments a ASOF JOIN moments b ON b.icao24 = a.icao24 AND b.t < a.t)
+    SELECT * FROM silences WHERE minutes_since_last > 30
     ORDER BY minutes_since_last DESC, icao24, event_datetime LIMIT 20""", _S))
 register("sessions", Q.sessions, with_ctes(f"""
     WITH ordered AS (
@@ -350,6 +347,27 @@ register("src_positions_parquet", _src_positions_parquet,
          "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 
 
+def _src_positions_pruned(m: Models) -> DataFrame:
+    """Weekend traffic over positions stored by date: the dates come from the joined dimension while the query runs."""
+    folder = shared_scratch(m.spark)
+    write_partitioned(m.clean_positions, f"{folder}/positions", ["event_date"])
+    positions = FI.read_positions_parquet(m.spark, f"{folder}/positions")
+    write_parquet(P.build_dim_dates(positions), f"{folder}/dim_dates")
+    weekend = m.spark.read.parquet(f"{folder}/dim_dates").filter(F.col("day_of_week").isin(0, 6)).select("event_date", "day_name")
+    return positions.join(weekend, "event_date").groupBy("event_date", "day_name").agg(
+        F.count(F.lit(1)).alias("position_count"), F.count_distinct("icao24").alias("unique_aircraft"))
+
+
+register("src_positions_pruned", _src_positions_pruned, with_ctes("""
+    SELECT event_date, strftime(event_date, '%a') AS day_name, COUNT(*) AS position_count, COUNT(DISTINCT icao24) AS unique_aircraft
+    FROM clean_positions WHERE isodow(event_date) >= 6 GROUP BY event_date""", "clean_positions"))
+register("agg_unique_aircraft", lambda m: U.unique_aircraft(m.clean_positions, U.dense_numbers(m.clean_positions, "icao24")), with_ctes("""
+    SELECT 'hour' AS period, event_date, event_hour, COUNT(DISTINCT icao24) AS unique_aircraft FROM clean_positions GROUP BY event_date, event_hour
+    UNION ALL SELECT 'day', event_date, NULL, COUNT(DISTINCT icao24) FROM clean_positions GROUP BY event_date
+    UNION ALL SELECT 'month', CAST(date_trunc('month', event_date) AS DATE), NULL, COUNT(DISTINCT icao24) FROM clean_positions GROUP BY ALL
+    UNION ALL SELECT 'all', NULL, NULL, COUNT(DISTINCT icao24) FROM clean_positions HAVING COUNT(*) > 0""", "clean_positions"))
+
+
 def _delivered(m: Models) -> tuple[DataFrame, DataFrame]:
     """Staged flights in two deliveries; the second also corrects airports and arrivals of the first."""
     stg = m.stg_flights

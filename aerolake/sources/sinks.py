@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def shared_scratch(spark: SparkSession) -> str:
+    """A new folder name in the folder that all executors share (spark.checkpoint.dir); a local one only where Spark is local and none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="aerolake-scratch-")
+    return f"{root.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 

@@ -75,3 +75,17 @@ def test_library_code_never_pulls_rows_to_the_driver():
                 src = open(os.path.join(dirpath, f)).read()
                 assert not re.search(r"\.(collect|toPandas|toLocalIterator)\(", src), f
                 assert "localCheckpoint" not in src, f
+
+
+def test_sessions_exchange_full_rows_once(spark):
+    plan = _plan(spark, "sessions")
+    after_cleaning = plan[:plan.rindex("_run")]
+    assert len(re.findall(r"Exchange hashpartitioning\(_k#\d+, _bucket#\d+", plan)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(_k#\d+, \d+\)", plan)) == 1
+    assert "Join" not in after_cleaning and plan.count("Exchange hashpartitioning") <= 4
+
+
+def test_dates_of_the_dimension_prune_partitions(spark):
+    plan = _plan(spark, "src_positions_pruned")
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", plan)
+    assert re.search(r"ReadSchema: struct<icao24:string>", plan)

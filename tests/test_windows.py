@@ -98,3 +98,21 @@ def test_slice_windows_bounds(spark):
 def test_pick_days_back_is_reproducible():
     assert W.pick_days_back(7) == W.pick_days_back(7)
     assert all(1 <= W.pick_days_back(s) <= 60 for s in range(50))
+
+
+def test_bitmaps_of_hours_add_up(spark):
+    """Daily numbers from stored hourly bitmaps equal count_distinct; a late hour replaces its own bitmap only."""
+    from pyspark.sql import functions as F
+
+    from aerolake.operators import uniques as U
+    rows = [(dt.date(2026, 1, 1 + i % 3), i % 5, f"A{i * i % 70000}") for i in range(40_000)]
+    df = spark.createDataFrame(rows, "event_date date, event_hour int, icao24 string")
+    numbers = U.dense_numbers(df, "icao24").cache()
+    n = df.select("icao24").distinct().count()
+    assert sorted(r.number for r in numbers.collect()) == list(range(n))
+    hours = U.hourly_bitmaps(df.filter("NOT (event_hour = 2 AND event_date = DATE '2026-01-02')"), numbers)
+    late = U.hourly_bitmaps(df.filter("event_hour = 2 AND event_date = DATE '2026-01-02'"), numbers)
+    days = U.unique_counts(U.merged(hours.unionByName(late), "event_date"), "event_date")
+    want = df.groupBy("event_date").agg(F.count_distinct("icao24").alias("unique_aircraft"))
+    assert sorted(map(tuple, days.collect())) == sorted(map(tuple, want.collect()))
+    assert U.unique_aircraft(df.limit(0), U.dense_numbers(df.limit(0), "icao24")).count() == 0

@@ -45,9 +45,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder: cuts the lineage and survives a lost executor."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise in the shared folder: cuts the lineage and survives a lost executor.
+
+    Spark removes shuffle files and older checkpoints once the driver has collected the objects that stand for them; a loop of
+    checkpoints makes too little garbage for that to happen by itself, so it is asked for here.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    out = df.checkpoint(eager=True)
+    del df
+    spark.sparkContext._jvm.System.gc()
+    return out
 
 
 def written(df: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from .text import written
 
 MAX_WORDS = 1 << 17
 RANK_MAPS = 1 << 13
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 16
 #: The fold by higher-order functions takes a step per byte and looks at all pairs in each.
 FOLD_BYTES = 32
 NO_RANK = 2 ** 31 - 1
@@ -158,8 +158,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: in
                 split = [regex.findall(pattern, batch.column(2)[i].as_py()) if not lists[i].is_valid else lists[i].as_py() for i in range(len(lists))]
                 lists = pa.array(split, pa.list_(pa.string()))
             first = lists.offsets.to_numpy()
-            while row < len(lists):  # half a million pre-tokens at a time
-                stop = max(row + 1, int(np.searchsorted(first, first[row] + (1 << 19), side="right")) - 1)
+            while row < len(lists):  # a quarter of a million pre-tokens at a time
+                stop = max(row + 1, int(np.searchsorted(first, first[row] + (1 << 18), side="right")) - 1)
                 coded = pc.dictionary_encode(lists.values[int(first[row]):int(first[stop])]) if first[stop] > first[row] else None
                 words = coded.dictionary.to_pylist() if coded is not None else []
                 ids = []

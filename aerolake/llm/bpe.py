@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import written
+from .text import tidy, written
 
 MAX_WORDS = 1 << 17
 RANK_MAPS = 1 << 13
@@ -184,7 +184,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: in
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     words = pre_tokens(docs.select("doc_id", "text"), pattern).select("doc_id", "words", "newer")
-    return words.mapInArrow(run, f"doc_id {kind}, ids array<int>")
+    return words.mapInArrow(tidy(run), f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import written
+from .text import tidy, written
 
 RATE = 0.06
 BLOCK_CHARS = 1 << 20
@@ -143,7 +143,7 @@ def find(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame
                 items, distances, ends = (list(x) for x in zip(*out)) if out else ([], [], [])
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(items, pa.int64()),
                                                   pa.array(distances, pa.int32()), pa.array(ends, pa.int64())], ["doc_id", "item_id", "distance", "end"])
-        return docs.select("doc_id", "text").mapInArrow(run, schema)
+        return docs.select("doc_id", "text").mapInArrow(tidy(run), schema)
 
     first, *others = (search(m) if m.alone else written(search(m)) for m in blocks(benchmark, rate))
     return reduce(DataFrame.unionAll, others, first)
@@ -162,5 +162,5 @@ def drop(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame
 
     for matcher in blocks(benchmark, rate):
         if matcher.items:
-            first = first.mapInArrow(keep(matcher), first.schema)
+            first = first.mapInArrow(tidy(keep(matcher)), first.schema)
     return first.select(*order)

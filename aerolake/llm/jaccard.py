@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .sketch import COUNTERS, part, present, sketch
-from .text import Chunk, checkpointed, chunks, inside_row, mix, signed, split_words, window_hashes, word_hashes
+from .text import Chunk, checkpointed, chunks, inside_row, mix, signed, split_words, tidy, window_hashes, word_hashes
 
 SHINGLE = 5
 PERCENT = 80
@@ -105,7 +105,7 @@ def rows_with_nodes(docs: DataFrame, size: int) -> DataFrame:
                     ["doc_id", "copy", "n_shingles", "node", "bits"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(run, f"doc_id {kind}, copy long, n_shingles long, node long, bits binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("copy"), "text").mapInArrow(tidy(run), f"doc_id {kind}, copy long, n_shingles long, node long, bits binary")
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -134,7 +134,7 @@ def postings(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Da
                 yield pa.RecordBatch.from_arrays([pa.array(signed(value[order][use])), pa.array(node[row[use]]), pa.array(n[row[use]], pa.int32()), pa.array(place[use], pa.int32())],
                                                  ["shingle", "node", "n", "place"])
 
-    return docs.select("text").mapInArrow(run, "shingle long, node long, n int, place int")
+    return docs.select("text").mapInArrow(tidy(run), "shingle long, node long, n int, place int")
 
 
 def whole_lists(batches, key: int):
@@ -177,7 +177,7 @@ def index_lists(found: DataFrame) -> DataFrame:
                     ["shingle", "node", "n", "place", "lead", "lead_n", "lead_place"])
 
     ordered = found.select("shingle", "n", "node", "place").repartition("shingle").sortWithinPartitions("shingle", "n", "node")
-    return ordered.mapInArrow(run, "shingle long, node long, n int, place int, lead long, lead_n int, lead_place int")
+    return ordered.mapInArrow(tidy(run), "shingle long, node long, n int, place int, lead long, lead_n int, lead_place int")
 
 
 def set_table(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
@@ -199,7 +199,7 @@ def set_table(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
                         out.append(i)
                 yield pa.RecordBatch.from_arrays([pa.array(node[out]), pa.array([value[first[i]:first[i + 1]].tobytes() for i in out], pa.binary())], ["node", "shingles"])
 
-    some = docs.select("text").mapInArrow(run, "node long, shingles binary")
+    some = docs.select("text").mapInArrow(tidy(run), "node long, shingles binary")
     return some.join(needed, "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -214,7 +214,7 @@ def survivors(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             yield batch.filter(pa.array((100 + percent) * floor <= (100 - percent) * total)).select([0, 1])
 
     one, two = (nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"{x}_n"), F.col("bits").alias(f"{x}_bits")) for x in "ab")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "a_n", "a_bits", "b_n", "b_bits").mapInArrow(run, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "a_n", "a_bits", "b_n", "b_bits").mapInArrow(tidy(run), "a long, b long")
 
 
 def overlaps(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -234,7 +234,7 @@ def overlaps(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, per
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(out[:, k]) for k in range(3))], ["a", "b", "a_n", "b_n", "overlap"])
 
     one, two = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"{x}_set")) for x in "ab")
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "a_set", "b_set").mapInArrow(run, "a long, b long, a_n long, b_n long, overlap long")
+    return pairs.join(two, "b").join(one, "a").select("a", "b", "a_set", "b_set").mapInArrow(tidy(run), "a long, b long, a_n long, b_n long, overlap long")
 
 
 def linked(a_n, b_n, overlap, percent: int):
@@ -295,7 +295,7 @@ def list_links(index: DataFrame, percent: int, every: bool) -> DataFrame:
                                                      ["a", "b", "sure", "bridge"])
 
     ordered = index.select("shingle", "n", "place", "node", "component", "lead_n", "with_lead", "bits").repartition("shingle").sortWithinPartitions("shingle", "n", "node")
-    return ordered.mapInArrow(run, "a long, b long, sure boolean, bridge boolean").groupBy("a", "b").agg(F.max("sure").alias("sure"), F.first("bridge").alias("bridge"))
+    return ordered.mapInArrow(tidy(run), "a long, b long, sure boolean, bridge boolean").groupBy("a", "b").agg(F.max("sure").alias("sure"), F.first("bridge").alias("bridge"))
 
 
 def links(docs: DataFrame, rows: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

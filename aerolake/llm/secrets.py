@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from .automaton import compile_rules, parse
+from .text import tidy
 
 
 @dataclass(frozen=True)
@@ -145,7 +146,7 @@ def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     schema = ST.StructType([*docs.schema.fields, ST.StructField("spans", ST.ArrayType(ST.StructType([
         ST.StructField("kind", ST.StringType()), ST.StructField("start", ST.LongType()),
         ST.StructField("end", ST.LongType()), ST.StructField("base", ST.BooleanType())])))])
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(tidy(scan), schema)
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -189,4 +190,4 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[SECRE
             yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field(0).type), *batch.columns[1:]], batch.schema.names)
 
     first = docs.select("text", *[c for c in order if c != "text"])
-    return first.mapInArrow(cover, first.schema).select(*order)
+    return first.mapInArrow(tidy(cover), first.schema).select(*order)

@@ -9,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .text import tidy
+
 #: Counters of a sketch and rows in which they travel; the size doesn't depend on the data.
 COUNTERS, PARTS = 1 << 22, 64
 
@@ -48,7 +50,7 @@ def sketch(frame: DataFrame, values) -> np.ndarray:
 
     shape = "part int, counts binary"
     out = np.zeros((PARTS, COUNTERS // PARTS), dtype=np.int32)
-    for part, counts in frame.mapInArrow(count, shape).repartition("part").mapInArrow(add, shape).collect():  # COUNTERS numbers in all
+    for part, counts in frame.mapInArrow(tidy(count), shape).repartition("part").mapInArrow(tidy(add), shape).collect():  # COUNTERS numbers in all
         out[part] = np.frombuffer(counts, dtype=np.int32)
     return out.ravel()
 
@@ -70,4 +72,4 @@ def part(frame: DataFrame, column: str, wanted: np.ndarray, inside: bool) -> Dat
         for batch in batches:
             yield batch.filter(pa.array(wanted[slots(batch.column(place))] == inside))
 
-    return frame.mapInArrow(run, frame.schema)
+    return frame.mapInArrow(tidy(run), frame.schema)

@@ -5,9 +5,10 @@ Used inside tasks only: Spark splits the table, each task walks its rows in chun
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -65,6 +66,21 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for mapInArrow, after which the worker hands free memory back: workers are kept for later tasks, and several share an executor."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+            if trim is not None:
+                trim(0)
+
+    return tidied
+
+
 def held_out(doc_id: Column, remainder: int = 0) -> Column:
     """True for the fold from which nothing is learnt: crc32 of the id's text modulo 5; a null id is never held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == remainder, F.lit(False))

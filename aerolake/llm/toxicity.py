@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality_trees import sample_labels
-from .text import Chunk, chunks, held_out, split_words, word_hashes
+from .text import Chunk, chunks, held_out, split_words, tidy, word_hashes
 
 MAX_ROWS = 8_000
 BUCKETS = 1 << 18
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", max_rows: int
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.first, chunk.rows), *lists], ["y", "b", "c"])
 
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample_labels(labels, column, max_rows)), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))  # one row an id
-    found = chosen.select("y", "text").mapInArrow(measure, "y int, b array<int>, c array<int>").toArrow()  # max_rows at most
+    found = chosen.select("y", "text").mapInArrow(tidy(measure), "y int, b array<int>, c array<int>").toArrow()  # max_rows at most
     rows = []
     for batch in found.to_batches():
         b, c = batch.column(1), batch.column(2)
@@ -184,7 +184,7 @@ def score(docs: DataFrame, model: Linear, cut: float = 0.5) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(chunk.first, chunk.rows), pa.array(model.scores(chunk))], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.select("doc_id", "text").mapInArrow(rate, f"doc_id {kind}, score double")
+    out = docs.select("doc_id", "text").mapInArrow(tidy(rate), f"doc_id {kind}, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
 
 
@@ -197,4 +197,4 @@ def drop(docs: DataFrame, model: Linear, cut: float = 0.5) -> DataFrame:
                 yield batch.slice(chunk.first, chunk.rows).filter(pa.array(model.scores(chunk) < cut))
 
     first = docs.select("text", *[c for c in docs.columns if c != "text"])
-    return first.mapInArrow(keep, first.schema).select(*docs.columns)
+    return first.mapInArrow(tidy(keep), first.schema).select(*docs.columns)

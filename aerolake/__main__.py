@@ -10,6 +10,7 @@ Sources (any combination):
   --flight-batches DIR     flight-record batches (JSON arrays)
 Folders of files are bookmarked: a run takes the files that no earlier run into this warehouse has taken.
 Documents that can't be read go to <warehouse>/quarantine.
+  --publish DATABASE       catalog tables over the written layers, and positions bucketed by (aircraft, hour)
 Then the declared data-quality checks run over the written tables; their summary rows are
 appended to <warehouse>/quality_results and the number of failing checks is printed.
 """
@@ -43,6 +44,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--run-ts", default=None, help="run stamp 'YYYY-MM-DD HH:MM:SS' (default: now, UTC)")
     ap.add_argument("--calendar", nargs=2, metavar=("FROM", "TO"), help="bounds of the flight calendar, TO excluded (default: the staged departures)")
     ap.add_argument("--flights-by-day", action="store_true", help="keep the flights fact as a manifest table by departure day as well")
+    ap.add_argument("--publish", metavar="DATABASE", default=None, help="create catalog tables over the written layers in this database")
     ap.add_argument("--master", default=None, help="Spark master for local runs (default: from spark-submit)")
     a = ap.parse_args(argv)
     run_ts = a.run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
@@ -87,6 +89,8 @@ def main(argv: list[str] | None = None) -> dict:
         if a.flights_by_day:
             out["flights_by_day"] = jobs.build_flights_by_day(spark, wh, tuple(a.calendar) if a.calendar else None)
     out["taken"] = files_taken
+    if a.publish:
+        out["published"] = jobs.publish_tables(spark, wh, a.publish)
     if any(positions) or any(flights):
         results = f"{a.warehouse}/quality_results"
         write_parquet(jobs.run_quality(spark, a.warehouse).withColumn("run_ts", F.lit(run_ts)), results, mode="append")

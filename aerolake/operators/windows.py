@@ -101,25 +101,26 @@ def running_count_across_buckets(df: DataFrame, key: str, ts: str, flag: str, ou
 
 
 def detect_gaps(positions: DataFrame, key: str = "icao24", ts: str = "event_datetime",
-                minutes: int = 30) -> DataFrame:
+                minutes: int = 30, hour_col: str | None = None) -> DataFrame:
     """Rows whose boundary-minute gap to the previous position of the same key exceeds
-    ``minutes``: (key, ts, prev_event_time, minutes_since_last)."""
-    p = positions.select(key, ts)
-    lagged = lag_across_buckets(p, key, ts, "prev_event_time")
+    ``minutes``: (key, ts, prev_event_time, minutes_since_last).  ``hour_col`` names a column with the hour index of
+    ``ts``; where positions are bucketed by (key, hour_col), full rows aren't exchanged."""
+    p = positions.select(key, ts, *([hour_col] if hour_col else []))
+    lagged = lag_across_buckets(p, key, ts, "prev_event_time", bucket_col=hour_col)
     gap = boundary_minutes("prev_event_time", ts)
     return lagged.select(key, ts, "prev_event_time", gap.cast("long").alias("minutes_since_last")) \
         .filter(F.col("minutes_since_last") > minutes)
 
 
-def session_fragments(positions: DataFrame, key: str, ts: str, minutes: int) -> DataFrame:
+def session_fragments(positions: DataFrame, key: str, ts: str, minutes: int, hour_col: str | None = None) -> DataFrame:
     """Runs of positions within one (key, hour) bucket whose gaps don't exceed ``minutes``: first, last, n.
 
     Full rows are exchanged once, by (key, bucket), so a key with a third of all rows is spread over its hours; a run of an
-    hour is one row from here on (with 30 minutes, two a bucket at most).
+    hour is one row from here on (with 30 minutes, two a bucket at most).  Where positions are bucketed by (key, hour_col), they aren't exchanged at all.
     """
     bucket = ["_k", "_bucket"]
     inside = Window.partitionBy(*bucket).orderBy("_t")
-    p = positions.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), hour_index(ts).alias("_bucket"))
+    p = positions.select(F.col(key).alias("_k"), F.col(ts).alias("_t"), (F.col(hour_col) if hour_col else hour_index(ts)).alias("_bucket"))
     new = F.lag("_t").over(inside)
     runs = p.withColumn("_new", (new.isNull() | (boundary_minutes(new, "_t") > minutes)).cast("int")) \
         .withColumn("_run", F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
@@ -128,13 +129,13 @@ def session_fragments(positions: DataFrame, key: str, ts: str, minutes: int) ->
 
 
 def sessions(positions: DataFrame, key: str = "icao24", ts: str = "event_datetime",
-             minutes: int = 30) -> DataFrame:
+             minutes: int = 30, hour_col: str | None = None) -> DataFrame:
     """One row per flight session: a new session starts at the first position of a key and
     whenever the boundary-minute gap exceeds ``minutes``.  Fragments of hours are stitched: one whose first position follows
     the last one of the fragment before closely enough continues its session."""
     in_order = Window.partitionBy("_k").orderBy("first", "last")
     before = F.lag("last").over(in_order)
-    stitched = session_fragments(positions, key, ts, minutes) \
+    stitched = session_fragments(positions, key, ts, minutes, hour_col) \
         .withColumn("_new", (before.isNull() | (boundary_minutes(before, "first") > minutes)).cast("int")) \
         .withColumn("session_no", F.sum("_new").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
     return stitched.groupBy(F.col("_k").alias(key), "session_no").agg(

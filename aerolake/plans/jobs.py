@@ -35,7 +35,7 @@ from aerolake.operators import positions as P
 from aerolake.operators import quality as DQ
 from aerolake.operators.shaping import flatten_states, flatten_traces
 from aerolake.schemas import POSITIONS_CLEAN, POSITIONS_STORED
-from aerolake.sources import archives
+from aerolake.sources import archives, catalog
 from aerolake.sources.files import read_positions_parquet
 from aerolake.sources.manifest import ManifestTable
 from aerolake.sources.sinks import write_parquet, write_partitioned
@@ -128,6 +128,29 @@ def build_positions(spark: SparkSession, warehouse: str) -> dict:
     return counts
 
 
+def publish_tables(spark: SparkSession, warehouse: str, database: str, buckets: int | None = None) -> list[str]:
+    """Tables of the catalog over the layers that are written so far; ``positions_by_hour`` holds silver positions bucketed by (aircraft, hour).
+
+    The flights fact is published as its latest version.  ``buckets`` defaults to the session's shuffle partitions.
+    """
+    wh = warehouse.rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    found = [(name, f"{wh}/{name}", ["event_date"] if name in DATED else []) for name in (*DATED, "dim_aircraft", "dim_dates", "dim_time", "dim_airports", "dim_date")]
+    versions = INC.list_versions(spark, f"{wh}/fct_flights")
+    if versions:
+        found.append(("fct_flights", INC.version_path(f"{wh}/fct_flights", versions[-1]), []))
+    done = []
+    for name, path, parts in found:
+        if INC.exists(spark, path):
+            catalog.publish(spark, database, name, path, parts)
+            done.append(name)
+    if "positions_silver" in done:
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        catalog.save_bucketed_positions(spark.table(f"{database}.positions_silver"), f"{database}.positions_by_hour", n)
+        done.append("positions_by_hour")
+    return done
+
+
 def stage_documents(spark: SparkSession, docs: DataFrame, warehouse: str, run: str) -> dict:
     """Trace documents (archive, member, error, parsed fields) -> positions of the run, and its documents with an error in quarantine.
 

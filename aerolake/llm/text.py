@@ -6,6 +6,7 @@ Used inside tasks only: Spark splits the table, each task walks its rows in chun
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -66,6 +67,15 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Hand memory that this process has free back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """``run`` for mapInArrow, after which the worker hands free memory back: workers are kept for later tasks, and several share an executor."""
 
@@ -73,10 +83,7 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
-            if trim is not None:
-                trim(0)
+            release()
 
     return tidied
 

@@ -7,13 +7,15 @@ stage's ``docs``.  Filtering stages keep whole rows and all columns of documents
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.llm import bpe, decontaminate, jaccard, secrets, toxicity
-from aerolake.llm.text import shared_folder, table
+from aerolake.llm.text import release, shared_folder, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,14 +57,29 @@ STAGES = [
 ORACLE_SQL = None
 
 
+@contextmanager
+def short_plan_texts(spark: SparkSession) -> Iterator[None]:
+    """Spark keeps a text of every plan on the driver; those with literal tables of a vocabulary have some MB each unless they are cut."""
+    key = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "65536")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; stage results go to a new folder of the shared one."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{k}_{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    with short_plan_texts(spark):
+        for k, (name, stage) in enumerate(STAGES):
+            path = f"{folder}/{k}_{name}"
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+            release()  # of models, sketches and tables of words that the stage had on the driver
+            spark.sparkContext._jvm.System.gc()  # of plans and collected rows; a full collection gives heap back
     return docs
 
 

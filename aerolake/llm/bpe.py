@@ -188,17 +188,23 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: in
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """The encoded rows with column ``bytes``: the binary pieces of their ids, concatenated.
+    """The encoded rows with column ``bytes``: the binary pieces of their ids, concatenated."""
+    by_rank = {rank: piece for piece, rank in ranks.items()}
+    pieces = pa.array([by_rank.get(i) for i in range(max(by_rank, default=-1) + 1)], pa.large_binary())
 
-    Built-in functions only: the pieces are one literal array in hexadecimal, ids are mapped onto it and the joined digits read back.
-    """
-    by_rank = {rank: piece.hex() for piece, rank in ranks.items()}
-    pieces = F.from_json(F.lit(json.dumps([by_rank.get(i) for i in range(max(by_rank, default=-1) + 1)])), "array<string>")
-
-    def digits(known: Column) -> Column:
-        return F.array_join(F.transform("ids", lambda i: F.coalesce(F.get(known, i), F.raise_error(F.lit("ids outside the vocabulary")))), "")
-
-    return encoded.select("doc_id", "ids", F.unhex(bind(pieces, digits)).alias("bytes"))
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(batch.schema.get_field_index("ids"))
+            flat = pieces.take(lists.flatten())
+            if flat.null_count:
+                raise ValueError("ids outside the vocabulary")
+            _, where, data = flat.buffers()
+            ends = np.frombuffer(where, np.int64)[flat.offset:flat.offset + len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
+            rows = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+            whole = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(rows), data if data is not None else pa.py_buffer(b"")])
+            yield pa.RecordBatch.from_arrays([*batch.columns, whole.cast(pa.binary())], [*batch.schema.names, "bytes"])
+
+    return encoded.mapInArrow(tidy(run), f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, ids array<int>, bytes binary")
 
 
 def digest(decoded: DataFrame, *also: str) -> DataFrame:

@@ -6,7 +6,8 @@ counted in Spark, and the most frequent ones (``max_words`` at most, of at most
 Spark higher-order functions: a fold over the array of byte pieces that joins the best-ranked neighbours,
 looking ranks up in a literal map (split by crc32 into small maps, as Spark searches a map from front to end).  Tasks
 then map every pre-token of every text through that table; the remaining rare or long pre-tokens are folded by
-the same ranks where they occur, once per task and word (with a heap, so that a word of a million letters is no trouble).
+the same ranks where they occur: all rare words of some texts at once, a merge of each at a time, and long ones with a heap, so
+that a word of a million letters is no trouble.
 
 Defined results: null text counts as empty and has no ids; repeated rows are encoded one by one; null ids
 are kept; ids outside the vocabulary fail in ``decode``; an empty table gives no rows; other
@@ -20,6 +21,7 @@ import gc
 import heapq
 import json
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import tidy, written
+from .text import mix, tidy, written
 
 MAX_WORDS = 1 << 17
 RANK_MAPS = 1 << 13
@@ -117,6 +119,110 @@ def fold_rare(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p]
 
 
+@dataclass
+class Merges:
+    """Merges as an open-addressed table from two neighbours' ids to the id of their join, which is its rank.
+
+    ``first`` has the id of each single byte; bytes that the vocabulary lacks have ids from ``known`` on.  ``odd`` has the
+    pieces that merges don't lead to.
+    """
+
+    first: np.ndarray
+    known: int
+    keys: np.ndarray
+    joined: np.ndarray
+    odd: dict[bytes, int]
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys.astype(np.uint64)) & np.uint64(len(self.keys) - 1)).astype(np.int64)
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair, NO_RANK where it has none or either id is negative."""
+        keys = np.where((left < 0) | (right < 0), -1, left.astype(np.int64) << 32 | right)
+        out = np.full(len(keys), NO_RANK, dtype=np.int32)
+        asked = np.flatnonzero(keys >= 0)
+        slot = self._slots(keys[asked])
+        while len(asked):
+            there = self.keys[slot]
+            same = there == keys[asked]
+            out[asked[same]] = self.joined[slot[same]]
+            on = ~same & (there >= 0)
+            asked, slot = asked[on], (slot[on] + 1) & (len(self.keys) - 1)
+        return out
+
+
+def merges_of(ranks: dict[bytes, int]) -> Merges:
+    """The merges that ``ranks`` allow: every way to cut a piece into two pieces."""
+    known = max(ranks.values(), default=-1) + 1
+    ids = {bytes([b]): known + b for b in range(256)} | ranks
+    pairs = [(ids[piece[:cut]] << 32 | ids[piece[cut:]], rank) for piece, rank in ranks.items() for cut in range(1, len(piece))
+             if piece[:cut] in ids and piece[cut:] in ids]
+    size = 1 << max(4, (2 * len(pairs)).bit_length())
+    keys, joined = np.full(size, -1, dtype=np.int64), np.zeros(size, dtype=np.int32)
+    out = Merges(np.array([ids[bytes([b])] for b in range(256)], dtype=np.int32), known, keys, joined, {})
+    key, rank = (np.array(x, dtype=np.int64) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    slot, left = out._slots(key), np.arange(len(key))
+    while len(left):  # one of those that want a free slot gets it, the others go on
+        free = np.flatnonzero(keys[slot[left]] < 0)
+        _, one = np.unique(slot[left[free]], return_index=True)
+        won = left[free[one]]
+        keys[slot[won]], joined[slot[won]] = key[won], rank[won]
+        left = np.setdiff1d(left, won, assume_unique=True)
+        slot[left] = (slot[left] + 1) & (size - 1)
+    pieces = [p for p in ranks if 1 < len(p) <= FOLD_BYTES]
+    out.odd = {p: ranks[p] for p, found in zip(pieces, fold_many(pieces, out)) if len(found) != 4}
+    return out
+
+
+def fold_many(words: list[bytes], merges: Merges) -> list[bytes]:
+    """Ids (32 bits each, as bytes) of pre-tokens of moderate length: the best-ranked and then leftmost pair of every word is joined at a time."""
+    out: list[bytes] = [b""] * len(words)
+    length = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(length, kind="stable")
+    lo = int(np.searchsorted(length[order], 1))
+    while lo < len(order):  # words of similar length, some thousands together
+        hi = min(lo + (1 << 13), int(np.searchsorted(length[order], max(8, 2 * length[order[lo]]), side="right")))
+        here = order[lo:hi]
+        lo = hi
+        n, width = length[here], int(length[here[-1]])
+        column = np.arange(width)
+        ids = np.full((len(here), width), -1, dtype=np.int32)
+        ids[column < n[:, None]] = merges.first[np.frombuffer(b"".join([words[i] for i in here]), dtype=np.uint8)]
+        rank = np.full((len(here), width), NO_RANK, dtype=np.int32)
+        if width > 1:
+            rank[:, :-1] = merges.look_up(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(here), width - 1)
+        while len(here):
+            at = rank.argmin(axis=1)
+            best = rank[np.arange(len(here)), at]
+            done = best == NO_RANK
+            if done.any():
+                for i, row, k in zip(here[done].tolist(), ids[done], (ids[done] >= 0).sum(axis=1).tolist()):
+                    out[i] = row[:k].tobytes()
+                here, ids, rank, at, best = (x[~done] for x in (here, ids, rank, at, best))
+            row, after = np.arange(len(here)), column > at[:, None]
+            for cells, none in ((ids, -1), (rank, NO_RANK)):  # what follows the pair moves up
+                moved = np.full_like(cells, none)
+                moved[:, :-1] = cells[:, 1:]
+                np.copyto(cells, moved, where=after)
+            ids[row, at] = best
+            rank[row, at] = merges.look_up(best, np.where(at + 1 < width, ids[row, np.minimum(at + 1, width - 1)], -1))
+            inner = np.flatnonzero(at > 0)
+            rank[inner, at[inner] - 1] = merges.look_up(ids[inner, at[inner] - 1], best[inner])
+    for i, word in enumerate(words):
+        if word in merges.odd:
+            out[i] = np.int32(merges.odd[word]).tobytes()
+    return out
+
+
+def fold_words(words: list[bytes], ranks: dict[bytes, int], merges: Merges) -> list[bytes]:
+    """Ids of pre-tokens of any length, as bytes."""
+    folded = fold_many([w for w in words if len(w) <= FOLD_BYTES], merges)
+    if (np.frombuffer(b"".join(folded), dtype=np.int32) >= merges.known).any():
+        raise KeyError("a byte that the vocabulary lacks")
+    short = iter(folded)
+    return [next(short) if len(w) <= FOLD_BYTES else np.array(fold_rare(w, ranks), dtype=np.int32).tobytes() for w in words]
+
+
 def frequent_words(docs: DataFrame, pattern: str, max_words: int) -> DataFrame:
     """The most frequent distinct pre-tokens of the corpus, at most ``max_words``, of at most FOLD_BYTES bytes.
 
@@ -137,6 +243,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: in
     """doc_id and ids (array of int) of every row."""
     spread = frequent_words(docs, pattern, max_words).repartition(docs.sparkSession.sparkContext.defaultParallelism)
     known = spread.select("word", fold_merges(F.col("word"), rank_literal(ranks)).alias("ids")).toArrow()  # max_words rows at most
+    merges = merges_of(ranks)
 
     def run(batches):
         gc.disable()  # the words' ids hold no cycles
@@ -162,14 +269,14 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: in
                 stop = max(row + 1, int(np.searchsorted(first, first[row] + (1 << 18), side="right")) - 1)
                 coded = pc.dictionary_encode(lists.values[int(first[row]):int(first[stop])]) if first[stop] > first[row] else None
                 words = coded.dictionary.to_pylist() if coded is not None else []
-                ids = []
-                for w in words:
-                    found = table.get(w) or rare.get(w)
-                    if found is None:
-                        if len(rare) >= CACHE_WORDS:
-                            rare.clear()
-                        found = rare[w] = np.array(fold_rare(w.encode("utf-8", "surrogatepass"), ranks), dtype=np.int32).tobytes()
-                    ids.append(found)
+                ids = [table.get(w) or rare.get(w) for w in words]
+                new = [i for i, found in enumerate(ids) if found is None]
+                if len(rare) + len(new) > CACHE_WORDS:
+                    rare.clear()
+                for i, found in zip(new, fold_words([words[i].encode("utf-8", "surrogatepass") for i in new], ranks, merges)):
+                    ids[i] = found
+                    if len(rare) < CACHE_WORDS:
+                        rare[words[i]] = found
                 size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
                 flat = np.frombuffer(b"".join(ids), dtype=np.int32)
                 which = coded.indices.to_numpy() if coded is not None else np.zeros(0, np.int64)

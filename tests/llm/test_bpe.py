@@ -50,6 +50,26 @@ def test_both_folds_agree(spark, ranks):
     assert all(r.ids == bpe.fold_rare(r.word.encode(), ranks) for r in got)
 
 
+def test_many_words_fold_like_one(ranks):
+    rng = random.Random(4)
+    words = [rng.randbytes(rng.randint(1, 40)) for _ in range(3000)] + [bytes(rng.choice(b"aab \xc3\xa9") for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    words += list(ranks)[::7]
+    merges = bpe.merges_of(ranks)
+    got = [list(memoryview(ids).cast("i")) for ids in bpe.fold_words(words, ranks, merges)]
+    assert got == [bpe.fold_rare(w, ranks) for w in words]
+    assert bpe.fold_words([], ranks, merges) == []
+
+
+def test_pieces_that_merges_miss_and_unknown_bytes():
+    """b"cab" can't be reached: b"ab" is joined before b"ca"; bytes other than a, b, c have no id."""
+    few = {b"a": 0, b"b": 1, b"c": 2, b"ab": 3, b"ca": 4, b"abab": 5, b"xyz": 6, b"zz": 7}
+    merges = bpe.merges_of(few)
+    words = [b"cab", b"abab", b"ababab", b"ccaab", b"xyz", b"azza", b"zzz"[:2]]
+    assert [list(memoryview(ids).cast("i")) for ids in bpe.fold_words(words, few, merges)] == [bpe.fold_rare(w, few) for w in words]
+    with pytest.raises(KeyError):
+        bpe.fold_words([b"azb"], few, merges)
+
+
 def test_long_word_folds_in_time(ranks, library):
     word = "ab1"[:2] * 20_000
     assert bpe.fold_rare(word.encode(), ranks) == library.encode_ordinary(word)

@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import mix, tidy, written
+from .text import mix, spare_driver, tidy, written
 
 MAX_WORDS = 1 << 17
 RANK_MAPS = 1 << 13
@@ -243,6 +243,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: in
     """doc_id and ids (array of int) of every row."""
     spread = frequent_words(docs, pattern, max_words).repartition(docs.sparkSession.sparkContext.defaultParallelism)
     known = spread.select("word", fold_merges(F.col("word"), rank_literal(ranks)).alias("ids")).toArrow()  # max_words rows at most
+    spare_driver(docs.sparkSession)  # of the plan with the literal
     merges = merges_of(ranks)
 
     def run(batches):

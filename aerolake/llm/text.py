@@ -60,10 +60,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return out
 
 
+def spare_driver(spark: SparkSession) -> None:
+    """Hand back what this process and the driver's JVM hold no longer: plans, collected rows, closures of finished jobs."""
+    release()
+    spark.sparkContext._jvm.System.gc()  # a full collection gives heap back
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write a table of its own in the shared folder and read it back: like ``checkpointed``, but compressed, and read by columns."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4()}"
     df.write.option("compression", "zstd").parquet(path)
+    spare_driver(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -31,7 +31,7 @@ class Check:
     values: tuple = field(default_factory=tuple)  # accepted_values
 
 
-def _violates(c: Check) -> F.Column:
+def violates(c: Check) -> F.Column:
     """Predicate true on a failing row.  NULLs pass range and values checks."""
     col = F.col(c.column)
     if c.kind == "not_null":
@@ -51,11 +51,28 @@ def _violates(c: Check) -> F.Column:
 ROW_LEVEL = ("not_null", "accepted_range", "accepted_values")
 
 
+def label(c: Check) -> str:
+    """Name of a check within its model."""
+    return f"{c.kind} {c.column}"
+
+
+def row_level_checks(model: str) -> list[Check]:
+    """The declared row-level checks of a model."""
+    return [c for kind in ROW_LEVEL for c in declared_checks(kind) if c.model == model]
+
+
+def quarantined(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """``df`` with a row for each check that a row fails: test, column_name and the row as JSON are added."""
+    failed = F.array_compact(F.array(*[F.when(violates(c), F.struct(F.lit(c.kind).alias("test"), F.lit(c.column).alias("column_name"))) for c in checks]))
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row")
+    return df.select("*", whole, F.explode(failed).alias("_failed")).select(*df.columns, "row", "_failed.test", "_failed.column_name")
+
+
 def failing_rows(c: Check, models: Mapping[str, DataFrame]) -> DataFrame:
     """The rows (or keys) that make one check fail."""
     df = models[c.model]
     if c.kind in ROW_LEVEL:
-        return df.filter(_violates(c))
+        return df.filter(violates(c))
     if c.kind == "unique":
         return df.filter(F.col(c.column).isNotNull()).groupBy(c.column).agg(F.count(F.lit(1)).alias("n_records")) \
             .filter(F.col("n_records") > 1)
@@ -69,7 +86,7 @@ SUMMARY_COLUMNS = ["test", "model", "column_name", "failing_rows"]
 
 
 def _row_level_summary(model: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    aggs = [F.count_if(_violates(c)).alias(f"_c{i}") for i, c in enumerate(checks)]
+    aggs = [F.count_if(violates(c)).alias(f"_c{i}") for i, c in enumerate(checks)]
     wide = df.agg(*aggs)
     stack = ", ".join(f"'{c.kind}', '{c.column}', _c{i}" for i, c in enumerate(checks))
     long = wide.selectExpr(f"stack({len(checks)}, {stack}) AS (test, column_name, failing_rows)")

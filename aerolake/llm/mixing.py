@@ -1,16 +1,17 @@
 """Language-model scoring by online logistic context mixing.
 
-A text is its lower-cased words and one end token.  A token is coded by binary decisions: first the bits of its count class (the bit
-length of its count in the training documents, 0 if it is unknown), then either its share of the counts of that class, or, if
-unknown, the bits of its letters and a blank.  Every decision is predicted by several hashed contexts:
+A text is its lower-cased words and one end token.  A token is coded by binary decisions alone: first the bits of its count class (the bit
+length of its count in the training documents, 0 if it is unknown), then the eight bits of each of its letters (UTF-8 bytes) and of a
+blank; the end token is a blank without letters.  Every decision is predicted by several hashed contexts:
 
 * class bits: no context, the class before, the two classes before, the word before, length and last letter of the word before;
-* letter bits: place in the word, and the one to four letters before.
+* letter bits of known tokens: class and all letters before, class and two letters before, four letters before, the word before and all letters before;
+* letter bits of unknown tokens: place in the word, and the one to four letters before.
 
-Each predictor keeps how often a context and a node of the code tree saw 0 and 1 in a table of ``SLOTS`` places.  The predictors' logits
-are combined by weights; a gate (place of the bit) picks the weight set.  Weights, and a map that corrects
+Each predictor keeps how often a context and a node of the code tree saw 0 and 1 in a table of ``SLOTS`` places (``KNOWN_SLOTS`` for letters of
+known tokens).  The predictors' logits are combined by weights; a gate (place of the bit) picks the weight set.  Weights, and a map that corrects
 the mixed logit by gate and height, start alike for each text and are refined along it by the gradient of the coding cost,
-after every ``STEP`` tokens; all texts of a block advance together in numpy.
+after every ``STEP`` tokens, those of known tokens' letters after every ``LETTER_STEP`` letters; all texts of a block advance together in numpy.
 
 What Spark gathers: exact counts of every distinct training token (a table that grows with the corpus; it is joined to the blocks'
 dictionaries, never broadcast) and the bit counts of all training documents.  For the latter a token's own occurrence is left out of its
@@ -23,6 +24,8 @@ one by one; null ids are kept and count as training rows; without training rows
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,22 +33,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import BLOCK_BYTES, Numbers, bucketed, int_list, packed, unpacked, with_answers
-from .text import Chunk, chunks, held_out, mix, signed, slices, split_words, word_hashes, written
+from .text import BYTE_CODES, Chunk, chunks, held_out, mix, signed, slices, split_words, word_hashes, written
 
 PREDICTORS = 5
 SLOTS = 1 << 16
 STEP = 32
 WEIGHT, RATE, MAP_RATE, HEIGHTS = 0.25, 0.6, 0.3, 12
 LETTER_GATES = 4
+#: Letters of known tokens: contexts, places of each one's table, letters of a text between refinements, letters held at once.
+KNOWN, KNOWN_SLOTS, LETTER_STEP, GROUP = 4, 1 << 18, 128, 1 << 20
 #: Letters that are expanded at once; bounds memory for very long unknown words.
 LETTERS = 1 << 17
-PARTS = 2 * PREDICTORS
+PARTS, KNOWN_PARTS = 2 * PREDICTORS, KNOWN * KNOWN_SLOTS // SLOTS
 END = np.uint64(0x5EED)
 FOLD = 1
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
-_SALT = mix(np.arange(1, 2 * PREDICTORS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, PREDICTORS)
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
+_SALT = mix(np.arange(1, 2 * PREDICTORS + 1, dtype=np.uint64) * _GOLD).reshape(2, PREDICTORS)
+_KNOWN_SALT = mix(np.arange(101, 101 + KNOWN, dtype=np.uint64) * _GOLD)
 _SPREAD = 40503
 
 
@@ -162,6 +169,8 @@ class Block:
         self.letters = np.frombuffer(columns["letters"][0].as_buffer(), dtype=np.uint8)
         self.at = np.cumsum(self.lengths) - self.lengths
         self.first = np.cumsum(self.per_row) - self.per_row
+        self.begins = np.zeros(len(self.pos), dtype=bool)
+        self.begins[self.first] = True
         self.last = np.zeros(len(self.lengths), dtype=np.int64)
         full = self.lengths > 0
         self.last[full] = self.letters[self.at[full] + self.lengths[full] - 1]
@@ -206,6 +215,63 @@ class Block:
                     [(mix(c[y].view(np.uint64) + s) >> np.uint64(48)).astype(np.int32) for c, s in zip(contexts, _SALT[1])], axis=1)
             lo = hi
 
+    def letters_of(self, tokens: np.ndarray, classes: np.ndarray) -> Letters:
+        """Letters of these tokens of the texts, given the class of each dictionary position; contexts inside a word are hashed once a distinct token."""
+        used = np.zeros(len(self.keys), dtype=bool)
+        used[self.pos[tokens]] = True
+        own, which = np.flatnonzero(used), (np.cumsum(used) - 1)[self.pos[tokens]]
+        length = self.lengths[own]
+        size = length + 1
+        start = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) - np.repeat(start, size)
+        letter = np.full(len(place), 0x20, dtype=np.uint8)
+        inside = place < np.repeat(length, size)
+        letter[inside] = self.letters[place[inside] + np.repeat(self.at[own], length)]
+        terms = BYTE_CODES[letter] * np.cumprod(np.full(int(size.max(initial=1)), _GOLD, dtype=np.uint64))[place]
+        prefix = np.cumsum(terms) - terms
+        prefix -= np.repeat(prefix[start], size)
+        history = np.zeros(len(place), dtype=np.uint64)
+        contexts = [prefix + np.repeat(mix(classes[own].astype(np.uint64) + _GOLD), size)]
+        for back in range(1, 5):
+            earlier = np.zeros(len(place), dtype=np.uint64)
+            earlier[back:] = letter[:-back] if back < len(letter) else 0
+            history = history * np.uint64(256) + np.where(place >= back, earlier, 0)
+            if back == 2:
+                contexts.append(history * np.uint64(64) + np.repeat(classes[own].astype(np.uint64), size))
+        contexts.append(history)
+        each = size[which]
+        at = np.repeat(start[which] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))
+        word = np.where(self.begins[tokens], 0, self.keys[self.pos[tokens - 1]]).view(np.uint64)
+        return Letters(each, at, letter, np.repeat(np.bincount(which, minlength=len(own)), size),
+                       [known_places(c, k) for k, c in enumerate(contexts)], known_places(prefix[at] + np.repeat(mix(word), each), KNOWN - 1))
+
+
+@dataclass
+class Letters:
+    """Letters and blanks of the distinct tokens of a choice of tokens, how often each token was chosen, and table places for contexts inside
+    a word; per token its number of letters; per letter of the tokens one after the other ``at``, its place among those, and the table place
+    for the word before."""
+
+    each: np.ndarray
+    at: np.ndarray
+    letter: np.ndarray
+    times: np.ndarray
+    inside: list[np.ndarray]
+    across: np.ndarray
+
+
+def known_places(context: np.ndarray, k: int) -> np.ndarray:
+    return (mix(context + _KNOWN_SALT[k]) >> np.uint64(65 - KNOWN_SLOTS.bit_length())).astype(np.int32)
+
+
+def pieces(size: np.ndarray, limit: int):
+    """Ranges of consecutive items with ``limit`` in sum, or of one item."""
+    total, lo = np.cumsum(size), 0
+    while lo < len(size):
+        hi = max(lo + 1, int(np.searchsorted(total, limit + (total[lo - 1] if lo else 0), side="right")))
+        yield lo, hi
+        lo = hi
+
 
 def nodes(symbol: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(symbol, bit): offset of the node of a code tree before each bit, and the bit."""
@@ -214,8 +280,37 @@ def nodes(symbol: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (node * _SPREAD).astype(np.int32), ((symbol[:, None] >> (bits - 1 - depth)) & 1).astype(bool)
 
 
+def count_letters(total: np.ndarray, block: Block, tokens: np.ndarray, classes: np.ndarray) -> None:
+    """Adds to (predictor, slot and bit) the letter bits of these known tokens."""
+    steps, bits = (x.astype(np.int64) for x in nodes(np.arange(256), 8))
+    steps = steps * 2 + bits
+    for lo, hi in pieces(block.lengths[block.pos[tokens]] + 1, GROUP):
+        found = block.letters_of(tokens[lo:hi], classes)
+        said = found.letter[found.at]
+        for d in range(8):
+            mask, inside = 2 * KNOWN_SLOTS - 1, steps[found.letter, d]
+            for k, place in enumerate(found.inside):
+                np.add.at(total[k], (place * 2 + inside) & mask, found.times)
+            np.add.at(total[-1], (found.across * 2 + steps[said, d]) & mask, 1)
+
+
+def planes(counts: np.ndarray) -> bytes:
+    """64-bit counts, all their lowest bytes first, as that compresses well."""
+    return np.ascontiguousarray(counts, dtype="<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(data) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
 def bit_counts(blocks: DataFrame, bits: int) -> np.ndarray:
-    """(kind, predictor, slot, bit): how often the training documents saw each bit; a token's own occurrence is left out of its count."""
+    """(kind, predictor, slot, bit) of class bits and of unknown tokens' letter bits."""
+    return all_counts(blocks, bits)[0]
+
+
+def all_counts(blocks: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(kind, predictor, slot, bit) of class bits and unknown tokens' letter bits, (predictor, slot, bit) of known tokens' letter bits: how often the
+    training documents saw each bit; a token's own occurrence is left out of its count."""
 
     def add(total: np.ndarray, places: np.ndarray, node: np.ndarray, bit: np.ndarray) -> None:
         for k in range(PREDICTORS):
@@ -223,102 +318,170 @@ def bit_counts(blocks: DataFrame, bits: int) -> np.ndarray:
             total[k] += np.bincount(spot.ravel(), minlength=2 * SLOTS)
 
     def count(batches):
-        total = np.zeros((2, PREDICTORS, 2 * SLOTS), dtype=np.int64)
+        total, known = np.zeros((2, PREDICTORS, 2 * SLOTS), dtype=np.int64), np.zeros((KNOWN, 2 * KNOWN_SLOTS), dtype=np.int64)
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 block = Block({c: row.column(k) for k, c in enumerate(row.schema.names)})
                 train = np.repeat(row.column(row.schema.get_field_index("train")).flatten().to_numpy(zero_copy_only=False), block.per_row)
-                symbol = classes_of(np.maximum(block.known - 1, 0))[block.pos]
+                classes = classes_of(np.maximum(block.known - 1, 0))
+                symbol = classes[block.pos]
                 places = block.places(symbol)
                 for x in range(0, len(symbol), 1 << 18):
                     use = np.flatnonzero(train[x:x + (1 << 18)]) + x
                     add(total[0], places[use], *nodes(symbol[use], bits))
                 for _, letter, _, where in block.spelled(block.pos[train & (symbol == 0)]):
                     add(total[1], where, *nodes(letter, 8))
+                count_letters(known, block, np.flatnonzero(train & (symbol > 0)), classes)
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([x.tobytes() for x in total.reshape(PARTS, -1)], pa.binary())], ["part", "counts"])
+            rows = [*total.reshape(PARTS, -1), *known.reshape(KNOWN_PARTS, -1)]
+            for x in range(0, len(rows), 8):
+                some = rows[x:x + 8]
+                yield pa.RecordBatch.from_arrays([pa.array(range(x, x + len(some)), pa.int32()), pa.array([planes(r) for r in some], pa.binary())], ["part", "counts"])
 
     def merge(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                total[part] = total.get(part, 0) + np.frombuffer(counts.as_buffer(), dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["part", "counts"])
+                total[part] = total.get(part, 0) + from_planes(counts.as_buffer())
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([planes(x) for x in total.values()], pa.binary())], ["part", "counts"])
+
+    shape, out = "part int, counts binary", np.zeros((PARTS + KNOWN_PARTS, 2 * SLOTS), dtype=np.int64)
+    for part, counts in blocks.drop("doc_id").mapInArrow(count, shape).repartition("part").mapInArrow(merge, shape).collect():  # PARTS + KNOWN_PARTS rows of 1 MB
+        out[part] = from_planes(counts)
+    return out[:PARTS].reshape(2, PREDICTORS, SLOTS, 2), out[PARTS:].reshape(KNOWN, KNOWN_SLOTS, 2)
+
+
+def logits_of(counts: np.ndarray) -> np.ndarray:
+    return np.log((counts[..., 1] + 0.4) / (counts[..., 0] + 0.4)).astype(np.float32)
+
+
+class Weights:
+    """Weights and maps of some texts for the bits of one kind of symbol; ``code`` gives the cost of symbols and refines them by it."""
+
+    def __init__(self, texts: int, bits: int, logits: np.ndarray) -> None:
+        self.logits, self.bits = logits, bits
+        self.weights = np.full((bits, len(logits), texts), WEIGHT, dtype=np.float32)
+        self.shift = np.zeros((bits, texts, HEIGHTS), dtype=np.float32)
+        node, bit = nodes(np.arange(1 << bits), bits)
+        self.node, self.sign = node.T.copy(), np.where(bit.T, np.float32(1), np.float32(-1))
+
+    def code(self, texts: slice, n: np.ndarray, symbol: np.ndarray, places: list[np.ndarray]) -> np.ndarray:
+        """Negative logarithm of the probability of the first n[i] symbols of row i, which is a text's; symbol and places: (text, symbol)."""
+        mask, out = self.logits.shape[1] - 1, np.zeros(len(n))
+        left = np.arange(symbol.shape[1]) >= n[:, None] if n.min() < symbol.shape[1] else None
+        cell = np.arange(len(n))[:, None] * HEIGHTS
+        rate = np.float32(1) / n.astype(np.float32)
+        for d in range(self.bits):
+            node, sign = self.node[d].take(symbol), self.sign[d].take(symbol)
+            x = [self.logits[k].take((p + node) & mask) for k, p in enumerate(places)]
+            weights, shift = self.weights[d, :, texts], self.shift[d, texts]
+            logit = x[0] * weights[0, :, None]
+            for k in range(1, len(x)):
+                logit += x[k] * weights[k, :, None]
+            height = np.minimum(np.maximum(logit * np.float32(1.5) + np.float32(HEIGHTS / 2), 0), HEIGHTS - 1).astype(np.int64)
+            height += cell
+            logit += shift.ravel().take(height)
+            z = np.exp(-sign * np.minimum(np.maximum(logit, -14), 14))
+            cost = np.log(z + np.float32(1))
+            error = sign * (z / (z + np.float32(1)))
+            if left is not None:
+                cost[left] = 0
+                error[left] = 0
+            out += cost.sum(axis=1)
+            for k, inputs in enumerate(x):
+                weights[k] += RATE * rate * np.einsum("ab,ab->a", error, inputs)
+            shift += MAP_RATE * rate[:, None] * np.bincount(height.ravel(), weights=error.ravel(), minlength=shift.size).reshape(shift.shape)
+        return out
+
 
-    shape, out = "part int, counts binary", np.zeros((PARTS, 2 * SLOTS), dtype=np.int64)
-    for part, counts in blocks.drop("doc_id").mapInArrow(count, shape).repartition("part").mapInArrow(merge, shape).collect():  # PARTS rows of 1 MB
-        out[part] = np.frombuffer(counts, dtype=np.int64)
-    return out.reshape(2, PREDICTORS, SLOTS, 2)
+def together(length: np.ndarray, step: int, cells: int = 1 << 15):
+    """(texts, n, at) of texts in order of falling length that advance by ``step`` symbols: some rows at a time, whose first n symbols from ``at`` on are theirs."""
+    rows = max(1, cells // step)
+    for lo in range(0, len(length), rows):
+        mine = length[lo:lo + rows]
+        for at in range(0, int(mine[0]), step):
+            active = int(np.searchsorted(-mine, -at, side="left"))
+            yield slice(lo, lo + active), np.minimum(mine[:active] - at, step), at
 
 
 class Model:
     """Logits of all table places and what else a task needs to score a block."""
 
-    def __init__(self, counts: np.ndarray, bits: int, total: int, distinct: int, class_totals: dict[int, int]) -> None:
-        seen = counts.astype(np.float64)
-        self.logits = np.log((seen[..., 1] + 0.4) / (seen[..., 0] + 0.4)).astype(np.float32)
+    def __init__(self, counts: np.ndarray, bits: int, total: int, distinct: int, class_totals: dict[int, int], letters: np.ndarray | None = None) -> None:
+        if max(class_totals, default=0) >= 1 << bits:
+            raise ValueError("more classes than bits tell apart")
+        self.logits, self.letters = logits_of(counts), None if letters is None else logits_of(letters)
         self.bits, self.total, self.distinct = bits, total, distinct
-        self.class_totals = np.ones(65)
-        for c, n in class_totals.items():
-            self.class_totals[c] = n
-
-    def inputs(self, kind: int, places: np.ndarray, node: np.ndarray) -> np.ndarray:
-        """(symbol, bit, predictor) logits."""
-        out = np.empty((*node.shape, PREDICTORS), dtype=np.float32)
-        for k in range(PREDICTORS):
-            out[:, :, k] = self.logits[kind, k][(places[:, k, None] + node) & (SLOTS - 1)]
-        return out
 
     def costs(self, block: Block) -> np.ndarray:
-        """Natural logarithm of the probability of each text of a block, by the mixed bits alone."""
+        """Natural logarithm of the probability of each text's class bits and letters of unknown tokens."""
         symbol = classes_of(block.known)[block.pos]
         places = block.places(symbol)
         order = np.argsort(-block.per_row, kind="stable")
         length, first = block.per_row[order], block.first[order]
-        gates = self.bits + LETTER_GATES
-        weights = np.full((len(order), gates, PREDICTORS), WEIGHT, dtype=np.float32)
-        shift = np.zeros((len(order), gates, HEIGHTS), dtype=np.float32)
-        out = np.zeros(len(order))
-
-        def code(who, gate, x, bit, slope, fix, seen):
-            """Adds the cost of bits and gathers the gradients; who, gate: arrays that fit (symbol, bit)."""
-            logit = np.einsum("abk,abk->ab", weights[who, gate], x)
-            height = np.clip(logit * 1.5 + HEIGHTS / 2, 0, HEIGHTS - 1).astype(np.int64)
-            logit = np.clip(logit + shift[who, gate, height], -14, 14)
-            sign = np.where(bit, np.float32(1), np.float32(-1))
-            cost = np.log1p(np.exp(-sign * logit))
-            out[:] -= np.bincount(np.broadcast_to(who, cost.shape).ravel(), weights=cost.ravel(), minlength=len(out))
-            error = sign * -np.expm1(-cost)
-            cell = np.broadcast_to(who * gates + gate, cost.shape).ravel()
-            size = len(seen) * gates
-            for k in range(PREDICTORS):
-                slope[..., k] += np.bincount(cell, weights=(error * x[:, :, k]).ravel(), minlength=size)[:size].reshape(-1, gates)
-            flat = cell * HEIGHTS + height.ravel()
-            fix += np.bincount(flat, weights=error.ravel(), minlength=size * HEIGHTS).reshape(-1, gates, HEIGHTS)
-            seen += np.bincount(cell, minlength=size).reshape(-1, gates)
-
-        for step in range(0, int(length[0]) if len(length) else 0, STEP):
-            active = int(np.searchsorted(-length, -step, side="left"))
-            n = np.minimum(length[:active] - step, STEP)
-            who = np.repeat(np.arange(active), n)
-            token = np.repeat(first[:active] + step - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-            slope, fix, seen = np.zeros((active, gates, PREDICTORS)), np.zeros((active, gates, HEIGHTS)), np.zeros((active, gates))
-            for x in range(0, len(token), 1 << 15):
-                some = slice(x, x + (1 << 15))
-                node, bit = nodes(symbol[token[some]], self.bits)
-                code(who[some, None], np.arange(self.bits)[None, :], self.inputs(0, places[token[some]], node), bit, slope, fix, seen)
-            unknown = np.flatnonzero(symbol[token] == 0)
-            for which, letter, place, where in block.spelled(block.pos[token[unknown]]):
-                node, bit = nodes(letter, 8)
-                gate = self.bits + np.minimum(place, LETTER_GATES - 1)
-                code(who[unknown[which], None], gate[:, None], self.inputs(1, where, node), bit, slope, fix, seen)
-            seen = np.maximum(seen, 1)[..., None]
-            weights[:active] += RATE * slope / seen
-            shift[:active] += MAP_RATE * fix / seen
+        out, model = np.zeros(len(order)), Weights(len(order), self.bits, self.logits[0])
+        for texts, n, at in together(length, STEP):
+            token = np.minimum(first[texts, None] + at + np.arange(n[0]), len(symbol) - 1)
+            out[texts] -= model.code(texts, n, symbol[token], [places[:, k][token] for k in range(PREDICTORS)])
         back = np.empty_like(out)
         back[order] = out
-        return back
+        return back + self.unknown_costs(block, symbol)
+
+    def unknown_costs(self, block: Block, symbol: np.ndarray) -> np.ndarray:
+        """The same of the letters of unknown tokens; their weights are refined after ``STEP`` tokens of any kind."""
+        texts = len(block.per_row)
+        weights = np.full((texts, LETTER_GATES, PREDICTORS), WEIGHT, dtype=np.float32)
+        shift = np.zeros((texts, LETTER_GATES, HEIGHTS), dtype=np.float32)
+        out = np.zeros(texts)
+        unknown = np.flatnonzero(symbol == 0)
+        text = np.searchsorted(block.first, unknown, side="right") - 1
+        step = (unknown - block.first[text]) // STEP
+        order = np.argsort(step, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(step[order])) + 1) if len(order) else ():
+            rows, who = np.unique(text[some], return_inverse=True)
+            size = len(rows) * LETTER_GATES
+            slope, fix, seen = np.zeros((size, PREDICTORS)), np.zeros(size * HEIGHTS), np.zeros(size)
+            for which, letter, place, where in block.spelled(block.pos[unknown[some]]):
+                node, bit = nodes(letter, 8)
+                mine, gate = who[which], np.minimum(place, LETTER_GATES - 1)
+                x = np.stack([self.logits[1, k][(where[:, k, None] + node) & (SLOTS - 1)] for k in range(PREDICTORS)])
+                logit = np.einsum("kab,ak->ab", x, weights[rows[mine], gate])
+                height = np.clip(logit * 1.5 + HEIGHTS / 2, 0, HEIGHTS - 1).astype(np.int64)
+                logit = np.clip(logit + shift[rows[mine, None], gate[:, None], height], -14, 14)
+                sign = np.where(bit, np.float32(1), np.float32(-1))
+                cost = np.log1p(np.exp(-sign * logit))
+                out -= np.bincount(rows[mine], weights=cost.sum(axis=1), minlength=texts)
+                error = sign * -np.expm1(-cost)
+                cell = mine * LETTER_GATES + gate
+                for k in range(PREDICTORS):
+                    slope[:, k] += np.bincount(cell, weights=np.einsum("ab,ab->a", error, x[k]), minlength=size)
+                fix += np.bincount((cell[:, None] * HEIGHTS + height).ravel(), weights=error.ravel(), minlength=size * HEIGHTS)
+                seen += 8 * np.bincount(cell, minlength=size)
+            seen = np.maximum(seen, 1).reshape(-1, LETTER_GATES, 1)
+            weights[rows] += RATE * slope.reshape(-1, LETTER_GATES, PREDICTORS) / seen
+            shift[rows] += MAP_RATE * fix.reshape(-1, LETTER_GATES, HEIGHTS) / seen
+        return out
+
+    def letter_costs(self, block: Block) -> np.ndarray:
+        """Natural logarithm of the probability of the letters of each text's known tokens, given their classes."""
+        classes = classes_of(block.known)
+        known = classes[block.pos] > 0
+        size = np.add.reduceat(np.where(known, block.lengths[block.pos] + 1, 0), block.first)
+        order = np.argsort(-size, kind="stable")
+        out = np.zeros(len(size))
+        for lo, hi in pieces(size[order], GROUP):
+            texts = order[lo:hi]
+            length = block.per_row[texts]
+            token = np.repeat(block.first[texts] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+            found = block.letters_of(token[known[token]], classes)
+            first, model, cost = np.cumsum(size[texts]) - size[texts], Weights(len(texts), 8, self.letters), np.zeros(len(texts))
+            for some, n, at in together(size[texts], LETTER_STEP):
+                where = np.minimum(first[some, None] + at + np.arange(n[0]), len(found.at) - 1)
+                inner = found.at[where]
+                cost[some] += model.code(some, n, found.letter[inner], [*(p[inner] for p in found.inside), found.across[where]])
+            out[texts] = -cost
+        return out
 
     def rates(self, block: Block) -> dict[str, np.ndarray]:
         count = block.known.astype(np.float64)
@@ -328,8 +491,7 @@ class Model:
             return np.bincount(row, weights=of_token[block.pos], minlength=len(block.per_row))
 
         base = np.log10((count + 0.5) / (self.total + 0.5 * (self.distinct + 1)))
-        inside = np.where(count > 0, np.log10(np.maximum(count, 1) / self.class_totals[classes_of(block.known)]), 0.0)
-        score = self.costs(block) / np.log(10) + summed(inside)
+        score = (self.costs(block) + self.letter_costs(block)) / np.log(10)
         size = summed(block.lengths + 1.0)
         return {"n_tokens": block.per_row, "n_known": summed(block.known > 0).astype(np.int64), "train_tokens": np.full(len(size), self.total),
                 "base_score": summed(base), "score": score, "bits_per_byte": -score * np.log2(10) / size}
@@ -341,7 +503,8 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     summary = counts.groupBy(F.length(F.bin("n")).alias("class")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct")).collect()  # 63 rows at most
     bits = max(1, max((r["class"] for r in summary), default=0).bit_length())
     blocks = with_answers(bucketed(token_blocks(docs, block_bytes)), counts, "n")
-    model = Model(bit_counts(blocks, bits), bits, sum(r.n for r in summary), sum(r.distinct for r in summary), {r["class"]: r.n for r in summary})
+    counted, letters = all_counts(blocks, bits)
+    model = Model(counted, bits, sum(r.n for r in summary), sum(r.distinct for r in summary), {r["class"]: r.n for r in summary}, letters)
     names = ["doc_id", "train", "per_row", "pos", "keys", "lengths", "letters", "known"]
 
     def rate(batches):

@@ -135,3 +135,66 @@ def test_packed_numbers_round_trip():
     x = np.array([0, 1, 2 ** 31 - 1, 77_777])
     assert (unpacked(packed(x)) == x).all() and len(unpacked(packed([]))) == 0
     assert unpacked(pa.chunked_array([packed(x)]).combine_chunks()).tolist() == x.tolist()
+
+
+def plain_letter_costs(model, block):
+    """Natural log probability of the letters of each text's known tokens, bit by bit; classes and letters are looked up per token."""
+    classes, out = mixing.classes_of(block.known), []
+    for first, n in zip(block.first, block.per_row):
+        tokens = np.array([t for t in range(first, first + n) if classes[block.pos[t]] > 0], dtype=np.int64)
+        w, shift, total, stream = np.full((8, mixing.KNOWN), mixing.WEIGHT), np.zeros((8, mixing.HEIGHTS)), 0.0, []
+        for t in tokens:
+            one = block.letters_of(np.array([t]), classes)
+            at, size = block.at[block.pos[t]], block.lengths[block.pos[t]]
+            assert one.letter[one.at].tobytes() == block.letters[at:at + size].tobytes() + b" "
+            stream += [(int(x), [int(p[i]) for p in one.inside] + [int(one.across[i])]) for i, x in enumerate(one.letter)]
+        for step in range(0, len(stream), mixing.LETTER_STEP):
+            some = stream[step:step + mixing.LETTER_STEP]
+            slope, fix = np.zeros_like(w), np.zeros_like(shift)
+            for letter, places in some:
+                for b in range(8):
+                    node, bit = (1 << b) | letter >> (8 - b), letter >> (7 - b) & 1
+                    x = np.array([model.letters[k, (p + node * 40503) % mixing.KNOWN_SLOTS] for k, p in enumerate(places)])
+                    logit = float(w[b] @ x)
+                    height = int(min(max(logit * 1.5 + mixing.HEIGHTS / 2, 0), mixing.HEIGHTS - 1))
+                    p = 1 / (1 + math.exp(-min(max(logit + shift[b, height], -14), 14)))
+                    total += math.log(p if bit else 1 - p)
+                    slope[b] += (bit - p) * x
+                    fix[b, height] += bit - p
+            w += mixing.RATE * slope / len(some)
+            shift += mixing.MAP_RATE * fix / len(some)
+        out.append(total)
+    return np.array(out)
+
+
+def test_letters_of_known_tokens_equal_plain_mixing(table):
+    docs = table(list(enumerate(texts(12) + ["", "x" * 300, "a b", None])))
+    blocks = mixing.with_answers(mixing.bucketed(mixing.token_blocks(docs)), mixing.training_counts(docs), "n")
+    row = blocks.toArrow().combine_chunks()
+    counts, letters = mixing.all_counts(blocks, 4)
+    model = mixing.Model(counts, 4, 10, 5, {}, letters)
+    block = mixing.Block({c: row.column(c).combine_chunks() for c in row.column_names})
+    assert np.allclose(model.letter_costs(block), plain_letter_costs(model, block), rtol=2e-3, atol=2e-2)
+
+
+def test_letter_bits_are_counted_without_a_tokens_own_occurrence(table):
+    ids = [i for i in range(100) if trains(i)][:3]
+    docs = table([(ids[0], "aa bb"), (ids[1], "bb"), (ids[2], None)])
+    blocks = mixing.with_answers(mixing.bucketed(mixing.token_blocks(docs)), mixing.training_counts(docs), "n")
+    assert (mixing.all_counts(blocks, 2)[1].sum(axis=(1, 2)) == (2 * 3 + 3) * 8).all()  # bb twice and three ends, each with a blank
+
+
+def test_known_tokens_of_one_class_are_told_apart_by_contexts(table):
+    """a and b are equally frequent; a comes after x, b after y."""
+    train = [i for i in range(200) if trains(i)][:60]
+    held = [i for i in range(1000, 1100) if not trains(i)][:4]
+    tests = ["x a", "x b", "y a", "y b"]
+    scored = {r.doc_id: r.score for r in mixing.score(table([(i, "x a" if k % 2 else "y b") for k, i in enumerate(train)] + list(zip(held, tests)))).collect()}
+    good, bad, also_bad, also_good = (scored[i] for i in held)
+    assert min(good, also_good) > max(bad, also_bad) + 0.3
+    assert max(scored[i] for i in held) < 0
+
+
+def test_counts_in_planes_round_trip():
+    x = np.array([0, 1, 255, 2 ** 40 + 3])
+    assert (mixing.from_planes(mixing.planes(x)) == x).all()

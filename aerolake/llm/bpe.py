@@ -241,6 +241,19 @@ def frequent_words(docs: DataFrame, pattern: str, max_words: int) -> DataFrame:
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: int = MAX_WORDS) -> DataFrame:
     """doc_id and ids (array of int) of every row."""
+    words, run = encoding(docs, ranks, pattern, max_words)
+    return words.mapInArrow(tidy(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+
+
+def encode_and_decode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: int = MAX_WORDS) -> DataFrame:
+    """``decode(encode(docs))`` with both in one Python worker a task: ids needn't leave it to be decoded, and an executor holds half the workers."""
+    words, run = encoding(docs, ranks, pattern, max_words)
+    back = decoding(ranks)
+    return words.mapInArrow(tidy(lambda batches: back(run(batches))), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, bytes binary")
+
+
+def encoding(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: int):
+    """The pre-tokens of every row, and the function for mapInArrow that makes them ids."""
     spread = frequent_words(docs, pattern, max_words).repartition(docs.sparkSession.sparkContext.defaultParallelism)
     known = spread.select("word", fold_merges(F.col("word"), rank_literal(ranks)).alias("ids")).toArrow()  # max_words rows at most
     spare_driver(docs.sparkSession)  # of the plan with the literal
@@ -290,13 +303,16 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, max_words: in
                     [batch.column(0).slice(row, stop - row), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(out))], ["doc_id", "ids"])
                 row = stop
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    words = pre_tokens(docs.select("doc_id", "text"), pattern).select("doc_id", "words", "newer")
-    return words.mapInArrow(tidy(run), f"doc_id {kind}, ids array<int>")
+    return pre_tokens(docs.select("doc_id", "text"), pattern).select("doc_id", "words", "newer"), run
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """The encoded rows with column ``bytes``: the binary pieces of their ids, concatenated."""
+    return encoded.mapInArrow(tidy(decoding(ranks)), f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, ids array<int>, bytes binary")
+
+
+def decoding(ranks: dict[bytes, int]):
+    """The function for mapInArrow that adds the pieces of ids."""
     by_rank = {rank: piece for piece, rank in ranks.items()}
     pieces = pa.array([by_rank.get(i) for i in range(max(by_rank, default=-1) + 1)], pa.large_binary())
 
@@ -312,7 +328,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
             whole = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(rows), data if data is not None else pa.py_buffer(b"")])
             yield pa.RecordBatch.from_arrays([*batch.columns, whole.cast(pa.binary())], [*batch.schema.names, "bytes"])
 
-    return encoded.mapInArrow(tidy(run), f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, ids array<int>, bytes binary")
+    return run
 
 
 def digest(decoded: DataFrame, *also: str) -> DataFrame:

@@ -36,8 +36,7 @@ def op6_substring_dedup(spark, sf_dir):
 
 def op7_byte_bpe(spark, sf_dir):
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.digest(bpe.decode(encoded, ranks))
+    return bpe.digest(bpe.encode_and_decode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
 
 
 def op8_quality_rules(spark, sf_dir):

@@ -42,7 +42,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids and their digests; the ids decode to the text's bytes."""
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return bpe.digest(bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks), "ids")
+    return bpe.digest(bpe.encode_and_decode(docs, ranks, public_tokenizers.PATTERN), "ids")
 
 
 STAGES = [

@@ -97,3 +97,12 @@ def test_unknown_ids_fail(spark, ranks):
     for ids in ([1, 60_000], [-1]):
         with pytest.raises(Exception):
             bpe.decode(spark.createDataFrame([(1, ids)], "doc_id long, ids array<int>"), ranks).collect()
+
+
+def test_one_worker_encodes_and_decodes(table, odd_rows, ranks):
+    docs = table([*odd_rows, *enumerate(texts(40)), (5, "\U00031350\U00031351's x")])
+    both = bpe.encode_and_decode(docs, ranks, public_tokenizers.PATTERN, 50)
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    apart = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN, 50), ranks)
+    assert sorted(map(tuple, both.collect()), key=str) == sorted(map(tuple, apart.collect()), key=str)
+    assert bpe.encode_and_decode(table([]), ranks, public_tokenizers.PATTERN).count() == 0

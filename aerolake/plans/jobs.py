@@ -96,7 +96,7 @@ def stage_positions(spark: SparkSession, raw: DataFrame, warehouse: str, run: st
     own, pending = f"{wh}/positions_raw/run={tag}", f"{wh}/positions_pending/run={tag}"
     before = _dates_of(spark, own)
     if INC.exists(spark, f"{pending}/_SUCCESS"):
-        before = sorted({*before, *(r.event_date for r in spark.read.schema("event_date date").parquet(pending).collect())})  # days of one run
+        before = sorted({*before, *_values(spark.read.schema("event_date date").parquet(pending))})  # days of one run
     write_parquet(spark.createDataFrame([(d,) for d in before], "event_date date").coalesce(1), pending)
     raw_o, raw_obs = _observed(raw, "raw")
     store = P.normalise_positions(raw_o).withColumn("event_date", F.to_date("event_datetime"))
@@ -111,7 +111,7 @@ def build_positions(spark: SparkSession, warehouse: str) -> dict:
     runs = INC.partitions(spark, f"{wh}/positions_pending", "run")
     before, now = set(), set()
     for tag in runs:
-        before |= {r.event_date for r in spark.read.schema("event_date date").parquet(f"{wh}/positions_pending/run={tag}").collect()}  # days of one run
+        before |= _values(spark.read.schema("event_date date").parquet(f"{wh}/positions_pending/run={tag}"))  # days of one run
         now |= set(_dates_of(spark, f"{wh}/positions_raw/run={tag}"))
     dates = sorted(before | now)
     for d in before - now:  # rows taken back: a date that no run has any more goes downstream too
@@ -208,6 +208,11 @@ def stage_states(spark: SparkSession, snapshots: DataFrame, warehouse: str, run:
     return {"state_rows": _rows(rows_obs), "invalid_documents": _rows(bad_obs)}
 
 
+def _values(df: DataFrame) -> set:
+    """Distinct values of a frame's only column, as one aggregated row."""
+    return {r[0] for r in df.agg(F.collect_set(F.struct(*df.columns))).first()[0]}
+
+
 def _dates_of(spark: SparkSession, path: str) -> list:
     """The dates for which a date-partitioned table has files: from its folders, one per date."""
     return [dt.date.fromisoformat(d) for d in INC.partitions(spark, path, "event_date")]
@@ -305,7 +310,7 @@ def build_flights_by_day(spark: SparkSession, warehouse: str, calendar: tuple[st
     whole = ledger is None or not ledger.join(runs, ["run", "_attempt"], "left_anti").isEmpty()
     pending = stg if whole else stg.join(ledger, ["run", "_attempt"], "left_anti")
     day = F.to_date("departure_time")
-    days = None if whole else sorted(r[0] for r in pending.filter(day.isNotNull()).select(day).distinct().collect())  # days of the new runs
+    days = None if whole else sorted(_values(pending.filter(day.isNotNull()).select(day.alias("day"))))  # days of the new runs
     if days == [] and runs.join(ledger, ["run", "_attempt"], "left_anti").isEmpty():
         return {"version": base["version"], "days": 0}
     cal = FL.build_dim_date(spark, *calendar) if calendar else FL.calendar_for(stg)

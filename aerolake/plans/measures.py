@@ -90,7 +90,8 @@ class Measures:
             rows = DQ.quarantined(stored(), failing).withColumn("scope", F.lit(scopes[0]) if scope is None else scope)
             rows.select("test", "column_name", "row", "scope").write.mode("append").partitionBy("scope").parquet(path)
             kept = self.spark.read.schema("test string, column_name string, row string, scope string").parquet(path).filter(F.col("scope").isin(*scopes))
-            for r in kept.groupBy("scope", "test", "column_name").count().collect():  # checks x scopes of this write
+            groups = kept.groupBy("scope", "test", "column_name").count()
+            for r in groups.agg(F.collect_list(F.struct(*groups.columns)).alias("found")).first().found:  # checks x scopes of this write
                 counts[r.scope][f"{r.test} {r.column_name}"] = r["count"]
         self._save(model, {**self.read(model), **counts})
         return found.get("rows", 0)

@@ -22,13 +22,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as ST
 
 from .sketch import part, present
-from .text import Chunk, checkpointed, chunks, covered, inside_row, signed, split_words, window_hashes, word_hashes
+from .text import Chunk, checkpointed, chunks, inside_row, signed, split_words, tidy, window_hashes, word_hashes, written
 
 WINDOW = 50
 GRAM = 8
+REMOVAL = "array<struct<first:int,after:int>>"
 
 
 def runs_of(chunk: Chunk, window: int = WINDOW, gram: int = GRAM) -> dict[str, np.ndarray]:
@@ -88,7 +88,7 @@ def run_table(docs: DataFrame, window: int) -> DataFrame:
                      pa.array(found["first"], pa.int32()), pa.array(found["last"], pa.int32())], ["doc_id", "copy", "minimiser", "run", "first", "last"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "copy", "text").mapInArrow(run, f"doc_id {kind}, copy long, minimiser long, run long, first int, last int")
+    return docs.select("doc_id", "copy", "text").mapInArrow(tidy(run), f"doc_id {kind}, copy long, minimiser long, run long, first int, last int")
 
 
 def single_windows(docs: DataFrame, window: int) -> DataFrame:
@@ -113,7 +113,7 @@ def single_windows(docs: DataFrame, window: int) -> DataFrame:
                                                   pa.array(at, pa.int32())], ["hash", "doc_id", "copy", "at"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "copy", "text", "spans").mapInArrow(run, f"hash long, doc_id {kind}, copy long, at int")
+    return docs.select("doc_id", "copy", "text", "spans").mapInArrow(tidy(run), f"hash long, doc_id {kind}, copy long, at int")
 
 
 def per_row(spans: DataFrame) -> DataFrame:
@@ -126,11 +126,11 @@ def repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     ``docs`` has doc_id, copy and text; rows without doc_id take no part.
     """
-    runs = run_table(docs.filter("doc_id IS NOT NULL"), window)  # cheaper to make twice than to keep
+    runs = written(run_table(docs.filter("doc_id IS NOT NULL"), window))
     kinds = runs.groupBy("minimiser", "run").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last_owner"))
     several = kinds.groupBy("minimiser").agg(F.count("*").alias("kinds"), F.min("owner").alias("low"), F.max("last_owner").alias("high")).filter("low < high")
     # one row per kind of run that matters: it stands in two documents, or its minimiser has other runs elsewhere
-    shared = checkpointed(kinds.join(several, "minimiser").select("minimiser", "run", "owner", (F.col("kinds") > 1).alias("mixed")))
+    shared = checkpointed(kinds.join(several, "minimiser").select("minimiser", "run", "owner", "last_owner", (F.col("kinds") > 1).alias("mixed")))
     found = checkpointed(runs.join(shared, ["minimiser", "run"]).filter("doc_id > owner OR mixed")
                          .select("doc_id", "copy", "first", "last", (F.col("doc_id") > F.col("owner")).alias("whole")))
     open_runs = per_row(found.filter("NOT whole"))
@@ -141,38 +141,36 @@ def repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return found.filter("whole").select("doc_id", "copy", "first", "last").unionAll(single)
 
 
-def keep_mask(n: int, spans, window: int) -> np.ndarray:
-    """Mask of the words that no removed window covers."""
-    edge = np.zeros(n + 1, dtype=np.int64)
-    for s in spans or ():
-        edge[s["first"]] += 1
-        edge[min(s["last"] + window, n)] -= 1
-    return np.cumsum(edge[:n]) == 0
+def intervals(spans: DataFrame, window: int) -> DataFrame:
+    """doc_id, copy, removal: the spans of each text (as of ``per_row``) merged into maximal intervals of words, (first word, word after the last)."""
+
+    def run(batches):
+        for batch in batches:
+            lists, found = batch.column(2), batch.column(2).flatten()
+            row = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            first, after = (found.field(k).to_numpy().astype(np.int64) + more for k, more in ((0, 0), (1, window)))
+            order = np.lexsort((first, row))
+            row, first, after = row[order], first[order], after[order]
+            reach = np.maximum.accumulate(after + (row << 40)) - (row << 40)  # of the row's spans so far
+            new = np.ones(len(row), dtype=bool)
+            new[1:] = (row[1:] != row[:-1]) | (first[1:] > reach[:-1])
+            last = np.append(np.flatnonzero(new)[1:], len(row)) - 1 if len(row) else np.zeros(0, np.int64)
+            merged = pa.StructArray.from_arrays([pa.array(first[new], pa.int32()), pa.array(reach[last], pa.int32())], ["first", "after"])
+            border = np.searchsorted(row[new], np.arange(batch.num_rows + 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.ListArray.from_arrays(pa.array(border, pa.int32()), merged)], ["doc_id", "copy", "removal"])
+
+    kind = spans.schema["doc_id"].dataType.simpleString()
+    return spans.select("doc_id", "copy", "spans").mapInArrow(tidy(run), f"doc_id {kind}, copy long, removal {REMOVAL}")
 
 
 def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, text and removal: the maximal removed intervals of words, as (first word, word after the last)."""
     rows = docs.select("doc_id", "text").withColumn("copy", F.xxhash64("text"))
-    spans = checkpointed(per_row(repeated(rows, window)))
-    touched = present(spans.select("copy").distinct())
-    joined = part(rows, "copy", touched, True).join(spans, ["doc_id", "copy"], "left").select("doc_id", "text", "spans")
-    untouched = part(rows, "copy", touched, False).select("doc_id", "text", F.lit(None).cast(joined.schema["spans"].dataType).alias("spans"))
-    joined = joined.unionAll(untouched)
-
-    def run(batches):
-        for batch in batches:
-            spans, out = batch.column(2), []
-            for chunk in chunks(batch.column(1)):
-                counts = split_words(chunk).counts
-                for i in range(chunk.rows):
-                    gone = np.flatnonzero(np.diff(np.concatenate([[False], ~keep_mask(int(counts[i]), spans[chunk.first + i].as_py(), window), [False]]).astype(np.int8)))
-                    out.append([{"first": int(a), "after": int(b)} for a, b in zip(gone[::2], gone[1::2])])
-            kind = pa.struct([("first", pa.int32()), ("after", pa.int32())])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.list_(kind))], ["doc_id", "text", "removal"])
-
-    schema = ST.StructType([joined.schema["doc_id"], joined.schema["text"], ST.StructField("removal", ST.ArrayType(
-        ST.StructType([ST.StructField("first", ST.IntegerType()), ST.StructField("after", ST.IntegerType())])))])
-    return joined.mapInArrow(run, schema)
+    gone = checkpointed(intervals(per_row(repeated(rows, window)), window))
+    touched = present(gone.select("copy").distinct())
+    nothing = F.array().cast(REMOVAL)
+    some = part(rows, "copy", touched, True).join(gone, ["doc_id", "copy"], "left").select("doc_id", "text", F.coalesce("removal", nothing).alias("removal"))
+    return some.unionAll(part(rows, "copy", touched, False).select("doc_id", "text", nothing.alias("removal")))
 
 
 def digest(removed: DataFrame) -> DataFrame:
@@ -193,4 +191,4 @@ def digest(removed: DataFrame) -> DataFrame:
                 kept.append(hashlib.sha256(b" ".join(left)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words), pa.array(n_removed), pa.array(kept)], ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return removed.mapInArrow(run, f"doc_id {removed.schema['doc_id'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string")
+    return removed.mapInArrow(tidy(run), f"doc_id {removed.schema['doc_id'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string")

@@ -62,3 +62,19 @@ def test_very_many_copies_of_a_row(table):
         got.setdefault(r.doc_id, set()).add((r.n_words, r.n_removed))
     assert got.pop(5) == {(300, 0)} and got.pop(7) == {(300, 299)}
     assert all(v == {(300, 300)} for v in got.values()) and len(got) == 4000
+
+
+def test_a_task_of_the_result_holds_two_python_workers(table):
+    """One that picks rows by text, one that digests; an executor's memory is shared by the workers of all its tasks."""
+    plan = substring.digest(substring.remove(table([(1, "a " * 60), (2, "a " * 60)])))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 3  # both parts of the rows, and the digests of their union
+
+
+def test_intervals_equal_masks(spark):
+    rng = random.Random(3)
+    rows = [(i % 50, i, [(a, a + rng.randint(0, 8)) for a in rng.sample(range(60), rng.randint(1, 9))]) for i in range(300)]
+    spans = spark.createDataFrame(rows, "doc_id long, copy long, spans array<struct<first:int,last:int>>").repartition(3)
+    got = {r.copy: [tuple(x) for x in r.removal] for r in substring.intervals(spans, 5).collect()}
+    for _, copy, mine in rows:
+        gone = {k for a, b in mine for k in range(a, b + 5)}
+        assert got[copy] == list(zip(sorted(k for k in gone if k - 1 not in gone), sorted(k + 1 for k in gone if k + 1 not in gone)))

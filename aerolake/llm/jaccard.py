@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .sketch import COUNTERS, part, present, sketch
+from .sketch import COUNTERS, among, part, present, sketch
 from .text import Chunk, checkpointed, chunks, inside_row, mix, signed, split_words, tidy, window_hashes, word_hashes
 
 SHINGLE = 5
@@ -114,7 +114,6 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 def postings(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
     """shingle, node, n, place for the prefix of every node; a task names a node once, however many copies it has."""
-    rank = counts.astype(np.uint32)
 
     def run(batches):
         seen: set[int] = set()
@@ -128,7 +127,7 @@ def postings(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Da
                         seen.add(x)
                         fresh[i] = True
                 row = np.repeat(np.arange(chunk.rows), n)
-                order = np.lexsort((value, rank[(value % np.uint64(COUNTERS)).astype(np.int64)], row))
+                order = np.lexsort((value, counts[(value % np.uint64(COUNTERS)).astype(np.int64)], row))
                 place = np.arange(len(value)) - np.repeat(first[:-1], n)
                 use = fresh[row] & (place < np.repeat(prefix_length(n, percent), n))
                 yield pa.RecordBatch.from_arrays([pa.array(signed(value[order][use])), pa.array(node[row[use]]), pa.array(n[row[use]], pa.int32()), pa.array(place[use], pa.int32())],
@@ -193,7 +192,7 @@ def set_table(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
             for chunk in chunks(batch.column(0)):
                 value, first, node = sets_of(chunk, size)
                 out = []
-                for i in np.flatnonzero(wanted[(node.view(np.uint64) % np.uint64(COUNTERS)).astype(np.int64)]).tolist():
+                for i in np.flatnonzero(among(wanted, (node.view(np.uint64) % np.uint64(COUNTERS)).astype(np.int64))).tolist():
                     if first[i + 1] > first[i] and int(node[i]) not in seen:
                         seen.add(int(node[i]))
                         out.append(i)
@@ -308,6 +307,7 @@ def node_links(docs: DataFrame, rows: DataFrame, size: int, percent: int, every:
     ``every`` the others are left out."""
     counts = sketch(docs.select("text"), lambda batch: (sets_of(c, size)[0] for c in chunks(batch.column(0))))
     index = checkpointed(index_lists(postings(docs, counts, size, percent)))
+    del counts
     nodes = checkpointed(rows.join(index.select("node").distinct(), "node", "left_semi").select("node", "n_shingles", "bits").dropDuplicates(["node"]))
     most = F.least(F.col("n") - F.col("place"), F.col("lead_n") - F.col("lead_place"))
     stars = checkpointed(index.filter((F.col("node") != F.col("lead")) & linked(F.col("n"), F.col("lead_n"), most, percent))

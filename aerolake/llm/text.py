@@ -56,7 +56,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     shared_folder(spark)
     out = df.checkpoint(eager=True)
     del df
-    spark.sparkContext._jvm.System.gc()
+    spare_driver(spark)
     return out
 
 

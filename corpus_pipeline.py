@@ -7,15 +7,16 @@ stage's ``docs``.  Filtering stages keep whole rows and all columns of documents
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolake.llm import bpe, decontaminate, jaccard, secrets, toxicity
-from aerolake.llm.text import release, shared_folder, table
+from aerolake.llm.text import shared_folder, spare_driver, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,17 +46,6 @@ def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return bpe.digest(bpe.encode_and_decode(docs, ranks, public_tokenizers.PATTERN), "ids")
 
 
-STAGES = [
-    ("toxicity", drop_toxic),
-    ("jaccard_join", drop_near_duplicates),
-    ("decontamination", drop_contaminated),
-    ("secrets", mask_secrets),
-    ("byte_bpe", encode_bytes),
-]
-
-#: Edit distances, trained scores and merges are beyond SQL; tests compare with brute force.
-ORACLE_SQL = None
-
 
 @contextmanager
 def short_plan_texts(spark: SparkSession) -> Iterator[None]:
@@ -69,6 +59,32 @@ def short_plan_texts(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def spared(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with short plan texts; the driver hands memory back before it and after it, whoever calls it."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spare_driver(spark)  # of what the write of the stage before has left
+        with short_plan_texts(spark):
+            out = stage(spark, docs, sf_dir)
+        spare_driver(spark)  # of models, sketches and tables of words that the stage had on the driver
+        return out
+
+    return run_stage
+
+
+STAGES = [
+    ("toxicity", spared(drop_toxic)),
+    ("jaccard_join", spared(drop_near_duplicates)),
+    ("decontamination", spared(drop_contaminated)),
+    ("secrets", spared(mask_secrets)),
+    ("byte_bpe", spared(encode_bytes)),
+]
+
+#: Edit distances, trained scores and merges are beyond SQL; tests compare with brute force.
+ORACLE_SQL = None
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; stage results go to a new folder of the shared one."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4()}"
@@ -78,8 +94,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             path = f"{folder}/{k}_{name}"
             stage(spark, docs, sf_dir).write.parquet(path)
             docs = spark.read.parquet(path)
-            release()  # of models, sketches and tables of words that the stage had on the driver
-            spark.sparkContext._jvm.System.gc()  # of plans and collected rows; a full collection gives heap back
+    spare_driver(spark)
     return docs
 
 

@@ -41,3 +41,12 @@ def test_each_stage_decides_on_its_own_input(spark):
 def test_entry_lists_every_operator():
     names = __spark_entry__.queries()
     assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{n}" for n in range(1, 14)}
+
+
+def test_whoever_calls_a_stage_gets_short_plan_texts(spark):
+    """The driver keeps a text of every plan; the setting must hold inside a stage and be undone after it."""
+    key, found = "spark.sql.maxPlanStringLength", []
+    before = spark.conf.get(key)
+    corpus_pipeline.spared(lambda spark, docs, sf_dir: found.append(spark.conf.get(key)))(spark, None, SF)
+    assert found == ["65536"] and spark.conf.get(key) == before
+    assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)

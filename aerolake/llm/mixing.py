@@ -41,9 +41,15 @@ STEP = 32
 WEIGHT, RATE, MAP_RATE, HEIGHTS = 0.25, 0.6, 0.3, 12
 LETTER_GATES = 4
 #: Letters of known tokens: contexts, places of each one's table, letters of a text between refinements, letters held at once.
-KNOWN, KNOWN_SLOTS, LETTER_STEP, GROUP = 4, 1 << 18, 128, 1 << 20
+KNOWN, KNOWN_SLOTS, LETTER_STEP, GROUP = 4, 1 << 18, 128, 1 << 19
+#: Bytes of text from which a block is closed when texts are scored: words that return in a block are hashed, looked up and joined once.
+TEXT_BYTES = 14 << 20
 #: Letters that are expanded at once; bounds memory for very long unknown words.
 LETTERS = 1 << 17
+#: Symbols of texts that advance together, at most; what is held of them fits a core's cache.
+CELLS = 1 << 13
+#: Letters of a block's most frequent tokens whose inputs are held for the whole block.
+HEAD = 1 << 18
 PARTS, KNOWN_PARTS = 2 * PREDICTORS, KNOWN * KNOWN_SLOTS // SLOTS
 END = np.uint64(0x5EED)
 FOLD = 1
@@ -53,6 +59,7 @@ _FOLD[65:91] += 32
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _SALT = mix(np.arange(1, 2 * PREDICTORS + 1, dtype=np.uint64) * _GOLD).reshape(2, PREDICTORS)
 _KNOWN_SALT = mix(np.arange(101, 101 + KNOWN, dtype=np.uint64) * _GOLD)
+_KNOWN_SHIFT = np.uint64(65 - KNOWN_SLOTS.bit_length())
 _SPREAD = 40503
 
 
@@ -70,6 +77,12 @@ def tokens_of(chunk: Chunk):
     return folded, hashes, per_row, start, end
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes, and which of them each one is."""
+    found = pa.array(signed(hashes)).dictionary_encode()
+    return found.dictionary.to_numpy().view(np.uint64), found.indices.to_numpy()
+
+
 def training_counts(docs: DataFrame) -> DataFrame:
     """key (token hash), n over the training documents; each task adds up what fits in its memory."""
 
@@ -108,17 +121,20 @@ def token_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     def run(batches):
         numbers = Numbers()
-        ids, train, per_row, hashes, spelt, size = [], [], [], [], [], 0
+        ids, train, per_row, which, spelt, size = [], [], [], [], [], 0
 
         def close():
             nonlocal size
-            keys, pos, times = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
-            order = np.argsort(-times, kind="stable")  # frequent tokens get small numbers
+            # tokens are told apart and spellings cut per chunk, so that only each chunk's distinct tokens meet here
+            keys, back = distinct(np.concatenate([s[0] for s in spelt]))
+            ahead = np.cumsum([0, *(len(s[0]) for s in spelt)])
+            pos = np.concatenate([back[x + w] for x, w in zip(ahead, which)])
+            order = np.argsort(-np.bincount(pos), kind="stable")  # frequent tokens get small numbers
             rank = np.empty_like(order)
             rank[order] = np.arange(len(order))
             keys, pos = keys[order], rank[pos]
-            # spellings were cut per chunk, of its distinct tokens only
-            _, first = np.unique(np.concatenate([s[0] for s in spelt]), return_index=True)
+            first = np.empty(len(order), dtype=np.int64)
+            first[back] = np.arange(len(back))
             words = pa.concat_arrays([s[1] for s in spelt]).take(pa.array(first[order]))
             where = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
             letters = words.buffers()[2].to_pybytes()[where[0]:where[-1]] if words.buffers()[2] is not None else b""
@@ -128,7 +144,7 @@ def token_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.concat_arrays(train)),
                  packed(counts), packed(pos), int_list(signed(keys)), packed(np.diff(where)), pa.array([letters], pa.binary())],
                 ["block", "doc_id", "train", "per_row", "pos", "keys", "lengths", "letters"])
-            for x in (ids, train, per_row, hashes, spelt):
+            for x in (ids, train, per_row, which, spelt):
                 x.clear()
             size = 0
             return out
@@ -136,16 +152,18 @@ def token_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         for batch in batches:
             for chunk in chunks(batch.column(2)):
                 folded, key, counts, start, end = tokens_of(chunk)
-                own, one = np.unique(key, return_index=True)
+                own, each = distinct(key)
+                one = np.empty(len(own), dtype=np.int64)
+                one[each] = np.arange(len(key))
                 spelt.append((own, slices(folded, start[one], end[one], pa.binary())))
                 ids.append(batch.column(0).slice(chunk.first, chunk.rows))
                 train.append(batch.column(1).slice(chunk.first, chunk.rows))
                 per_row.append(counts)
-                hashes.append(key)
+                which.append(each)
                 size += len(folded) + chunk.rows
                 if size >= block_bytes:
                     yield close()
-        if hashes:
+        if which:
             yield close()
 
     rows = docs.select("doc_id", (~held_out(F.col("doc_id"), FOLD)).alias("train"), "text")
@@ -183,12 +201,14 @@ class Block:
 
     def places(self, symbol: np.ndarray) -> np.ndarray:
         """(token, predictor): where the table places of the token's class bits begin, given the tokens' classes."""
-        word = self.before(self.keys[self.pos], 0)
-        one = self.before(symbol, 255)
-        two = self.before(one, 255)
-        shape = self.before((np.minimum(self.lengths, 15) * 256 + self.last)[self.pos], 1 << 14)
-        contexts = (np.zeros_like(one), one, one * 256 + two, word, shape)
-        return np.stack([(mix(c.astype(np.int64).view(np.uint64) + s) >> np.uint64(48)).astype(np.int32) for c, s in zip(contexts, _SALT[0])], axis=1)
+        def before(k: int, contexts: np.ndarray, which: np.ndarray, start: int) -> np.ndarray:
+            at = places_of(np.append(contexts, start), k)  # hashed once a context, not once a token
+            return self.before(at[which], at[-1])
+
+        two = symbol << 8 | self.before(symbol, 255)
+        shape = np.minimum(self.lengths, 15) * 256 + self.last
+        return np.stack([np.full(len(symbol), places_of(np.zeros(1, np.int64), 0)[0]), before(1, np.arange(256), symbol, 255), before(2, np.arange(1 << 16), two, 255 << 8 | 255),
+                         before(3, self.keys, self.pos, 0), before(4, shape, self.pos, 1 << 14)], axis=1)
 
     def spelled(self, tokens: np.ndarray):
         """Pieces of (index into ``tokens``, letter with a blank at the end, place in the word, predictor places) of these dictionary positions."""
@@ -215,53 +235,102 @@ class Block:
                     [(mix(c[y].view(np.uint64) + s) >> np.uint64(48)).astype(np.int32) for c, s in zip(contexts, _SALT[1])], axis=1)
             lo = hi
 
-    def letters_of(self, tokens: np.ndarray, classes: np.ndarray) -> Letters:
-        """Letters of these tokens of the texts, given the class of each dictionary position; contexts inside a word are hashed once a distinct token."""
+    def spelling(self, classes: np.ndarray) -> Spelling:
+        """Letters of the whole dictionary, given the class of each of its tokens; contexts inside a word are hashed here, once a distinct token."""
+        size = self.lengths + 1
+        start = np.concatenate([[0], np.cumsum(size)])
+        letters, prefix = np.empty(start[-1], dtype=np.uint8), np.empty(start[-1], dtype=np.uint64)
+        inside = np.empty((KNOWN - 1, start[-1]), dtype=np.int32)
+        for lo, hi in pieces(size, LETTERS):
+            length, each, first = self.lengths[lo:hi], size[lo:hi], start[lo:hi] - start[lo]
+            place = np.arange(int(each.sum())) - np.repeat(first, each)
+            letter = np.full(len(place), 0x20, dtype=np.uint8)
+            letter[place < np.repeat(length, each)] = self.letters[self.at[lo]:self.at[hi - 1] + length[-1]]
+            terms = BYTE_CODES[letter] * np.cumprod(np.full(int(each.max()), _GOLD, dtype=np.uint64))[place]
+            before = np.cumsum(terms) - terms
+            before -= np.repeat(before[first], each)
+            history = np.zeros(len(place), dtype=np.uint64)
+            contexts = [before + np.repeat(mix(classes[lo:hi].astype(np.uint64) + _GOLD), each)]
+            for back in range(1, 5):
+                earlier = np.zeros(len(place), dtype=np.uint64)
+                earlier[back:] = letter[:-back] if back < len(letter) else 0
+                history = history * np.uint64(256) + np.where(place >= back, earlier, 0)
+                if back == 2:
+                    contexts.append(history * np.uint64(64) + np.repeat(classes[lo:hi].astype(np.uint64), each))
+            contexts.append(history)
+            here = slice(start[lo], start[hi])
+            letters[here], prefix[here] = letter, before
+            for k, c in enumerate(contexts):
+                inside[k, here] = known_places(c, k)
+        return Spelling(start, letters, prefix, inside)
+
+    def letters_of(self, tokens: np.ndarray, classes: np.ndarray, spelling: Spelling | None = None, head: int = 0) -> Letters:
+        """Letters of these tokens of the texts, given the class of each dictionary position; those of the first ``head`` positions come first, used or not."""
+        spelling = spelling or self.spelling(classes)
         used = np.zeros(len(self.keys), dtype=bool)
         used[self.pos[tokens]] = True
-        own, which = np.flatnonzero(used), (np.cumsum(used) - 1)[self.pos[tokens]]
-        length = self.lengths[own]
-        size = length + 1
-        start = np.cumsum(size) - size
-        place = np.arange(int(size.sum())) - np.repeat(start, size)
-        letter = np.full(len(place), 0x20, dtype=np.uint8)
-        inside = place < np.repeat(length, size)
-        letter[inside] = self.letters[place[inside] + np.repeat(self.at[own], length)]
-        terms = BYTE_CODES[letter] * np.cumprod(np.full(int(size.max(initial=1)), _GOLD, dtype=np.uint64))[place]
-        prefix = np.cumsum(terms) - terms
-        prefix -= np.repeat(prefix[start], size)
-        history = np.zeros(len(place), dtype=np.uint64)
-        contexts = [prefix + np.repeat(mix(classes[own].astype(np.uint64) + _GOLD), size)]
-        for back in range(1, 5):
-            earlier = np.zeros(len(place), dtype=np.uint64)
-            earlier[back:] = letter[:-back] if back < len(letter) else 0
-            history = history * np.uint64(256) + np.where(place >= back, earlier, 0)
-            if back == 2:
-                contexts.append(history * np.uint64(64) + np.repeat(classes[own].astype(np.uint64), size))
-        contexts.append(history)
-        each = size[which]
-        at = np.repeat(start[which] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))
-        word = np.where(self.begins[tokens], 0, self.keys[self.pos[tokens - 1]]).view(np.uint64)
-        return Letters(each, at, letter, np.repeat(np.bincount(which, minlength=len(own)), size),
-                       [known_places(c, k) for k, c in enumerate(contexts)], known_places(prefix[at] + np.repeat(mix(word), each), KNOWN - 1))
+        own = np.flatnonzero(used[head:]) + head
+        inner, begin = spelling.letters_of(own)
+        start = spelling.start[:-1].copy()
+        start[own] = begin + start[head] if head < len(start) else begin
+        inner = np.concatenate([np.arange(spelling.start[head]), inner])
+        at, across = self.occurrences(tokens, start, spelling.prefix[inner])
+        return Letters(at, spelling.letter[inner], [p[inner] for p in spelling.inside], across)
+
+    def occurrences(self, tokens: np.ndarray, start: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per letter of these tokens of the texts, one after the other: its place among letters of which those of each dictionary position begin
+        at ``start``, and the table place for the word before, given a hash of the letters before each of those letters."""
+        pos = self.pos[tokens]
+        size, start = self.lengths[pos] + 1, start[pos]
+        word = mix(np.where(self.begins[tokens], 0, self.keys[self.pos[tokens - 1]]).view(np.uint64)) + _KNOWN_SALT[KNOWN - 1]
+        total, done = int(size.sum()), 0
+        at, across = np.empty(total, dtype=np.int64), np.empty(total, dtype=np.int32)
+        for lo, hi in pieces(size, LETTERS >> 2):  # what is held of a piece fits a core's cache
+            each = size[lo:hi]
+            end = np.cumsum(each)
+            here = slice(done, done + int(end[-1]))
+            np.add(np.repeat(start[lo:hi] - end + each, each), np.arange(end[-1]), out=at[here])
+            hashes = prefix.take(at[here])
+            hashes += np.repeat(word[lo:hi], each)
+            across[here] = mix(hashes) >> _KNOWN_SHIFT
+            done = here.stop
+        return at, across
+
+
+@dataclass
+class Spelling:
+    """Letters of a dictionary's tokens, a blank after each token: those of token i are ``start[i]:start[i + 1]``.  Per letter a hash of the
+    letters before it in its token, and table places for contexts inside a word."""
+
+    start: np.ndarray
+    letter: np.ndarray
+    prefix: np.ndarray
+    inside: np.ndarray
+
+    def letters_of(self, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the letters of these dictionary positions, one after the other, and where each position's begin among them."""
+        size = self.start[pos + 1] - self.start[pos]
+        begin = np.cumsum(size) - size
+        return np.repeat(self.start[pos] - begin, size) + np.arange(int(size.sum())), begin
 
 
 @dataclass
 class Letters:
-    """Letters and blanks of the distinct tokens of a choice of tokens, how often each token was chosen, and table places for contexts inside
-    a word; per token its number of letters; per letter of the tokens one after the other ``at``, its place among those, and the table place
-    for the word before."""
+    """Letters and blanks of the distinct tokens of a choice of tokens, and table places for contexts inside a word; per letter of the tokens
+    one after the other ``at``, its place among those, and the table place for the word before."""
 
-    each: np.ndarray
     at: np.ndarray
     letter: np.ndarray
-    times: np.ndarray
     inside: list[np.ndarray]
     across: np.ndarray
 
 
+def places_of(context: np.ndarray, k: int) -> np.ndarray:
+    return (mix(context.astype(np.int64).view(np.uint64) + _SALT[0, k]) >> np.uint64(48)).astype(np.int32)
+
+
 def known_places(context: np.ndarray, k: int) -> np.ndarray:
-    return (mix(context + _KNOWN_SALT[k]) >> np.uint64(65 - KNOWN_SLOTS.bit_length())).astype(np.int32)
+    return (mix(context + _KNOWN_SALT[k]) >> _KNOWN_SHIFT).astype(np.int32)
 
 
 def pieces(size: np.ndarray, limit: int):
@@ -280,18 +349,43 @@ def nodes(symbol: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (node * _SPREAD).astype(np.int32), ((symbol[:, None] >> (bits - 1 - depth)) & 1).astype(bool)
 
 
+def bit_steps(bits: int) -> np.ndarray:
+    """(bit, symbol): offset of slot and bit."""
+    node, bit = nodes(np.arange(1 << bits), bits)
+    return (node.astype(np.int64) * 2 + bit).T.copy()
+
+
+def count_bits(total: np.ndarray, steps: np.ndarray, places: np.ndarray, symbol: np.ndarray, times: np.ndarray | None = None) -> None:
+    """Adds to one predictor's (slot and bit) the bits of these symbols, each one time or so many; equal symbols at equal places are added together."""
+    if not len(places):
+        return
+    key = places << 8 | symbol
+    if times is None:
+        key.sort()
+    else:
+        times = key.astype(np.int64) << 32 | times
+        times.sort()
+        key = times >> 32
+    heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    n = np.diff(heads, append=len(key)) if times is None else np.add.reduceat(times & 0xFFFFFFFF, heads)
+    key = key[heads].astype(np.int64)
+    symbol, twice, mask = key & 255, key >> 8 << 1, len(total) - 1
+    for step in steps:
+        np.add.at(total, (twice + step.take(symbol)) & mask, n)
+
+
 def count_letters(total: np.ndarray, block: Block, tokens: np.ndarray, classes: np.ndarray) -> None:
-    """Adds to (predictor, slot and bit) the letter bits of these known tokens."""
-    steps, bits = (x.astype(np.int64) for x in nodes(np.arange(256), 8))
-    steps = steps * 2 + bits
+    """Adds to (predictor, slot and bit) the letter bits of these known tokens; those inside a word are counted once a distinct token, times its occurrences."""
+    steps, spelling, times = bit_steps(8), block.spelling(classes), np.bincount(block.pos[tokens], minlength=len(block.keys))
+    own = np.flatnonzero(times)
+    for lo, hi in pieces(block.lengths[own] + 1, GROUP):
+        at, _ = spelling.letters_of(own[lo:hi])
+        letter, often = spelling.letter[at], np.repeat(times[own[lo:hi]], block.lengths[own[lo:hi]] + 1)
+        for k, place in enumerate(spelling.inside):
+            count_bits(total[k], steps, place[at], letter, often)
     for lo, hi in pieces(block.lengths[block.pos[tokens]] + 1, GROUP):
-        found = block.letters_of(tokens[lo:hi], classes)
-        said = found.letter[found.at]
-        for d in range(8):
-            mask, inside = 2 * KNOWN_SLOTS - 1, steps[found.letter, d]
-            for k, place in enumerate(found.inside):
-                np.add.at(total[k], (place * 2 + inside) & mask, found.times)
-            np.add.at(total[-1], (found.across * 2 + steps[said, d]) & mask, 1)
+        at, across = block.occurrences(tokens[lo:hi], spelling.start, spelling.prefix)
+        count_bits(total[-1], steps, across, spelling.letter[at])
 
 
 def planes(counts: np.ndarray) -> bytes:
@@ -312,10 +406,7 @@ def all_counts(blocks: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(kind, predictor, slot, bit) of class bits and unknown tokens' letter bits, (predictor, slot, bit) of known tokens' letter bits: how often the
     training documents saw each bit; a token's own occurrence is left out of its count."""
 
-    def add(total: np.ndarray, places: np.ndarray, node: np.ndarray, bit: np.ndarray) -> None:
-        for k in range(PREDICTORS):
-            spot = ((places[:, k, None] + node) & (SLOTS - 1)).astype(np.int64) * 2 + bit
-            total[k] += np.bincount(spot.ravel(), minlength=2 * SLOTS)
+    class_steps, letter_steps = bit_steps(bits), bit_steps(8)
 
     def count(batches):
         total, known = np.zeros((2, PREDICTORS, 2 * SLOTS), dtype=np.int64), np.zeros((KNOWN, 2 * KNOWN_SLOTS), dtype=np.int64)
@@ -326,12 +417,14 @@ def all_counts(blocks: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
                 train = np.repeat(row.column(row.schema.get_field_index("train")).flatten().to_numpy(zero_copy_only=False), block.per_row)
                 classes = classes_of(np.maximum(block.known - 1, 0))
                 symbol = classes[block.pos]
-                places = block.places(symbol)
-                for x in range(0, len(symbol), 1 << 18):
-                    use = np.flatnonzero(train[x:x + (1 << 18)]) + x
-                    add(total[0], places[use], *nodes(symbol[use], bits))
+                places = block.places(symbol).T.copy()
+                for x in range(0, len(symbol), GROUP):
+                    use = np.flatnonzero(train[x:x + GROUP]) + x
+                    for k in range(PREDICTORS):
+                        count_bits(total[0, k], class_steps, places[k, use], symbol[use])
                 for _, letter, _, where in block.spelled(block.pos[train & (symbol == 0)]):
-                    add(total[1], where, *nodes(letter, 8))
+                    for k in range(PREDICTORS):
+                        count_bits(total[1, k], letter_steps, where[:, k], letter)
                 count_letters(known, block, np.flatnonzero(train & (symbol > 0)), classes)
         if total.any():
             rows = [*total.reshape(PARTS, -1), *known.reshape(KNOWN_PARTS, -1)]
@@ -359,43 +452,84 @@ def logits_of(counts: np.ndarray) -> np.ndarray:
 class Weights:
     """Weights and maps of some texts for the bits of one kind of symbol; ``code`` gives the cost of symbols and refines them by it."""
 
-    def __init__(self, texts: int, bits: int, logits: np.ndarray) -> None:
-        self.logits, self.bits = logits, bits
-        self.weights = np.full((bits, len(logits), texts), WEIGHT, dtype=np.float32)
-        self.shift = np.zeros((bits, texts, HEIGHTS), dtype=np.float32)
-        node, bit = nodes(np.arange(1 << bits), bits)
-        self.node, self.sign = node.T.copy(), np.where(bit.T, np.float32(1), np.float32(-1))
-
-    def code(self, texts: slice, n: np.ndarray, symbol: np.ndarray, places: list[np.ndarray]) -> np.ndarray:
-        """Negative logarithm of the probability of the first n[i] symbols of row i, which is a text's; symbol and places: (text, symbol)."""
-        mask, out = self.logits.shape[1] - 1, np.zeros(len(n))
-        left = np.arange(symbol.shape[1]) >= n[:, None] if n.min() < symbol.shape[1] else None
-        cell = np.arange(len(n))[:, None] * HEIGHTS
-        rate = np.float32(1) / n.astype(np.float32)
-        for d in range(self.bits):
-            node, sign = self.node[d].take(symbol), self.sign[d].take(symbol)
-            x = [self.logits[k].take((p + node) & mask) for k, p in enumerate(places)]
-            weights, shift = self.weights[d, :, texts], self.shift[d, texts]
-            logit = x[0] * weights[0, :, None]
-            for k in range(1, len(x)):
-                logit += x[k] * weights[k, :, None]
-            height = np.minimum(np.maximum(logit * np.float32(1.5) + np.float32(HEIGHTS / 2), 0), HEIGHTS - 1).astype(np.int64)
-            height += cell
-            logit += shift.ravel().take(height)
-            z = np.exp(-sign * np.minimum(np.maximum(logit, -14), 14))
-            cost = np.log(z + np.float32(1))
-            error = sign * (z / (z + np.float32(1)))
-            if left is not None:
-                cost[left] = 0
-                error[left] = 0
-            out += cost.sum(axis=1)
-            for k, inputs in enumerate(x):
-                weights[k] += RATE * rate * np.einsum("ab,ab->a", error, inputs)
-            shift += MAP_RATE * rate[:, None] * np.bincount(height.ravel(), weights=error.ravel(), minlength=shift.size).reshape(shift.shape)
-        return out
-
-
-def together(length: np.ndarray, step: int, cells: int = 1 << 15):
+    def __init__(self, texts: int, width: int, bits: int, parts: list[int]) -> None:
+        self.bits = bits
+        self.own = [np.tile(np.eye(bits, dtype=np.float32), (k, 1)) for k in parts]  # an input weighs in its own bit alone
+        self.start = [np.tile(WEIGHT * own, (texts, 1, 1)) for own in self.own]
+        self.cell = ((np.arange(texts)[:, None, None] * bits + np.arange(bits)) * HEIGHTS + np.zeros((1, width, 1), dtype=np.int64)).astype(np.int32)
+        self.sign = np.where(nodes(np.arange(1 << bits), bits)[1], np.float32(1), np.float32(-1))
+
+    def renew(self, texts: int) -> None:
+        """Starts with other texts."""
+        self.weights = [start[:texts].copy() for start in self.start]
+        self.shift = np.zeros((texts, self.bits, HEIGHTS), dtype=np.float32)
+
+    def code(self, n: np.ndarray, symbol: np.ndarray, inputs: list[np.ndarray]) -> np.ndarray:
+        """Negative logarithm of the probability of the first n[i] symbols of row i, which is text i's, n falling; symbol: (text, symbol), inputs of
+        each part of the predictors: (text, symbol, predictor and bit)."""
+        rows, width = symbol.shape
+        shift = self.shift[:rows]
+        logit = np.matmul(inputs[0], self.weights[0][:rows])
+        for x, weights in zip(inputs[1:], self.weights[1:]):
+            logit += np.matmul(x, weights[:rows])
+        height = logit * np.float32(1.5)
+        height += np.float32(HEIGHTS / 2)
+        np.maximum(height, 0, out=height)
+        np.minimum(height, HEIGHTS - 1, out=height)
+        cell = np.add(height.astype(np.int32), self.cell[:rows, :width], dtype=np.int64)
+        logit += shift.ravel().take(cell)
+        np.maximum(logit, -14, out=logit)
+        np.minimum(logit, 14, out=logit)
+        sign = self.sign.take(symbol, axis=0)
+        logit *= sign
+        z = np.exp(np.negative(logit, out=logit), out=logit)
+        odds = z + np.float32(1)
+        error = np.divide(z, odds, out=z)
+        error *= sign
+        full = int(np.searchsorted(-n, -width, side="right"))
+        if full < rows:
+            left = np.arange(width) >= n[full:, None]
+            odds[full:][left] = 1
+            error[full:][left] = 0
+        odds = odds.reshape(rows, -1)
+        part = odds.shape[1] // 4  # one logarithm of four factors, each e^14 + 1 at most
+        many = odds[:, :part] * odds[:, part:2 * part]
+        many *= odds[:, 2 * part:3 * part]
+        many *= odds[:, 3 * part:4 * part]
+        cost = np.log(many).sum(axis=1) + np.log(odds[:, 4 * part:]).sum(axis=1)
+        rate = np.float32(1) / n.astype(np.float32)[:, None, None]
+        for x, own, weights in zip(inputs, self.own, self.weights):
+            slope = np.matmul(x.transpose(0, 2, 1), error)
+            slope *= own
+            slope *= np.float32(RATE) * rate
+            weights[:rows] += slope
+        shift += MAP_RATE * rate * np.bincount(cell.ravel(), weights=error.ravel(), minlength=shift.size).reshape(shift.shape)
+        return cost
+
+
+class Inputs:
+    """Looks up the logits of all bits of symbols."""
+
+    def __init__(self, logits: np.ndarray, bits: int) -> None:
+        self.logits, self.node, self.mask = logits, nodes(np.arange(1 << bits), bits)[0].astype(np.int64), logits.shape[1] - 1
+
+    def of(self, k: int, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Logits of predictor k, bits as the last axis, given where its places begin."""
+        spot = self.node.take(symbol, axis=0)
+        spot += place[..., None]
+        spot &= self.mask
+        return self.logits[k].take(spot, mode="clip")
+
+    def table(self, out: np.ndarray, symbol: np.ndarray, places: list[np.ndarray]) -> None:
+        """Fills the rows of ``out`` with the logits of (predictor, bit) of the first predictors."""
+        bits = self.node.shape[1]
+        for lo in range(0, len(out), CELLS):
+            some = slice(lo, lo + CELLS)
+            for k, place in enumerate(places):
+                out[some, k * bits:(k + 1) * bits] = self.of(k, symbol[some], place[some])
+
+
+def together(length: np.ndarray, step: int, cells: int = CELLS):
     """(texts, n, at) of texts in order of falling length that advance by ``step`` symbols: some rows at a time, whose first n symbols from ``at`` on are theirs."""
     rows = max(1, cells // step)
     for lo in range(0, len(length), rows):
@@ -417,13 +551,23 @@ class Model:
     def costs(self, block: Block) -> np.ndarray:
         """Natural logarithm of the probability of each text's class bits and letters of unknown tokens."""
         symbol = classes_of(block.known)[block.pos]
-        places = block.places(symbol)
+        places = block.places(symbol).T.copy()
         order = np.argsort(-block.per_row, kind="stable")
         length, first = block.per_row[order], block.first[order]
-        out, model = np.zeros(len(order)), Weights(len(order), self.bits, self.logits[0])
+        out, model, inputs = np.zeros(len(order)), Weights(min(len(order), CELLS // STEP), STEP, self.bits, [3, 1, 1]), Inputs(self.logits[0], self.bits)
+        # the first three contexts are made of two classes: their inputs are looked up once for all tokens with these classes
+        one = block.before(symbol, 255)
+        found, which = distinct(((one << 8 | block.before(one, 255)) << 8 | symbol).view(np.uint64))
+        any_of = np.empty(len(found), dtype=np.int64)
+        any_of[which] = np.arange(len(symbol))
+        table = np.empty((len(found), 3 * self.bits), dtype=np.float32)
+        inputs.table(table, symbol[any_of], [p[any_of] for p in places[:3]])
         for texts, n, at in together(length, STEP):
+            if at == 0:
+                model.renew(len(n))
             token = np.minimum(first[texts, None] + at + np.arange(n[0]), len(symbol) - 1)
-            out[texts] -= model.code(texts, n, symbol[token], [places[:, k][token] for k in range(PREDICTORS)])
+            said = symbol.take(token)
+            out[texts] -= model.code(n, said, [table.take(which.take(token), axis=0), *(inputs.of(k, said, places[k].take(token)) for k in (3, 4))])
         back = np.empty_like(out)
         back[order] = out
         return back + self.unknown_costs(block, symbol)
@@ -469,17 +613,30 @@ class Model:
         known = classes[block.pos] > 0
         size = np.add.reduceat(np.where(known, block.lengths[block.pos] + 1, 0), block.first)
         order = np.argsort(-size, kind="stable")
-        out = np.zeros(len(size))
+        out, spelling = np.zeros(len(size)), block.spelling(classes)
+        model, inputs = Weights(min(len(size), CELLS // LETTER_STEP), LETTER_STEP, 8, [KNOWN - 1, 1]), Inputs(self.letters, 8)
+        # inputs from inside a word are looked up once a distinct token of a group, those of the most frequent tokens once a block
+        often = int(np.count_nonzero(np.bincount(block.pos, minlength=len(block.keys)) > 2))
+        head = min(often, int(np.searchsorted(spelling.start, HEAD, side="right")) - 1)
+        top = int(spelling.start[head])
+        table, row = np.empty((top, 8 * (KNOWN - 1)), dtype=np.float32), np.empty((CELLS, 8 * (KNOWN - 1)), dtype=np.float32)
+        inputs.table(table, spelling.letter[:top], [p[:top] for p in spelling.inside])
         for lo, hi in pieces(size[order], GROUP):
             texts = order[lo:hi]
             length = block.per_row[texts]
             token = np.repeat(block.first[texts] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-            found = block.letters_of(token[known[token]], classes)
-            first, model, cost = np.cumsum(size[texts]) - size[texts], Weights(len(texts), 8, self.letters), np.zeros(len(texts))
+            found = block.letters_of(token[known[token]], classes, spelling, head)
+            if len(found.letter) > len(table):
+                table = np.concatenate([table[:top], np.empty((len(found.letter) - top, table.shape[1]), dtype=np.float32)])
+            inputs.table(table[top:len(found.letter)], found.letter[top:], [p[top:] for p in found.inside])
+            first, cost = np.cumsum(size[texts]) - size[texts], np.zeros(len(texts))
+            ahead = [np.lib.stride_tricks.sliding_window_view(np.pad(x, (0, LETTER_STEP)), LETTER_STEP) for x in (found.at, found.across)]
             for some, n, at in together(size[texts], LETTER_STEP):
-                where = np.minimum(first[some, None] + at + np.arange(n[0]), len(found.at) - 1)
-                inner = found.at[where]
-                cost[some] += model.code(some, n, found.letter[inner], [*(p[inner] for p in found.inside), found.across[where]])
+                if at == 0:
+                    model.renew(len(n))
+                own, across = (x[first[some] + at, :n[0]] for x in ahead)
+                x, said = table.take(own, axis=0, out=row[:own.size].reshape(*own.shape, -1), mode="clip"), found.letter.take(own)
+                cost[some] += model.code(n, said, [x, inputs.of(KNOWN - 1, said, across)])
             out[texts] = -cost
         return out
 
@@ -497,7 +654,7 @@ class Model:
                 "base_score": summed(base), "score": score, "bits_per_byte": -score * np.log2(10) / size}
 
 
-def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score(docs: DataFrame, block_bytes: int = TEXT_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte of every row."""
     counts = written(training_counts(docs))
     summary = counts.groupBy(F.length(F.bin("n")).alias("class")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct")).collect()  # 63 rows at most

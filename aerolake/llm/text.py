@@ -184,18 +184,22 @@ def split_words(chunk: Chunk, breaks: np.ndarray | None = None) -> Words:
     return Words(start, end, np.repeat(np.arange(chunk.rows), np.diff(first)), first)
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, block: int = 1 << 20) -> np.ndarray:
-    """64-bit polynomial hash of each data[start:end], in blocks of words so that memory stays bounded."""
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, block: int = 1 << 15) -> np.ndarray:
+    """64-bit polynomial hash of each data[start:end], words in order and apart, in blocks of words so that memory stays bounded.
+
+    A word's polynomial is the difference of two running sums over its block, divided by the power at its begin (odd, so it has an inverse modulo 2**64)."""
     out = np.empty(len(start), dtype=np.uint64)
+    powers = inverses = np.ones(1, dtype=np.uint64)
     lo = 0
     while lo < len(start):
         hi = max(lo + 1, int(np.searchsorted(end, start[lo] + block, side="right")))
-        length = end[lo:hi] - start[lo:hi]
-        ahead = np.concatenate([[0], np.cumsum(length)[:-1]])
-        inner = np.arange(int(length.sum())) - np.repeat(ahead, length)
-        powers = np.cumprod(np.full(int(length.max()), _GOLD | 1, dtype=np.uint64))
-        terms = BYTE_CODES[data[np.repeat(start[lo:hi], length) + inner]] * powers[inner]
-        out[lo:hi] = mix(np.add.reduceat(terms, ahead) + length.astype(np.uint64))
+        first, size = start[lo], int(end[hi - 1] - start[lo])
+        if size >= len(powers):
+            powers, inverses = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(size, block), x, dtype=np.uint64)])) for x in (_GOLD | 1, pow(_GOLD | 1, -1, 1 << 64)))
+        total = np.zeros(size + 1, dtype=np.uint64)
+        np.cumsum(BYTE_CODES[data[first:first + size]] * powers[1:size + 1], out=total[1:])
+        at = start[lo:hi] - first
+        out[lo:hi] = mix((total[end[lo:hi] - first] - total[at]) * inverses[at] + (end[lo:hi] - start[lo:hi]).astype(np.uint64))
         lo = hi
     return out
 

@@ -198,3 +198,46 @@ def test_known_tokens_of_one_class_are_told_apart_by_contexts(table):
 def test_counts_in_planes_round_trip():
     x = np.array([0, 1, 255, 2 ** 40 + 3])
     assert (mixing.from_planes(mixing.planes(x)) == x).all()
+
+
+def test_contexts_are_hashed_once_a_block_and_not_once_a_token(table, monkeypatch):
+    docs = table([(1, "aa bb " * 100_000), (2, "bb cc")])
+    blocks = mixing.with_answers(mixing.bucketed(mixing.token_blocks(docs)), mixing.training_counts(docs), "n")
+    row = blocks.toArrow().combine_chunks()
+    block = mixing.Block({c: row.column(c).combine_chunks() for c in row.column_names})
+    hashed, mix = [], mixing.mix
+    monkeypatch.setattr(mixing, "mix", lambda x: (hashed.append(len(x)), mix(x))[1])
+    block.places(mixing.classes_of(block.known)[block.pos])
+    assert len(block.pos) > 200_000 and sum(hashed) < 100_000
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_equal_symbols_at_equal_places_are_counted_together(weighted):
+    rng = np.random.default_rng(3)
+    places, symbol = rng.integers(0, mixing.KNOWN_SLOTS, 50).astype(np.int32)[rng.integers(0, 50, 900)], rng.integers(0, 256, 900) >> rng.integers(0, 8, 900)
+    times = rng.integers(1, 1 << 20, 900) if weighted else np.ones(900, dtype=np.int64)
+    got, want = np.zeros((2, 2 * mixing.KNOWN_SLOTS), dtype=np.int64)
+    mixing.count_bits(got, mixing.bit_steps(8), places, symbol, times if weighted else None)
+    mixing.count_bits(got, mixing.bit_steps(8), places[:0], symbol[:0], times[:0] if weighted else None)
+    for place, s, n in zip(places, symbol, times):
+        for d in range(8):
+            node = (1 << d) | int(s) >> (8 - d)
+            want[((int(place) + node * 40503) % mixing.KNOWN_SLOTS) * 2 + (int(s) >> (7 - d) & 1)] += n
+    assert (got == want).all()
+
+
+def test_costs_do_not_depend_on_groups_heads_or_batches(table, monkeypatch):
+    docs = table(list(enumerate(texts(60) + ["", "x" * 3000, "a b", None])))
+    blocks = mixing.with_answers(mixing.bucketed(mixing.token_blocks(docs)), mixing.training_counts(docs), "n")
+    row = blocks.toArrow().combine_chunks()
+    counts, letters = mixing.all_counts(blocks, 4)
+    model = mixing.Model(counts, 4, 10, 5, {}, letters)
+    block = mixing.Block({c: row.column(c).combine_chunks() for c in row.column_names})
+    want = model.costs(block), model.letter_costs(block)
+    for group, head, cells, pieces in [(1, 0, 128, 1 << 17), (500, 40, 1 << 13, 64), (1 << 19, 1 << 18, 256, 1)]:
+        monkeypatch.setattr(mixing, "GROUP", group)
+        monkeypatch.setattr(mixing, "HEAD", head)
+        monkeypatch.setattr(mixing, "CELLS", cells)
+        monkeypatch.setattr(mixing, "LETTERS", pieces)
+        monkeypatch.setattr(mixing.together, "__defaults__", (cells,))
+        assert np.allclose(model.costs(block), want[0], rtol=1e-4) and np.allclose(model.letter_costs(block), want[1], rtol=1e-4)

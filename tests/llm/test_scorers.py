@@ -219,3 +219,14 @@ def test_an_id_on_many_rows_is_one_row_of_the_fit(spark, op):
     many = docs.unionAll(one.crossJoin(spark.range(20_000)).select("doc_id", "text"))
     plain = {r.doc_id: r.score for r in op.score(docs, op.fit(docs, labels)).collect()}
     assert {r.doc_id: r.score for r in op.score(docs, op.fit(many, labels)).collect()} == pytest.approx(plain)
+
+
+def test_word_hashes_equal_their_polynomials():
+    from aerolake.llm.text import BYTE_CODES, mix
+
+    words = [b"a", b"the", b"x" * 40_000, b"\xff\x00z", b"the"]
+    data = np.frombuffer(b" ".join(words), dtype=np.uint8)
+    start = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
+    end = start + [len(w) for w in words]
+    want = [(sum(int(BYTE_CODES[c]) * pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i, c in enumerate(w)) + len(w)) % 2 ** 64 for w in words]
+    assert word_hashes(data, start, end).tolist() == word_hashes(data, start, end, block=5).tolist() == mix(np.array(want, dtype=np.uint64)).tolist()

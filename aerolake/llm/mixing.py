@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import BLOCK_BYTES, Numbers, bucketed, int_list, packed, unpacked, with_answers
-from .text import BYTE_CODES, Chunk, chunks, held_out, mix, signed, slices, split_words, word_hashes, written
+from .text import BYTE_CODES, Chunk, chunks, held_out, mix, signed, slices, split_words, tidy, word_hashes, written
 
 PREDICTORS = 5
 SLOTS = 1 << 16
@@ -112,7 +112,7 @@ def training_counts(docs: DataFrame) -> DataFrame:
             yield out(*added())
 
     training = docs.filter(~held_out(F.col("doc_id"), FOLD)).select("text")
-    return training.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return training.mapInArrow(tidy(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def token_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -167,7 +167,7 @@ def token_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             yield close()
 
     rows = docs.select("doc_id", (~held_out(F.col("doc_id"), FOLD)).alias("train"), "text")
-    return rows.mapInArrow(run, f"block long, doc_id array<{kind}>, train array<boolean>, per_row binary, pos binary, keys array<long>, lengths binary, letters binary")
+    return rows.mapInArrow(tidy(run), f"block long, doc_id array<{kind}>, train array<boolean>, per_row binary, pos binary, keys array<long>, lengths binary, letters binary")
 
 
 def classes_of(count: np.ndarray) -> np.ndarray:
@@ -208,7 +208,7 @@ class Block:
         two = symbol << 8 | self.before(symbol, 255)
         shape = np.minimum(self.lengths, 15) * 256 + self.last
         return np.stack([np.full(len(symbol), places_of(np.zeros(1, np.int64), 0)[0]), before(1, np.arange(256), symbol, 255), before(2, np.arange(1 << 16), two, 255 << 8 | 255),
-                         before(3, self.keys, self.pos, 0), before(4, shape, self.pos, 1 << 14)], axis=1)
+                         before(3, self.keys, self.pos, 0), before(4, shape, self.pos, 1 << 14)]).T
 
     def spelled(self, tokens: np.ndarray):
         """Pieces of (index into ``tokens``, letter with a blank at the end, place in the word, predictor places) of these dictionary positions."""
@@ -408,24 +408,29 @@ def all_counts(blocks: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
     class_steps, letter_steps = bit_steps(bits), bit_steps(8)
 
+    def add_classes(total: np.ndarray, block: Block, train: np.ndarray, symbol: np.ndarray) -> None:
+        places = block.places(symbol).T
+        for x in range(0, len(symbol), GROUP):
+            use = np.flatnonzero(train[x:x + GROUP]) + x
+            for k in range(PREDICTORS):
+                count_bits(total[0, k], class_steps, places[k, use], symbol[use])
+        for _, letter, _, where in block.spelled(block.pos[train & (symbol == 0)]):
+            for k in range(PREDICTORS):
+                count_bits(total[1, k], letter_steps, where[:, k], letter)
+
+    def add(total: np.ndarray, known: np.ndarray, row: pa.RecordBatch) -> None:
+        block = Block({c: row.column(k) for k, c in enumerate(row.schema.names)})
+        train = np.repeat(row.column(row.schema.get_field_index("train")).flatten().to_numpy(zero_copy_only=False), block.per_row)
+        classes = classes_of(np.maximum(block.known - 1, 0))
+        symbol = classes[block.pos]
+        add_classes(total, block, train, symbol)
+        count_letters(known, block, np.flatnonzero(train & (symbol > 0)), classes)
+
     def count(batches):
         total, known = np.zeros((2, PREDICTORS, 2 * SLOTS), dtype=np.int64), np.zeros((KNOWN, 2 * KNOWN_SLOTS), dtype=np.int64)
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                block = Block({c: row.column(k) for k, c in enumerate(row.schema.names)})
-                train = np.repeat(row.column(row.schema.get_field_index("train")).flatten().to_numpy(zero_copy_only=False), block.per_row)
-                classes = classes_of(np.maximum(block.known - 1, 0))
-                symbol = classes[block.pos]
-                places = block.places(symbol).T.copy()
-                for x in range(0, len(symbol), GROUP):
-                    use = np.flatnonzero(train[x:x + GROUP]) + x
-                    for k in range(PREDICTORS):
-                        count_bits(total[0, k], class_steps, places[k, use], symbol[use])
-                for _, letter, _, where in block.spelled(block.pos[train & (symbol == 0)]):
-                    for k in range(PREDICTORS):
-                        count_bits(total[1, k], letter_steps, where[:, k], letter)
-                count_letters(known, block, np.flatnonzero(train & (symbol > 0)), classes)
+                add(total, known, batch.slice(i, 1))
         if total.any():
             rows = [*total.reshape(PARTS, -1), *known.reshape(KNOWN_PARTS, -1)]
             for x in range(0, len(rows), 8):
@@ -440,7 +445,7 @@ def all_counts(blocks: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([planes(x) for x in total.values()], pa.binary())], ["part", "counts"])
 
     shape, out = "part int, counts binary", np.zeros((PARTS + KNOWN_PARTS, 2 * SLOTS), dtype=np.int64)
-    for part, counts in blocks.drop("doc_id").mapInArrow(count, shape).repartition("part").mapInArrow(merge, shape).collect():  # PARTS + KNOWN_PARTS rows of 1 MB
+    for part, counts in blocks.drop("doc_id").mapInArrow(tidy(count), shape).repartition("part").mapInArrow(tidy(merge), shape).collect():  # PARTS + KNOWN_PARTS rows of 1 MB
         out[part] = from_planes(counts)
     return out[:PARTS].reshape(2, PREDICTORS, SLOTS, 2), out[PARTS:].reshape(KNOWN, KNOWN_SLOTS, 2)
 
@@ -457,7 +462,7 @@ class Weights:
         self.own = [np.tile(np.eye(bits, dtype=np.float32), (k, 1)) for k in parts]  # an input weighs in its own bit alone
         self.start = [np.tile(WEIGHT * own, (texts, 1, 1)) for own in self.own]
         self.cell = ((np.arange(texts)[:, None, None] * bits + np.arange(bits)) * HEIGHTS + np.zeros((1, width, 1), dtype=np.int64)).astype(np.int32)
-        self.sign = np.where(nodes(np.arange(1 << bits), bits)[1], np.float32(1), np.float32(-1))
+        self.against = np.where(nodes(np.arange(1 << bits), bits)[1], np.float32(-1), np.float32(1))
 
     def renew(self, texts: int) -> None:
         """Starts with other texts."""
@@ -476,16 +481,18 @@ class Weights:
         height += np.float32(HEIGHTS / 2)
         np.maximum(height, 0, out=height)
         np.minimum(height, HEIGHTS - 1, out=height)
-        cell = np.add(height.astype(np.int32), self.cell[:rows, :width], dtype=np.int64)
+        cell = height.astype(np.int32)
+        cell += self.cell[:rows, :width]
+        cell = cell.astype(np.int64)
         logit += shift.ravel().take(cell)
         np.maximum(logit, -14, out=logit)
         np.minimum(logit, 14, out=logit)
-        sign = self.sign.take(symbol, axis=0)
-        logit *= sign
-        z = np.exp(np.negative(logit, out=logit), out=logit)
-        odds = z + np.float32(1)
+        against = self.against.take(symbol, axis=0)
+        logit *= against
+        z = np.exp(logit, out=logit)
+        odds = np.add(z, np.float32(1), out=height)
         error = np.divide(z, odds, out=z)
-        error *= sign
+        error *= against
         full = int(np.searchsorted(-n, -width, side="right"))
         if full < rows:
             left = np.arange(width) >= n[full:, None]
@@ -502,8 +509,8 @@ class Weights:
             slope = np.matmul(x.transpose(0, 2, 1), error)
             slope *= own
             slope *= np.float32(RATE) * rate
-            weights[:rows] += slope
-        shift += MAP_RATE * rate * np.bincount(cell.ravel(), weights=error.ravel(), minlength=shift.size).reshape(shift.shape)
+            weights[:rows] -= slope
+        shift -= MAP_RATE * rate * np.bincount(cell.ravel(), weights=error.ravel(), minlength=shift.size).reshape(shift.shape)
         return cost
 
 
@@ -551,7 +558,7 @@ class Model:
     def costs(self, block: Block) -> np.ndarray:
         """Natural logarithm of the probability of each text's class bits and letters of unknown tokens."""
         symbol = classes_of(block.known)[block.pos]
-        places = block.places(symbol).T.copy()
+        places = block.places(symbol).T
         order = np.argsort(-block.per_row, kind="stable")
         length, first = block.per_row[order], block.first[order]
         out, model, inputs = np.zeros(len(order)), Weights(min(len(order), CELLS // STEP), STEP, self.bits, [3, 1, 1]), Inputs(self.logits[0], self.bits)
@@ -674,4 +681,4 @@ def score(docs: DataFrame, block_bytes: int = TEXT_BYTES) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return blocks.select(*names).mapInArrow(
-        rate, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+        tidy(rate), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
